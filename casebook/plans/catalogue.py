@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebook.operators import stats
+from casebook.operators import prep, profile, stats
 from casebook.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,184 @@ FROM z
 def q_ab_ztest(spark, sf):
     return stats.two_share_ztest(_mobile_events(spark, sf), "type", "from_mobile",
                                  control="click")
+
+
+# ------------------------------------------------------ union, dedup, split
+def _rounded(df: DataFrame, cols, digits: int = 6) -> DataFrame:
+    return df.withColumns({c: F.round(F.col(c), digits) for c in cols})
+
+
+@register("union_dedup", """
+WITH u AS (
+  SELECT o_orderkey AS id, o_totalprice AS x, o_orderpriority AS priority,
+         'train' AS split, 0 AS r FROM orders WHERE o_orderstatus <> 'P'
+  UNION ALL
+  SELECT o_orderkey AS id, o_totalprice AS x, NULL AS priority,
+         'test' AS split, 1 AS r FROM orders WHERE o_orderstatus <> 'F')
+SELECT id, split, x, priority
+FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY r) AS rn FROM u) t
+WHERE rn = 1
+""")
+def q_union_dedup(spark, sf):
+    o = table(spark, sf, "orders")
+    train = o.filter(F.col("o_orderstatus") != "P").select(
+        F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("x"),
+        F.col("o_orderpriority").alias("priority"))
+    test = o.filter(F.col("o_orderstatus") != "F").select(
+        F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("x"))
+    return prep.union_first_wins([("train", train), ("test", test)], key="id")
+
+
+@register("prep_split", """
+SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority
+FROM orders WHERE o_orderstatus = 'F'
+""")
+def q_prep_split(spark, sf):
+    return prep.take_split(table(spark, sf, "orders"), "o_orderstatus", "F")
+
+
+# --------------------------------------------------------------- profiling
+_LI_NULLED = {
+    "l_discount": "nullif(l_discount, 0)",
+    "l_tax": "nullif(l_tax, 0)",
+    "l_returnflag": "nullif(l_returnflag, 'N')",
+}
+_LI_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+            "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+            "l_shipdate"]
+
+
+def _nulled_lineitem(spark, sf):
+    li = table(spark, sf, "lineitem")
+    return li.select(*[F.expr(_LI_NULLED[c]).alias(c) if c in _LI_NULLED else F.col(c)
+                       for c in _LI_COLS])
+
+
+register("null_profile", "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS "column", CAST(sum(CASE WHEN v IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_count,
+       sum(CASE WHEN v IS NULL THEN 1 ELSE 0 END) = 0 AS kept
+FROM (SELECT {_LI_NULLED.get(c, c)} AS v FROM lineitem) t""" for c in _LI_COLS))(
+    lambda spark, sf: profile.null_counts(_nulled_lineitem(spark, sf)))
+
+
+@register("auto_prep", """
+WITH src AS (SELECT p_partkey AS id, CASE WHEN p_size = 1 THEN NULL ELSE p_name END AS p_name,
+                    p_brand, p_type, p_size, p_retailprice, 1 AS p_const FROM part),
+st AS (SELECT min(p_size) AS lo1, max(p_size) AS hi1,
+              min(p_retailprice) AS lo2, max(p_retailprice) AS hi2 FROM src),
+long AS (
+  SELECT id, 'p_size' AS feature, (p_size - lo1) / (hi1 - lo1) AS value FROM src, st
+  UNION ALL SELECT id, 'p_retailprice', (p_retailprice - lo2) / (hi2 - lo2) FROM src, st
+  UNION ALL SELECT id, 'p_brand_' || p_brand, 1.0 FROM src
+  UNION ALL SELECT id, 'p_type_' || p_type, 1.0 FROM src)
+SELECT id, feature, round(value, 6) AS value FROM long WHERE value <> 0
+""")
+def q_auto_prep(spark, sf):
+    p = table(spark, sf, "part")
+    src = p.select(F.col("p_partkey").alias("id"),
+                   F.when(F.col("p_size") == 1, F.lit(None)).otherwise(F.col("p_name")).alias("p_name"),
+                   "p_brand", "p_type", "p_size", "p_retailprice", F.lit(1).alias("p_const"))
+    wide = prep.auto_prepare(src, id_col="id")
+    long = prep.to_sparse_long(wide, "id", [c for c in wide.columns if c != "id"])
+    return long.withColumn("value", F.round("value", 6))
+
+
+_DV_COLS = ["p_brand", "p_type", "p_size"]
+
+
+register("distinct_values", "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS "column", CAST({c} AS VARCHAR) AS value, count(*) AS n FROM part GROUP BY {c}"""
+    for c in _DV_COLS))(
+    lambda spark, sf: profile.distinct_values(table(spark, sf, "part"), _DV_COLS))
+
+_CARD_COLS = ["o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate"]
+
+register("cardinality", "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS "column", count(DISTINCT {c}) AS n_distinct FROM orders"""
+    for c in _CARD_COLS))(
+    lambda spark, sf: profile.cardinality(table(spark, sf, "orders"), _CARD_COLS))
+
+
+@register("mode_fill", """
+WITH src AS (SELECT p_partkey, CASE WHEN p_size = 1 THEN NULL ELSE p_brand END AS p_brand FROM part),
+m AS (SELECT p_brand AS mode FROM src WHERE p_brand IS NOT NULL
+      GROUP BY p_brand ORDER BY count(*) DESC, p_brand LIMIT 1)
+SELECT p_partkey, coalesce(p_brand, (SELECT mode FROM m)) AS p_brand FROM src
+""")
+def q_mode_fill(spark, sf):
+    p = table(spark, sf, "part").select(
+        "p_partkey", F.when(F.col("p_size") == 1, F.lit(None)).otherwise(F.col("p_brand")).alias("p_brand"))
+    return profile.fill_with_mode(p, ["p_brand"])
+
+
+# ----------------------------------------------------------------- scaling
+_NUM4 = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@register("minmax_scale", f"""
+WITH st AS (SELECT {", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in _NUM4)}
+            FROM lineitem WHERE l_linestatus = 'F')
+SELECT l_orderkey, l_linenumber,
+  {", ".join(f"round(CASE WHEN hi_{c} = lo_{c} THEN 0 ELSE ({c} - lo_{c}) / (hi_{c} - lo_{c}) END, 6) AS {c}" for c in _NUM4)}
+FROM lineitem, st
+""")
+def q_minmax_scale(spark, sf):
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_linestatus", *_NUM4)
+    out = prep.minmax_scale(li, _NUM4, fit_on=li.filter(F.col("l_linestatus") == "F"))
+    return _rounded(out.drop("l_linestatus"), _NUM4)
+
+
+@register("maxabs_scale", f"""
+WITH st AS (SELECT {", ".join(f"max(abs({c})) AS m_{c}" for c in _NUM4)} FROM lineitem)
+SELECT l_orderkey, l_linenumber,
+  {", ".join(f"round(CASE WHEN m_{c} = 0 THEN {c} ELSE {c} / m_{c} END, 6) AS {c}" for c in _NUM4)}
+FROM lineitem, st
+""")
+def q_maxabs_scale(spark, sf):
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", *_NUM4)
+    return _rounded(prep.maxabs_scale(li, _NUM4), _NUM4)
+
+
+register("corr_matrix", "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS corr FROM lineitem"
+    for a in _NUM4 for b in _NUM4))(
+    lambda spark, sf: profile.correlation(table(spark, sf, "lineitem"), _NUM4))
+
+_BIN3 = ["l_quantity", "l_discount", "l_tax"]
+
+
+def _bin_sql(c):
+    return (f"CASE WHEN hi_{c} = lo_{c} THEN 1 ELSE "
+            f"least(CAST(floor(({c} - lo_{c}) / (hi_{c} - lo_{c}) * 10) AS INTEGER) + 1, 10) END")
+
+
+register("pair_bins", f"""
+WITH st AS (SELECT {", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in _BIN3)} FROM lineitem),
+b AS (SELECT {", ".join(f"{_bin_sql(c)} AS {c}" for c in _BIN3)} FROM lineitem, st)
+""" + "\nUNION ALL\n".join(
+    f"SELECT '{x}' AS x, '{y}' AS y, {x} AS bin_x, {y} AS bin_y, count(*) AS n FROM b GROUP BY {x}, {y}"
+    for i, x in enumerate(_BIN3) for y in _BIN3[i + 1:]))(
+    lambda spark, sf: profile.pair_bins(table(spark, sf, "lineitem"), _BIN3, bins=10))
+
+
+@register("one_hot", """
+SELECT l_orderkey, l_linenumber,
+  CASE WHEN l_returnflag = 'A' THEN 1 ELSE 0 END AS l_returnflag_A,
+  CASE WHEN l_returnflag = 'N' THEN 1 ELSE 0 END AS l_returnflag_N,
+  CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS l_returnflag_R,
+  CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END AS l_linestatus_F,
+  CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END AS l_linestatus_O
+FROM lineitem
+""")
+def q_one_hot(spark, sf):
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
+    return prep.one_hot(li, ["l_returnflag", "l_linestatus"])
+
+
+@register("label_join", """
+SELECT d.doc_id, d.lang, d.n_chars, l.quality, l.toxic
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+""")
+def q_label_join(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "n_chars")
+    return docs.join(table(spark, sf, "labels"), on="doc_id", how="inner")
