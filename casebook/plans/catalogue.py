@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebook.operators import prep, profile, stats
+from casebook.functions import exprs as X
+from casebook.operators import bovw, prep, profile, stats
 from casebook.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -250,3 +251,118 @@ FROM documents d JOIN labels l ON d.doc_id = l.doc_id
 def q_label_join(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "lang", "n_chars")
     return docs.join(table(spark, sf, "labels"), on="doc_id", how="inner")
+
+
+# ------------------------------------------------------------ visual words
+# Testdata mapping: every embedding is one descriptor; image = vec_id div 10;
+# the codebook is the centroid of each label (a nearest-centroid codebook
+# derived from the whole table).
+_DIM = 64
+
+
+def _descriptors(spark, sf):
+    e = table(spark, sf, "embeddings")
+    return e.select(F.expr("vec_id div 10").alias("image"), "vec_id", "label",
+                    X.to_double_array("embedding").alias("descriptor"))
+
+
+def _features(spark, sf):
+    d = _descriptors(spark, sf).withColumn("pos", F.col("vec_id"))
+    return bovw.collect_features(d, "image", "pos", "descriptor")
+
+
+def _codebook(spark, sf):
+    return bovw.codebook_from_groups(_descriptors(spark, sf), "label", _DIM)
+
+
+def _round_arr(c, digits=6):
+    return F.transform(F.col(c), lambda x: F.round(x, digits))
+
+
+_DUCK_DESC = "list_transform(embedding, lambda x: CAST(x AS DOUBLE))"
+_DUCK_CODEBOOK = f"""codebook AS (
+  SELECT CAST(row_number() OVER (ORDER BY label) - 1 AS INTEGER) AS centre_id,
+         [{", ".join(f"m{i}" for i in range(_DIM))}] AS centre
+  FROM (SELECT label, {", ".join(f"avg(CAST(embedding[{i + 1}] AS DOUBLE)) AS m{i}" for i in range(_DIM))}
+        FROM embeddings GROUP BY label) g)"""
+_DUCK_ASSIGN = f"""{_DUCK_CODEBOOK},
+d AS (SELECT vec_id, vec_id // 10 AS image,
+             list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+dist AS (SELECT d.vec_id, d.image, c.centre_id,
+                sqrt(list_sum(list_transform(range(1, {_DIM} + 1), lambda i: (d.e[i] - c.centre[i]) * (d.e[i] - c.centre[i])))) AS dist
+         FROM d, codebook c),
+assigned AS (SELECT vec_id, image, centre_id AS word, dist
+             FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, centre_id) AS rn FROM dist) t
+             WHERE rn = 1)"""
+
+
+@register("bovw_explode", """
+SELECT vec_id // 10 AS image,
+       CAST(row_number() OVER (PARTITION BY vec_id // 10 ORDER BY vec_id) - 1 AS INTEGER) AS pos,
+       list_transform(embedding, lambda x: round(CAST(x AS DOUBLE), 6)) AS descriptor
+FROM embeddings
+""")
+def q_bovw_explode(spark, sf):
+    ex = bovw.explode_descriptors(_features(spark, sf), "image", "features")
+    return ex.withColumn("descriptor", _round_arr("descriptor"))
+
+
+@register("bovw_codebook", f"""
+WITH {_DUCK_CODEBOOK}
+SELECT centre_id, list_transform(centre, lambda x: round(x, 6)) AS centre FROM codebook
+""")
+def q_bovw_codebook(spark, sf):
+    return _codebook(spark, sf).select("centre_id", _round_arr("centre").alias("centre"))
+
+
+@register("bovw_assign", f"""
+WITH {_DUCK_ASSIGN}
+SELECT vec_id, image, word, round(dist, 6) AS dist FROM assigned
+""")
+def q_bovw_assign(spark, sf):
+    a = bovw.assign(_descriptors(spark, sf).select("vec_id", "image", "descriptor"),
+                    _codebook(spark, sf))
+    return a.select("vec_id", "image", "word", F.round("dist", 6).alias("dist"))
+
+
+def _index(spark, sf):
+    cb = _codebook(spark, sf)
+    k = cb.count()
+    a = bovw.assign(_descriptors(spark, sf).select("vec_id", "image", "descriptor"), cb)
+    return bovw.histogram(a, int(k), "image", "word")
+
+
+def _duck_hist(k):
+    return f"""{_DUCK_ASSIGN},
+hist AS (SELECT image, count(*) AS n_desc,
+                [{", ".join(f"CAST(sum(CASE WHEN word = {i} THEN 1 ELSE 0 END) AS DOUBLE)" for i in range(k))}] AS hist
+         FROM assigned GROUP BY image)"""
+
+
+# k = number of labels in the sf0.01 embeddings table (the oracle scale)
+_K_ORACLE = 10
+
+
+@register("bovw_hist", f"""
+WITH {_duck_hist(_K_ORACLE)}
+SELECT image, n_desc, hist FROM hist
+""")
+def q_bovw_hist(spark, sf):
+    return _index(spark, sf)
+
+
+@register("bovw_search", f"""
+WITH {_duck_hist(_K_ORACLE)},
+q AS (SELECT hist AS qh FROM hist WHERE image = 0),
+scored AS (SELECT image,
+                  round(list_sum(list_transform(range(1, {_K_ORACLE} + 1),
+                        lambda i: (hist[i] - qh[i]) * (hist[i] - qh[i]) / (hist[i] + qh[i] + 1e-10))), 6) AS distance
+           FROM hist, q)
+SELECT CAST(0 AS BIGINT) AS query, image, distance, rank FROM (
+  SELECT image, distance, row_number() OVER (ORDER BY distance, image) AS rank FROM scored) t
+WHERE rank <= 20
+""")
+def q_bovw_search(spark, sf):
+    index = _index(spark, sf)
+    query = index.filter(F.col("image") == 0)
+    return bovw.search(index, query, k=20, query_id=0).withColumn("query", F.col("query").cast("long"))
