@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casebook.functions import exprs as X
-from casebook.operators import bovw, prep, profile, stats
+from casebook.operators import bovw, graph, prep, profile, stats
 from casebook.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -366,3 +366,63 @@ def q_bovw_search(spark, sf):
     index = _index(spark, sf)
     query = index.filter(F.col("image") == 0)
     return bovw.search(index, query, k=20, query_id=0).withColumn("query", F.col("query").cast("long"))
+
+
+# ------------------------------------------------------------ accident graph
+# Testdata mapping: every pair of consecutive orders is an accident between
+# the two ordering customers (whole orders table).
+_DUCK_PAIRS = """pairs AS (SELECT a.o_custkey AS p1, b.o_custkey AS p2
+              FROM orders a JOIN orders b ON b.o_orderkey = a.o_orderkey + 1)"""
+
+
+def _pairs(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    nxt = o.select((F.col("o_orderkey") - 1).alias("o_orderkey"), F.col("o_custkey").alias("p2"))
+    return o.join(nxt, "o_orderkey").select(F.col("o_custkey").alias("p1"), "p2")
+
+
+@register("graph_degree", f"""
+WITH {_DUCK_PAIRS},
+ends AS (SELECT p1 AS person FROM pairs UNION ALL SELECT p2 FROM pairs)
+SELECT person, count(*) AS accidents FROM ends WHERE person IS NOT NULL
+GROUP BY person HAVING count(*) > 3
+""")
+def q_graph_degree(spark, sf):
+    return graph.suspicious(_pairs(spark, sf), "p1", "p2", threshold=3)
+
+
+@register("graph_repeat_edges", f"""
+WITH {_DUCK_PAIRS},
+ends AS (SELECT p1 AS person FROM pairs UNION ALL SELECT p2 FROM pairs),
+deg AS (SELECT person, count(*) AS d FROM ends GROUP BY person),
+e AS (SELECT p1 AS src, p2 AS dst FROM pairs UNION ALL SELECT p2, p1 FROM pairs)
+SELECT src, dst, count(*) AS n FROM e
+WHERE src IN (SELECT person FROM deg WHERE d >= 2)
+GROUP BY src, dst
+""")
+def q_graph_repeat_edges(spark, sf):
+    return graph.repeat_edges(_pairs(spark, sf), "p1", "p2", min_accidents=2)
+
+
+_CYCLE_MAX = 4
+
+
+@register("graph_cycles", f"""
+WITH RECURSIVE {_DUCK_PAIRS},
+s AS (SELECT DISTINCT least(p1, p2) AS u, greatest(p1, p2) AS v FROM pairs WHERE p1 <> p2),
+adj AS (SELECT u, v FROM s UNION ALL SELECT v, u FROM s),
+paths(st, path, last, len) AS (
+  SELECT u, [u, v], v, 1 FROM adj WHERE v > u
+  UNION ALL
+  SELECT p.st, list_append(p.path, a.v), a.v, p.len + 1
+  FROM paths p JOIN adj a ON a.u = p.last
+  WHERE a.v > p.st AND NOT list_contains(p.path, a.v) AND p.len < {_CYCLE_MAX - 1}),
+cyc AS (SELECT DISTINCT list_sort(list_transform(p.path, lambda x: CAST(x AS VARCHAR))) AS m
+        FROM paths p JOIN adj a ON a.u = p.last AND a.v = p.st
+        WHERE p.len >= 2 AND p.path[2] < p.last)
+SELECT row_number() OVER (ORDER BY len(m), array_to_string(m, ', ')) AS "group",
+       CAST(len(m) AS INTEGER) AS size, array_to_string(m, ', ') AS members
+FROM cyc
+""")
+def q_graph_cycles(spark, sf):
+    return graph.simple_cycles(_pairs(spark, sf), "p1", "p2", max_len=_CYCLE_MAX)
