@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casebook.functions import exprs as X
-from casebook.operators import bovw, graph, prep, profile, stats
+from casebook.operators import bovw, cluster, graph, model, policy, prep, profile, stats
 from casebook.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -426,3 +426,217 @@ FROM cyc
 """)
 def q_graph_cycles(spark, sf):
     return graph.simple_cycles(_pairs(spark, sf), "p1", "p2", max_len=_CYCLE_MAX)
+
+
+# ---------------------------------------------------------------- clustering
+# Testdata mapping: one point per user from events (event count, mean
+# value), max-abs scaled. eps 0.025 (the original 0.13 gives one cluster here).
+_EPS, _MIN_SAMPLES = 0.025, 5
+
+_DUCK_USERS = """u AS (SELECT user_id, count(*) AS cnt, avg(value) AS val FROM events GROUP BY user_id),
+mx AS (SELECT max(abs(cnt)) AS mc, max(abs(val)) AS mv FROM u),
+p AS (SELECT user_id AS id, cnt, val, cnt / mc AS x, val / mv AS y FROM u, mx)"""
+
+_DUCK_DBSCAN = f"""{_DUCK_USERS},
+nb AS (SELECT a.id, b.id AS nid FROM p a JOIN p b
+       ON sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= {_EPS}),
+core AS (SELECT id FROM nb GROUP BY id HAVING count(*) >= {_MIN_SAMPLES}),
+ce AS (SELECT nb.id AS a, nb.nid AS b FROM nb JOIN core c1 ON nb.id = c1.id JOIN core c2 ON nb.nid = c2.id),
+reach(a, b) AS (SELECT id, id FROM core UNION SELECT r.a, ce.b FROM reach r JOIN ce ON r.b = ce.a),
+croot AS (SELECT a AS id, min(b) AS root FROM reach GROUP BY a),
+broot AS (SELECT nb.id, min(cr.root) AS root FROM nb JOIN croot cr ON nb.nid = cr.id
+          WHERE nb.id NOT IN (SELECT id FROM core) GROUP BY nb.id),
+allroot AS (SELECT id, root FROM croot UNION ALL SELECT id, root FROM broot),
+num AS (SELECT root, dense_rank() OVER (ORDER BY root) - 1 AS cluster FROM (SELECT DISTINCT root FROM allroot) r),
+lab AS (SELECT p.id AS user_id, p.cnt, p.val, round(p.x, 6) AS x, round(p.y, 6) AS y,
+               p.id IN (SELECT id FROM core) AS is_core,
+               CAST(coalesce(num.cluster, -1) AS INTEGER) AS cluster
+        FROM p LEFT JOIN allroot ar ON p.id = ar.id LEFT JOIN num ON ar.root = num.root)"""
+
+
+def _user_points(spark, sf):
+    ev = table(spark, sf, "events")
+    u = ev.groupBy("user_id").agg(F.count(F.lit(1)).alias("cnt"), F.avg("value").alias("val"))
+    return prep.maxabs_scale(u.withColumn("x", F.col("cnt")).withColumn("y", F.col("val")), ["x", "y"])
+
+
+def _dbscan(spark, sf):
+    pts = _user_points(spark, sf)
+    lab = cluster.dbscan(pts, "user_id", ["x", "y"], eps=_EPS, min_samples=_MIN_SAMPLES)
+    return lab.join(pts.select("user_id", "cnt", "val"), "user_id")
+
+
+@register("dbscan_core", f"""
+WITH RECURSIVE {_DUCK_DBSCAN}
+SELECT user_id, x, y FROM lab WHERE is_core
+""")
+def q_dbscan_core(spark, sf):
+    d = _dbscan(spark, sf).filter("is_core")
+    return d.select("user_id", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
+
+
+@register("dbscan_labels", f"""
+WITH RECURSIVE {_DUCK_DBSCAN}
+SELECT user_id, is_core, cluster FROM lab
+""")
+def q_dbscan_labels(spark, sf):
+    return _dbscan(spark, sf).select("user_id", "is_core", "cluster")
+
+
+@register("cluster_profile", f"""
+WITH RECURSIVE {_DUCK_DBSCAN}
+SELECT cluster, count(*) AS size, round(avg(cnt), 6) AS mean_cnt, round(avg(val), 6) AS mean_val
+FROM lab GROUP BY cluster
+""")
+def q_cluster_profile(spark, sf):
+    return cluster.profile(_dbscan(spark, sf), "cluster", ["cnt", "val"])
+
+
+def _brand_points(spark, sf):
+    p = table(spark, sf, "part")
+    b = p.groupBy("p_brand").agg(F.avg("p_size").alias("size_mean"),
+                                 F.avg("p_retailprice").alias("price_mean"))
+    return prep.maxabs_scale(b, ["size_mean", "price_mean"])
+
+
+@register("agglo_pairs", """
+WITH b AS (SELECT p_brand, avg(p_size) AS s, avg(p_retailprice) AS r FROM part GROUP BY p_brand),
+m AS (SELECT max(abs(s)) AS ms, max(abs(r)) AS mr FROM b),
+x AS (SELECT p_brand, s / ms AS s, r / mr AS r FROM b, m)
+SELECT a.p_brand AS a, c.p_brand AS b, round(abs(a.s - c.s) + abs(a.r - c.r), 6) AS dist
+FROM x a JOIN x c ON a.p_brand < c.p_brand
+""")
+def q_agglo_pairs(spark, sf):
+    d = cluster.pair_distances(_brand_points(spark, sf), "p_brand", ["size_mean", "price_mean"])
+    return d.select("a", "b", F.round("dist", 6).alias("dist"))
+
+
+@register("agglo_labels")
+def q_agglo_labels(spark, sf):
+    labels, _ = cluster.agglomerative(_brand_points(spark, sf), "p_brand",
+                                      ["size_mean", "price_mean"], k=4)
+    return labels
+
+
+@register("kmeans_profile")
+def q_kmeans_profile(spark, sf):
+    pts = _user_points(spark, sf)
+    lab, _ = cluster.kmeans(pts, ["x", "y"], k=4, max_iter=50, seed=22)
+    return cluster.profile(lab, "cluster", ["cnt", "val"])
+
+
+# ------------------------------------------------------------ policy renewal
+# Testdata mapping: one policy per order; every policy column is derived
+# from the order row by one expression list valid in Spark SQL and DuckDB.
+_POLICY_EXPRS = [
+    "o_orderkey AS POLICY_ID",
+    "CASE WHEN o_orderstatus = 'F' THEN 'TRAIN' ELSE 'TEST ' END AS DATA_TYPE",
+    "CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1 ELSE 0 END AS POLICY_IS_RENEWED",
+    "month(o_orderdate) AS POLICY_BEGIN_MONTH",
+    "month(o_orderdate) AS POLICY_END_MONTH",
+    "CAST(o_custkey % 50 AS INT) AS POLICY_SALES_CHANNEL",
+    "CAST(o_custkey % 5 AS INT) AS POLICY_SALES_CHANNEL_GROUP",
+    "CASE WHEN o_custkey % 3 = 0 THEN 'Москва' ELSE 'Санкт-Петербург' END AS POLICY_BRANCH",
+    "CAST(15 + o_custkey % 60 AS INT) AS POLICY_MIN_AGE",
+    "CAST(CASE WHEN o_orderkey % 50 = 0 THEN 2016 - o_custkey % 40 ELSE o_custkey % 40 END AS INT) "
+    "AS POLICY_MIN_DRIVING_EXPERIENCE",
+    "'make_' || CAST(o_custkey % 7 AS STRING) AS VEHICLE_MAKE",
+    "'model_' || CAST(o_custkey % 13 AS STRING) AS VEHICLE_MODEL",
+    "o_totalprice / 1000 AS VEHICLE_ENGINE_POWER",
+    "o_totalprice AS VEHICLE_SUM_INSURED",
+    "CAST(o_orderkey % 2 AS INT) AS VEHICLE_IN_CREDIT",
+    "CAST(o_custkey % 17 AS DOUBLE) AS CLAIM_AVG_ACC_ST_PRD",
+    "CAST(o_custkey % 4 * 1000 AS DOUBLE) AS POLICY_DEDUCT_VALUE",
+    "CAST(o_orderkey % 21 - 10 AS DOUBLE) / 100 AS POLICY_PRICE_CHANGE",
+    "'region_' || CAST(o_custkey % 83 AS STRING) AS CLIENT_REGISTRATION_REGION",
+    "'int_' || CAST(o_custkey % 1333 AS STRING) AS POLICY_INTERMEDIARY",
+    "CASE WHEN o_custkey % 2 = 0 THEN 'M' ELSE 'F' END AS INSURER_GENDER",
+    "CASE o_orderkey % 7 WHEN 0 THEN 'N' WHEN 1 THEN 'n/d' ELSE CAST(o_orderkey % 3 AS STRING) END AS POLICY_CLM_N",
+    "CASE o_orderkey % 11 WHEN 0 THEN 'n/d' ELSE CAST(o_orderkey % 2 AS STRING) END AS POLICY_CLM_GLT_N",
+    "CASE o_custkey % 9 WHEN 0 THEN 'n/d' WHEN 1 THEN 'N' ELSE CAST(o_custkey % 4 AS STRING) END AS POLICY_PRV_CLM_N",
+    "CASE o_custkey % 5 WHEN 0 THEN 'N' ELSE CAST(o_custkey % 2 AS STRING) END AS POLICY_PRV_CLM_GLT_N",
+    "CASE WHEN o_orderkey % 13 = 0 THEN 'N' ELSE CAST(o_custkey % 6 AS STRING) END AS POLICY_YEARS_RENEWED_N",
+    "CAST(o_custkey % 2 AS INT) AS CLIENT_HAS_DAGO",
+    "CASE WHEN o_custkey % 4 >= 2 THEN 1 ELSE 0 END AS CLIENT_HAS_OSAGO",
+    "CASE WHEN o_orderkey % 97 = 0 THEN 1 ELSE 0 END AS POLICY_COURT_SIGN",
+    "CASE WHEN o_orderkey % 89 = 0 THEN 1 ELSE 0 END AS POLICY_HAS_COMPLAINTS",
+]
+_POLICY_OUT = ["POLICY_ID", "POLICY_BRANCH", "INSURER_GENDER", "AGE_18-25", "AGE_25-40", "AGE_40-65",
+               "AGE_65+", "DRV_EXP_0-3", "DRV_EXP_3-10", "DRV_EXP_10-20", "DRV_EXP_20+",
+               "POLICY_CLM_N", "POLICY_CLM_GLT_N", "POLICY_YEARS_RENEWED_N"]
+
+
+def _policies(spark, sf):
+    return table(spark, sf, "orders").selectExpr(*_POLICY_EXPRS)
+
+
+@register("policy_features", f"""
+WITH pol AS (SELECT {", ".join(_POLICY_EXPRS)} FROM orders),
+fx AS (SELECT *, CASE WHEN POLICY_MIN_DRIVING_EXPERIENCE > 100
+                      THEN 2016 - POLICY_MIN_DRIVING_EXPERIENCE
+                      ELSE POLICY_MIN_DRIVING_EXPERIENCE END AS exp FROM pol)
+SELECT POLICY_ID,
+  CASE WHEN POLICY_BRANCH = 'Москва' THEN 0 ELSE 1 END AS POLICY_BRANCH,
+  CASE WHEN INSURER_GENDER = 'M' THEN 0 ELSE 1 END AS INSURER_GENDER,
+  CASE WHEN POLICY_MIN_AGE < 25 THEN 1 ELSE 0 END AS "AGE_18-25",
+  CASE WHEN POLICY_MIN_AGE >= 25 AND POLICY_MIN_AGE <= 40 THEN 1 ELSE 0 END AS "AGE_25-40",
+  CASE WHEN POLICY_MIN_AGE >= 40 AND POLICY_MIN_AGE < 65 THEN 1 ELSE 0 END AS "AGE_40-65",
+  CASE WHEN POLICY_MIN_AGE >= 65 THEN 1 ELSE 0 END AS "AGE_65+",
+  CASE WHEN exp < 3 THEN 1 ELSE 0 END AS "DRV_EXP_0-3",
+  CASE WHEN exp >= 3 AND exp < 10 THEN 1 ELSE 0 END AS "DRV_EXP_3-10",
+  CASE WHEN exp >= 10 AND exp < 20 THEN 1 ELSE 0 END AS "DRV_EXP_10-20",
+  CASE WHEN exp >= 20 THEN 1 ELSE 0 END AS "DRV_EXP_20+",
+  CASE WHEN POLICY_CLM_N = 'n/d' THEN 'N' ELSE POLICY_CLM_N END AS POLICY_CLM_N,
+  CASE WHEN POLICY_CLM_GLT_N = 'n/d' THEN 'N' ELSE POLICY_CLM_GLT_N END AS POLICY_CLM_GLT_N,
+  CASE WHEN POLICY_YEARS_RENEWED_N = 'N' THEN 1 ELSE CAST(POLICY_YEARS_RENEWED_N AS INTEGER) END
+    AS POLICY_YEARS_RENEWED_N
+FROM fx
+""")
+def q_policy_features(spark, sf):
+    return policy.prepare(_policies(spark, sf)).select(*[F.col(f"`{c}`") for c in _POLICY_OUT])
+
+
+# small grid for the catalogue run; the library default is the original 27 x 4
+_RENEWAL_GRID = {"maxIter": [10], "maxDepth": [4], "featureSubsetStrategy": ["all"]}
+
+
+@register("renewal_scores")
+def q_renewal_scores(spark, sf):
+    pol = policy.prepare(_policies(spark, sf))
+    train = prep.take_split(pol, "DATA_TYPE", "TRAIN")
+    test = prep.take_split(pol, "DATA_TYPE", "TEST ").drop("POLICY_IS_RENEWED")
+    enc, cv, _acc = policy.fit(train, grid=_RENEWAL_GRID, folds=2, parallelism=2)
+    return policy.score(enc, cv, test)
+
+
+@register("log_loss", """
+WITH t AS (SELECT event_type, CAST(user_id % 2 AS DOUBLE) AS y,
+                  1 / (1 + exp(-((value - 50) / 50))) AS p FROM events),
+per AS (SELECT event_type, count(*) AS n,
+               sum(-y * ln(p + 1e-8) - (1 - y) * ln(1 - p + 1e-8)) AS loss
+        FROM t GROUP BY event_type)
+SELECT event_type, n, round(loss, 6) AS loss, round(avg(loss) OVER (), 6) AS mean_loss FROM per
+""")
+def q_log_loss(spark, sf):
+    ev = table(spark, sf, "events").select(
+        "event_type", (F.col("user_id") % 2).alias("y"),
+        X.sigmoid((F.col("value") - 50) / 50).alias("p"))
+    return model.log_loss_by_class(ev, "event_type", "y", "p")
+
+
+@register("multilabel_scores")
+def q_multilabel_scores(spark, sf):
+    p = table(spark, sf, "part")
+    src = p.select(F.col("p_partkey").alias("id"), "p_brand", "p_type", "p_size", "p_retailprice")
+    src = prep.hash_split(src, "id", share=0.2, seed=1, name="is_test")
+    src = src.withColumn("split", F.when(F.col("is_test"), "test").otherwise("train")).drop("is_test")
+    feats = prep.auto_prepare(src, id_col="id", split_col="split")
+    fcols = [c for c in feats.columns if c not in ("id", "split")]
+    feats = model.assemble(feats, fcols)
+    labels = p.select(F.col("p_partkey").alias("id"),
+                      (F.col("p_partkey") % 2).alias("label_0"),
+                      (F.col("p_partkey") % 3 == 0).cast("int").alias("label_1"),
+                      (F.col("p_partkey") % 5 == 0).cast("int").alias("label_2"))
+    train = feats.filter(F.col("split") == "train").join(labels, "id")
+    models = model.fit_multilabel(train, "features", ["label_0", "label_1", "label_2"])
+    return model.score_multilabel(models, feats.filter(F.col("split") == "test"), "id", "features")
