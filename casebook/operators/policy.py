@@ -94,9 +94,10 @@ def fit_encoders(train: DataFrame, numeric=NUMERIC, binary=BINARY, category_num=
         cur = st.transform(cur)
     vecs = []
     for col, keep_invalid in indexed:
-        # keep_invalid: the extra "unseen" slot is the last one, dropped -> zeros
+        # keep_invalid: the indexer's metadata ends with an "unknown" slot;
+        # dropping that last slot maps unseen values and nulls to all zeros
         ohe = OneHotEncoder(inputCol=col, outputCol=f"{col}_vec", dropLast=keep_invalid,
-                            handleInvalid="keep" if keep_invalid else "error").fit(cur)
+                            handleInvalid="error").fit(cur)
         stages.append(ohe)
         vecs.append(f"{col}_vec")
     return Encoders(minmax=stats, stages=stages, feature_cols=list(numeric) + list(binary) + vecs)
