@@ -41,8 +41,94 @@ def _dist(a: str, b: str, cols: Sequence[str]):
     return F.sqrt(sum(((F.col(f"{a}.{c}") - F.col(f"{b}.{c}")) ** 2 for c in cols), F.lit(0.0)))
 
 
+def _box_gap(cols, far: bool):
+    """Smallest (far=False) or largest (far=True) distance between the
+    bounding boxes a_lo..a_hi and b_lo..b_hi."""
+    terms = []
+    for c in cols:
+        if far:
+            t = F.greatest(F.col(f"a_hi_{c}") - F.col(f"b_lo_{c}"), F.col(f"b_hi_{c}") - F.col(f"a_lo_{c}"))
+        else:
+            t = F.greatest(F.lit(0.0), F.col(f"a_lo_{c}") - F.col(f"b_hi_{c}"),
+                           F.col(f"b_lo_{c}") - F.col(f"a_hi_{c}"))
+        terms.append(t * t)
+    return F.sqrt(sum(terms[1:], terms[0]))
+
+
+def _link_cells(core: DataFrame, cols, eps: float, side: float, shifted,
+                brute_limit: int = 256, max_levels: int = 48) -> DataFrame:
+    """Pairs of cell nodes (src, dst) holding core points within eps.
+
+    Exact, without comparing all point pairs of two crowded cells: the
+    bounding boxes of the core points of both (sub)cells decide a pair when
+    their smallest distance exceeds eps (no link) or their largest distance
+    is within eps (link). Only undecided pairs are split into half-size
+    sub-cells, level by level; a pair is checked point by point once the
+    product of its point counts is at most ``brute_limit``."""
+    d = len(cols)
+    cells = core.select("cell", "node").distinct()
+    cand = (shifted(cells, _offsets(d, side, eps, half=True))
+            .join(cells.select(F.col("cell").alias("ncell"), F.col("node").alias("nnode")), "ncell")
+            .select(F.col("node").alias("na"), F.col("nnode").alias("nb"),
+                    F.col("cell").alias("ca"), F.col("ncell").alias("cb"),
+                    F.col("cell").alias("ka"), F.col("ncell").alias("kb")))
+    pts = core.select("id", "cell", *cols, F.col("cell").alias("key"))
+    found = []
+    done = None
+    for level in range(max_levels + 1):
+        boxes = pts.groupBy("cell", "key").agg(
+            F.count(F.lit(1)).alias("n"),
+            *[F.min(c).alias(f"lo_{c}") for c in cols], *[F.max(c).alias(f"hi_{c}") for c in cols])
+
+        def side_box(tag):
+            return boxes.select(F.col("cell").alias(f"c{tag}"), F.col("key").alias(f"k{tag}"),
+                                F.col("n").alias(f"cnt_{tag}"),
+                                *[F.col(f"lo_{c}").alias(f"{tag}_lo_{c}") for c in cols],
+                                *[F.col(f"hi_{c}").alias(f"{tag}_hi_{c}") for c in cols])
+        pairs = cand.join(side_box("a"), ["ca", "ka"]).join(side_box("b"), ["cb", "kb"])
+        pairs = pairs.filter(_box_gap(cols, far=False) <= F.lit(eps))
+        if done is not None:
+            pairs = pairs.join(done, ["na", "nb"], "left_anti")
+        pairs = cut_lineage(pairs.withColumn("_sure", _box_gap(cols, far=True) <= F.lit(eps)))
+        sure = pairs.filter("_sure").select("na", "nb")
+        last = level == max_levels
+        work = F.col("cnt_a") * F.col("cnt_b")
+        small = pairs.filter(~F.col("_sure") & ((work <= F.lit(brute_limit)) | F.lit(last)))
+        pa = pts.select(F.col("cell").alias("ca"), F.col("key").alias("ka"),
+                        *[F.col(c).alias(f"pa_{c}") for c in cols])
+        pb = pts.select(F.col("cell").alias("cb"), F.col("key").alias("kb"),
+                        *[F.col(c).alias(f"pb_{c}") for c in cols])
+        dist = F.sqrt(sum(((F.col(f"pa_{c}") - F.col(f"pb_{c}")) ** 2 for c in cols), F.lit(0.0)))
+        brute = (small.select("na", "nb", "ca", "ka", "cb", "kb").join(pa, ["ca", "ka"]).join(pb, ["cb", "kb"])
+                 .filter(dist <= F.lit(eps)).select("na", "nb"))
+        new = cut_lineage(sure.unionAll(brute).distinct())
+        found.append(new)
+        done = new if done is None else cut_lineage(done.unionAll(new).distinct())
+        rest = (pairs.filter(~F.col("_sure") & (work > F.lit(brute_limit)))
+                .join(new, ["na", "nb"], "left_anti").select("na", "nb", "ca", "cb", "ka", "kb"))
+        rest = cut_lineage(rest)
+        if last or rest.isEmpty():
+            break
+        # split the undecided (sub)cells into half-size children
+        width = side / (2 ** (level + 1))
+        involved = (rest.select(F.col("ca").alias("cell"), F.col("ka").alias("key"))
+                    .unionAll(rest.select(F.col("cb").alias("cell"), F.col("kb").alias("key"))).distinct())
+        pts = (pts.join(involved, ["cell", "key"], "left_semi")
+               .withColumn("parent", F.col("key"))
+               .withColumn("key", F.array(*[F.floor(F.col(c) / F.lit(width)) for c in cols])))
+        pts = cut_lineage(pts)
+        kids = pts.select("cell", "parent", "key").distinct()
+        cand = (rest.join(kids.select(F.col("cell").alias("ca"), F.col("parent").alias("ka"),
+                                      F.col("key").alias("ka2")), ["ca", "ka"])
+                .join(kids.select(F.col("cell").alias("cb"), F.col("parent").alias("kb"),
+                                  F.col("key").alias("kb2")), ["cb", "kb"])
+                .select("na", "nb", "ca", "cb", F.col("ka2").alias("ka"), F.col("kb2").alias("kb")))
+        pts = pts.drop("parent")
+    return done.select(F.col("na").alias("src"), F.col("nb").alias("dst"))
+
+
 def dbscan(df: DataFrame, id_col: str, cols: Sequence[str], eps: float,
-           min_samples: int) -> DataFrame:
+           min_samples: int, brute_limit: int = 256) -> DataFrame:
     """Label every row: ``cluster`` 0.. (numbered by smallest core id) or -1
     for noise, plus ``is_core``. A point counts itself; neighbours are at
     Euclidean distance <= eps. A border point joins the smallest-numbered
@@ -80,11 +166,7 @@ def dbscan(df: DataFrame, id_col: str, cols: Sequence[str], eps: float,
     # one node per cell that has a core point: its smallest core id
     node = core.groupBy("cell").agg(F.min("id").alias("node"))
     core = core.join(node, "cell")
-    # core-core links across neighbouring cells (each cell pair once)
-    cp = shifted(core.select("id", "cell", "node", *cols), _offsets(d, side, eps, half=True)).alias("p")
-    cq = core.select(F.col("cell").alias("ncell"), F.col("node").alias("nnode"), *cols).alias("q")
-    links = (cp.join(cq, "ncell").filter(_dist("p", "q", cols) <= F.lit(eps))
-             .select(F.col("p.node").alias("src"), F.col("nnode").alias("dst")).distinct())
+    links = _link_cells(core, cols, eps, side, shifted, brute_limit=brute_limit)
     comp = connected_components(links, node.select(F.col("node").alias("id")),
                                 src="src", dst="dst", vid="id")
     cell_root = node.join(comp.select(F.col("id").alias("node"), "component"), "node") \

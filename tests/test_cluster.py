@@ -88,3 +88,19 @@ def test_profile(spark):
     df = spark.createDataFrame([(0, 1.0), (0, 3.0), (1, 5.0)], "c int, v double")
     got = {r["c"]: (r["size"], r["mean_v"]) for r in cluster.profile(df, "c", ["v"]).collect()}
     assert got == {0: (2, 2.0), 1: (1, 5.0)}
+
+
+def test_dbscan_hot_spot_refinement(spark):
+    """A third of all points on one spot plus crowded neighbours: the
+    bounding-box refinement (forced with a tiny brute_limit) stays exact."""
+    rnd = random.Random(11)
+    pts = {}
+    for i in range(120):
+        pts[i] = (0.5, 0.5)
+    for i in range(120, 360):
+        pts[i] = (0.5 + rnd.uniform(-0.12, 0.12), 0.5 + rnd.uniform(-0.12, 0.12))
+    expected, core = brute_dbscan(pts, 0.03, 4)
+    df = spark.createDataFrame([(i, x, y) for i, (x, y) in pts.items()], "id long, x double, y double")
+    rows = cluster.dbscan(df, "id", ["x", "y"], eps=0.03, min_samples=4, brute_limit=4).collect()
+    assert {r["id"]: r["cluster"] for r in rows} == expected
+    assert {r["id"] for r in rows if r["is_core"]} == core
