@@ -20,9 +20,9 @@ from casebook.session import cut_lineage
 
 
 def endpoints(pairs: DataFrame, a: str, b: str) -> DataFrame:
-    """Every participant occurrence (person); null participants are not vertices."""
-    return (pairs.select(F.col(a).alias("person"))
-            .unionAll(pairs.select(F.col(b).alias("person")))
+    """Every participant occurrence (person); null participants are not
+    vertices. One pass over the pairs (explode, not a union of two scans)."""
+    return (pairs.select(F.explode(F.array(F.col(a), F.col(b))).alias("person"))
             .filter(F.col("person").isNotNull()))
 
 
@@ -37,19 +37,25 @@ def suspicious(pairs: DataFrame, a: str, b: str, threshold: int = 3) -> DataFram
 
 
 def directed_edges(pairs: DataFrame, a: str, b: str) -> DataFrame:
-    """Both directions of every accident between two known participants."""
-    e = pairs.select(F.col(a).alias("src"), F.col(b).alias("dst")).filter(
-        F.col("src").isNotNull() & F.col("dst").isNotNull())
-    return e.unionAll(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    """Both directions of every accident (one pass); src is never null, a
+    null dst stands for an unknown partner."""
+    both = F.array(F.struct(F.col(a).alias("src"), F.col(b).alias("dst")),
+                   F.struct(F.col(b).alias("src"), F.col(a).alias("dst")))
+    return pairs.select(F.inline(both)).filter(F.col("src").isNotNull())
 
 
 def repeat_edges(pairs: DataFrame, a: str, b: str, min_accidents: int = 2) -> DataFrame:
     """Directed edges whose source took part in ``min_accidents`` or more
-    accidents (neighbours of any degree kept), with their multiplicity."""
-    qualifying = degrees(pairs, a, b).filter(F.col("accidents") >= F.lit(min_accidents))
-    e = directed_edges(pairs, a, b)
-    return (e.join(qualifying.select(F.col("person").alias("src")), "src", "left_semi")
-            .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n")))
+    accidents (neighbours of any degree kept), with their multiplicity.
+
+    The pairs are read once: edge multiplicities are one partial/final
+    aggregate, and the source degree is a second aggregate over those
+    counts (the identical exchange is reused by the planner)."""
+    counts = (directed_edges(pairs, a, b).groupBy("src", "dst")
+              .agg(F.count(F.lit(1)).alias("n")))
+    deg = counts.groupBy("src").agg(F.sum("n").alias("accidents"))
+    keep = deg.filter(F.col("accidents") >= F.lit(min_accidents)).select("src")
+    return counts.join(keep, "src", "left_semi").filter(F.col("dst").isNotNull())
 
 
 def simple_edges(pairs: DataFrame, a: str, b: str) -> DataFrame:
