@@ -136,12 +136,16 @@ def codebook_from_groups(descriptors: DataFrame, group: str, dim: int,
                         F.array(*[F.col(f"_m{i}") for i in range(dim)]).alias("centre"))
 
 
-def codebook_matrix(codebook: DataFrame) -> np.ndarray:
-    """Codebook to a dense (k, dim) matrix ordered by centre_id (driver side;
-    the codebook is small by construction and checked before broadcast)."""
-    rows = codebook.select("centre_id", "centre").orderBy("centre_id").collect()
+def codebook_matrix(codebook: DataFrame, lo: int = 0, hi: int | None = None) -> np.ndarray:
+    """Rows lo..hi-1 of the codebook as a dense matrix ordered by centre_id
+    (callers check the size first; only one broadcast-sized block is ever
+    brought to the driver)."""
+    part = codebook.filter(F.col("centre_id") >= lo)
+    if hi is not None:
+        part = part.filter(F.col("centre_id") < hi)
+    rows = part.select("centre_id", "centre").orderBy("centre_id").collect()
     ids = [r[0] for r in rows]
-    if ids != list(range(len(ids))):
+    if ids != list(range(lo, lo + len(ids))):
         raise ValueError("centre_id must be 0..k-1")
     return np.array([r[1] for r in rows], dtype=np.float64)
 
@@ -170,16 +174,17 @@ def assign(descriptors: DataFrame, codebook: DataFrame, descriptor: str = "descr
     descriptor. The codebook matrix is broadcast after a size check; a larger
     codebook is processed in broadcast-sized blocks whose per-block winners
     are merged exactly (smallest distance, then lowest id)."""
-    mat = codebook_matrix(codebook)
+    shape = codebook.agg(F.count(F.lit(1)).alias("k"), F.max(F.size("centre")).alias("dim")).first()
+    k, dim = int(shape["k"]), int(shape["dim"] or 0)
     spark = descriptors.sparkSession
-    rows_per_block = max(1, max_broadcast_bytes // max(1, mat.shape[1] * 8))
-    blocks = [(s, mat[s:s + rows_per_block]) for s in range(0, mat.shape[0], rows_per_block)]
+    rows_per_block = max(1, max_broadcast_bytes // max(1, dim * 8))
+    blocks = [(s, min(s + rows_per_block, k)) for s in range(0, k, rows_per_block)]
     in_schema = descriptors.schema
     out_schema = T.StructType(list(in_schema.fields) + [
         T.StructField("word", T.IntegerType()), T.StructField("dist", T.DoubleType())])
 
-    def one_block(offset: int, block: np.ndarray) -> DataFrame:
-        bc = spark.sparkContext.broadcast(block)
+    def one_block(offset: int, end: int) -> DataFrame:
+        bc = spark.sparkContext.broadcast(codebook_matrix(codebook, offset, end))
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             fn = _nearest(bc.value, offset)

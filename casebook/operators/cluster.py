@@ -10,6 +10,7 @@ components.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 from collections.abc import Sequence
@@ -254,9 +255,9 @@ def agglomerative(points: DataFrame, id_col: str, cols: Sequence[str], k: int,
     pairs = pair_distances(points, id_col, cols, metric, max_points=max_points)
     live = cut_lineage(pairs.select("a", "b", F.col("dist").alias("s"),
                                     F.lit(1).cast("long").alias("na"), F.lit(1).cast("long").alias("nb")))
-    merges = None
+    merges: list[DataFrame] = []
     for _ in range(max_rounds):
-        if live.limit(1).count() == 0:
+        if live.isEmpty():
             break
         cand = live.withColumn("d", F.col("s") / (F.col("na") * F.col("nb")))
         both = (cand.select(F.col("a").alias("x"), F.col("b").alias("y"), "d", "a", "b")
@@ -268,7 +269,7 @@ def agglomerative(points: DataFrame, id_col: str, cols: Sequence[str], k: int,
                   .filter(F.col("l.x") < F.col("l.y"))
                   .select(F.col("l.x").alias("a"), F.col("l.y").alias("b"), F.col("l.d").alias("height")))
         mutual = cut_lineage(mutual)
-        merges = mutual if merges is None else cut_lineage(merges.unionByName(mutual))
+        merges.append(mutual)
         # relabel: b is absorbed into a
         ren = mutual.select(F.col("b").alias("old"), F.col("a").alias("new"))
         def relabel(frame, c):
@@ -287,6 +288,8 @@ def agglomerative(points: DataFrame, id_col: str, cols: Sequence[str], k: int,
         live = cut_lineage(live)
     else:
         raise RuntimeError("agglomerative clustering did not finish")
+    merges = functools.reduce(DataFrame.unionByName, merges) if merges else \
+        points.sparkSession.createDataFrame([], "a long, b long, height double")
     ids = points.select(F.col(id_col).alias("id"))
     n = ids.count()
     # the n-k lowest merges define the k-cluster cut

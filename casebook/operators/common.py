@@ -52,10 +52,11 @@ def connected_components(edges: DataFrame, vertices: DataFrame | None = None,
     per-vertex minimum plus a join back; lineage is cut every round.
     ``vertices`` (column ``vid``) adds isolated vertices as their own component."""
     e = cut_lineage(_norm(edges.select(F.col(src).alias("a"), F.col(dst).alias("b"))))
+    n_e = e.count()
     for _ in range(max_rounds):
         # large star: every neighbour larger than u links to min(N(u) + u)
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        mn = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        mn = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = _norm(both.filter(F.col("b") > F.col("a")).join(mn, "a")
                       .select(F.col("b").alias("a"), F.col("m").alias("b")))
         # small star: u and its smaller neighbours link to min(N_le(u) + u)
@@ -64,9 +65,11 @@ def connected_components(edges: DataFrame, vertices: DataFrame | None = None,
         small = _norm(down.join(mn2, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
                       .unionByName(mn2.select(F.col("u").alias("a"), F.col("m").alias("b"))))
         small = cut_lineage(small)
-        changed = small.exceptAll(e).limit(1).count() + e.exceptAll(small).limit(1).count()
-        e = small
-        if changed == 0:
+        # both are sets: equal sizes and small within e means no change
+        n_small = small.count()
+        same = n_small == n_e and small.exceptAll(e).limit(1).count() == 0
+        e, n_e = small, n_small
+        if same:
             break
     else:
         raise RuntimeError("connected components did not converge")

@@ -82,16 +82,19 @@ def maxabs_scale(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None =
 # ------------------------------------------------------------------ one-hot
 def categories(df: DataFrame, cols: Sequence[str], max_categories: int = 10000) -> dict[str, list]:
     """Sorted distinct non-null values per column (one shuffle for all).
-    Raises when a column has more values than ``max_categories``: the values
-    become column names, so the list must stay small enough for a schema."""
-    rows = (profile.distinct_values(df, cols).filter(F.col("value").isNotNull())
-            .groupBy("column").agg(F.count(F.lit(1)).alias("k"),
-                                   F.array_sort(F.collect_list("value")).alias("values")))
-    too_big = rows.filter(F.col("k") > max_categories).select("column").collect()
+
+    The per-column counts are checked before any value list is built: the
+    values become column names, so more than ``max_categories`` raises (use
+    ``StringIndexer`` + ``OneHotEncoder`` vectors for such columns)."""
+    vals = (profile.distinct_values(df, cols).filter(F.col("value").isNotNull())
+            .select("column", "value"))
+    sizes = {r["column"]: r["k"] for r in
+             vals.groupBy("column").agg(F.count(F.lit(1)).alias("k")).collect()}
+    too_big = sorted(c for c, k in sizes.items() if k > max_categories)
     if too_big:
-        raise ValueError(f"too many categories for named one-hot columns: "
-                         f"{[r[0] for r in too_big]}; use encode.index_and_encode")
-    found = {r["column"]: list(r["values"]) for r in rows.collect()}
+        raise ValueError(f"too many categories for named one-hot columns: {too_big}")
+    found = {r["column"]: list(r["values"]) for r in
+             vals.groupBy("column").agg(F.array_sort(F.collect_list("value")).alias("values")).collect()}
     return {c: found.get(c, []) for c in cols}
 
 
