@@ -26,6 +26,11 @@ def endpoints(pairs: DataFrame, a: str, b: str) -> DataFrame:
             .filter(F.col("person").isNotNull()))
 
 
+def edges_from_adjacency(adj: DataFrame, vertex: str, neighbours: str) -> DataFrame:
+    """Adjacency lists (vertex, array of neighbours) -> directed edge rows."""
+    return adj.select(F.col(vertex).alias("src"), F.explode(neighbours).alias("dst"))
+
+
 def degrees(pairs: DataFrame, a: str, b: str) -> DataFrame:
     """Accidents per person in the multigraph (a self-pair counts twice)."""
     return endpoints(pairs, a, b).groupBy("person").agg(F.count(F.lit(1)).alias("accidents"))

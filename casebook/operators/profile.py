@@ -63,6 +63,15 @@ def drop_null_columns(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return df.select(*[c for c in df.columns if c in keep or not row[c]])
 
 
+def drop_constant_columns(df: DataFrame, cols: Sequence[str] | None = None,
+                          keep: Sequence[str] = ()) -> DataFrame:
+    """Drop numeric columns whose values are all equal (variance 0), judged
+    by max == min in one aggregate pass so rounding cannot keep them."""
+    cols = [c for c in (cols or numeric_columns(df)) if c not in keep]
+    row = df.agg(*[(F.max(c) == F.min(c)).alias(c) for c in cols]).first()
+    return df.drop(*[c for c in cols if row[c]])
+
+
 def modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Most frequent non-null value per column, ties to the smallest value.
     Counting is a shuffle on (column, value) with map-side combine; the pick

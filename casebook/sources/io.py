@@ -84,6 +84,12 @@ def read_images(spark: SparkSession, path: str, glob: str = "*.jpg",
     return out
 
 
+def read_query_image(spark: SparkSession, path: str) -> DataFrame:
+    """One image file as a one-row decoded-image DataFrame."""
+    import os
+    return read_images(spark, path, glob=os.path.basename(path) or "*")
+
+
 def read_image_files(spark: SparkSession, path: str, glob: str = "*.jpg") -> DataFrame:
     """Raw files: image (file name), content bytes (no decoding)."""
     df = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)

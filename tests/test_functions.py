@@ -98,3 +98,16 @@ def test_hash_split_is_partition_invariant(spark):
     a = {r["k"] for r in prep.hash_split(df.repartition(1), "k").filter("is_valid").collect()}
     b = {r["k"] for r in prep.hash_split(df.repartition(13), "k").filter("is_valid").collect()}
     assert a == b and 300 < len(a) < 500
+
+
+def test_messages_and_constant_drop(spark):
+    from casebook.operators import graph, profile
+    df = spark.createDataFrame([("/index", 1)] * 3 + [("/test", 0)] * 2, "type string, f int")
+    msg = stats.share_messages(stats.share_interval(df, "type", "f"), "type").orderBy("type").first()
+    assert msg["message"].startswith("share of /index requests from mobile gadgets is 1.000")
+    zt = stats.ztest_messages(stats.two_share_ztest(df, "type", "f", "/index")).first()["message"]
+    assert "is false" in zt or "is true" in zt
+    wide = spark.createDataFrame([(1, 5, 1.0), (2, 5, 2.0)], "id long, c int, x double")
+    assert profile.drop_constant_columns(wide, keep=["id"]).columns == ["id", "x"]
+    adj = spark.createDataFrame([("A", ["B", "C"])], "v string, n array<string>")
+    assert graph.edges_from_adjacency(adj, "v", "n").count() == 2
