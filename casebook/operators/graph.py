@@ -70,12 +70,14 @@ def simple_edges(pairs: DataFrame, a: str, b: str) -> DataFrame:
             .distinct())
 
 
-def two_core(edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
-    """Peel vertices of degree < 2 until none is left (no cycle passes them)."""
+def peel(edges: DataFrame, rounds: int = 3) -> DataFrame:
+    """Remove vertices of degree < 2 for a few rounds (no cycle passes
+    them). Only a pruning step: correctness does not depend on reaching the
+    full 2-core, so long tails never cost one round per vertex."""
     e = cut_lineage(edges)
     n = e.count()
-    for _ in range(max_rounds):
-        deg = (e.select(F.col("u").alias("x")).unionAll(e.select(F.col("v").alias("x")))
+    for _ in range(rounds):
+        deg = (e.select(F.explode(F.array("u", "v")).alias("x"))
                .groupBy("x").agg(F.count(F.lit(1)).alias("d")))
         keep = deg.filter(F.col("d") >= 2).select("x")
         nxt = (e.join(keep.withColumnRenamed("x", "u"), "u", "left_semi")
@@ -83,22 +85,22 @@ def two_core(edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
         nxt = cut_lineage(nxt)
         m = nxt.count()
         if m == n:
-            return nxt
+            break
         e, n = nxt, m
-    raise RuntimeError("2-core peeling did not converge")
+    return e
 
 
 def _half_paths(adj: DataFrame, length: int, cache: dict) -> DataFrame:
-    """Paths s, x1..x_length with every x_i > s and all distinct."""
+    """Paths s, x1..x_length, all distinct, every x_i ranked below s."""
     if length in cache:
         return cache[length]
     if length == 1:
-        p = adj.filter(F.col("v") > F.col("u")).select(
+        p = adj.filter(F.col("v") < F.col("u")).select(
             F.col("u").alias("s"), F.array("u", "v").alias("path"), F.col("v").alias("end"))
     else:
         prev = _half_paths(adj, length - 1, cache)
         p = (prev.join(adj.withColumnRenamed("u", "end"), "end")
-             .filter((F.col("v") > F.col("s")) & ~F.array_contains("path", F.col("v")))
+             .filter((F.col("v") < F.col("s")) & ~F.array_contains("path", F.col("v")))
              .select("s", F.concat("path", F.array("v")).alias("path"), F.col("v").alias("end")))
     p = cut_lineage(p)
     cache[length] = p
@@ -111,12 +113,25 @@ def simple_cycles(pairs: DataFrame, a: str, b: str, max_len: int = 4,
     persons. Returns (group, size, members) where ``members`` is the sorted
     names joined by ', ', numbered 1.. by (size, members).
 
+    Vertices are ranked by (degree, id); a cycle is built once, from its
+    highest-ranked vertex, in one orientation, from two half paths through
+    lower-ranked vertices that meet at the opposite vertex. A hub (a person in
+    a large share of all accidents) therefore only starts paths and is never
+    the middle of a quadratic number of them.
+
     ``max_len`` is the longest cycle searched; it is part of the question
     (the count of cycles grows exponentially with their length)."""
     if min_len < 3 or max_len < min_len:
         raise ValueError("need 3 <= min_len <= max_len")
-    core = two_core(simple_edges(pairs, a, b))
-    adj = core.unionAll(core.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    core = peel(simple_edges(pairs, a, b))
+    both = core.select(F.inline(F.array(F.struct(F.col("u").alias("u"), F.col("v").alias("v")),
+                                        F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
+    deg = both.groupBy("u").agg(F.count(F.lit(1)).alias("d"))
+    key = F.struct(F.col("d"), F.col("id"))
+    ranked = deg.select(F.col("u").alias("id"), key.alias("k"))
+    adj = (both.join(ranked.withColumnRenamed("id", "u").withColumnRenamed("k", "ku"), "u")
+           .join(ranked.withColumnRenamed("id", "v").withColumnRenamed("k", "kv"), "v")
+           .select(F.col("ku").alias("u"), F.col("kv").alias("v")))
     adj = cut_lineage(adj)
     cache: dict = {}
     found = None
@@ -131,7 +146,7 @@ def simple_cycles(pairs: DataFrame, a: str, b: str, max_len: int = 4,
             inner_a, inner_b = F.slice("pa", 2, h1 - 1), F.slice("pb", 2, h2 - 1)
             cyc = cyc.filter(~F.arrays_overlap(inner_a, inner_b))
             members = F.concat("pa", inner_b)
-        cyc = cyc.select(F.array_sort(F.transform(members, lambda x: x.cast("string")))
+        cyc = cyc.select(F.array_sort(F.transform(members, lambda x: x["id"].cast("string")))
                          .alias("members"))
         found = cyc if found is None else found.unionAll(cyc)
     groups = found.distinct().select(F.size("members").alias("size"),
