@@ -214,28 +214,27 @@ def kmeans(df: DataFrame, cols: Sequence[str], k: int = 4, max_iter: int = 50,
 
 # ------------------------------------------------------------ agglomerative
 def pair_distances(points: DataFrame, id_col: str, cols: Sequence[str],
-                   metric: str = "manhattan", blocks: int = 8,
+                   metric: str = "manhattan", blocks: int = 16,
                    max_points: int = 50_000) -> DataFrame:
     """All pairwise distances (a < b) of a bounded point set.
 
     Average linkage needs every pairwise distance, so the point count is
-    checked first. The n^2/2 work is spread evenly: points are dealt into
-    ``blocks`` hash blocks and each block pair is one join key."""
+    checked first. The n^2/2 work is spread evenly over blocks*(blocks+1)/2
+    tasks: a point of hash block i is the row side of block pairs (i, j>=i)
+    and the column side of block pairs (j<=i, i); each pair of points meets
+    under exactly one block-pair key."""
     n = points.count()
     if n > max_points:
         raise ValueError(f"{n} points exceed max_points={max_points} for all-pairs linkage")
     arr = F.array(*[F.col(c).cast("double") for c in cols])
     p = points.select(F.col(id_col).alias("id"), arr.alias("x"),
-                      F.pmod(F.xxhash64(id_col), F.lit(blocks)).alias("blk"))
-    bl = F.array(*[F.lit(i) for i in range(blocks)])
-    left = p.select(F.col("id").alias("a"), F.col("x").alias("xa"),
-                    F.explode(bl).alias("other"), F.col("blk").alias("mine"))
-    left = left.filter(F.col("mine") <= F.col("other")).select(
-        "a", "xa", F.col("mine").alias("b1"), F.col("other").alias("b2"))
-    right = p.select(F.col("id").alias("b"), F.col("x").alias("xb"), F.col("blk").alias("b2"))
-    # a pair appears once: from its (lower block, higher block) key, or
-    # inside one block with a < b
-    pairs = left.join(right, "b2").filter((F.col("b1") < F.col("b2")) | (F.col("a") < F.col("b")))
+                      F.pmod(F.xxhash64(id_col), F.lit(blocks)).cast("int").alias("blk"))
+    others = F.sequence(F.lit(0), F.lit(blocks - 1))
+    rows = p.select(F.col("id").alias("a"), F.col("x").alias("xa"), F.col("blk").alias("bx"),
+                    F.explode(F.filter(others, lambda j: j >= F.col("blk"))).alias("by"))
+    cols_ = p.select(F.col("id").alias("b"), F.col("x").alias("xb"), F.col("blk").alias("by"),
+                     F.explode(F.filter(others, lambda j: j <= F.col("blk"))).alias("bx"))
+    pairs = rows.join(cols_, ["bx", "by"]).filter((F.col("bx") < F.col("by")) | (F.col("a") < F.col("b")))
     dist = X.manhattan("xa", "xb") if metric == "manhattan" else X.euclidean("xa", "xb")
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
                         dist.alias("dist"))

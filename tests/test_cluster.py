@@ -104,3 +104,11 @@ def test_dbscan_hot_spot_refinement(spark):
     rows = cluster.dbscan(df, "id", ["x", "y"], eps=0.03, min_samples=4, brute_limit=4).collect()
     assert {r["id"]: r["cluster"] for r in rows} == expected
     assert {r["id"] for r in rows if r["is_core"]} == core
+
+
+def test_pair_distances_each_pair_once(spark):
+    rnd = random.Random(2)
+    df = spark.createDataFrame([(i, rnd.random(), rnd.random()) for i in range(60)], "id long, x double, y double")
+    rows = cluster.pair_distances(df, "id", ["x", "y"], blocks=5).collect()
+    keys = [(r["a"], r["b"]) for r in rows]
+    assert len(keys) == len(set(keys)) == 60 * 59 // 2 and all(a < b for a, b in keys)
