@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from casebook.functions import exprs as X
 from casebook.operators.common import connected_components, ordered_index
-from casebook.session import cut_lineage
+from casebook.session import cut_lineage, reuse
 
 
 # ------------------------------------------------------------------ DBSCAN
@@ -90,7 +90,7 @@ def _link_cells(core: DataFrame, cols, eps: float, side: float, shifted,
         pairs = pairs.filter(_box_gap(cols, far=False) <= F.lit(eps))
         if done is not None:
             pairs = pairs.join(done, ["na", "nb"], "left_anti")
-        pairs = cut_lineage(pairs.withColumn("_sure", _box_gap(cols, far=True) <= F.lit(eps)))
+        pairs = reuse(pairs.withColumn("_sure", _box_gap(cols, far=True) <= F.lit(eps)))
         sure = pairs.filter("_sure").select("na", "nb")
         last = level == max_levels
         work = F.col("cnt_a") * F.col("cnt_b")
@@ -102,7 +102,7 @@ def _link_cells(core: DataFrame, cols, eps: float, side: float, shifted,
         dist = F.sqrt(sum(((F.col(f"pa_{c}") - F.col(f"pb_{c}")) ** 2 for c in cols), F.lit(0.0)))
         brute = (small.select("na", "nb", "ca", "ka", "cb", "kb").join(pa, ["ca", "ka"]).join(pb, ["cb", "kb"])
                  .filter(dist <= F.lit(eps)).select("na", "nb"))
-        new = cut_lineage(sure.unionAll(brute).distinct())
+        new = reuse(sure.unionAll(brute).distinct())
         found.append(new)
         done = new if done is None else cut_lineage(done.unionAll(new).distinct())
         rest = (pairs.filter(~F.col("_sure") & (work > F.lit(brute_limit)))
@@ -139,7 +139,7 @@ def dbscan(df: DataFrame, id_col: str, cols: Sequence[str], eps: float,
     side = eps / math.sqrt(d)
     pts = df.select(F.col(id_col).alias("id"), *[F.col(c).cast("double").alias(c) for c in cols])
     pts = pts.withColumn("cell", F.array(*[F.floor(F.col(c) / F.lit(side)) for c in cols]))
-    pts = cut_lineage(pts)
+    pts = reuse(pts)
     n_cell = pts.groupBy("cell").agg(F.count(F.lit(1)).alias("n_cell"),
                                      F.min("id").alias("cell_min"))
     pts = pts.join(n_cell, "cell")
@@ -156,12 +156,12 @@ def dbscan(df: DataFrame, id_col: str, cols: Sequence[str], eps: float,
     other = pts.select(F.col("id").alias("nid"), F.col("cell").alias("ncell"), *cols).alias("q")
     near = (probe.join(other, "ncell").filter(_dist("p", "q", cols) <= F.lit(eps))
                  .select(F.col("p.id").alias("id"), F.col("nid")))
-    near = cut_lineage(near)
+    near = reuse(near)
     cnt = near.groupBy("id").agg(F.count(F.lit(1)).alias("n_near"))
     pts = (pts.join(cnt, "id", "left")
            .withColumn("is_core", (F.col("n_cell") + F.coalesce("n_near", F.lit(0)))
                        >= F.lit(min_samples)))
-    pts = cut_lineage(pts)
+    pts = reuse(pts)
     core = pts.filter("is_core")
 
     # one node per cell that has a core point: its smallest core id
@@ -250,46 +250,47 @@ def agglomerative(points: DataFrame, id_col: str, cols: Sequence[str], k: int,
     merging one pair at a time). The pair table keeps S = sum of member
     distances; linkage = S / (|A| |B|). Ties break on (dist, a, b), so the
     least pair is always mutual and every round merges at least one pair.
-    Returns (labels (id, cluster), merges (a, b, height))."""
+
+    Per-cluster tables (sizes, nearest neighbours, renames) have at most
+    ``max_points`` rows, a bound checked up front, so they are broadcast: the
+    pair table is relabelled in place and only the merge of combined pairs
+    shuffles. Returns (labels (id, cluster), merges (a, b, height))."""
     pairs = pair_distances(points, id_col, cols, metric, max_points=max_points)
-    live = cut_lineage(pairs.select("a", "b", F.col("dist").alias("s"),
-                                    F.lit(1).cast("long").alias("na"), F.lit(1).cast("long").alias("nb")))
+    live = cut_lineage(pairs.select("a", "b", F.col("dist").alias("s")))
+    ids = points.select(F.col(id_col).alias("id"))
+    sizes = cut_lineage(ids.select(F.col("id").alias("c"), F.lit(1).cast("long").alias("n")))
     merges: list[DataFrame] = []
     for _ in range(max_rounds):
         if live.isEmpty():
             break
-        cand = live.withColumn("d", F.col("s") / (F.col("na") * F.col("nb")))
-        both = (cand.select(F.col("a").alias("x"), F.col("b").alias("y"), "d", "a", "b")
-                .unionByName(cand.select(F.col("b").alias("x"), F.col("a").alias("y"), "d", "a", "b")))
-        nn = both.groupBy("x").agg(F.min_by(F.struct("y", "d"), F.struct("d", "a", "b")).alias("m"))
-        nn = nn.select("x", F.col("m.y").alias("y"), F.col("m.d").alias("d"))
-        mutual = (nn.alias("l").join(nn.alias("r"), (F.col("l.x") == F.col("r.y")) &
-                                     (F.col("l.y") == F.col("r.x")))
-                  .filter(F.col("l.x") < F.col("l.y"))
-                  .select(F.col("l.x").alias("a"), F.col("l.y").alias("b"), F.col("l.d").alias("height")))
-        mutual = cut_lineage(mutual)
+        sa = F.broadcast(sizes.select(F.col("c").alias("a"), F.col("n").alias("na")))
+        sb = F.broadcast(sizes.select(F.col("c").alias("b"), F.col("n").alias("nb")))
+        cand = live.join(sa, "a").join(sb, "b").withColumn("d", F.col("s") / (F.col("na") * F.col("nb")))
+        both = cand.select(F.inline(F.array(
+            F.struct(F.col("a").alias("x"), F.col("b").alias("y"), "d", "a", "b"),
+            F.struct(F.col("b").alias("x"), F.col("a").alias("y"), "d", "a", "b"))))
+        nn = (both.groupBy("x").agg(F.min_by(F.struct("y", "d"), F.struct("d", "a", "b")).alias("m"))
+              .select("x", F.col("m.y").alias("y"), F.col("m.d").alias("d")))
+        nn = reuse(nn)
+        back = F.broadcast(nn.select(F.col("x").alias("y"), F.col("y").alias("x")))
+        mutual = (nn.join(back, ["x", "y"]).filter(F.col("x") < F.col("y"))
+                  .select(F.col("x").alias("a"), F.col("y").alias("b"), F.col("d").alias("height")))
+        mutual = reuse(mutual)
         merges.append(mutual)
-        # relabel: b is absorbed into a
-        ren = mutual.select(F.col("b").alias("old"), F.col("a").alias("new"))
+        ren = F.broadcast(mutual.select(F.col("b").alias("old"), F.col("a").alias("new")))
+
         def relabel(frame, c):
             return (frame.join(ren.withColumnRenamed("old", c), c, "left")
                     .withColumn(c, F.coalesce("new", F.col(c))).drop("new"))
-        size_a = live.select(F.col("a").alias("id"), F.col("na").alias("n"))
-        size_b = live.select(F.col("b").alias("id"), F.col("nb").alias("n"))
-        sizes = size_a.unionByName(size_b).groupBy("id").agg(F.first("n").alias("n"))
-        sizes = relabel(sizes.withColumnRenamed("id", "c"), "c").groupBy("c").agg(F.sum("n").alias("n"))
-        moved = relabel(relabel(live.select("a", "b", "s"), "a"), "b").filter(F.col("a") != F.col("b"))
-        moved = moved.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "s")
-        agg = moved.groupBy("a", "b").agg(F.sum("s").alias("s"))
-        live = (agg.join(sizes.select(F.col("c").alias("a"), F.col("n").alias("na")), "a")
-                .join(sizes.select(F.col("c").alias("b"), F.col("n").alias("nb")), "b")
-                .select("a", "b", "s", "na", "nb"))
+        moved = relabel(relabel(live, "a"), "b").filter(F.col("a") != F.col("b"))
+        live = (moved.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "s")
+                .groupBy("a", "b").agg(F.sum("s").alias("s")))
         live = cut_lineage(live)
+        sizes = cut_lineage(relabel(sizes, "c").groupBy("c").agg(F.sum("n").alias("n")))
     else:
         raise RuntimeError("agglomerative clustering did not finish")
     merges = functools.reduce(DataFrame.unionByName, merges) if merges else \
         points.sparkSession.createDataFrame([], "a long, b long, height double")
-    ids = points.select(F.col(id_col).alias("id"))
     n = ids.count()
     # the n-k lowest merges define the k-cluster cut
     chosen = ordered_index(merges, ["height", "a", "b"], name="_step").filter(F.col("_step") <= n - k)

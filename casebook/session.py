@@ -1,7 +1,7 @@
 """Session helpers: a local session for tests/bench and lineage cutting.
 
-Lineage is cut with ``DataFrame.checkpoint()`` into the shared folder named
-by ``spark.checkpoint.dir``. On a cluster that setting must be present; a
+Lineage is cut by writing a table into the shared folder named by
+``spark.checkpoint.dir``. On a cluster that setting must be present; a
 private temporary folder is created only for local masters (tests, bench).
 """
 
@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,6 +62,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: materialise ``df`` in the shared checkpoint folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as a parquet table in the shared checkpoint folder
+    and read it back: the lineage ends there, and the planner sees the real
+    size of the data. (A ``checkpoint()`` keeps the estimated statistics of
+    the plan it came from; in iterative joins those estimates multiply round
+    after round until planning itself stalls.)"""
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/casebook-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
+
+
+def reuse(df: DataFrame) -> DataFrame:
+    """Cache a frame that is read several times within one step (not carried
+    across iterations, so its lineage stays short); it is computed once and
+    recomputed from that short lineage if an executor is lost."""
+    from pyspark import StorageLevel
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
