@@ -358,7 +358,7 @@ scored AS (SELECT image,
                   round(list_sum(list_transform(range(1, {_K_ORACLE} + 1),
                         lambda i: (hist[i] - qh[i]) * (hist[i] - qh[i]) / (hist[i] + qh[i] + 1e-10))), 6) AS distance
            FROM hist, q)
-SELECT CAST(0 AS BIGINT) AS query, image, distance, rank FROM (
+SELECT CAST(0 AS BIGINT) AS query, image, distance, CAST(rank AS INTEGER) AS rank FROM (
   SELECT image, distance, row_number() OVER (ORDER BY distance, image) AS rank FROM scored) t
 WHERE rank <= 20
 """)
