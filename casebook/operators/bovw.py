@@ -126,14 +126,16 @@ def train_codebook(descriptors: DataFrame, k: int, max_iter: int = 10, restarts:
 
 def codebook_from_groups(descriptors: DataFrame, group: str, dim: int,
                          descriptor: str = "descriptor") -> DataFrame:
-    """Centroid of every group of descriptors as a codebook (centre_id by
-    group order). One partial/final aggregate; ``dim`` averages per group."""
+    """Centroid of every group of descriptors as a codebook (centre_id = rank
+    of the group value, from 0). One partial/final aggregate; ``dim``
+    averages per group; numbering by the distributed ordered index."""
+    from casebook.operators.common import ordered_index
+
     means = descriptors.groupBy(group).agg(
         *[F.avg(F.col(descriptor)[i].cast("double")).alias(f"_m{i}") for i in range(dim)])
-    w = Window.orderBy(group)  # k rows after aggregation
-    return means.select((F.row_number().over(w) - 1).cast("int").alias("centre_id"),
-                        F.col(group),
-                        F.array(*[F.col(f"_m{i}") for i in range(dim)]).alias("centre"))
+    numbered = ordered_index(means, [group], name="centre_id", start=0)
+    return numbered.select(F.col("centre_id").cast("int"), F.col(group),
+                           F.array(*[F.col(f"_m{i}") for i in range(dim)]).alias("centre"))
 
 
 def codebook_matrix(codebook: DataFrame, lo: int = 0, hi: int | None = None) -> np.ndarray:

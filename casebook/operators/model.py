@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casebook.functions import exprs as X
@@ -69,11 +69,15 @@ def score_multilabel(models: list, df: DataFrame, id_col: str, features: str,
 # ------------------------------------------------------------------ log-loss
 def log_loss_by_class(df: DataFrame, class_col: str, y: str, p: str,
                       eps: float = X.LOG_LOSS_EPS, digits: int | None = 6) -> DataFrame:
-    """Per class: rows, summed element log-loss; plus the mean over classes
-    (computed over the aggregated rows, one per class)."""
-    per = df.groupBy(class_col).agg(F.count(F.lit(1)).alias("n"),
-                                    F.sum(X.log_loss(F.col(y).cast("double"), F.col(p), eps)).alias("loss"))
-    out = per.withColumn("mean_loss", F.avg("loss").over(Window.partitionBy()))
+    """Per class: rows and summed element log-loss, plus the mean over
+    classes. The mean is one aggregated row brought back as a literal."""
+    from casebook.session import reuse
+
+    per = reuse(df.groupBy(class_col).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(X.log_loss(F.col(y).cast("double"), F.col(p), eps)).alias("loss")))
+    mean = per.agg(F.avg("loss")).first()[0]
+    out = per.withColumn("mean_loss", F.lit(mean).cast("double"))
     if digits is not None:
         out = out.withColumn("loss", F.round("loss", digits)).withColumn(
             "mean_loss", F.round("mean_loss", digits))
@@ -82,14 +86,16 @@ def log_loss_by_class(df: DataFrame, class_col: str, y: str, p: str,
 
 def log_loss_wide(df: DataFrame, labels: Sequence[str], probs: Sequence[str],
                   eps: float = X.LOG_LOSS_EPS) -> DataFrame:
-    """Wide labels/probabilities -> (class, loss) rows and their mean, in one
-    aggregate pass over the data."""
+    """Wide labels/probabilities -> (class, loss) rows and their mean, from
+    one aggregate pass (a single row holding every class sum)."""
     aggs = [F.sum(X.log_loss(F.col(l).cast("double"), F.col(p), eps)).alias(f"c{i}")
             for i, (l, p) in enumerate(zip(labels, probs))]
-    one = df.agg(*aggs)
-    long = one.unpivot([], [f"c{i}" for i in range(len(aggs))], "class", "loss")
-    return long.withColumn("class", F.expr("cast(substring(class, 2) as int)")).withColumn(
-        "mean_loss", F.avg("loss").over(Window.partitionBy()))
+    row = df.agg(*aggs).first()
+    losses = [float(row[f"c{i}"]) for i in range(len(aggs))]
+    mean = sum(losses) / len(losses) if losses else None
+    spark = df.sparkSession
+    return spark.createDataFrame([(i, v, mean) for i, v in enumerate(losses)],
+                                 "class int, loss double, mean_loss double")
 
 
 # ----------------------------------------------------------- classification

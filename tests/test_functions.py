@@ -111,3 +111,14 @@ def test_messages_and_constant_drop(spark):
     assert profile.drop_constant_columns(wide, keep=["id"]).columns == ["id", "x"]
     adj = spark.createDataFrame([("A", ["B", "C"])], "v string, n array<string>")
     assert graph.edges_from_adjacency(adj, "v", "n").count() == 2
+
+
+def test_first_wins_dedup_partition_invariant(spark):
+    from pyspark.sql import functions as F
+    base = spark.range(3000).select((F.col("id") % 1000).alias("id"), F.col("id").alias("x"))
+    train, test = base.filter("x < 1500"), base.filter("x >= 1200")
+    def run(n):
+        out = prep.union_first_wins([("train", train.repartition(n)), ("test", test.repartition(n))],
+                                    "id", tie=["x"])
+        return sorted(tuple(r) for r in out.collect())
+    assert run(1) == run(4) == run(32)
