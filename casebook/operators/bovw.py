@@ -186,13 +186,19 @@ def assign(descriptors: DataFrame, codebook: DataFrame, descriptor: str = "descr
         T.StructField("word", T.IntegerType()), T.StructField("dist", T.DoubleType())])
 
     def one_block(offset: int, end: int) -> DataFrame:
-        bc = spark.sparkContext.broadcast(codebook_matrix(codebook, offset, end))
+        mat = codebook_matrix(codebook, offset, end)
+        try:
+            holder = spark.sparkContext.broadcast(mat)   # shipped once per executor
+            get = lambda: holder.value
+        except Exception:  # noqa: BLE001 - Spark Connect: ship with the function
+            get = lambda: mat
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            fn = _nearest(bc.value, offset)
+            block = get()
+            fn = _nearest(block, offset)
             for pdf in batches:
                 x = np.array([np.asarray(v, dtype=np.float64) for v in pdf[descriptor]]) \
-                    if len(pdf) else np.zeros((0, bc.value.shape[1]))
+                    if len(pdf) else np.zeros((0, block.shape[1]))
                 w, d = fn(x.reshape(len(pdf), -1))
                 yield pdf.assign(word=w.astype(np.int32), dist=d)
         return descriptors.mapInPandas(run, out_schema)

@@ -36,27 +36,39 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder, registering it with the context.
+    """Return the shared folder for lineage cuts.
 
     Reads ``spark.checkpoint.dir`` from the session. Only when it is unset
-    and the master is local (tests, bench) a private folder is made.
-    """
-    sc = spark.sparkContext
-    current = sc._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    and the master is local (tests, bench) a private folder is made."""
+    sc = _context(spark)
+    if sc is not None:
+        current = sc._jsc.sc().getCheckpointDir()
+        if current.isDefined():
+            return current.get()
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
+        master = sc.master
+    else:
+        configured, master = None, spark.conf.get("spark.master", "local")
     if not configured:
         try:
             configured = spark.conf.get("spark.checkpoint.dir")
         except Exception:  # noqa: BLE001 - unset key
             configured = None
     if not configured:
-        if not sc.master.startswith("local"):
+        if not master.startswith("local"):
             raise RuntimeError(
                 "spark.checkpoint.dir must name a shared folder on a cluster")
         configured = tempfile.mkdtemp(prefix="casebook-ckpt-")
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc._jsc.sc().getCheckpointDir().get()
 

@@ -116,3 +116,19 @@ def test_codebook_and_index_csv_round_trip(spark, tmp_dir):
         f.write("a,1,2\nb,3,4\na,5,6\n")
     got = {r["image"]: list(r["hist"]) for r in io.read_index_csv(spark, path).collect()}
     assert got == {"a": [5.0, 6.0], "b": [3.0, 4.0]}
+
+
+def test_index_csv_and_model_round_trip(spark, tmp_dir):
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+    idx = spark.createDataFrame([("a", [1.0, 2.0]), ("b", [0.0, 3.5])], "image string, hist array<double>")
+    io.write_index_csv(idx, os.path.join(tmp_dir, "idx"))
+    back = {r["image"]: list(r["hist"]) for r in io.read_index_csv(spark, os.path.join(tmp_dir, "idx")).collect()}
+    assert back == {"a": [1.0, 2.0], "b": [0.0, 3.5]}
+    pts = spark.createDataFrame([([0.0, 0.0],), ([0.1, 0.0],), ([5.0, 5.0],), ([5.1, 5.0],)], "v array<double>")
+    model = KMeans(k=2, seed=1, featuresCol="f").fit(pts.select(array_to_vector("v").alias("f")))
+    io.save_model(model, os.path.join(tmp_dir, "km"))
+    cb = io.load_kmeans_centres(spark, os.path.join(tmp_dir, "km"))
+    assert cb.count() == 2 and len(cb.first()["centre"]) == 2
+    io.register_view(cb, "codebook_view")
+    assert spark.sql("select count(*) from codebook_view").first()[0] == 2
