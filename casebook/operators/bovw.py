@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casebook.functions import exprs as X
+from casebook.session import ship_package
 
 # Above this many codebook bytes a single broadcast is not used; the codebook
 # is split into blocks and the per-block nearest centres are merged.
@@ -65,6 +66,7 @@ def describe_images(images: DataFrame, describe: Callable[[np.ndarray], np.ndarr
 
     schema = T.StructType([T.StructField(image, T.StringType()),
                            T.StructField("features", T.ArrayType(T.ArrayType(T.DoubleType())))])
+    ship_package(images.sparkSession)
     return images.select(image, "height", "width", "n_channels", "data").mapInPandas(run, schema)
 
 
@@ -179,6 +181,7 @@ def assign(descriptors: DataFrame, codebook: DataFrame, descriptor: str = "descr
     shape = codebook.agg(F.count(F.lit(1)).alias("k"), F.max(F.size("centre")).alias("dim")).first()
     k, dim = int(shape["k"]), int(shape["dim"] or 0)
     spark = descriptors.sparkSession
+    ship_package(spark)
     rows_per_block = max(1, max_broadcast_bytes // max(1, dim * 8))
     blocks = [(s, min(s + rows_per_block, k)) for s in range(0, k, rows_per_block)]
     in_schema = descriptors.schema

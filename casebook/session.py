@@ -92,3 +92,31 @@ def reuse(df: DataFrame) -> DataFrame:
     recomputed from that short lineage if an executor is lost."""
     from pyspark import StorageLevel
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``casebook`` importable in Python workers (the functions run by
+    ``mapInPandas`` refer to it): zip the package once and add it with
+    ``addPyFile``, as one ships a library to a cluster. Without a
+    SparkContext (Spark Connect) the package is pickled by value instead."""
+    import shutil
+
+    import casebook
+
+    sc = _context(spark)
+    if sc is None:
+        from pyspark import cloudpickle
+        cloudpickle.register_pickle_by_value(casebook)
+        return
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(casebook.__file__))
+    out = tempfile.mkdtemp(prefix="casebook-pkg-")
+    archive = shutil.make_archive(os.path.join(out, "casebook"), "zip",
+                                  root_dir=os.path.dirname(pkg_dir), base_dir="casebook")
+    sc.addPyFile(archive)
+    _SHIPPED.add(key)
