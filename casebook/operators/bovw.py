@@ -126,18 +126,28 @@ def train_codebook(descriptors: DataFrame, k: int, max_iter: int = 10, restarts:
     return spark.createDataFrame(centres, "centre_id int, centre array<double>")
 
 
+# A codebook this small is numbered in one task; larger ones use the
+# distributed ordered index.
+SMALL_CODEBOOK = 100_000
+
+
 def codebook_from_groups(descriptors: DataFrame, group: str, dim: int,
                          descriptor: str = "descriptor") -> DataFrame:
     """Centroid of every group of descriptors as a codebook (centre_id = rank
     of the group value, from 0). One partial/final aggregate; ``dim``
-    averages per group; numbering by the distributed ordered index."""
+    averages per group. The group count is checked before numbering."""
     from casebook.operators.common import ordered_index
-
-    means = descriptors.groupBy(group).agg(
-        *[F.avg(F.col(descriptor)[i].cast("double")).alias(f"_m{i}") for i in range(dim)])
+    from casebook.session import reuse
+
+    means = reuse(descriptors.groupBy(group).agg(
+        *[F.avg(F.col(descriptor)[i].cast("double")).alias(f"_m{i}") for i in range(dim)]))
+    centre = F.array(*[F.col(f"_m{i}") for i in range(dim)]).alias("centre")
+    if means.count() <= SMALL_CODEBOOK:
+        w = Window.orderBy(group)  # bounded by the check above
+        return means.select((F.row_number().over(w) - 1).cast("int").alias("centre_id"),
+                            F.col(group), centre)
     numbered = ordered_index(means, [group], name="centre_id", start=0)
-    return numbered.select(F.col("centre_id").cast("int"), F.col(group),
-                           F.array(*[F.col(f"_m{i}") for i in range(dim)]).alias("centre"))
+    return numbered.select(F.col("centre_id").cast("int"), F.col(group), centre)
 
 
 def codebook_matrix(codebook: DataFrame, lo: int = 0, hi: int | None = None) -> np.ndarray:
