@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from casebook.functions import exprs as X
 from casebook.operators import bovw, cluster, graph, model, policy, prep, profile, stats
+from casebook.session import reuse
 from casebook.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -326,10 +327,11 @@ def q_bovw_assign(spark, sf):
 
 
 def _index(spark, sf):
-    cb = _codebook(spark, sf)
+    cb = reuse(_codebook(spark, sf))
     k = cb.count()
     a = bovw.assign(_descriptors(spark, sf).select("vec_id", "image", "descriptor"), cb)
-    return bovw.histogram(a, int(k), "image", "word")
+    # the index is read twice by a search (query histogram, then scoring)
+    return reuse(bovw.histogram(a, int(k), "image", "word"))
 
 
 def _duck_hist(k):
