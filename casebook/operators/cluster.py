@@ -74,7 +74,6 @@ def _link_cells(core: DataFrame, cols, eps: float, side: float, shifted,
                     F.col("cell").alias("ca"), F.col("ncell").alias("cb"),
                     F.col("cell").alias("ka"), F.col("ncell").alias("kb")))
     pts = core.select("id", "cell", *cols, F.col("cell").alias("key"))
-    found = []
     done = None
     for level in range(max_levels + 1):
         boxes = pts.groupBy("cell", "key").agg(
@@ -103,11 +102,12 @@ def _link_cells(core: DataFrame, cols, eps: float, side: float, shifted,
         brute = (small.select("na", "nb", "ca", "ka", "cb", "kb").join(pa, ["ca", "ka"]).join(pb, ["cb", "kb"])
                  .filter(dist <= F.lit(eps)).select("na", "nb"))
         new = reuse(sure.unionAll(brute).distinct())
-        found.append(new)
-        done = new if done is None else cut_lineage(done.unionAll(new).distinct())
+        done = cut_lineage(new if done is None else done.unionAll(new).distinct())
         rest = (pairs.filter(~F.col("_sure") & (work > F.lit(brute_limit)))
                 .join(new, ["na", "nb"], "left_anti").select("na", "nb", "ca", "cb", "ka", "kb"))
         rest = cut_lineage(rest)
+        pairs.unpersist()
+        new.unpersist()
         if last or rest.isEmpty():
             break
         # split the undecided (sub)cells into half-size children
@@ -287,10 +287,14 @@ def agglomerative(points: DataFrame, id_col: str, cols: Sequence[str], k: int,
                 .groupBy("a", "b").agg(F.sum("s").alias("s")))
         live = cut_lineage(live)
         sizes = cut_lineage(relabel(sizes, "c").groupBy("c").agg(F.sum("n").alias("n")))
+        nn.unpersist()
     else:
         raise RuntimeError("agglomerative clustering did not finish")
-    merges = functools.reduce(DataFrame.unionByName, merges) if merges else \
+    rounds = merges
+    merges = cut_lineage(functools.reduce(DataFrame.unionByName, rounds)) if rounds else \
         points.sparkSession.createDataFrame([], "a long, b long, height double")
+    for r in rounds:
+        r.unpersist()
     n = ids.count()
     # the n-k lowest merges define the k-cluster cut
     chosen = ordered_index(merges, ["height", "a", "b"], name="_step").filter(F.col("_step") <= n - k)
