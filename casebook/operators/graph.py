@@ -70,7 +70,7 @@ def simple_edges(pairs: DataFrame, a: str, b: str) -> DataFrame:
             .distinct())
 
 
-def peel(edges: DataFrame, rounds: int = 3) -> DataFrame:
+def peel(edges: DataFrame, rounds: int = 1) -> DataFrame:
     """Remove vertices of degree < 2 for a few rounds (no cycle passes
     them). Only a pruning step: correctness does not depend on reaching the
     full 2-core, so long tails never cost one round per vertex."""
