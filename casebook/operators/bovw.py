@@ -167,18 +167,31 @@ def codebook_matrix(codebook: DataFrame, lo: int = 0, hi: int | None = None) ->
 # ------------------------------------------------------------- assignment
 def _nearest(block: np.ndarray, offset: int):
     """Function for mapInPandas: nearest centre of ``block`` per descriptor,
-    exact float64 differences, ties to the lowest centre id."""
+    ties to the lowest centre id.
+
+    One matrix product per batch gives |x|^2 - 2 x.c + |c|^2 for every
+    centre; the expansion can be off by rounding, so every centre within a
+    tolerance of a row's minimum is re-measured with direct float64
+    differences and the exact winner is kept."""
+    cc = (block * block).sum(axis=1)
+
     def nearest(x: np.ndarray):
         if len(x) == 0:
             return np.zeros(0, dtype=np.int32), np.zeros(0)
-        best_d = np.full(len(x), np.inf)
-        best_w = np.zeros(len(x), dtype=np.int32)
-        for j in range(block.shape[0]):
-            d = ((x - block[j]) ** 2).sum(axis=1)
-            better = d < best_d
-            best_d = np.where(better, d, best_d)
-            best_w = np.where(better, j + offset, best_w)
-        return best_w, np.sqrt(best_d)
+        xx = (x * x).sum(axis=1)
+        approx = xx[:, None] - 2.0 * (x @ block.T) + cc[None, :]
+        low = approx.min(axis=1)
+        tol = 1e-9 * (xx + cc.max()) + 1e-12
+        cand = approx <= (low + tol)[:, None]
+        best_w = np.argmax(cand, axis=1).astype(np.int32)
+        best_d = ((x - block[best_w]) ** 2).sum(axis=1)
+        multi = np.nonzero(cand.sum(axis=1) > 1)[0]
+        for i in multi:  # near-ties only
+            ids = np.nonzero(cand[i])[0]
+            d = ((block[ids] - x[i]) ** 2).sum(axis=1)
+            j = int(np.argmin(d))  # first minimum = lowest id
+            best_w[i], best_d[i] = ids[j], d[j]
+        return best_w + offset, np.sqrt(best_d)
     return nearest
 
 

@@ -132,3 +132,24 @@ def test_index_csv_and_model_round_trip(spark, tmp_dir):
     assert cb.count() == 2 and len(cb.first()["centre"]) == 2
     io.register_view(cb, "codebook_view")
     assert spark.sql("select count(*) from codebook_view").first()[0] == 2
+
+
+def test_assign_exact_on_ties(spark):
+    """Equidistant centres: the lowest id wins, distances exact."""
+    cb = spark.createDataFrame([(0, [1.0, 0.0]), (1, [-1.0, 0.0]), (2, [0.0, 1.0]), (3, [1.0, 0.0])],
+                               "centre_id int, centre array<double>")
+    d = spark.createDataFrame([(0, [0.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 0.5])], "image long, descriptor array<double>")
+    got = {r["image"]: (r["word"], r["dist"]) for r in bovw.assign(d, cb).collect()}
+    assert got[0] == (0, 1.0) and got[1] == (0, 0.0) and got[2] == (2, 0.5)
+
+
+def test_assign_large_codebook_matches_direct(spark):
+    rnd = np.random.default_rng(7)
+    cents = rnd.normal(size=(300, 16))
+    xs = rnd.normal(size=(500, 16))
+    cb = spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(cents)], "centre_id int, centre array<double>")
+    d = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(xs)], "image long, descriptor array<double>")
+    got = {r["image"]: (r["word"], r["dist"]) for r in bovw.assign(d, cb).collect()}
+    for i, x in enumerate(xs):
+        dist = np.sqrt(((cents - x) ** 2).sum(axis=1))
+        assert got[i][0] == int(np.argmin(dist)) and got[i][1] == pytest.approx(dist.min(), abs=1e-12)
