@@ -73,29 +73,28 @@ def describe_images(images: DataFrame, describe: Callable[[np.ndarray], np.ndarr
 def grid_gradient_descriptor(cell: int = 8, bins: int = 8, grid: int = 4):
     """Default ``describe``: dense, non-overlapping patches of ``grid*cell``
     pixels, each a concatenation of ``grid*grid`` gradient-orientation
-    histograms (``bins`` each) weighted by magnitude and L2-normalised."""
+    histograms (``bins`` each) weighted by magnitude and L2-normalised.
+    One weighted ``bincount`` per image builds every cell histogram."""
     patch = grid * cell
+    dim = grid * grid * bins
 
     def describe(gray: np.ndarray) -> np.ndarray:
+        h, w = gray.shape
+        ny, nx = h // patch, w // patch
+        if ny == 0 or nx == 0:
+            return np.zeros((0, dim))
         gy, gx = np.gradient(gray)
-        mag = np.hypot(gx, gy)
+        mag = np.hypot(gx, gy)[: ny * patch, : nx * patch]
         ang = (np.arctan2(gy, gx) % (2 * np.pi)) / (2 * np.pi) * bins
-        idx = np.minimum(ang.astype(int), bins - 1)
-        h, w = gray.shape
-        out = []
-        for y in range(0, h - patch + 1, patch):
-            for x in range(0, w - patch + 1, patch):
-                hist = []
-                for cy in range(grid):
-                    for cx in range(grid):
-                        sl = (slice(y + cy * cell, y + (cy + 1) * cell),
-                              slice(x + cx * cell, x + (cx + 1) * cell))
-                        hist.append(np.bincount(idx[sl].ravel(), weights=mag[sl].ravel(),
-                                                minlength=bins))
-                v = np.concatenate(hist)
-                n = np.linalg.norm(v)
-                out.append(v / n if n > 0 else v)
-        return np.array(out).reshape(-1, grid * grid * bins)
+        obin = np.minimum(ang.astype(int), bins - 1)[: ny * patch, : nx * patch]
+        cy = np.arange(ny * patch)[:, None] // cell
+        cx = np.arange(nx * patch)[None, :] // cell
+        flat = (cy * (nx * grid) + cx) * bins + obin
+        hist = np.bincount(flat.ravel(), weights=mag.ravel(), minlength=ny * grid * nx * grid * bins)
+        hist = (hist.reshape(ny, grid, nx, grid, bins).transpose(0, 2, 1, 3, 4)
+                .reshape(ny * nx, dim))
+        norm = np.linalg.norm(hist, axis=1, keepdims=True)
+        return np.divide(hist, norm, out=np.zeros_like(hist), where=norm > 0)
 
     return describe
 

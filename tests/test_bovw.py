@@ -153,3 +153,26 @@ def test_assign_large_codebook_matches_direct(spark):
     for i, x in enumerate(xs):
         dist = np.sqrt(((cents - x) ** 2).sum(axis=1))
         assert got[i][0] == int(np.argmin(dist)) and got[i][1] == pytest.approx(dist.min(), abs=1e-12)
+
+
+def loop_descriptor(gray, cell=8, bins=8, grid=4):
+    patch = grid * cell
+    gy, gx = np.gradient(gray)
+    mag = np.hypot(gx, gy)
+    idx = np.minimum(((np.arctan2(gy, gx) % (2 * np.pi)) / (2 * np.pi) * bins).astype(int), bins - 1)
+    out = []
+    for y in range(0, gray.shape[0] - patch + 1, patch):
+        for x in range(0, gray.shape[1] - patch + 1, patch):
+            v = np.concatenate([np.bincount(idx[y + a * cell:y + (a + 1) * cell, x + b * cell:x + (b + 1) * cell].ravel(),
+                                            weights=mag[y + a * cell:y + (a + 1) * cell, x + b * cell:x + (b + 1) * cell].ravel(),
+                                            minlength=bins) for a in range(grid) for b in range(grid)])
+            n = np.linalg.norm(v)
+            out.append(v / n if n > 0 else v)
+    return np.array(out).reshape(-1, grid * grid * bins)
+
+
+def test_vectorised_descriptor_equals_loop():
+    rnd = np.random.default_rng(3)
+    for shape in [(64, 96), (70, 33), (31, 200)]:
+        g = rnd.integers(0, 255, size=shape).astype(float)
+        assert np.allclose(bovw.grid_gradient_descriptor()(g), loop_descriptor(g))
