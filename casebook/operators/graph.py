@@ -1,13 +1,15 @@
 """Accident graph: participants as vertices, accidents as edges.
 
-* degrees / suspicious persons: union of both endpoint columns, one hash
-  aggregate (a person in a third of all accidents is pre-combined map-side);
-* repeat-accident edges: semi-join of the directed edge list with the set of
+* degrees / suspicious persons: endpoints exploded from one pass over the
+  pairs, one hash aggregate (a person in a third of all accidents is
+  pre-combined map-side);
+* repeat-accident edges: edge multiplicities, then a semi-join with the
   persons in at least two accidents;
-* simple cycles: 2-core peeling, then a meet-in-the-middle path join. Each
-  cycle is built exactly once from its smallest vertex and one orientation,
-  from two half paths that meet at the opposite vertex, so the work is the
-  half-path count plus the output, not every full path.
+* simple cycles: a round of leaf peeling, then a meet-in-the-middle path
+  join. Each cycle is built exactly once from its highest-ranked vertex
+  (rank = degree, then id) and one orientation, from two half paths that
+  meet at the opposite vertex, so the work is the half-path count plus the
+  output, not every full path, and hubs never sit inside quadratic path sets.
 """
 
 from __future__ import annotations
