@@ -78,16 +78,20 @@ def fit_encoders(train: DataFrame, numeric=NUMERIC, binary=BINARY, category_num=
                            handleInvalid="error").fit(train)
         stages.append(si)
         indexed.append((f"{c}_idx", False))
-    # one shared vocabulary for the claim-count columns; unseen -> zeros
-    shared = StringIndexer(inputCol=claim_cols[0], outputCol=f"{claim_cols[0]}_idx",
-                           stringOrderType="alphabetAsc", handleInvalid="keep").fit(train)
+    # one pass counts the vocabularies of the first claim column (shared by
+    # all four claim columns) and of the columns with their own vocabulary;
+    # unseen values and nulls -> zeros
+    vocab_cols = [claim_cols[0], *own_vocab]
+    multi = StringIndexer(inputCols=vocab_cols, outputCols=[f"_v{i}" for i in range(len(vocab_cols))],
+                          stringOrderType="alphabetAsc", handleInvalid="keep").fit(train)
+    labels = dict(zip(vocab_cols, multi.labelsArray))
     for c in claim_cols:
-        stages.append(StringIndexerModel.from_labels(shared.labels, inputCol=c, outputCol=f"{c}_idx",
-                                                     handleInvalid="keep"))
+        stages.append(StringIndexerModel.from_labels(labels[claim_cols[0]], inputCol=c,
+                                                     outputCol=f"{c}_idx", handleInvalid="keep"))
         indexed.append((f"{c}_idx", True))
     for c in own_vocab:
-        stages.append(StringIndexer(inputCol=c, outputCol=f"{c}_idx", stringOrderType="alphabetAsc",
-                                    handleInvalid="keep").fit(train))
+        stages.append(StringIndexerModel.from_labels(labels[c], inputCol=c, outputCol=f"{c}_idx",
+                                                     handleInvalid="keep"))
         indexed.append((f"{c}_idx", True))
     cur = train
     for st in stages:
