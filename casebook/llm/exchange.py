@@ -28,11 +28,16 @@ def bucket_count(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def fresh() -> str:
+    """A name nobody else uses."""
+    return uuid.uuid4().hex
+
+
 def table(df: DataFrame) -> DataFrame:
     """Write a frame that several later steps read as a zstandard parquet table in the
     shared checkpoint folder, and read it back (the lineage ends there)."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/casebook-{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/casebook-{fresh()}"
     df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
