@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from casebook.session import ensure_checkpoint_dir
 
-PACKED = "bucket int, kind int, docs binary, counts binary, sigs binary, extra binary"
+PACKED = "bucket int, kind int, docs binary, counts binary, sigs binary, extra binary, places binary"
 
 
 def bucket_count(spark: SparkSession) -> int:
@@ -51,8 +51,10 @@ def binaries(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
 
 
 def packed(kind: int, bucket: np.ndarray, doc: np.ndarray, ids: np.ndarray, sigs: np.ndarray,
-           extra: np.ndarray | None, n_buckets: int) -> pa.RecordBatch:
-    """One row per bucket that has entries. ``doc`` (ascending) indexes ``ids``; ``extra`` has a row per entry."""
+           extra: np.ndarray | None, n_buckets: int, places: np.ndarray | None = None) -> pa.RecordBatch:
+    """One row per bucket that has entries. ``doc`` (ascending) indexes ``ids``; ``extra`` has a row per entry.
+
+    Ids and ``places`` (int32 per entry) travel as differences, which compress well."""
     small = bucket.astype(np.uint16 if n_buckets <= 1 << 16 else np.int64)
     order = np.argsort(small, kind="stable")
     at, d = small[order], doc[order]
@@ -66,18 +68,31 @@ def packed(kind: int, bucket: np.ndarray, doc: np.ndarray, ids: np.ndarray, sigs
     counts = np.diff(np.r_[runs, len(at)]).astype(np.uint32)
     n = len(heads)
     columns = [pa.array(at[heads].astype(np.int32)), pa.array(np.full(n, kind, dtype=np.int32)),
-               binaries(ids[d[runs]].astype(np.int64), run_bounds), binaries(counts, run_bounds),
+               binaries(_steps(ids[d[runs]].astype(np.int64), run_bounds), run_bounds), binaries(counts, run_bounds),
                binaries(sigs[order], bounds),
-               pa.nulls(n, pa.binary()) if extra is None else binaries(extra[order], bounds)]
+               pa.nulls(n, pa.binary()) if extra is None else binaries(extra[order], bounds),
+               pa.nulls(n, pa.binary()) if places is None else
+               binaries(_steps(places[order].astype(np.int32), bounds), bounds)]
     return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in PACKED.split(", ")])
 
 
+def _steps(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Differences to the value before, but for the first of each row."""
+    out = values.copy()
+    out[1:] -= values[:-1]
+    out[bounds[:-1]] = values[bounds[:-1]]
+    return out
+
+
 def unpacked(batch: pa.RecordBatch, sig: type, extra: np.dtype | None = None) -> Iterator[tuple]:
-    """(kind, document id per entry, sigs, extra) of each row of a packed batch."""
-    for kind, docs, counts, sigs, more in zip(*(batch.column(i) for i in range(1, 6)), strict=True):
-        ids = np.repeat(np.frombuffer(docs.as_buffer(), dtype=np.int64), np.frombuffer(counts.as_buffer(), dtype=np.uint32))
-        yield (kind.as_py(), ids, np.frombuffer(sigs.as_buffer(), dtype=sig),
-               None if extra is None or not more.is_valid else np.frombuffer(more.as_buffer(), dtype=extra))
+    """(kind, document id per entry, sigs, extra, places) of each row of a packed batch."""
+    for kind, docs, counts, sigs, more, places in zip(*(batch.column(i) for i in range(1, 7)), strict=True):
+        ids = np.cumsum(np.frombuffer(docs.as_buffer(), dtype=np.int64))
+        yield (kind.as_py(), np.repeat(ids, np.frombuffer(counts.as_buffer(), dtype=np.uint32)),
+               np.frombuffer(sigs.as_buffer(), dtype=sig),
+               None if extra is None or not more.is_valid else np.frombuffer(more.as_buffer(), dtype=extra),
+               None if not places.is_valid else
+               np.cumsum(np.frombuffer(places.as_buffer(), dtype=np.int32), dtype=np.int32))
 
 
 def routed(df: DataFrame, emit: Callable, consume: Callable, schema: str, n_buckets: int) -> DataFrame:

@@ -206,7 +206,7 @@ def _groups(batches):
     bucket = 0
     for batch in batches:
         kinds, bucket = batch.column(1).to_pylist(), batch.column(0)[0].as_py()
-        for kind, doc, sig, extra in X.unpacked(batch, np.uint32, np.uint8):
+        for kind, doc, sig, extra, _ in X.unpacked(batch, np.uint32, np.uint8):
             if kind == 0:
                 info = extra.view(_DIGEST)
                 yield _rows(0, doc, info["doc_id"], info["second"], sig, info["segments"], info["pairs"])

@@ -37,7 +37,6 @@ from casebook.llm.arrays import Runs, byte_runs, slices, utf8, window_starts, wo
 
 WINDOW = 50
 BLOCK = 25
-_PAIR = [("run", "<i4"), ("n", "<i4")]
 
 
 def _runs(off, data, width, block):
@@ -86,7 +85,7 @@ def _anchors(batches):
         return known, low, high
 
     for batch in batches:
-        for kind, doc, sig, _ in X.unpacked(batch, np.uint32):
+        for kind, doc, sig, _, _ in X.unpacked(batch, np.uint32):
             if kind == 0:
                 index.append(sig)
                 owners.append(doc)
@@ -112,8 +111,6 @@ def _anchors(batches):
 
 
 def _emit_windows(width, block, n_buckets):
-    entry = np.dtype([("at", "<u4"), ("hash", "<u8")])
-
     def emit(batches):
         for part in slices(_unsqueezed(batches), "text"):
             ids = part.column(0).to_numpy(zero_copy_only=False)
@@ -137,12 +134,9 @@ def _emit_windows(width, block, n_buckets):
             if not len(at):
                 continue
             code = hashes(first, first + block)
-            extra = np.empty(len(at), dtype=entry)
-            extra["at"] = at - by[doc]
-            extra["hash"] = hashes(at, at + width)
             bucket = (code >> np.uint64(32)) % np.uint64(n_buckets)
-            yield X.packed(0, bucket, doc, ids, code.astype(np.uint32), extra, n_buckets)
-    return emit, entry
+            yield X.packed(0, bucket, doc, ids, code.astype(np.uint32), hashes(at, at + width), n_buckets, at - by[doc])
+    return emit
 
 
 def _unsqueezed(batches):
@@ -152,23 +146,20 @@ def _unsqueezed(batches):
                                          names=["doc_id", "text", "marks"])
 
 
-def _repeats(entry):
-    def consume(batches):
-        parts = [(doc, sig, extra) for b in batches for _, doc, sig, extra in X.unpacked(b, np.uint32, entry)]
-        if not parts:
-            return
-        doc = np.concatenate([p[0] for p in parts])
-        sig = np.concatenate([p[1] for p in parts])
-        extra = np.concatenate([p[2] for p in parts])
-        del parts
-        order = np.lexsort((doc, sig, extra["hash"]))
-        h, s, d = extra["hash"][order], sig[order], doc[order]
-        head = np.r_[True, (h[1:] != h[:-1]) | (s[1:] != s[:-1])]
-        earliest = d[np.flatnonzero(head)][np.cumsum(head) - 1]
-        late = d > earliest
-        if late.any():
-            yield X.spans(d[late], extra["at"][order][late].astype(np.int64), ["doc_id", "spans"])
-    return consume
+def _repeats(batches):
+    """Of one bucket: windows that a smaller document has, as runs by document."""
+    parts = [x[1:] for b in batches for x in X.unpacked(b, np.uint32, np.uint64)]
+    if not parts:
+        return
+    doc, sig, code, at = (np.concatenate([p[k] for p in parts]) for k in range(4))
+    del parts
+    order = np.lexsort((doc, sig, code))
+    h, s, d = code[order], sig[order], doc[order]
+    head = np.r_[True, (h[1:] != h[:-1]) | (s[1:] != s[:-1])]
+    earliest = d[np.flatnonzero(head)][np.cumsum(head) - 1]
+    late = d > earliest
+    if late.any():
+        yield X.spans(d[late], at[order][late].astype(np.int64), ["doc_id", "spans"])
 
 
 def _rewrite(width, normalise):
@@ -215,8 +206,7 @@ def remove_repeats(docs: DataFrame, width: int = WINDOW, normalise: bool = True)
     held = X.table(docs.join(marks, "doc_id", "left").select("doc_id", "text", "marks")
                    .mapInArrow(squeezed, "doc_id long, ztext binary, marks array<binary>"))
     touched = held.filter(F.col("marks").isNotNull())
-    emit, entry = _emit_windows(width, block, n)
-    spans = X.routed(touched, emit, _repeats(entry), "doc_id long, spans binary", n)
+    spans = X.routed(touched, _emit_windows(width, block, n), _repeats, "doc_id long, spans binary", n)
     spans = spans.groupBy("doc_id").agg(F.collect_list("spans").alias("spans"))
     schema = "doc_id long, n_words long, n_removed long, kept string"
     apply = _rewrite(width, normalise)

@@ -84,7 +84,7 @@ def _emit_pointers(depth, gram, n_buckets):
 
 
 def _shared(batches):
-    parts = [(doc, sig) for b in batches for _, doc, sig, _ in X.unpacked(b, np.uint32)]
+    parts = [x[1:3] for b in batches for x in X.unpacked(b, np.uint32)]
     if not parts:
         return
     doc, sig = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
@@ -94,8 +94,9 @@ def _shared(batches):
         yield X.per_document(doc[many], sig[many], ["doc_id", "marks"])
 
 
-_CLASS = np.dtype([("place", "<i4"), ("back", "<i4"), ("n", "<i4"), ("whole", "<u8")])
-_SUFFIX = np.dtype([("at", "<i4"), ("offset", "<i4"), ("first", "<u8"), ("later", "<u8")])
+_CLASS = np.dtype([("back", "<i4"), ("n", "<i4"), ("whole", "<u8")])
+# suffixes: their offset to the pointer, and both identifiers as one to sort on: within pointer and offset 64 bits decide
+_SUFFIX = np.dtype([("offset", "<u2"), ("pair", "<u8")])
 
 
 def _marked(batches, depth, gram):
@@ -129,25 +130,23 @@ def _emit_classes(depth, gram, n_buckets):
             if not len(doc):
                 continue
             extra = np.empty(len(doc), dtype=_CLASS)
-            extra["place"] = place - off[doc]
             extra["back"] = place - head
             extra["n"] = n
             span = hashes(head, head + n - 1 + depth)
             extra["whole"] = mix(span ^ mix((place - head).astype(np.uint64)))
             yield X.packed(0, (code >> np.uint64(32)) % np.uint64(n_buckets), doc, ids,
-                           code.astype(np.uint32), extra, n_buckets)
+                           code.astype(np.uint32), extra, n_buckets, place - off[doc])
     return emit
 
 
 def _classes(batches):
     """Of one bucket of pointers: runs of suffixes settled as repeats, and the places of pointers still to refine."""
-    parts = [(doc, sig, extra) for b in batches for _, doc, sig, extra in X.unpacked(b, np.uint32, _CLASS)]
+    parts = [x[1:] for b in batches for x in X.unpacked(b, np.uint32, _CLASS)]
     if not parts:
         return
-    doc, sig = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-    extra = np.concatenate([p[2] for p in parts])
-    order = np.lexsort((extra["place"], doc, extra["whole"], sig))
-    doc, sig, extra = doc[order], sig[order], extra[order]
+    doc, sig, extra, place = (np.concatenate([p[k] for p in parts]) for k in range(4))
+    order = np.lexsort((place, doc, extra["whole"], sig))
+    doc, sig, extra, place = doc[order], sig[order], extra[order], place[order].astype(np.int64)
     new_sig = np.r_[True, sig[1:] != sig[:-1]]
     new_class = new_sig | np.r_[True, extra["whole"][1:] != extra["whole"][:-1]]
     heads = np.flatnonzero(new_class)
@@ -157,11 +156,11 @@ def _classes(batches):
     classes = np.bincount(of_sig[heads], minlength=of_sig[-1] + 1)
     done = size[of_class] > 1
     if done.any():
-        batch = X.spans(doc[done], (extra["place"] - extra["back"])[done], ["doc_id", "value"], extra["n"][done])
+        batch = X.spans(doc[done], (place - extra["back"])[done], ["doc_id", "value"], extra["n"][done])
         yield _tagged(0, batch)
     todo = new_class & (classes[of_sig] > 1)  # one of each class, where there are others
     if todo.any():
-        yield _tagged(1, X.per_document(doc[todo], extra["place"][todo].astype(np.uint32), ["doc_id", "value"]))
+        yield _tagged(1, X.per_document(doc[todo], place[todo].astype(np.uint32), ["doc_id", "value"]))
 
 
 def _tagged(kind, batch):
@@ -180,35 +179,20 @@ def _emit_suffixes(depth, gram, n_buckets):
             at = head[each] + np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
             half = depth // 2
             extra = np.empty(len(each), dtype=_SUFFIX)
-            extra["at"] = at - off[doc[each]]
             extra["offset"] = place[each] - at
-            extra["first"] = hashes(at, at + half)
-            extra["later"] = hashes(at + half, at + depth)
+            extra["pair"] = mix(hashes(at, at + half) + mix(hashes(at + half, at + depth)))
             code, doc = code[each], doc[each]
-            # suffixes of one pointer go to several buckets by their offset, so a common gram is split
+            # suffixes of one pointer go to several buckets by their offset, so that a common gram is split
             bucket = mix((code >> np.uint64(32)) + (extra["offset"] // 32).astype(np.uint64)) % np.uint64(n_buckets)
-            yield X.packed(0, bucket, doc, ids, code.astype(np.uint32), _slim(extra), n_buckets)
+            yield X.packed(0, bucket, doc, ids, code.astype(np.uint32), extra, n_buckets, at - off[doc])
     return emit
 
 
-# (pointer's code, offset) and the two identifiers as one pair to sort on: 64 bits decide within a pointer and offset
-_SLIM = np.dtype([("at", "<i4"), ("offset", "<u2"), ("pair", "<u8")])
-
-
-def _slim(extra):
-    out = np.empty(len(extra), dtype=_SLIM)
-    out["at"] = extra["at"]
-    out["offset"] = extra["offset"]
-    out["pair"] = mix(extra["first"] + mix(extra["later"]))
-    return out
-
-
 def _repeats(batches):
-    parts = [(doc, sig, extra) for b in batches for _, doc, sig, extra in X.unpacked(b, np.uint32, _SLIM)]
+    parts = [x[1:] for b in batches for x in X.unpacked(b, np.uint32, _SUFFIX)]
     if not parts:
         return
-    doc, sig = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-    extra = np.concatenate([p[2] for p in parts])
+    doc, sig, extra, at = (np.concatenate([p[k] for p in parts]) for k in range(4))
     del parts
     order = np.lexsort((extra["pair"], sig.astype(np.uint64) << np.uint64(16) | extra["offset"]))
     s, o, p = sig[order], extra["offset"][order], extra["pair"][order]
@@ -216,7 +200,7 @@ def _repeats(batches):
     size = np.diff(np.r_[np.flatnonzero(head), len(s)])
     many = size[np.cumsum(head) - 1] > 1
     if many.any():
-        yield X.spans(doc[order][many], extra["at"][order][many].astype(np.int64), ["doc_id", "value"])
+        yield X.spans(doc[order][many], at[order][many].astype(np.int64), ["doc_id", "value"])
 
 
 def _rewrite(depth):
