@@ -7,11 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casebook.llm import exchange as X
-from casebook.llm import jaccard_join, language_id, packing, quality, substring_dedup, suffix_dedup, token_files, topk
+from casebook.llm import (jaccard_join, language_id, licenses, packing, piece_lattice, quality, substring_dedup,
+                          suffix_dedup, token_files, topk)
 from casebook.session import ensure_checkpoint_dir
 from casebook.sources.tables import table
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +24,21 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held.alias("held_out"), "language.*")
 
 
+def _paths(docs: DataFrame) -> DataFrame:
+    """A file path for each document: source/lang for every tenth doc_id, and its ten parts below for the others."""
+    home = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")))
+    part = F.col("doc_id") % 10
+    return docs.select("doc_id", "text", F.when(part == 0, F.concat(home, F.lit("/"), F.col("doc_id"), F.lit(".txt")))
+                       .otherwise(F.concat(home, F.lit("/part"), part, F.lit("/"), F.col("doc_id"), F.lit(".txt")))
+                       .alias("path"))
+
+
+def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License of every document; those in a source/lang folder itself speak for the folders below."""
+    docs = _paths(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"))
+    return licenses.scan(docs, gives=F.col("doc_id") % 10 == 0).withColumn("cosine", F.round("cosine", 6))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
@@ -42,6 +59,16 @@ def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.col("kept"), 256).alias("kept_sha256"))
 
 
+def op7_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn of every conversation, encoded and decoded again."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    pieces = piece_lattice.piece_table(spark, public_tokenizers.path(PIECES))
+    back = piece_lattice.decode(piece_lattice.encode(turns, pieces), pieces)
+    return back.select("conv_id", "turn", F.size("ids").cast("long").alias("n_pieces"),
+                       F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+                       (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -61,7 +88,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_language_id, op3_substring_dedup, op4_exact_topk, op5_best_fit_packing, op6_suffix_array_dedup,
-    op8_jaccard_join, op9_quality_rules, op10_token_files)}
+    op1_language_id, op2_license_scans, op3_substring_dedup, op4_exact_topk, op5_best_fit_packing,
+    op6_suffix_array_dedup, op7_piece_lattice, op8_jaccard_join, op9_quality_rules, op10_token_files)}
 
 ORACLE: dict[str, str] = {}
