@@ -17,8 +17,11 @@ in at most ``H = (100 - percent) * |A| // percent`` shingles.
   set with H + 1 of these has no partner and asks nothing; the others take the
   cheapest segments that are still needed.
 * *Exact verification* of candidates on whole texts, first each segment's
-  candidates against its best-connected member, then all pairs (asking set,
-  member) that are still in different components.
+  candidates against its best-connected member. Pairs (asking set, member) that
+  are still in different components are then looked at in blocks, without being
+  written out: the parities of the shingles in each of a few thousand cells
+  differ in no more cells than the sets differ in shingles, so pairs that differ
+  in too many cells are no links; the rest is verified too.
 
 Equal sets are one class from the start (128-bit digest and size); they travel
 once per slice of text and are expanded only in the result. Should a set's
@@ -333,16 +336,85 @@ def _verify(shingle, percent):
     return apply
 
 
-def _squeezed(batches):
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([X.squeeze(t or b"") for t in batch.column(1).to_pylist()], pa.binary())],
-            names=["rep", "ztext"])
+def cells(size: int, percent: int) -> int:
+    """Cells of a set's parity sketch: four times the least size of its band, as a power of two."""
+    return max(256, 1 << (4 * bands(percent)[band_of(size, percent)] - 1).bit_length())
+
+
+def sketch(u: np.ndarray, percent: int) -> bytes:
+    """One bit per cell: whether an odd number of the set's shingles fall into it."""
+    m = cells(max(len(u), 1), percent)
+    at = (mix(u + np.uint64(77)) & np.uint64(m - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=m) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def _prepared(shingle, percent):
+    def apply(batches):
+        for part in slices(batches):
+            raw = [t or b"" for t in part.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array([X.squeeze(t) for t in raw], pa.binary()),
+                 pa.array([sketch(u, percent) for u in sets_of(*X.as_texts(raw), shingle)], pa.binary())],
+                names=["rep", "ztext", "sketch"])
+    return apply
+
+
+BLOCK = 2048  # members of a group compared at once
+
+
+def _near(percent):
+    """Sorted rows (owner, i, j, block, rep, n, comp, asks, sketch) -> pairs of block i and block j that may link."""
+    def pairs(rows):
+        i, j, block, rep, n, comp, asks, sketches = (list(x) for x in zip(*rows, strict=True))
+        width = min(map(len, sketches))
+        bits = np.empty((len(rows), width), dtype=np.uint8)
+        for k, raw in enumerate(sketches):
+            b = np.frombuffer(raw, dtype=np.uint8)
+            while len(b) > width:  # a set of the next band: fold its cells
+                b = b[:len(b) // 2] ^ b[len(b) // 2:]
+            bits[k] = b
+        bits = bits.view(np.uint64)
+        rep, n, comp, asks, block = np.array(rep), np.array(n), np.array(comp), np.array(asks), np.array(block)
+        left, right = np.flatnonzero(block == i[0]), np.flatnonzero(block == j[0])
+        step = max(1, (1 << 20) // max(1, len(right) * bits.shape[1]))
+        for lo in range(0, len(left), step):
+            at = left[lo:lo + step]
+            apart = np.bitwise_count(bits[at][:, None, :] ^ bits[right][None, :, :]).sum(axis=2, dtype=np.int64)
+            both = n[at][:, None] + n[right][None, :]
+            good = apart * (100 + percent) <= both * (100 - percent)
+            good &= (comp[at][:, None] != comp[right][None, :]) & (asks[at][:, None] | asks[right][None, :])
+            x, y = np.nonzero(good)
+            yield np.minimum(rep[at[x]], rep[right[y]]), np.maximum(rep[at[x]], rep[right[y]])
+
+    def apply(batches):
+        held, key = [], None
+        found: list = []
+
+        def flush():
+            if held:
+                found.extend(pairs(held))
+            held.clear()
+
+        def out():
+            x, y = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, dtype=np.int64) for k in range(2))
+            found.clear()
+            return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)), pa.array(y.astype(np.int64))], names=["x", "y"])
+
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row[:3] != key:
+                    flush()
+                    key = row[:3]
+                held.append(row[1:])
+            yield out()
+        flush()
+        yield out()
+    return apply
 
 
 def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``docs`` (doc_id, text) -> doc_id, n_shingles, component_id, class_id (smallest doc_id with an
-    equal set), n_links (of the document's set, to other sets that are verified; 0 if none is)."""
+    equal set), n_links (of the document's set to other sets, as far as they were verified to find the component)."""
     spark = docs.sparkSession
     n = X.bucket_count(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")) \
@@ -377,7 +449,7 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
     wanted = X.table(classes.join(members.select("key").distinct(), "key", "left_semi").select("key", "rep", "n_shingles"))
     texts = X.table(docs.join(wanted.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
                     .dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("rep"), "text")
-                    .mapInArrow(_squeezed, "rep long, ztext binary"))
+                    .mapInArrow(_prepared(shingle, percent), "rep long, ztext binary, sketch binary"))
     hubs = members.groupBy("key").agg(F.sum("hub").alias("hub"))
     sets = wanted.join(hubs, "key")
     within = X.table(members.select("owner", "key").join(sets, "key").select("owner", "rep", "n_shingles", "hub"))
@@ -402,13 +474,16 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
     placed = within.join(found, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
     split = (placed.groupBy("owner").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
              .filter("lo < hi").select("owner"))
-    placed = placed.join(split, "owner", "left_semi").select(
-        "owner", F.col("rep").alias("y"), F.col("n_shingles").alias("ny"), F.col("comp").alias("cy"))
-    askers = (asking.join(split, "owner", "left_semi").join(found.withColumnRenamed("rep", "x"), "x", "left")
-              .withColumn("cx", F.coalesce("comp", "x")).drop("comp"))
-    rest = (askers.join(placed, "owner").filter((F.col("cx") != F.col("cy")) & close(F.col("nx"), F.col("ny")))
-            .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-            .join(stars, ["x", "y"], "left_anti"))
+    placed = placed.join(split, "owner", "left_semi")
+    askers = asking.join(split, "owner", "left_semi").select("owner", F.col("x").alias("rep"), F.lit(True).alias("asks"))
+    placed = (placed.join(placed.groupBy("owner").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")), "owner")
+              .join(askers.distinct(), ["owner", "rep"], "left").join(texts.select("rep", "sketch"), "rep")
+              .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))))
+    placed = placed.select("owner", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block",
+                           "rep", "n_shingles", "comp", F.coalesce("asks", F.lit(False)).alias("asks"), "sketch")
+    rest = (placed.repartition("owner", "i", "j").sortWithinPartitions("owner", "i", "j")
+            .mapInArrow(_near(percent), "x long, y long").filter("x < y").distinct().join(stars, ["x", "y"], "left_anti"))
     more = verified(rest)
     if not more.isEmpty():
         links = links.unionByName(more)
