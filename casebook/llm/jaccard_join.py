@@ -447,7 +447,8 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
 
     classes = everyone.filter("n_shingles > 0").groupBy("key", "tail", "n_shingles").agg(F.min("doc_id").alias("rep"))
     wanted = X.table(classes.join(members.select("key").distinct(), "key", "left_semi").select("key", "rep", "n_shingles"))
-    texts = X.table(docs.join(wanted.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    # one plan at every size: the candidates' list is never broadcast, as it grows with the corpus
+    texts = X.table(docs.join(wanted.select(F.col("rep").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
                     .dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("rep"), "text")
                     .mapInArrow(_prepared(shingle, percent), "rep long, ztext binary, sketch binary"))
     hubs = members.groupBy("key").agg(F.sum("hub").alias("hub"))
