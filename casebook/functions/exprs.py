@@ -113,12 +113,13 @@ def share_interval(p, n, z: float) -> tuple[Column, Column]:
 
 
 def two_share_z(m1, n1, m2, n2) -> Column:
-    """|z| of the pooled two-proportion test."""
+    """|z| of the pooled two-proportion test; null where both shares are 0 or
+    both are 1 (no variance), or a group is empty."""
     m1, n1, m2, n2 = (_c(x).cast("double") for x in (m1, n1, m2, n2))
-    pooled = (m1 + m2) / (n1 + n2)
-    diff = m1 / n1 - m2 / n2
-    var = pooled * (F.lit(1.0) - pooled) * (n1 + n2) / (n1 * n2)
-    return F.abs(diff / F.sqrt(var))
+    pooled = F.try_divide(m1 + m2, n1 + n2)
+    diff = F.try_divide(m1, n1) - F.try_divide(m2, n2)
+    var = F.try_divide(pooled * (F.lit(1.0) - pooled) * (n1 + n2), n1 * n2)
+    return F.abs(F.try_divide(diff, F.sqrt(var)))
 
 
 # ------------------------------------------------------- recoding helpers

@@ -55,6 +55,9 @@ def describe_images(images: DataFrame, describe: Callable[[np.ndarray], np.ndarr
         for pdf in batches:
             feats = []
             for h, w, c, data in zip(pdf["height"], pdf["width"], pdf["n_channels"], pdf["data"]):
+                if h <= 0:  # a file that could not be decoded has no descriptors
+                    feats.append([])
+                    continue
                 arr = np.frombuffer(data, dtype=np.uint8).reshape(h, w, c).astype(np.float64)
                 # BGR(A) -> luminance
                 gray = arr[..., 0] if c == 1 else (0.114 * arr[..., 0] + 0.587 * arr[..., 1]

@@ -265,7 +265,8 @@ def agglomerative(points: DataFrame, id_col: str, cols: Sequence[str], k: int,
             break
         sa = F.broadcast(sizes.select(F.col("c").alias("a"), F.col("n").alias("na")))
         sb = F.broadcast(sizes.select(F.col("c").alias("b"), F.col("n").alias("nb")))
-        cand = live.join(sa, "a").join(sb, "b").withColumn("d", F.col("s") / (F.col("na") * F.col("nb")))
+        cand = live.join(sa, "a").join(sb, "b").withColumn(
+            "d", F.round(F.col("s") / (F.col("na") * F.col("nb")), 9))  # sums depend on the order of addition
         both = cand.select(F.inline(F.array(
             F.struct(F.col("a").alias("x"), F.col("b").alias("y"), "d", "a", "b"),
             F.struct(F.col("b").alias("x"), F.col("a").alias("y"), "d", "a", "b"))))
@@ -292,7 +293,7 @@ def agglomerative(points: DataFrame, id_col: str, cols: Sequence[str], k: int,
         raise RuntimeError("agglomerative clustering did not finish")
     rounds = merges
     merges = cut_lineage(functools.reduce(DataFrame.unionByName, rounds)) if rounds else \
-        points.sparkSession.createDataFrame([], "a long, b long, height double")
+        ids.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(0.0).alias("height")).filter("false")
     for r in rounds:
         r.unpersist()
     n = ids.count()

@@ -43,8 +43,7 @@ def _norm(edges: DataFrame) -> DataFrame:
 
 
 def connected_components(edges: DataFrame, vertices: DataFrame | None = None,
-                         src: str = "src", dst: str = "dst", vid: str = "id",
-                         max_rounds: int = 100) -> DataFrame:
+                         src: str = "src", dst: str = "dst", vid: str = "id") -> DataFrame:
     """Component id (smallest member id) per vertex.
 
     Alternating large-star / small-star rounds (Kiveris et al., SoCC 2014):
@@ -53,7 +52,7 @@ def connected_components(edges: DataFrame, vertices: DataFrame | None = None,
     ``vertices`` (column ``vid``) adds isolated vertices as their own component."""
     e = cut_lineage(_norm(edges.select(F.col(src).alias("a"), F.col(dst).alias("b"))))
     n_e = e.count()
-    for _ in range(max_rounds):
+    while True:
         # large star: every neighbour larger than u links to min(N(u) + u)
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         mn = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
@@ -71,8 +70,6 @@ def connected_components(edges: DataFrame, vertices: DataFrame | None = None,
         e, n_e = small, n_small
         if same:
             break
-    else:
-        raise RuntimeError("connected components did not converge")
     # converged: a set of stars, every vertex linked to its component minimum
     comp = (e.select(F.col("a").alias(vid), F.col("a").alias("component"))
             .unionByName(e.select(F.col("b").alias(vid), F.col("a").alias("component")))

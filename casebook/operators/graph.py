@@ -109,7 +109,7 @@ def _half_paths(adj: DataFrame, length: int, cache: dict) -> DataFrame:
     return p
 
 
-def simple_cycles(pairs: DataFrame, a: str, b: str, max_len: int = 4,
+def simple_cycles(pairs: DataFrame, a: str, b: str, max_len: int,
                   min_len: int = 3) -> DataFrame:
     """Distinct member sets of simple cycles with ``min_len``..``max_len``
     persons. Returns (group, size, members) where ``members`` is the sorted

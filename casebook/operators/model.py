@@ -11,9 +11,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from casebook.operators.common import ordered_index
+
 from casebook.functions import exprs as X
 
 
@@ -105,8 +107,10 @@ def accuracy(df: DataFrame, label: str, prediction: str = "prediction") -> float
     return float(row["acc"])
 
 
-def estimator(kind: str = "gbt", features: str = "features", label: str = "label", seed: int = 1):
-    """The classifiers the original authors compared, behind one argument."""
+def estimator(kind: str = "gbt", features: str = "features", label: str = "label", seed: int = 1,
+              layers: Sequence[int] | None = None):
+    """The classifiers the original authors compared, behind one argument.
+    ``layers`` (inputs, hidden, classes) is needed for the network ("mlp")."""
     from pyspark.ml import classification as C
     common = dict(featuresCol=features, labelCol=label)
     if kind == "gbt":
@@ -116,7 +120,9 @@ def estimator(kind: str = "gbt", features: str = "features", label: str = "label
     if kind == "forest":
         return C.RandomForestClassifier(seed=seed, **common)
     if kind == "mlp":
-        raise ValueError("mlp needs explicit layers; build MultilayerPerceptronClassifier directly")
+        if not layers:
+            raise ValueError("mlp needs its layers")
+        return C.MultilayerPerceptronClassifier(layers=list(layers), seed=seed, **common)
     raise ValueError(kind)
 
 
@@ -139,7 +145,21 @@ def grid_search(train: DataFrame, est, grid: dict, folds: int = 4, parallelism:
     return cv.fit(train)
 
 
-def stratified_folds(df: DataFrame, key: str, k: int, seed: int = 1, name: str = "fold") -> DataFrame:
-    """Deterministic fold number from a hash of the key (stable under any
-    partitioning; at scale the label shares per fold converge)."""
-    return df.withColumn(name, F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(k)).cast("int"))
+def search_results(cv_model) -> DataFrame:
+    """One row per setting of a grid search: its parameters, mean accuracy over the folds, best (true once)."""
+    spark = SparkSession.getActiveSession()
+    rows = [({p.name: str(v) for p, v in setting.items()}, float(score))
+            for setting, score in zip(cv_model.getEstimatorParamMaps(), cv_model.avgMetrics, strict=True)]
+    first = max(range(len(rows)), key=lambda k: rows[k][1])
+    return spark.createDataFrame([(s, a, k == first) for k, (s, a) in enumerate(rows)],
+                                 "setting map<string,string>, accuracy double, best boolean")
+
+
+def stratified_folds(df: DataFrame, key: str, k: int, seed: int = 1, name: str = "fold",
+                     label: str = "label") -> DataFrame:
+    """Fold numbers 0..k-1 with equal shares of each label: rows are numbered by
+    (label, hash of the key, key) without gaps, and the number's remainder is
+    the fold, so folds of one label differ by one row at most, under any
+    partitioning. ``key`` must be unique."""
+    numbered = ordered_index(df.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed))), [label, "_h", key], name="_nth")
+    return numbered.withColumn(name, (F.col("_nth") % k).cast("int")).drop("_h", "_nth")

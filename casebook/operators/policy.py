@@ -122,12 +122,13 @@ def fit(train: DataFrame, label: str = "POLICY_IS_RENEWED", grid: dict | None =
     rest, accuracy on the held-out rows. Returns (encoders, cv_model, accuracy)."""
     enc = fit_encoders(train, **enc_kw)
     data = design_matrix(train, enc).withColumn("label", F.col(label).cast("double"))
-    data = prep.hash_split(data, id_col, valid_share, seed).select("features", "label", "is_valid")
-    data = data.persist()
+    data = prep.hash_split(data, id_col, valid_share, seed).select(id_col, "features", "label", "is_valid")
+    data = M.stratified_folds(data, id_col, folds, seed).persist()
     try:
         tr, va = data.filter(~F.col("is_valid")), data.filter("is_valid")
         est = M.estimator("gbt", seed=seed)
-        cv = M.grid_search(tr, est, grid or GRID, folds=folds, parallelism=parallelism, seed=seed)
+        cv = M.grid_search(tr, est, grid or GRID, folds=folds, parallelism=parallelism, seed=seed,
+                           fold_col="fold")
         acc = M.accuracy(cv.bestModel.transform(va), "label")
     finally:
         data.unpersist()

@@ -27,15 +27,17 @@ def union_first_wins(parts: Sequence[tuple[str, DataFrame]], key: str,
                      tie: Sequence[str] = ()) -> DataFrame:
     """Union named parts by column name (missing columns null) and keep one
     row per ``key``: the one from the earliest part, then the smallest
-    ``tie`` columns. Done as one hash aggregate with map-side combine, so a
-    key holding a large share of rows never lands whole in one task."""
+    ``tie`` columns, then the smallest of the other columns, so that rows of
+    one key and part always give the same one. An aggregate with map-side
+    combine: a key holding a large share of rows never lands whole in one task."""
     tagged = None
     for rank, (name, part) in enumerate(parts):
         t = part.withColumn("split", F.lit(name)).withColumn("_rank", F.lit(rank))
         tagged = t if tagged is None else tagged.unionByName(t, allowMissingColumns=True)
     cols = [c for c in tagged.columns if c not in (key, "_rank")]
-    order = F.struct(F.col("_rank"), *[F.col(c) for c in tie])
-    best = tagged.groupBy(key).agg(F.min_by(F.struct(*cols), order).alias("_row"))
+    rest = [c for c in cols if c not in tie and c != "split"]
+    order = F.struct(F.col("_rank"), *[F.col(f"`{c}`") for c in [*tie, *rest]])
+    best = tagged.groupBy(key).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in cols]), order).alias("_row"))
     return best.select(key, "_row.*")
 
 
@@ -60,8 +62,10 @@ def fit_minmax(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple]:
 
 
 def apply_minmax(df: DataFrame, stats: dict[str, tuple]) -> DataFrame:
-    """(x-min)/(max-min) with fitted literals; constant -> 0; no clipping."""
-    return df.withColumns({c: X.minmax(F.col(c).cast("double"), float(lo), float(hi))
+    """(x-min)/(max-min) with fitted literals; constant -> 0; no clipping;
+    null where the fitted column had no value."""
+    return df.withColumns({c: F.lit(None).cast("double") if lo is None else
+                           X.minmax(F.col(c).cast("double"), float(lo), float(hi))
                            for c, (lo, hi) in stats.items()})
 
 
@@ -69,14 +73,15 @@ def minmax_scale(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None =
     return apply_minmax(df, fit_minmax(fit_on if fit_on is not None else df, cols))
 
 
-def fit_maxabs(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
+def fit_maxabs(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
     row = df.agg(*[F.max(F.abs(F.col(c))).alias(c) for c in cols]).first()
-    return {c: float(row[c]) for c in cols}
+    return {c: None if row[c] is None else float(row[c]) for c in cols}
 
 
 def maxabs_scale(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
     stats = fit_maxabs(fit_on if fit_on is not None else df, cols)
-    return df.withColumns({c: X.maxabs(F.col(c).cast("double"), m) for c, m in stats.items()})
+    return df.withColumns({c: F.lit(None).cast("double") if m is None else X.maxabs(F.col(c).cast("double"), m)
+                           for c, m in stats.items()})
 
 
 # ------------------------------------------------------------------ one-hot
@@ -141,6 +146,6 @@ def auto_prepare(df: DataFrame, id_col: str = "id", split_col: str | None = None
 def to_sparse_long(df: DataFrame, id_col: str, feature_cols: Sequence[str]) -> DataFrame:
     """Wide features -> (id, feature, value) keeping non-zero entries only."""
     cols = list(feature_cols)
-    return (df.select(id_col, *[F.col(c).cast("double").alias(c) for c in cols])
-            .unpivot([id_col], cols, "feature", "value")
+    entries = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").cast("double").alias("value")) for c in cols])
+    return (df.select(id_col, F.inline(F.filter(entries, lambda e: e["value"] != 0)))
             .filter(F.col("value") != 0))

@@ -98,17 +98,10 @@ def correlation(df: DataFrame, cols: Sequence[str], digits: int | None = 6) -> D
     """Pearson matrix in long form (a, b, corr); pairs use rows where both
     are non-null (pairwise complete), all pairs in one aggregate pass."""
     cols = list(cols)
-    aggs = []
-    names = []
-    for a in cols:
-        for b in cols:
-            n = f"{a}__{b}"
-            names.append(n)
-            aggs.append(F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(n))
-    one = df.agg(*aggs)
-    long = one.unpivot([], names, "pair", "corr")
-    parts = F.split(F.col("pair"), "__")
-    out = long.select(parts[0].alias("a"), parts[1].alias("b"), F.col("corr"))
+    pairs = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
+                      F.corr(df[f"`{a}`"].cast("double"), df[f"`{b}`"].cast("double")).alias("corr"))
+             for a in cols for b in cols]
+    out = df.agg(F.array(*pairs).alias("pairs")).select(F.inline("pairs"))
     if digits is not None:
         out = out.withColumn("corr", F.round("corr", digits))
     return out

@@ -76,21 +76,3 @@ def two_share_ztest(df: DataFrame, key: str, flag: str, control,
     if digits is not None:
         out = out.withColumn("z", F.round("z", digits))
     return out
-
-
-def share_messages(intervals: DataFrame, key: str, level: float = 0.95) -> DataFrame:
-    """The report lines of the original job, one per group, with shares to
-    three decimals (``format_string``, evaluated in the JVM)."""
-    pct = int(round(level * 100))
-    return intervals.select(key, F.format_string(
-        f"share of %s requests from mobile gadgets is %.3f; {pct}%% interval %.3f-%.3f",
-        F.col(key), F.col("p"), F.col("lo"), F.col("hi")).alias("message"))
-
-
-def ztest_messages(tests: DataFrame, critical: float = Z_CRITICAL) -> DataFrame:
-    """Accept/reject sentence per compared pair, z to four decimals."""
-    verdict = F.when(F.col("equal_shares"), F.lit("less than")).otherwise(F.lit("more than"))
-    outcome = F.when(F.col("equal_shares"), F.lit("true")).otherwise(F.lit("false"))
-    return tests.select("control", "treatment", F.format_string(
-        f"%.4f is %s {critical} so the hypothesis of equal shares of %s and %s is %s",
-        F.col("z"), verdict, F.col("control"), F.col("treatment"), outcome).alias("message"))

@@ -49,7 +49,7 @@ def read_with_null_tokens(spark: SparkSession, path: str, schema: T.StructType,
                           sep: str = ",", header: bool = True) -> DataFrame:
     """CSV where several tokens mean missing (Spark's ``nullValue`` takes
     one). Read as strings, null the tokens, then cast to the declared types;
-    a value that does not parse becomes null (``try_cast``)."""
+    a value that does not parse is an error when the rows are read."""
     toks = list(tokens) + (list(PANDAS_NA) if keep_defaults else [])
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     raw = (spark.read.schema(as_text).option("sep", sep).option("header", header)
@@ -59,7 +59,7 @@ def read_with_null_tokens(spark: SparkSession, path: str, schema: T.StructType,
     for f in schema.fields:
         c = F.when(F.col(f.name).isin(*lit_toks), F.lit(None)).otherwise(F.col(f.name))
         if not isinstance(f.dataType, T.StringType):
-            c = c.try_cast(f.dataType)
+            c = c.cast(f.dataType)
         cols.append(c.alias(f.name))
     return raw.select(*cols)
 
@@ -73,12 +73,13 @@ def read_request_log(spark: SparkSession, path: str) -> DataFrame:
 def read_images(spark: SparkSession, path: str, glob: str = "*.jpg",
                 min_partitions: int | None = None, recursive: bool = False) -> DataFrame:
     """Decoded images: image (file name), height, width, n_channels, data
-    (BGR bytes, as Spark's image source gives them). Undecodable files are
-    dropped by the source."""
+    (BGR bytes, as Spark's image source gives them), valid. Files that cannot
+    be decoded keep their row, with ``valid`` false and no data."""
     df = (spark.read.format("image").option("pathGlobFilter", glob)
-          .option("dropInvalid", True).option("recursiveFileLookup", recursive).load(path))
+          .option("dropInvalid", False).option("recursiveFileLookup", recursive).load(path))
     out = df.select(X.file_name("image.origin").alias("image"), "image.height", "image.width",
-                    F.col("image.nChannels").alias("n_channels"), "image.data")
+                    F.col("image.nChannels").alias("n_channels"), "image.data",
+                    (F.col("image.height") > 0).alias("valid"))
     if min_partitions:
         out = out.repartition(min_partitions)
     return out

@@ -100,13 +100,8 @@ def test_hash_split_is_partition_invariant(spark):
     assert a == b and 300 < len(a) < 500
 
 
-def test_messages_and_constant_drop(spark):
+def test_constant_drop(spark):
     from casebook.operators import graph, profile
-    df = spark.createDataFrame([("/index", 1)] * 3 + [("/test", 0)] * 2, "type string, f int")
-    msg = stats.share_messages(stats.share_interval(df, "type", "f"), "type").orderBy("type").first()
-    assert msg["message"].startswith("share of /index requests from mobile gadgets is 1.000")
-    zt = stats.ztest_messages(stats.two_share_ztest(df, "type", "f", "/index")).first()["message"]
-    assert "is false" in zt or "is true" in zt
     wide = spark.createDataFrame([(1, 5, 1.0), (2, 5, 2.0)], "id long, c int, x double")
     assert profile.drop_constant_columns(wide, keep=["id"]).columns == ["id", "x"]
     adj = spark.createDataFrame([("A", ["B", "C"])], "v string, n array<string>")
@@ -122,3 +117,50 @@ def test_first_wins_dedup_partition_invariant(spark):
                                     "id", tie=["x"])
         return sorted(tuple(r) for r in out.collect())
     assert run(1) == run(4) == run(32)
+
+
+def test_first_wins_inside_one_part(spark):
+    """Duplicates inside a part, no tie columns: the same row under any partitioning."""
+    part = spark.range(600).selectExpr("id % 50 AS id", "id * 7 % 601 AS x", "id AS y")
+    runs = [sorted(map(tuple, prep.union_first_wins([("a", part.repartition(n))], "id").collect())) for n in (1, 3, 16)]
+    assert runs[0] == runs[1] == runs[2] and len(runs[0]) == 50
+
+
+def test_ztest_without_variance(spark):
+    df = spark.createDataFrame([("a", 1)] * 3 + [("b", 1)] * 2, "type string, f int")
+    assert stats.two_share_ztest(df, "type", "f", "a").first()["z"] is None
+
+
+def test_correlation_names_with_underscores(spark):
+    from casebook.operators import profile
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 1.0), (3.0, 5.0)], "x__1 double, `a.b` double")
+    assert {(r.a, r.b) for r in profile.correlation(df, ["x__1", "a.b"]).collect()} == {
+        (a, b) for a in ("x__1", "a.b") for b in ("x__1", "a.b")}
+
+
+def test_scaling_without_values(spark):
+    df = spark.createDataFrame([(1, None), (2, None)], "id long, x double")
+    assert [r.x for r in prep.minmax_scale(df, ["x"]).collect()] == [None, None]
+    assert [r.x for r in prep.maxabs_scale(df, ["x"]).collect()] == [None, None]
+
+
+def test_category_with_a_dot(spark):
+    df = spark.createDataFrame([(1, "a.b"), (2, "c")], "id long, k string")
+    wide = prep.auto_prepare(df)
+    rows = prep.to_sparse_long(wide, "id", [c for c in wide.columns if c != "id"]).collect()
+    assert sorted(map(tuple, rows)) == [(1, "k_a.b", 1.0), (2, "k_c", 1.0)]
+
+
+def test_stratified_folds(spark):
+    from collections import Counter
+
+    from casebook.operators import model
+    df = spark.range(203).selectExpr("id", "CAST(id % 7 = 0 AS double) AS label")
+    runs = []
+    for n in (1, 4, 32):
+        rows = model.stratified_folds(df.repartition(n), "id", 4).collect()
+        runs.append(sorted((r.id, r.fold) for r in rows))
+        for label in (0.0, 1.0):
+            sizes = Counter(r.fold for r in rows if r.label == label).values()
+            assert len(sizes) == 4 and max(sizes) - min(sizes) <= 1
+    assert runs[0] == runs[1] == runs[2]
