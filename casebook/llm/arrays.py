@@ -16,7 +16,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20  # text bytes worked on at once (a longer text is one slice of its own)
+SLICE_BYTES = 2 << 20  # text bytes worked on at once (a longer text is one slice of its own)
 U64 = np.uint64
 
 _SEPARATOR = np.zeros(256, dtype=bool)

@@ -24,8 +24,8 @@ import pyarrow.compute as pc
 
 from casebook.llm.arrays import utf8
 
-GROUP_BYTES = 16 << 20  # text encoded at once
-MAX_PIECES = 800_000  # entries of the cache
+GROUP_BYTES = 6 << 20  # text encoded at once
+MAX_PIECES = 400_000  # entries of the cache
 JOINED = 100  # words encoded in one call
 
 # Classes of bytes: letters (ASCII, and the bytes of U+00C0 to U+023F), digits, white space, signs; 4: none of these.
