@@ -162,6 +162,8 @@ def read(spark: SparkSession, out: str) -> DataFrame:
     totals = shards.groupBy("task").agg(F.sum("n_ids").alias("n"))
     before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)  # one row a task
     totals = totals.select("task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    if totals.count() <= 1 << 20:  # a row for each task that wrote, 12 bytes; so the blobs are not shuffled
+        totals = F.broadcast(totals)
     return (shards.select("task", "before", "blob").join(totals, "task")
             .select("task", (F.col("before") + F.col("base")).alias("before"), "blob")
             .mapInArrow(_documents(dictionary), "doc_id long, task int, before long, n_tokens long, ids binary")
