@@ -29,6 +29,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from casebook.llm import exchange as X
+
 LEAST = 0.7
 
 # License names and sentences that state them.
@@ -80,7 +82,7 @@ def own_licenses(docs: DataFrame, templates=TEMPLATES, least: float = LEAST) ->
     rows = table.collect()  # the words of the given templates
     idf = F.create_map(*[F.lit(x) for t, i in sorted({(r["term"], r["idf"]) for r in rows}) for x in (t, i)])
     unseen = math.log(len(templates) + 1.0) + 1.0  # of a word that no template has
-    heavy = r"(?iu)(?<![\p{L}\p{N}])(" + "|".join(key_words(rows, least)) + r")(?![\p{L}\p{N}])"
+    heavy = "(?i)(?:" + "|".join(key_words(rows, least)) + ")"  # may also match inside longer words, which costs little
     whole = F.when(F.col("path").rlike(LICENSE_FILE), F.array("text")).otherwise(F.array().cast("array<string>"))
     units = docs.filter(F.col("doc_id").isNotNull() & F.col("text").rlike(heavy)).select(
         "doc_id", F.explode(F.filter(F.array_distinct(F.concat(F.split("text", "\n"), whole)),
@@ -115,7 +117,7 @@ def scan(docs: DataFrame, gives: Column, templates=TEMPLATES, least: float = LEA
     """``docs`` (doc_id, path, text) -> doc_id, path, license, cosine, licensed_by (the directory it is inherited
     from; null for a license of its own or none). ``gives``: which files' licenses hold for their directory."""
     files = docs.select("doc_id", "path", gives.alias("gives"))
-    own = own_licenses(docs, templates, least)
+    own = X.table(own_licenses(docs, templates, least))  # read three times below; a row per licensed document
     files = files.join(own, "doc_id", "left")
     # shift right: the directory of a file is its path without the last part
     home = F.array_join(F.slice(F.split("path", "/"), 1, F.size(F.split("path", "/")) - 1), "/")
