@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from casebook.plans import catalogue
 from casebook.sources.tables import TABLES
 from tools.oracle_check import rows_of
 
@@ -22,7 +23,7 @@ def duck():
 
 
 def test_every_query_has_oracle_or_is_model():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(catalogue.QUERIES) - set(E.oracle_sql())
     assert missing <= {"agglo_labels", "kmeans_profile", "renewal_scores", "multilabel_scores"}
 
 
