@@ -19,6 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from casebook.llm.arrays import tidy
 from casebook.session import ensure_checkpoint_dir
 
 PACKED = "bucket int, kind int, docs binary, counts binary, sigs binary, extra binary, places binary"
@@ -99,8 +100,8 @@ def routed(df: DataFrame, emit: Callable, consume: Callable, schema: str, n_buck
     """``emit`` makes packed batches of Arrow batches; ``consume`` gets all of one bucket, ``kind`` 0 first."""
     def own(batches):
         yield from consume(batches)
-    return (df.mapInArrow(emit, PACKED).repartitionById(n_buckets, F.col("bucket"))
-            .sortWithinPartitions("kind").mapInArrow(own, schema))
+    return (df.mapInArrow(tidy(emit), PACKED).repartitionById(n_buckets, F.col("bucket"))
+            .sortWithinPartitions("kind").mapInArrow(tidy(own), schema))
 
 
 def per_document(doc: np.ndarray, values: np.ndarray, names: list[str]) -> pa.RecordBatch:

@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casebook.llm import exchange as X
-from casebook.llm.arrays import Runs, byte_runs, mix, slices, utf8, window_starts, words
+from casebook.llm.arrays import Runs, byte_runs, mix, slices, tidy, utf8, window_starts, words
 from casebook.operators.common import connected_components
 
 SHINGLE = 5
@@ -428,7 +428,7 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
         entries = (index.filter((F.col("kind") == 2) | ((F.col("kind") == 1) & (F.col("b") > 0)))
                    .groupBy("key").agg(F.collect_list(F.struct("kind", "owner", "a", "b", "c")).alias("entries")))
         sets = index.filter("kind = 0 and a > 0").groupBy("key").agg(*(F.first(x).alias(x) for x in "abc"))
-        asks = X.table(sets.join(entries, "key").mapInArrow(_allocate(percent), "key long, owner long"))
+        asks = X.table(sets.join(entries, "key").mapInArrow(tidy(_allocate(percent)), "key long, owner long"))
         members = (index.filter("kind > 0").select("owner", "key", (F.col("a") * F.greatest("b", F.lit(1))).alias("hub"))
                    .groupBy("owner", "key").agg(F.max("hub").alias("hub"))
                    .join(asks.select("owner").distinct(), "owner", "left_semi"))
@@ -450,7 +450,7 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
     # one plan at every size: the candidates' list is never broadcast, as it grows with the corpus
     texts = X.table(docs.join(wanted.select(F.col("rep").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
                     .dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("rep"), "text")
-                    .mapInArrow(_prepared(shingle, percent), "rep long, ztext binary, sketch binary"))
+                    .mapInArrow(tidy(_prepared(shingle, percent)), "rep long, ztext binary, sketch binary"))
     hubs = members.groupBy("key").agg(F.sum("hub").alias("hub"))
     sets = wanted.join(hubs, "key")
     within = X.table(members.select("owner", "key").join(sets, "key").select("owner", "rep", "n_shingles", "hub"))
@@ -463,7 +463,7 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
         both = (pairs.join(texts.select(F.col("rep").alias("x"), F.col("ztext").alias("zx")), "x")
                 .join(texts.select(F.col("rep").alias("y"), F.col("ztext").alias("zy")), "y")
                 .select("x", "y", "zx", "zy"))
-        return X.table(both.mapInArrow(_verify(shingle, percent), "x long, y long"))
+        return X.table(both.mapInArrow(tidy(_verify(shingle, percent)), "x long, y long"))
 
     best = within.groupBy("owner").agg(F.max_by(F.struct("rep", "n_shingles"), F.struct("hub", "rep")).alias("best"))
     stars = (within.join(best, "owner").filter(F.col("rep") != F.col("best.rep"))
@@ -484,7 +484,7 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
     placed = placed.select("owner", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block",
                            "rep", "n_shingles", "comp", F.coalesce("asks", F.lit(False)).alias("asks"), "sketch")
     rest = (placed.repartition("owner", "i", "j").sortWithinPartitions("owner", "i", "j")
-            .mapInArrow(_near(percent), "x long, y long").filter("x < y").distinct().join(stars, ["x", "y"], "left_anti"))
+            .mapInArrow(tidy(_near(percent)), "x long, y long").filter("x < y").distinct().join(stars, ["x", "y"], "left_anti"))
     more = verified(rest)
     if not more.isEmpty():
         links = links.unionByName(more)

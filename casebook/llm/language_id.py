@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from casebook.llm.arrays import slices, utf8
+from casebook.llm.arrays import release, slices, tidy, utf8
 
 SAMPLE = 1500  # documents learned from per language, those with the smallest hashes of doc_id
 FEATURES = 1 << 16
@@ -119,7 +119,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
         return Model([], codewords(0), np.zeros((0, FEATURES), dtype=np.float32))
     limit = docs.sparkSession.createDataFrame([(r["lang"], r["limit"]) for r in limits], "lang string, limit long")
     chosen = rows.join(F.broadcast(limit), "lang").filter("h <= limit").select("lang", "text")
-    found = (chosen.mapInArrow(_counts, "lang string, feature int, n long").groupBy("lang", "feature")
+    found = (chosen.mapInArrow(tidy(_counts), "lang string, feature int, n long").groupBy("lang", "feature")
              .agg(F.sum("n").alias("n")).toArrow())  # at most FEATURES rows a language
     languages = sorted({r["lang"] for r in limits})
     number = {x: k for k, x in enumerate(languages)}
@@ -155,6 +155,7 @@ def predict(docs: DataFrame, model: Model, name: str = "language") -> DataFrame:
     def run(column: pa.Array) -> pa.Array:
         parts = [model.decode(*utf8(p.column(0))) for p in slices([pa.RecordBatch.from_arrays([column], names=["text"])])]
         best, score, margin = (np.concatenate([p[k] for p in parts]) if parts else np.zeros(0) for k in range(3))
+        release()
         return pa.StructArray.from_arrays([pa.array(best.astype(np.int32)), pa.array(score.astype(float)),
                                            pa.array(margin.astype(float))], names=["best", "score", "margin"])
     text = docs["text"].cast("string")

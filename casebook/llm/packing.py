@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from casebook.llm import exchange as X
 from casebook.llm import tokens
+from casebook.llm.arrays import tidy
 
 CAPACITY = 2048
 END = 0
@@ -135,7 +136,7 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END) -
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     pieces = X.table(docs.mapInArrow(
-        _pieces(path, capacity, end),
+        tidy(_pieces(path, capacity, end)),
         "doc_id long, piece int, start long, length long, ids_crc32 long, task int, nth long"))
     by_task = pieces.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)

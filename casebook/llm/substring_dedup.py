@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casebook.llm import exchange as X
-from casebook.llm.arrays import Runs, byte_runs, slices, utf8, window_starts, words
+from casebook.llm.arrays import Runs, byte_runs, slices, tidy, utf8, window_starts, words
 
 WINDOW = 50
 BLOCK = 25
@@ -204,12 +204,12 @@ def remove_repeats(docs: DataFrame, width: int = WINDOW, normalise: bool = True)
                      "doc_id long, marks binary", n)
     marks = marks.groupBy("doc_id").agg(F.collect_list("marks").alias("marks"))
     held = X.table(docs.join(marks, "doc_id", "left").select("doc_id", "text", "marks")
-                   .mapInArrow(squeezed, "doc_id long, ztext binary, marks array<binary>"))
+                   .mapInArrow(tidy(squeezed), "doc_id long, ztext binary, marks array<binary>"))
     touched = held.filter(F.col("marks").isNotNull())
     spans = X.routed(touched, _emit_windows(width, block, n), _repeats, "doc_id long, spans binary", n)
     spans = spans.groupBy("doc_id").agg(F.collect_list("spans").alias("spans"))
     schema = "doc_id long, n_words long, n_removed long, kept string"
-    apply = _rewrite(width, normalise)
+    apply = tidy(_rewrite(width, normalise))
     judged = touched.select("doc_id", "ztext").join(spans, "doc_id", "left").mapInArrow(apply, schema)
     rest = (held.filter(F.col("marks").isNull())
             .select("doc_id", "ztext", F.lit(None).cast("array<binary>").alias("spans")).mapInArrow(apply, schema))

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casebook.llm import exchange as X
-from casebook.llm.arrays import byte_runs, mix, slices, utf8
+from casebook.llm.arrays import byte_runs, mix, slices, tidy, utf8
 from casebook.llm.substring_dedup import squeezed
 
 DEPTH = 400
@@ -231,7 +231,7 @@ def remove_repeated_bytes(docs: DataFrame, depth: int = DEPTH, gram: int | None
                      "doc_id long, marks binary", n)
     marks = marks.groupBy("doc_id").agg(F.collect_list("marks").alias("marks"))
     held = X.table(docs.join(marks, "doc_id", "left").select("doc_id", "text", "marks")
-                   .mapInArrow(squeezed, "doc_id long, ztext binary, marks array<binary>"))
+                   .mapInArrow(tidy(squeezed), "doc_id long, ztext binary, marks array<binary>"))
     touched = held.filter(F.col("marks").isNotNull())
     found = X.table(X.routed(touched, _emit_classes(depth, gram, n), _classes,
                              "doc_id long, kind int, value binary", n))
@@ -241,8 +241,8 @@ def remove_repeated_bytes(docs: DataFrame, depth: int = DEPTH, gram: int | None
     spans = (found.filter("kind = 0").select("doc_id", "value").unionByName(last)
              .groupBy("doc_id").agg(F.collect_list("value").alias("spans")))
     schema = "doc_id long, n_bytes long, n_removed long, starts array<long>, ends array<long>, kept binary"
-    judged = touched.select("doc_id", "ztext").join(spans, "doc_id", "left").mapInArrow(_rewrite(depth), schema)
+    judged = touched.select("doc_id", "ztext").join(spans, "doc_id", "left").mapInArrow(tidy(_rewrite(depth)), schema)
     plain = (held.filter(F.col("marks").isNull())
              .select("doc_id", "ztext", F.lit(None).cast("array<binary>").alias("spans"))
-             .mapInArrow(_rewrite(depth), schema))
+             .mapInArrow(tidy(_rewrite(depth)), schema))
     return judged.unionByName(plain)

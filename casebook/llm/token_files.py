@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from casebook.llm import tokens
+from casebook.llm.arrays import tidy
 
 MAGIC = b"CBTK1\0\0\0"
 SHARD_IDS = 1 << 20  # ids after which a shard ends
@@ -133,7 +134,7 @@ def write(docs: DataFrame, path: str, out: str, end: int = END) -> None:
     spark.createDataFrame([(hashlib.sha256(dictionary).hexdigest(), bytearray(dictionary))],
                           "sha256 string, dictionary binary").write.parquet(f"{out}/dictionary")
     ordered = docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    (ordered.mapInArrow(_shards(path, dictionary, end), "task int, number long, before long, n_ids long, blob binary")
+    (ordered.mapInArrow(tidy(_shards(path, dictionary, end)), "task int, number long, before long, n_ids long, blob binary")
      .write.option("compression", "none").parquet(f"{out}/shards"))
 
 
@@ -166,7 +167,7 @@ def read(spark: SparkSession, out: str) -> DataFrame:
         totals = F.broadcast(totals)
     return (shards.select("task", "before", "blob").join(totals, "task")
             .select("task", (F.col("before") + F.col("base")).alias("before"), "blob")
-            .mapInArrow(_documents(dictionary), "doc_id long, task int, before long, n_tokens long, ids binary")
+            .mapInArrow(tidy(_documents(dictionary)), "doc_id long, task int, before long, n_tokens long, ids binary")
             .select("doc_id", F.col("before").alias("start"), "n_tokens", "ids"))
 
 
@@ -179,4 +180,4 @@ def _crc32(batches):
 
 def digests(documents: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of what ``read`` returns."""
-    return documents.mapInArrow(_crc32, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return documents.mapInArrow(tidy(_crc32), "doc_id long, start long, n_tokens long, ids_crc32 long")
