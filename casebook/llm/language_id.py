@@ -158,6 +158,7 @@ def predict(docs: DataFrame, model: Model, name: str = "language") -> DataFrame:
         release()
         return pa.StructArray.from_arrays([pa.array(best.astype(np.int32)), pa.array(score.astype(float)),
                                            pa.array(margin.astype(float))], names=["best", "score", "margin"])
+    run = run.asNondeterministic()  # or a filter on the result would decode each text a second time
     text = docs["text"].cast("string")
     lettered = F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
     languages = F.array(*[F.lit(x) for x in model.languages]) if model.languages else F.array().cast("array<string>")
