@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 2 << 20  # text bytes worked on at once (a longer text is one slice of its own)
+ROW_BYTES = 1 << 19  # the same where a slice gives a row per text and nothing is packed by slice
 U64 = np.uint64
 
 _SEPARATOR = np.zeros(256, dtype=bool)
@@ -41,8 +42,8 @@ def utf8(column) -> tuple[np.ndarray, np.ndarray]:
     return off - off[0], raw
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches into runs of rows with at most SLICE_BYTES of text (one row at least)."""
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches into runs of rows with at most ``size`` bytes of text (one row at least)."""
     for batch in batches:
         n = batch.num_rows
         if not n:
@@ -50,7 +51,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
         off, _ = utf8(batch.column(batch.schema.get_field_index(column)))
         lo = 0
         while lo < n:
-            hi = int(np.searchsorted(off, off[lo] + SLICE_BYTES, side="right")) - 1
+            hi = int(np.searchsorted(off, off[lo] + size, side="right")) - 1
             hi = min(max(hi, lo + 1), n)
             yield batch.slice(lo, hi - lo)
             lo = hi

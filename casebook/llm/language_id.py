@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from casebook.llm.arrays import release, slices, tidy, utf8
+from casebook.llm.arrays import ROW_BYTES, release, slices, tidy, utf8
 
 SAMPLE = 1500  # documents learned from per language, those with the smallest hashes of doc_id
 FEATURES = 1 << 16
@@ -134,7 +134,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
 
 def _counts(batches):
     total: dict[str, np.ndarray] = {}
-    for part in slices(batches):
+    for part in slices(batches, size=ROW_BYTES):
         languages = np.array(part.column(0).to_pylist(), dtype=object)
         off, data = utf8(part.column(1))
         index, at = trigrams(off, data)
@@ -153,7 +153,8 @@ def predict(docs: DataFrame, model: Model, name: str = "language") -> DataFrame:
     """``docs`` with a struct ``name`` from its column ``text``: lang_pred, score, margin, ambiguous."""
     @F.arrow_udf("best int, score double, margin double")
     def run(column: pa.Array) -> pa.Array:
-        parts = [model.decode(*utf8(p.column(0))) for p in slices([pa.RecordBatch.from_arrays([column], names=["text"])])]
+        rows = slices([pa.RecordBatch.from_arrays([column], names=["text"])], size=ROW_BYTES)
+        parts = [model.decode(*utf8(p.column(0))) for p in rows]
         best, score, margin = (np.concatenate([p[k] for p in parts]) if parts else np.zeros(0) for k in range(3))
         release()
         return pa.StructArray.from_arrays([pa.array(best.astype(np.int32)), pa.array(score.astype(float)),
