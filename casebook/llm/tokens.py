@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 
 from casebook.llm.arrays import utf8
 
-GROUP_BYTES = 6 << 20  # text encoded at once
+GROUP_BYTES = 2 << 20  # text encoded at once
 MAX_PIECES = 400_000  # entries of the cache
 JOINED = 100  # words encoded in one call
 
