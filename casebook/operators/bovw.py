@@ -2,8 +2,8 @@
 chi-squared similarity search.
 
 Plan shape: descriptors are one row each (``posexplode``), the codebook is a
-small matrix broadcast to executors after a size check, assignment is one
-vectorised numpy step per Arrow batch, histograms are two partial/final
+matrix broadcast in blocks of bounded size, assignment is one vectorised numpy
+step per Arrow batch of descriptors, histograms are two partial/final
 aggregates, and search is a top-k (TakeOrderedAndProject): every task keeps
 k rows, nothing else reaches the driver.
 """
@@ -14,15 +14,15 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casebook.functions import exprs as X
-from casebook.session import ship_package
+from casebook.session import cut_lineage, ship_package, spark_context
 
-# Above this many codebook bytes a single broadcast is not used; the codebook
-# is split into blocks and the per-block nearest centres are merged.
+# Most codebook bytes broadcast at once; a larger codebook goes in several blocks.
 MAX_BROADCAST_BYTES = 64 << 20
 
 
@@ -128,28 +128,22 @@ def train_codebook(descriptors: DataFrame, k: int, max_iter: int = 10, restarts:
     return spark.createDataFrame(centres, "centre_id int, centre array<double>")
 
 
-# A codebook this small is numbered in one task; larger ones use the
-# distributed ordered index.
-SMALL_CODEBOOK = 100_000
-
-
-def codebook_from_groups(descriptors: DataFrame, group: str, dim: int,
+def codebook_from_groups(descriptors: DataFrame, group: str,
                          descriptor: str = "descriptor") -> DataFrame:
     """Centroid of every group of descriptors as a codebook (centre_id = rank
-    of the group value, from 0). One partial/final aggregate; ``dim``
-    averages per group. The group count is checked before numbering."""
+    of the group value, from 0): one partial/final vector mean over whole
+    descriptors, numbered by the distributed ordered index. Descriptors of
+    one group that differ in length are an error."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
     from casebook.operators.common import ordered_index
-    from casebook.session import reuse
 
-    means = reuse(descriptors.groupBy(group).agg(
-        *[F.avg(F.col(descriptor)[i].cast("double")).alias(f"_m{i}") for i in range(dim)]))
-    centre = F.array(*[F.col(f"_m{i}") for i in range(dim)]).alias("centre")
-    if means.count() <= SMALL_CODEBOOK:
-        w = Window.orderBy(group)  # bounded by the check above
-        return means.select((F.row_number().over(w) - 1).cast("int").alias("centre_id"),
-                            F.col(group), centre)
-    numbered = ordered_index(means, [group], name="centre_id", start=0)
-    return numbered.select(F.col("centre_id").cast("int"), F.col(group), centre)
+    means = descriptors.groupBy(group).agg(
+        Summarizer.mean(array_to_vector(X.to_double_array(descriptor))).alias("_mean"))
+    numbered = ordered_index(means.select(group, vector_to_array("_mean").alias("centre")),
+                             [group], name="centre_id", start=0)
+    return numbered.select(F.col("centre_id").cast("int"), F.col(group), "centre")
 
 
 def codebook_matrix(codebook: DataFrame, lo: int = 0, hi: int | None = None) -> np.ndarray:
@@ -167,19 +161,28 @@ def codebook_matrix(codebook: DataFrame, lo: int = 0, hi: int | None = None) ->
 
 
 # ------------------------------------------------------------- assignment
+# Elements of one rows x centres matrix in a worker (64 MB of doubles).
+TILE = 8 << 20
+
+
 def _nearest(block: np.ndarray, offset: int):
-    """Function for mapInPandas: nearest centre of ``block`` per descriptor,
-    ties to the lowest centre id.
+    """Nearest centre of ``block`` per row of a matrix, ties to the lowest
+    centre id, in tiles of rows whose product matrix holds ``TILE`` elements.
 
     One matrix product per batch gives |x|^2 - 2 x.c + |c|^2 for every
     centre; the expansion can be off by rounding, so every centre within a
     tolerance of a row's minimum is re-measured with direct float64
     differences and the exact winner is kept."""
     cc = (block * block).sum(axis=1)
+    tile = max(1, TILE // len(block))
 
     def nearest(x: np.ndarray):
-        if len(x) == 0:
+        parts = [one_tile(x[s:s + tile]) for s in range(0, len(x), tile)]
+        if not parts:
             return np.zeros(0, dtype=np.int32), np.zeros(0)
+        return tuple(np.concatenate(p) for p in zip(*parts))
+
+    def one_tile(x: np.ndarray):
         xx = (x * x).sum(axis=1)
         approx = xx[:, None] - 2.0 * (x @ block.T) + cc[None, :]
         low = approx.min(axis=1)
@@ -200,49 +203,55 @@ def _nearest(block: np.ndarray, offset: int):
 def assign(descriptors: DataFrame, codebook: DataFrame, descriptor: str = "descriptor",
            max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Append ``word`` (nearest centre id) and ``dist`` (Euclidean) to every
-    descriptor. The codebook matrix is broadcast after a size check; a larger
-    codebook is processed in broadcast-sized blocks whose per-block winners
-    are merged exactly (smallest distance, then lowest id)."""
+    descriptor; both are null without a descriptor or without centres.
+
+    The codebook is passed in blocks of at most ``max_broadcast_bytes``: one
+    block at a time is brought to the driver and broadcast, every row keeps
+    its best centre so far, and the table is written between blocks so that a
+    worker holds one block. Only the descriptor enters Python; no shuffle, no
+    key, and rows and columns stay as they are. A codebook of one block is one
+    pass without a written table."""
     shape = codebook.agg(F.count(F.lit(1)).alias("k"), F.max(F.size("centre")).alias("dim")).first()
     k, dim = int(shape["k"]), int(shape["dim"] or 0)
-    spark = descriptors.sparkSession
-    ship_package(spark)
-    rows_per_block = max(1, max_broadcast_bytes // max(1, dim * 8))
-    blocks = [(s, min(s + rows_per_block, k)) for s in range(0, k, rows_per_block)]
-    in_schema = descriptors.schema
-    out_schema = T.StructType(list(in_schema.fields) + [
-        T.StructField("word", T.IntegerType()), T.StructField("dist", T.DoubleType())])
-
-    def one_block(offset: int, end: int) -> DataFrame:
-        mat = codebook_matrix(codebook, offset, end)
-        try:
-            holder = spark.sparkContext.broadcast(mat)   # shipped once per executor
-            get = lambda: holder.value
-        except Exception:  # noqa: BLE001 - Spark Connect: ship with the function
-            get = lambda: mat
-
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            block = get()
-            fn = _nearest(block, offset)
-            for pdf in batches:
-                x = np.array([np.asarray(v, dtype=np.float64) for v in pdf[descriptor]]) \
-                    if len(pdf) else np.zeros((0, block.shape[1]))
-                w, d = fn(x.reshape(len(pdf), -1))
-                yield pdf.assign(word=w.astype(np.int32), dist=d)
-        return descriptors.mapInPandas(run, out_schema)
-
-    if len(blocks) == 1:
-        return one_block(*blocks[0])
-    if "_did" not in descriptors.columns:
-        raise ValueError("blocked assignment needs a descriptor key column '_did'")
-    parts = [one_block(o, b) for o, b in blocks]
-    allp = parts[0]
-    for p in parts[1:]:
-        allp = allp.unionByName(p)
-    keep = [f.name for f in in_schema.fields if f.name != "_did"]
-    best = allp.groupBy("_did").agg(F.min_by(F.struct(*keep, "word", "dist"),
-                                             F.struct("dist", "word")).alias("_b"))
-    return best.select("_did", "_b.*")
+    ship_package(descriptors.sparkSession)
+    per = max(1, max_broadcast_bytes // max(1, dim * 8))
+    out = descriptors.withColumn("_best", F.lit(None).cast("struct<word:int,dist:double>"))
+    for lo in range(0, k, per):
+        if lo:
+            out = cut_lineage(out)
+        found = _nearest_udf(out.sparkSession, codebook_matrix(codebook, lo, lo + per), lo)
+        out = out.withColumn("_new", found(X.to_double_array(descriptor)))
+        if lo:  # an earlier block has the lower ids, so it keeps ties
+            out = out.withColumn("_new", F.when(F.col("_new.dist") < F.col("_best.dist"), F.col("_new"))
+                                 .otherwise(F.col("_best")))
+        out = out.withColumn("_best", F.col("_new")).drop("_new")
+    return out.select(*[F.col(f"`{c}`") for c in descriptors.columns], "_best.word", "_best.dist")
+
+
+def _nearest_udf(spark, block: np.ndarray, offset: int):
+    """Arrow function: descriptors (array<double>) -> struct(word, dist) within one codebook block."""
+    sc = spark_context(spark)
+    if sc is not None:
+        holder = sc.broadcast(block)   # shipped once per executor
+        del block
+        get = lambda: holder.value
+    else:  # Spark Connect: ship with the function
+        get = lambda: block
+
+    @F.arrow_udf("word int, dist double")
+    def nearest(values: pa.Array) -> pa.Array:
+        centres = get()
+        there = values.drop_null()
+        if not (there.value_lengths().to_numpy(zero_copy_only=False) == centres.shape[1]).all():
+            raise ValueError(f"descriptors must have {centres.shape[1]} components, as the codebook has")
+        x = there.flatten().to_numpy(zero_copy_only=False).reshape(len(there), centres.shape[1])
+        w, d = _nearest(centres, offset)(x)
+        missing = values.is_null().to_numpy(zero_copy_only=False)
+        words, dists = np.zeros(len(values), dtype=np.int32), np.zeros(len(values))
+        words[~missing], dists[~missing] = w, d
+        return pa.StructArray.from_arrays([pa.array(words, mask=missing), pa.array(dists, mask=missing)],
+                                          names=["word", "dist"])
+    return nearest
 
 
 # ------------------------------------------------------------- histograms
@@ -278,9 +287,10 @@ def search(index: DataFrame, query_hist, k: int = 20, image: str = "image",
         if len(rows) != 1:
             raise ValueError("query_hist must hold exactly one row")
         query_hist = rows[0][0]
-    q = F.array(*[F.lit(float(v)) for v in query_hist])
-    scored = index.select(F.col(image), F.round(X.chi2_distance(F.col(hist), q), digits)
-                          .alias("distance"))
+    # one array value, however long: not a literal per word
+    q = index.sparkSession.createDataFrame([([float(v) for v in query_hist],)], "q array<double>").scalar()
+    scored = index.withColumn("_query", q).select(
+        F.col(image), F.round(X.chi2_distance(F.col(hist), F.col("_query")), digits).alias("distance"))
     top = scored.orderBy("distance", image).limit(k)
     w = Window.orderBy("distance", image)  # k rows
     out = top.select(image, "distance", F.row_number().over(w).alias("rank"))
@@ -290,14 +300,23 @@ def search(index: DataFrame, query_hist, k: int = 20, image: str = "image",
 
 
 def search_many(index: DataFrame, queries: DataFrame, k: int = 20, image: str = "image",
-                hist: str = "hist", max_queries: int = 256) -> DataFrame:
-    """Top-k per query image: one top-k plan per query, unioned. The number
-    of queries is checked first (each query becomes one small job)."""
-    rows = queries.select(image, hist).take(max_queries + 1)
-    if len(rows) > max_queries:
-        raise ValueError(f"more than {max_queries} query images; search in batches")
-    out = None
-    for r in rows:
-        part = search(index, r[1], k=k, image=image, hist=hist, query_id=r[0])
-        out = part if out is None else out.unionByName(part)
-    return out
+                hist: str = "hist", block: int = 256, digits: int = 6) -> DataFrame:
+    """Top-k per query image, for any number of queries, in one plan.
+
+    Query histograms are numbered and gathered ``block`` to a row; every index
+    row meets each block once and is scored against all its queries there.
+    The rank filter keeps k rows per query in each task before the shuffle
+    (window group limit), ties by image id."""
+    from casebook.operators.common import ordered_index
+
+    numbered = ordered_index(queries.select(F.col(image).alias("_q"), F.col(hist).alias("_h")), ["_q"],
+                             name="_nth", start=0)
+    blocks = numbered.groupBy(F.expr(f"cast(_nth div {int(block)} as int)").alias("_blk")).agg(
+        F.collect_list(F.struct("_q", "_h")).alias("_queries"))
+    n = queries.count()
+    meet = index.select(image, hist, F.explode(F.sequence(F.lit(0), F.lit(max(0, (n - 1) // block)))).alias("_blk"))
+    scored = meet.join(blocks, "_blk").select(F.inline(F.transform("_queries", lambda q: F.struct(
+        q["_q"].alias("query"), F.col(image).alias(image),
+        F.round(X.chi2_distance(F.col(hist), q["_h"]), digits).alias("distance")))))
+    w = Window.partitionBy("query").orderBy("distance", image)
+    return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

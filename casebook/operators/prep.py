@@ -8,6 +8,7 @@ Catalyst fuses with the scan.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -85,19 +86,14 @@ def maxabs_scale(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None =
 
 
 # ------------------------------------------------------------------ one-hot
-def categories(df: DataFrame, cols: Sequence[str], max_categories: int = 10000) -> dict[str, list]:
+def categories(df: DataFrame, cols: Sequence[str]) -> dict[str, list]:
     """Sorted distinct non-null values per column (one shuffle for all).
 
-    The per-column counts are checked before any value list is built: the
-    values become column names, so more than ``max_categories`` raises (use
-    ``StringIndexer`` + ``OneHotEncoder`` vectors for such columns)."""
+    The values become column names of ``one_hot``, so they are listed on the
+    driver; ``auto_prepare_long`` gives the same features as rows and lists
+    nothing, for columns of many values."""
     vals = (profile.distinct_values(df, cols).filter(F.col("value").isNotNull())
             .select("column", "value"))
-    sizes = {r["column"]: r["k"] for r in
-             vals.groupBy("column").agg(F.count(F.lit(1)).alias("k")).collect()}
-    too_big = sorted(c for c, k in sizes.items() if k > max_categories)
-    if too_big:
-        raise ValueError(f"too many categories for named one-hot columns: {too_big}")
     found = {r["column"]: list(r["values"]) for r in
              vals.groupBy("column").agg(F.array_sort(F.collect_list("value")).alias("values")).collect()}
     return {c: found.get(c, []) for c in cols}
@@ -118,6 +114,20 @@ def one_hot(df: DataFrame, cols: Sequence[str], cats: dict[str, list] | None = N
 
 
 # ------------------------------------------------------- automatic cleaning
+def _surviving(df: DataFrame, keep: Sequence[str], fit: DataFrame) -> tuple[dict, list[str]]:
+    """Fitted (min, max) of numeric columns and the string columns that stay, in one pass over ``fit``."""
+    feats = [c for c in df.columns if c not in keep]
+    nums = [c for c in profile.numeric_columns(df) if c in feats]
+    aggs = [F.max(F.col(f"`{c}`").isNull().cast("int")).alias(f"null_{c}") for c in feats]
+    aggs += [F.min(f"`{c}`").alias(f"lo_{c}") for c in nums] + [F.max(f"`{c}`").alias(f"hi_{c}") for c in nums]
+    row = fit.agg(*aggs).first()
+    survivors = [c for c in feats if not row[f"null_{c}"]]
+    strings = [c for c in survivors if isinstance(df.schema[c].dataType, StringType)]
+    # a numeric column is constant when max == min (variance 0)
+    return {c: (row[f"lo_{c}"], row[f"hi_{c}"]) for c in survivors
+            if c in nums and row[f"hi_{c}"] != row[f"lo_{c}"]}, strings
+
+
 def auto_prepare(df: DataFrame, id_col: str = "id", split_col: str | None = None,
                  fit_on: str = "all") -> DataFrame:
     """Drop columns with any null, drop constant numeric columns, min-max the
@@ -128,21 +138,36 @@ def auto_prepare(df: DataFrame, id_col: str = "id", split_col: str | None = None
     behaviour, which looks at test rows too)."""
     keep = [c for c in (id_col, split_col) if c]
     fit = df if fit_on == "all" else df.filter(F.col(split_col) == F.lit("train"))
-    feats = [c for c in df.columns if c not in keep]
-    # one pass: null flags for every column, min/max/var for numeric ones
-    nums = [c for c in profile.numeric_columns(df) if c in feats]
-    aggs = [F.max(F.col(c).isNull().cast("int")).alias(f"null_{c}") for c in feats]
-    aggs += [F.min(c).alias(f"lo_{c}") for c in nums] + [F.max(c).alias(f"hi_{c}") for c in nums]
-    row = fit.agg(*aggs).first()
-    survivors = [c for c in feats if not row[f"null_{c}"]]
-    strings = [c for c in survivors if isinstance(df.schema[c].dataType, StringType)]
-    # a numeric column is constant when max == min (variance 0)
-    numeric = [c for c in survivors if c in nums and row[f"hi_{c}"] != row[f"lo_{c}"]]
-    stats = {c: (row[f"lo_{c}"], row[f"hi_{c}"]) for c in numeric}
-    out = apply_minmax(df.select(*keep, *numeric, *strings), stats)
+    stats, strings = _surviving(df, keep, fit)
+    out = apply_minmax(df.select(*keep, *stats, *strings), stats)
     return one_hot(out, strings, categories(fit, strings)) if strings else out
 
 
+def auto_prepare_long(df: DataFrame, id_col: str = "id", split_col: str | None = None,
+                      fit_on: str = "all") -> DataFrame:
+    """The non-zero features of ``auto_prepare`` as rows (id, split, feature,
+    value): one per numeric column and one per string column, however many
+    values it has. Values that ``fit_on="train"`` has not seen give no row."""
+    keep = [c for c in (id_col, split_col) if c]
+    fit = df if fit_on == "all" else df.filter(F.col(split_col) == F.lit("train"))
+    stats, strings = _surviving(df, keep, fit)
+
+    def entries(frame, cols, scaled):
+        items = [F.struct(F.lit(c).alias("feature") if scaled else
+                          F.concat(F.lit(f"{c}_"), F.col(f"`{c}`")).alias("feature"),
+                          (F.col(f"`{c}`") if scaled else F.lit(1.0)).cast("double").alias("value")) for c in cols]
+        return frame.select(*keep, F.inline(F.array(*items))).filter(
+            F.col("feature").isNotNull() & (F.col("value") != 0))
+    parts = [entries(apply_minmax(df, stats), stats, True)] if stats else []
+    if strings:
+        coded = entries(df, strings, False)
+        if fit_on != "all":
+            coded = coded.join(entries(fit, strings, False).select("feature").distinct(), "feature", "left_semi")
+        parts.append(coded)
+    empty = df.select(*keep, F.lit("").alias("feature"), F.lit(0.0).alias("value")).filter(F.lit(False))
+    return functools.reduce(DataFrame.unionByName, parts) if parts else empty
+
+
 def to_sparse_long(df: DataFrame, id_col: str, feature_cols: Sequence[str]) -> DataFrame:
     """Wide features -> (id, feature, value) keeping non-zero entries only."""
     cols = list(feature_cols)

@@ -148,9 +148,7 @@ def q_auto_prep(spark, sf):
     src = p.select(F.col("p_partkey").alias("id"),
                    F.when(F.col("p_size") == 1, F.lit(None)).otherwise(F.col("p_name")).alias("p_name"),
                    "p_brand", "p_type", "p_size", "p_retailprice", F.lit(1).alias("p_const"))
-    wide = prep.auto_prepare(src, id_col="id")
-    long = prep.to_sparse_long(wide, "id", [c for c in wide.columns if c != "id"])
-    return long.withColumn("value", F.round("value", 6))
+    return prep.auto_prepare_long(src, id_col="id").withColumn("value", F.round("value", 6))
 
 
 _DV_COLS = ["p_brand", "p_type", "p_size"]
@@ -273,7 +271,7 @@ def _features(spark, sf):
 
 
 def _codebook(spark, sf):
-    return bovw.codebook_from_groups(_descriptors(spark, sf), "label", _DIM)
+    return bovw.codebook_from_groups(_descriptors(spark, sf), "label")
 
 
 def _round_arr(c, digits=6):
@@ -626,6 +624,10 @@ def q_log_loss(spark, sf):
     return model.log_loss_by_class(ev, "event_type", "y", "p")
 
 
+# Fixed value: the number of labels of the original job.
+_N_LABELS = 14
+
+
 @register("multilabel_scores")
 def q_multilabel_scores(spark, sf):
     p = table(spark, sf, "part")
@@ -636,9 +638,7 @@ def q_multilabel_scores(spark, sf):
     fcols = [c for c in feats.columns if c not in ("id", "split")]
     feats = model.assemble(feats, fcols)
     labels = p.select(F.col("p_partkey").alias("id"),
-                      (F.col("p_partkey") % 2).alias("label_0"),
-                      (F.col("p_partkey") % 3 == 0).cast("int").alias("label_1"),
-                      (F.col("p_partkey") % 5 == 0).cast("int").alias("label_2"))
+                      *[(F.col("p_partkey") % (i + 2) == 0).cast("int").alias(f"label_{i}") for i in range(_N_LABELS)])
     train = feats.filter(F.col("split") == "train").join(labels, "id")
-    models = model.fit_multilabel(train, "features", ["label_0", "label_1", "label_2"])
+    models = model.fit_multilabel(train, "features", [f"label_{i}" for i in range(_N_LABELS)])
     return model.score_multilabel(models, feats.filter(F.col("split") == "test"), "id", "features")

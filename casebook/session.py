@@ -29,7 +29,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("CASEBOOK_DRIVER_MEMORY", "16g"))
-        .config("spark.sql.legacy.javaCharsets", "true")
         .config("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "true")
     )
     spark = builder.getOrCreate()
@@ -37,7 +36,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
-def _context(spark: SparkSession):
+def spark_context(spark: SparkSession):
     try:
         return spark.sparkContext
     except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
@@ -49,7 +48,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     Reads ``spark.checkpoint.dir`` from the session. Only when it is unset
     and the master is local (tests, bench) a private folder is made."""
-    sc = _context(spark)
+    sc = spark_context(spark)
     if sc is not None:
         current = sc._jsc.sc().getCheckpointDir()
         if current.isDefined():
@@ -117,7 +116,7 @@ def ship_package(spark: SparkSession) -> None:
 
     import casebook
 
-    sc = _context(spark)
+    sc = spark_context(spark)
     if sc is None:
         from pyspark import cloudpickle
         cloudpickle.register_pickle_by_value(casebook)

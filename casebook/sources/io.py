@@ -25,23 +25,22 @@ PANDAS_NA = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
 # ------------------------------------------------------------ delimited text
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str,
                    sep: str = ",", header: bool = True, encoding: str = "UTF-8") -> DataFrame:
-    """Delimited text with a declared schema. A single-byte encoding such as
-    cp1251 needs ``spark.sql.legacy.javaCharsets=true``; it is switched on
-    for the read and restored after."""
-    conf_key = "spark.sql.legacy.javaCharsets"
-    legacy = encoding.upper().replace("-", "") not in ("UTF8", "UTF16", "USASCII", "ISO88591")
-    old = spark.conf.get(conf_key, "false")
-    if legacy:
-        spark.conf.set(conf_key, "true")
-    try:
-        df = (spark.read.schema(schema).option("sep", sep).option("header", header)
-              .option("encoding", encoding).option("mode", "FAILFAST").csv(path))
-        # resolve the plan while the setting is on
-        df.schema  # noqa: B018
-    finally:
-        if legacy:
-            spark.conf.set(conf_key, old)
-    return df
+    """Delimited text with a declared schema. Spark reads few encodings by
+    itself; any other single-byte one that keeps ASCII, such as cp1251, is
+    read byte for byte as ISO-8859-1 and its upper half translated, so no
+    session setting is needed. A byte without a character becomes U+FFFD."""
+    own = encoding.upper().replace("-", "") in ("UTF8", "UTF16", "USASCII", "ISO88591")
+    df = (spark.read.schema(schema).option("sep", sep).option("header", header)
+          .option("encoding", encoding if own else "ISO-8859-1").option("mode", "FAILFAST").csv(path))
+    if own:
+        return df
+    ascii_, upper = bytes(range(128)), bytes(range(128, 256))
+    chars = "".join(bytes([b]).decode(encoding, errors="replace") for b in upper)
+    if ascii_.decode(encoding, errors="replace") != ascii_.decode("ascii") or len(chars) != 128:
+        raise ValueError(f"{encoding} is not a single-byte extension of ASCII")
+    return df.select(*[
+        (F.translate(F.col(f"`{f.name}`"), upper.decode("latin-1"), chars).alias(f.name)
+         if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`")) for f in df.schema.fields])
 
 
 def read_with_null_tokens(spark: SparkSession, path: str, schema: T.StructType,

@@ -27,14 +27,18 @@ def running_shares(stream: DataFrame, key: str, flag: str, level: float = 0.95)
     return g.select(key, "n", "m", p.alias("p"), lo.alias("lo"), hi.alias("hi"))
 
 
-def ztest_each_batch(key: str, flag: str, control, sink: Callable[[DataFrame, int], None],
-                     critical: float = stats.Z_CRITICAL):
-    """``foreachBatch`` function: two-share z-test of every group against the
-    control group within each micro-batch; ``sink(result_df, batch_id)``."""
-    def run(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        if batch.filter(F.col(key) == F.lit(control)).isEmpty():
-            return
-        sink(stats.two_share_ztest(batch, key, flag, control, critical), batch_id)
+def ztest_totals(key: str, control, sink: Callable[[DataFrame, int], None],
+                 critical: float = stats.Z_CRITICAL):
+    """``foreachBatch`` function for ``running_shares`` in output mode
+    ``complete``: two-share z-test of every group against the control group on
+    the totals so far; ``sink(result_df, batch_id)``. Until the control group
+    has rows, its counts, z and the verdict are null."""
+    def run(totals: DataFrame, batch_id: int) -> None:
+        row = totals.filter(F.col(key) == F.lit(control)).select("m", "n").first()
+        m0, n0 = (F.lit(None if row is None else row[c]).cast("long") for c in ("m", "n"))
+        z = X.two_share_z("m", "n", m0, n0)
+        sink(totals.filter(F.col(key) != F.lit(control)).select(
+            F.lit(control).alias("control"), F.col(key).alias("treatment"), F.col("n").alias("n_treatment"),
+            F.col("m").alias("m_treatment"), n0.alias("n_control"), m0.alias("m_control"), z.alias("z"),
+            (z < F.lit(critical)).alias("equal_shares")), batch_id)
     return run

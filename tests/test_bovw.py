@@ -48,11 +48,43 @@ def test_assign_matches_brute_force(spark, data):
 
 
 def test_blocked_assign_equals_single_broadcast(spark, data):
+    """Blocks need no key: repeated and null descriptors and all columns stay."""
     _, df, cb = data
-    keyed = df.withColumn("_did", F.monotonically_increasing_id())
-    single = {r["_did"]: r["word"] for r in bovw.assign(keyed, cb).collect()}
-    blocked = {r["_did"]: r["word"] for r in bovw.assign(keyed, cb, max_broadcast_bytes=8 * 8 * 2).collect()}
-    assert single == blocked
+    more = df.unionAll(df).unionByName(spark.createDataFrame([(99, 0, None)], df.schema))
+    single, blocked = bovw.assign(more, cb), bovw.assign(more, cb, max_broadcast_bytes=8 * 8 * 2)
+    assert single.columns == blocked.columns == [*df.columns, "word", "dist"]
+    assert sorted(map(str, single.collect())) == sorted(map(str, blocked.collect()))
+    assert single.filter("image = 99").first()["word"] is None
+
+
+def test_assign_rejects_other_lengths(spark, data):
+    _, df, cb = data
+    longer = df.withColumn("descriptor", F.concat("descriptor", F.array(F.lit(0.0))))
+    with pytest.raises(Exception, match="components"):
+        bovw.assign(longer, cb).collect()
+
+
+def test_long_descriptors_keep_their_length(spark):
+    d = spark.createDataFrame([(0, [float(i) for i in range(128)])], "g int, descriptor array<double>")
+    assert len(bovw.codebook_from_groups(d, "g").first()["centre"]) == 128
+
+
+def test_assign_only_the_descriptor_enters_python(spark, data):
+    _, df, cb = data
+    plan = bovw.assign(df, cb)._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "MapInPandas" not in plan and "Exchange" not in plan
+
+
+def test_search_many_takes_any_number_of_queries(spark):
+    rnd = random.Random(8)
+    idx = spark.createDataFrame([(i, [float(rnd.randrange(4)) for _ in range(3)]) for i in range(300)],
+                                "image long, hist array<double>")
+    many = bovw.search_many(idx, idx, k=2, block=64).collect()
+    assert len(many) == 600
+    for q in (0, 63, 64, 299):
+        one = bovw.search(idx, idx.filter(F.col("image") == q), k=2).collect()
+        assert [(r["image"], r["distance"]) for r in one] == \
+            [(r["image"], r["distance"]) for r in sorted(many, key=lambda r: r["rank"]) if r["query"] == q]
 
 
 def test_histogram_sums_to_descriptor_count(spark, data):
@@ -83,8 +115,10 @@ def test_codebook_training_and_groups(spark, data):
     _, df, _ = data
     cb = bovw.train_codebook(df, k=3, max_iter=10, restarts=2, seed=1)
     assert cb.count() == 3 and len(cb.first()["centre"]) == 8
-    g = bovw.codebook_from_groups(df.withColumn("g", F.col("image") % 2), "g", 8)
+    g = bovw.codebook_from_groups(df.withColumn("g", F.col("image") % 2), "g")
     assert [r["centre_id"] for r in g.orderBy("centre_id").collect()] == [0, 1]
+    sums = df.filter("image % 2 = 1").selectExpr(*[f"avg(descriptor[{i}])" for i in range(8)]).first()
+    assert g.filter("centre_id = 1").first()["centre"] == pytest.approx(list(sums))
 
 
 def test_images_to_histograms(spark, tmp_dir):

@@ -14,6 +14,7 @@ def test_cp1251_semicolon_csv(spark, tmp_dir):
         f.write("Участник 1;Участник 2\nИванов;Петров\nПетров;Сидоров\n".encode("cp1251"))
     df = io.read_delimited(spark, path, "`Участник 1` string, `Участник 2` string", sep=";",
                            encoding="cp1251")
+    assert spark.conf.get("spark.sql.legacy.javaCharsets", "false") == "false"
     assert [tuple(r) for r in df.collect()] == [("Иванов", "Петров"), ("Петров", "Сидоров")]
 
 
@@ -109,3 +110,14 @@ def test_cardinality_exact_and_approx(spark):
     exact = {r["column"]: r["n_distinct"] for r in profile.cardinality(df, ["a", "b"]).collect()}
     approx = {r["column"]: r["n_distinct"] for r in profile.cardinality(df, ["a", "b"], exact=False).collect()}
     assert exact == {"a": 37, "b": 5} and approx == {"a": 37, "b": 5}
+
+
+def test_auto_prepare_long_equals_wide(spark):
+    rows = [(i, "train" if i % 3 else "test", float(i % 5), f"v.{i % 4}", f"w{i}", 7, None if i == 2 else 1.0)
+            for i in range(30)]
+    df = spark.createDataFrame(rows, "id long, split string, x double, s string, t string, c int, n double")
+    for fit_on in ("all", "train"):
+        wide = prep.auto_prepare(df, "id", "split", fit_on)
+        want = prep.to_sparse_long(wide, "id", [c for c in wide.columns if c not in ("id", "split")])
+        got = prep.auto_prepare_long(df, "id", "split", fit_on).select("id", "feature", "value")
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))

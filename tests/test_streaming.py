@@ -29,8 +29,13 @@ def test_running_shares_equal_batch(spark, tmp_dir):
     for k in ("i", "t"):
         assert got[k]["n"] == batch[k]["n"] and got[k]["lo"] == pytest.approx(batch[k]["lo"])
 
-    q2 = (stream.writeStream.foreachBatch(
-        shares.ztest_each_batch("type", "from_mobile", "i", lambda d, b: batches.append(d.collect())))
-        .option("checkpointLocation", os.path.join(tmp_dir, "ck2")).trigger(availableNow=True).start())
+    # one file a micro-batch: groups meet the control only in the totals
+    rows = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q2 = (shares.running_shares(rows, "type", "from_mobile").writeStream.outputMode("complete")
+          .foreachBatch(shares.ztest_totals("type", "i", lambda d, b: batches.append(d.collect())))
+          .option("checkpointLocation", os.path.join(tmp_dir, "ck2")).trigger(availableNow=True).start())
     q2.awaitTermination(120)
-    assert batches and batches[0][0]["treatment"] == "t"
+    whole = stats.two_share_ztest(df, "type", "from_mobile", "i", digits=None).first()
+    last = batches[-1][0]
+    assert len(batches) > 1 and last["treatment"] == "t" and last["n_treatment"] == 10
+    assert last["z"] == pytest.approx(whole["z"]) and last["equal_shares"] == whole["equal_shares"]
