@@ -10,11 +10,11 @@ components.
 
 from __future__ import annotations
 
-import functools
 import itertools
 import math
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -213,96 +213,50 @@ def kmeans(df: DataFrame, cols: Sequence[str], k: int = 4, max_iter: int = 50,
 
 
 # ------------------------------------------------------------ agglomerative
-def pair_distances(points: DataFrame, id_col: str, cols: Sequence[str],
-                   metric: str = "manhattan", blocks: int = 16,
-                   max_points: int = 50_000) -> DataFrame:
-    """All pairwise distances (a < b) of a bounded point set.
-
-    Average linkage needs every pairwise distance, so the point count is
-    checked first. The n^2/2 work is spread evenly over blocks*(blocks+1)/2
-    tasks: a point of hash block i is the row side of block pairs (i, j>=i)
-    and the column side of block pairs (j<=i, i); each pair of points meets
-    under exactly one block-pair key."""
-    n = points.count()
-    if n > max_points:
-        raise ValueError(f"{n} points exceed max_points={max_points} for all-pairs linkage")
-    arr = F.array(*[F.col(c).cast("double") for c in cols])
-    p = points.select(F.col(id_col).alias("id"), arr.alias("x"),
-                      F.pmod(F.xxhash64(id_col), F.lit(blocks)).cast("int").alias("blk"))
-    others = F.sequence(F.lit(0), F.lit(blocks - 1))
-    rows = p.select(F.col("id").alias("a"), F.col("x").alias("xa"), F.col("blk").alias("bx"),
-                    F.explode(F.filter(others, lambda j: j >= F.col("blk"))).alias("by"))
-    cols_ = p.select(F.col("id").alias("b"), F.col("x").alias("xb"), F.col("blk").alias("by"),
-                     F.explode(F.filter(others, lambda j: j <= F.col("blk"))).alias("bx"))
-    pairs = rows.join(cols_, ["bx", "by"]).filter((F.col("bx") < F.col("by")) | (F.col("a") < F.col("b")))
-    dist = X.manhattan("xa", "xb") if metric == "manhattan" else X.euclidean("xa", "xb")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
-                        dist.alias("dist"))
-
-
-def agglomerative(points: DataFrame, id_col: str, cols: Sequence[str], k: int,
-                  metric: str = "manhattan", max_rounds: int = 10_000,
-                  max_points: int = 50_000) -> tuple[DataFrame, DataFrame]:
-    """Average-linkage agglomerative clustering cut at ``k`` clusters.
-
-    Rounds of reciprocal-nearest-neighbour merges over the live pair table
-    (average linkage is reducible, so this gives the same dendrogram as
-    merging one pair at a time). The pair table keeps S = sum of member
-    distances; linkage = S / (|A| |B|). Ties break on (dist, a, b), so the
-    least pair is always mutual and every round merges at least one pair.
-
-    Per-cluster tables (sizes, nearest neighbours, renames) have at most
-    ``max_points`` rows, a bound checked up front, so they are broadcast: the
-    pair table is relabelled in place and only the merge of combined pairs
-    shuffles. Returns (labels (id, cluster), merges (a, b, height))."""
-    pairs = pair_distances(points, id_col, cols, metric, max_points=max_points)
-    live = cut_lineage(pairs.select("a", "b", F.col("dist").alias("s")))
-    ids = points.select(F.col(id_col).alias("id"))
-    sizes = cut_lineage(ids.select(F.col("id").alias("c"), F.lit(1).cast("long").alias("n")))
-    merges: list[DataFrame] = []
-    for _ in range(max_rounds):
-        if live.isEmpty():
+def average_linkage(centres: np.ndarray, weights: np.ndarray, k: int,
+                    metric: str = "manhattan") -> tuple[list[int], list[tuple[int, int, float]]]:
+    """Average linkage of weighted centres down to ``k`` clusters: the cluster
+    number of each centre (by first centre, from 0) and all merges (a, b,
+    height). A centre stands for ``weight`` points on one spot; heights are
+    rounded to 9 places and ties go to the smallest pair."""
+    gaps = centres[:, None, :] - centres[None, :, :]
+    dist = np.abs(gaps).sum(axis=2) if metric == "manhattan" else np.sqrt((gaps * gaps).sum(axis=2))
+    dist[np.tril_indices(len(centres))] = np.inf
+    n, root, merges = weights.astype(float), np.arange(len(centres)), []
+    labels = root.copy()
+    while True:
+        if len(centres) - len(merges) >= k:
+            labels = root.copy()
+        a, b = divmod(int(np.argmin(np.round(dist, 9))), max(1, len(centres)))
+        if not len(centres) or not np.isfinite(dist[a, b]):
             break
-        sa = F.broadcast(sizes.select(F.col("c").alias("a"), F.col("n").alias("na")))
-        sb = F.broadcast(sizes.select(F.col("c").alias("b"), F.col("n").alias("nb")))
-        cand = live.join(sa, "a").join(sb, "b").withColumn(
-            "d", F.round(F.col("s") / (F.col("na") * F.col("nb")), 9))  # sums depend on the order of addition
-        both = cand.select(F.inline(F.array(
-            F.struct(F.col("a").alias("x"), F.col("b").alias("y"), "d", "a", "b"),
-            F.struct(F.col("b").alias("x"), F.col("a").alias("y"), "d", "a", "b"))))
-        nn = (both.groupBy("x").agg(F.min_by(F.struct("y", "d"), F.struct("d", "a", "b")).alias("m"))
-              .select("x", F.col("m.y").alias("y"), F.col("m.d").alias("d")))
-        nn = reuse(nn)
-        back = F.broadcast(nn.select(F.col("x").alias("y"), F.col("y").alias("x")))
-        mutual = (nn.join(back, ["x", "y"]).filter(F.col("x") < F.col("y"))
-                  .select(F.col("x").alias("a"), F.col("y").alias("b"), F.col("d").alias("height")))
-        mutual = reuse(mutual)
-        merges.append(mutual)
-        ren = F.broadcast(mutual.select(F.col("b").alias("old"), F.col("a").alias("new")))
-
-        def relabel(frame, c):
-            return (frame.join(ren.withColumnRenamed("old", c), c, "left")
-                    .withColumn(c, F.coalesce("new", F.col(c))).drop("new"))
-        moved = relabel(relabel(live, "a"), "b").filter(F.col("a") != F.col("b"))
-        live = (moved.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "s")
-                .groupBy("a", "b").agg(F.sum("s").alias("s")))
-        live = cut_lineage(live)
-        sizes = cut_lineage(relabel(sizes, "c").groupBy("c").agg(F.sum("n").alias("n")))
-        nn.unpersist()
-    else:
-        raise RuntimeError("agglomerative clustering did not finish")
-    rounds = merges
-    merges = cut_lineage(functools.reduce(DataFrame.unionByName, rounds)) if rounds else \
-        ids.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(0.0).alias("height")).filter("false")
-    for r in rounds:
-        r.unpersist()
-    n = ids.count()
-    # the n-k lowest merges define the k-cluster cut
-    chosen = ordered_index(merges, ["height", "a", "b"], name="_step").filter(F.col("_step") <= n - k)
-    comp = connected_components(chosen.select(F.col("a").alias("src"), F.col("b").alias("dst")),
-                                ids, vid="id")
-    roots = comp.select("component").distinct()
-    num = ordered_index(roots, ["component"], name="cluster", start=0)
-    labels = comp.join(num, "component").select(F.col("id").alias(id_col),
-                                                F.col("cluster").cast("int").alias("cluster"))
-    return labels, merges
+        merges.append((a, b, float(round(dist[a, b], 9))))
+        both = np.minimum(dist, dist.T)
+        mean = (n[a] * both[a] + n[b] * both[b]) / (n[a] + n[b])
+        n[a] += n[b]
+        root[root == b] = a
+        dist[a, a + 1:], dist[:a, a] = mean[a + 1:], mean[:a]
+        dist[b, :] = dist[:, b] = np.inf
+    firsts = sorted(set(labels.tolist()))
+    return [firsts.index(r) for r in labels.tolist()], merges
+
+
+def agglomerative(points: DataFrame, id_col: str, cols: Sequence[str], k: int, m: int,
+                  metric: str = "manhattan", seed: int = 22) -> tuple[DataFrame, DataFrame]:
+    """Average-linkage clustering of any number of points, cut at ``k`` clusters.
+
+    Every point goes to one of ``m`` k-means centres, and the centres, each
+    weighing as many points as it has, are linked; ``m`` is the resolution
+    asked for and holds at every size, so the driver sees ``m`` rows and no
+    table of point pairs is built. Points within one centre are linked at
+    height 0. Returns (labels (id, cluster), merges (a, b, height) of centres)."""
+    spark = points.sparkSession
+    src = reuse(points.select(id_col, *cols))
+    near, model = kmeans(src, cols, k=m, seed=seed, label="_centre")
+    sizes = {r["_centre"]: r["n"] for r in near.groupBy("_centre").agg(F.count(F.lit(1)).alias("n")).collect()}
+    used = sorted(sizes)
+    centres = np.array([model.clusterCenters()[c] for c in used]).reshape(len(used), len(cols))
+    number, merges = average_linkage(centres, np.array([sizes[c] for c in used]), k, metric)
+    chosen = F.create_map(*[F.lit(x) for pair in zip(used, number) for x in pair])
+    labels = near.select(id_col, F.element_at(chosen, F.col("_centre")).cast("int").alias("cluster"))
+    return labels, spark.createDataFrame(merges, "a int, b int, height double")

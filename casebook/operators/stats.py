@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casebook.functions import exprs as X
-from casebook.session import reuse
+from casebook.session import cut_lineage
 
 # Fixed value: the critical |z| the original test compares against.
 Z_CRITICAL = 1.6449
@@ -61,7 +61,7 @@ def two_share_ztest(df: DataFrame, key: str, flag: str, control,
     the driver (one row, a proven bound) and inlined as literals, so the
     comparison is a plain projection over the grouped table, no join.
     """
-    g = reuse(group_shares(df, key, flag))  # one row a group, read twice
+    g = cut_lineage(group_shares(df, key, flag))  # one row a group, read twice
     ctrl = g.filter(F.col(key) == F.lit(control)).select("m", "n").first()
     if ctrl is None:
         raise ValueError(f"control group {control!r} not present")

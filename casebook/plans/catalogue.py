@@ -492,30 +492,29 @@ def q_cluster_profile(spark, sf):
     return cluster.profile(_dbscan(spark, sf), "cluster", ["cnt", "val"])
 
 
-def _brand_points(spark, sf):
-    p = table(spark, sf, "part")
-    b = p.groupBy("p_brand").agg(F.avg("p_size").alias("size_mean"),
-                                 F.avg("p_retailprice").alias("price_mean"))
-    return prep.maxabs_scale(b, ["size_mean", "price_mean"])
-
+_AGGLO_K, _AGGLO_M = 4, 64
 
-@register("agglo_pairs", """
-WITH b AS (SELECT p_brand, avg(p_size) AS s, avg(p_retailprice) AS r FROM part GROUP BY p_brand),
-m AS (SELECT max(abs(s)) AS ms, max(abs(r)) AS mr FROM b),
-x AS (SELECT p_brand, s / ms AS s, r / mr AS r FROM b, m)
-SELECT a.p_brand AS a, c.p_brand AS b, round(abs(a.s - c.s) + abs(a.r - c.r), 6) AS dist
-FROM x a JOIN x c ON a.p_brand < c.p_brand
+# Facts that hold for any right clustering, since SQL has no linkage: every user has one of k labels.
+@register("agglo_labels", f"""
+SELECT count(DISTINCT user_id) AS users, {_AGGLO_K} AS clusters, 0 AS low, {_AGGLO_K - 1} AS high, 0 AS unlabelled
+FROM events
 """)
-def q_agglo_pairs(spark, sf):
-    d = cluster.pair_distances(_brand_points(spark, sf), "p_brand", ["size_mean", "price_mean"])
-    return d.select("a", "b", F.round("dist", 6).alias("dist"))
+def q_agglo_labels(spark, sf):
+    labels, _ = cluster.agglomerative(_user_points(spark, sf), "user_id", ["x", "y"], k=_AGGLO_K, m=_AGGLO_M)
+    return labels.agg(F.count(F.lit(1)).alias("users"), F.countDistinct("cluster").alias("clusters"),
+                      F.min("cluster").alias("low"), F.max("cluster").alias("high"),
+                      F.count_if(F.col("cluster").isNull()).alias("unlabelled"))
 
 
-@register("agglo_labels")
-def q_agglo_labels(spark, sf):
-    labels, _ = cluster.agglomerative(_brand_points(spark, sf), "p_brand",
-                                      ["size_mean", "price_mean"], k=4)
-    return labels
+@register("brand_distances", """
+WITH m AS (SELECT p_brand, avg(p_size) AS s, avg(p_retailprice) AS r FROM part GROUP BY p_brand)
+SELECT p_partkey, round(abs(p_size - s) + abs(p_retailprice - r), 6) AS dist FROM part JOIN m USING (p_brand)
+""")
+def q_brand_distances(spark, sf):
+    p = table(spark, sf, "part").select("p_partkey", "p_brand", "p_size", "p_retailprice")
+    mean = p.groupBy("p_brand").agg(F.array(F.avg("p_size"), F.avg("p_retailprice")).alias("mean"))
+    here = F.array(F.col("p_size").cast("double"), F.col("p_retailprice").cast("double"))
+    return p.join(mean, "p_brand").select("p_partkey", F.round(X.manhattan(here, "mean"), 6).alias("dist"))
 
 
 @register("kmeans_profile")

@@ -24,7 +24,7 @@ def duck():
 
 def test_every_query_has_oracle_or_is_model():
     missing = set(catalogue.QUERIES) - set(E.oracle_sql())
-    assert missing <= {"agglo_labels", "kmeans_profile", "renewal_scores", "multilabel_scores"}
+    assert missing <= {"kmeans_profile", "renewal_scores", "multilabel_scores"}
 
 
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))

@@ -3,6 +3,8 @@
 import math
 import random
 
+import numpy as np
+
 import pytest
 
 from casebook.operators import cluster
@@ -64,17 +66,35 @@ def brute_average_linkage(points, k):
     return sorted(sorted(m) for m in clusters.values())
 
 
-def test_agglomerative_matches_greedy(spark):
+def test_average_linkage_matches_greedy():
     rnd = random.Random(5)
     pts = {i: (rnd.random(), rnd.random()) for i in range(30)}
-    expected = brute_average_linkage(pts, 4)
-    df = spark.createDataFrame([(i, x, y) for i, (x, y) in pts.items()], "id long, x double, y double")
-    labels, merges = cluster.agglomerative(df, "id", ["x", "y"], k=4)
+    labels, merges = cluster.average_linkage(np.array(list(pts.values())), np.ones(30), 4)
+    groups = {}
+    for i, c in enumerate(labels):
+        groups.setdefault(c, []).append(i)
+    assert sorted(sorted(m) for m in groups.values()) == brute_average_linkage(pts, 4)
+    assert len(merges) == 29 and [h for _, _, h in merges] == sorted(h for _, _, h in merges)
+
+
+def test_average_linkage_weighs_centres():
+    """A centre of weight 2 counts as two points on one spot."""
+    spots = np.array([[0.0], [1.0], [2.1], [4.0], [7.0]])
+    heavy = cluster.average_linkage(spots, np.array([1, 2, 1, 1, 1]), 2)[1]
+    twice = cluster.average_linkage(spots[[0, 1, 1, 2, 3, 4]], np.ones(6), 2)[1]
+    assert [h for _, _, h in heavy] == [h for _, _, h in twice][1:] and twice[0][2] == 0.0
+
+
+def test_agglomerative_finds_separated_groups(spark):
+    rnd = random.Random(5)
+    pts = {f"p{i}": (10.0 * (i % 4) + rnd.random(), 5.0 * (i % 2) + rnd.random()) for i in range(400)}
+    df = spark.createDataFrame([(i, x, y) for i, (x, y) in pts.items()], "id string, x double, y double")
+    labels, _ = cluster.agglomerative(df, "id", ["x", "y"], k=4, m=20)
     groups = {}
     for r in labels.collect():
-        groups.setdefault(r["cluster"], []).append(r["id"])
-    assert sorted(sorted(m) for m in groups.values()) == expected
-    assert merges.count() == 29
+        groups.setdefault(r["cluster"], set()).add(int(r["id"][1:]) % 4)
+    assert sorted(map(sorted, groups.values())) == [[0], [1], [2], [3]]
+    assert labels.count() == 400
 
 
 def test_kmeans_cost_non_increasing(spark):
@@ -104,11 +124,3 @@ def test_dbscan_hot_spot_refinement(spark):
     rows = cluster.dbscan(df, "id", ["x", "y"], eps=0.03, min_samples=4, brute_limit=4).collect()
     assert {r["id"]: r["cluster"] for r in rows} == expected
     assert {r["id"] for r in rows if r["is_core"]} == core
-
-
-def test_pair_distances_each_pair_once(spark):
-    rnd = random.Random(2)
-    df = spark.createDataFrame([(i, rnd.random(), rnd.random()) for i in range(60)], "id long, x double, y double")
-    rows = cluster.pair_distances(df, "id", ["x", "y"], blocks=5).collect()
-    keys = [(r["a"], r["b"]) for r in rows]
-    assert len(keys) == len(set(keys)) == 60 * 59 // 2 and all(a < b for a, b in keys)
