@@ -496,7 +496,8 @@ _AGGLO_K, _AGGLO_M = 4, 64
 
 # Facts that hold for any right clustering, since SQL has no linkage: every user has one of k labels.
 @register("agglo_labels", f"""
-SELECT count(DISTINCT user_id) AS users, {_AGGLO_K} AS clusters, 0 AS low, {_AGGLO_K - 1} AS high, 0 AS unlabelled
+SELECT count(DISTINCT user_id) AS users, CAST({_AGGLO_K} AS BIGINT) AS clusters, 0 AS low,
+       {_AGGLO_K - 1} AS high, CAST(0 AS BIGINT) AS unlabelled
 FROM events
 """)
 def q_agglo_labels(spark, sf):
