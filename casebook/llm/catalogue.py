@@ -60,11 +60,12 @@ def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every turn of every conversation, encoded and decoded again."""
-    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    """Every document and every turn of every conversation, encoded and decoded again."""
+    texts = table(spark, sf_dir, "documents").select("doc_id", "text").unionByName(
+        table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"), allowMissingColumns=True)
     pieces = piece_lattice.piece_table(spark, public_tokenizers.path(PIECES))
-    back = piece_lattice.decode(piece_lattice.encode(turns, pieces), pieces)
-    return back.select("conv_id", "turn", F.size("ids").cast("long").alias("n_pieces"),
+    back = piece_lattice.decode(piece_lattice.encode(texts, pieces), pieces)
+    return back.select("doc_id", "conv_id", "turn", F.size("ids").cast("long").alias("n_pieces"),
                        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
                        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
 

@@ -17,9 +17,11 @@ The result is the segmentation with the highest total score, as for unigram
 models; models trained by merges are encoded by these scores too, which may cut
 words in other places than a run of their merges.
 
-Texts get their ids by joining their distinct words with the encoded ones; the
-``FREQUENT`` most frequent words are joined by broadcast, so no key holds more
-than a thousandth of the rest. Decoding joins ids with the piece table.
+Texts are dealt to slices by a hash of the whole row, so copies of a text spread.
+A slice asks for each of its distinct words once; the encoded words go back to it
+and are held while its texts are read, so no row is made for each word of a text
+and a frequent word travels once per slice. Decoding looks ids up in the piece
+table, which each task holds (a vocabulary, not corpus data).
 
 Defined results: a null text has no pieces and decodes to ''; a text that holds
 the mark itself decodes with spaces in its place; equal words, texts and
@@ -28,15 +30,22 @@ repeated rows come out alike; words of any length are encoded whole.
 
 from __future__ import annotations
 
+import re
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casebook.llm import exchange as X
+from casebook.llm.arrays import tidy
 
 MARK = "▁"
 PENALTY = 10_000_000
 UNIT = 1_000_000
-FREQUENT = 1000
+ROWS = 256  # texts put together at once
+_WORD = f"[\\x00-\\x1F]|{MARK}+[^{MARK}\\x00-\\x1F]*|[^{MARK}\\x00-\\x1F]+"
 
 
 def piece_table(spark: SparkSession, path: str) -> DataFrame:
@@ -55,7 +64,7 @@ def words(text: Column) -> Column:
     """The words of a text, marks included."""
     marked = F.concat(F.lit(MARK), F.regexp_replace(text, " ", MARK))
     return F.when(text.isNull() | (text == ""), F.array().cast("array<string>")).otherwise(
-        F.regexp_extract_all(marked, F.lit(f"[\\x00-\\x1F]|{MARK}+[^{MARK}\\x00-\\x1F]*|[^{MARK}\\x00-\\x1F]+"), F.lit(0)))
+        F.regexp_extract_all(marked, F.lit(_WORD), F.lit(0)))
 
 
 def encode_words(distinct: DataFrame, pieces: DataFrame) -> DataFrame:
@@ -75,7 +84,8 @@ def encode_words(distinct: DataFrame, pieces: DataFrame) -> DataFrame:
         F.lit(1), F.least(F.lit(longest), F.length("word") - F.col("start") + 1))).alias("n"))
     cut = cut.withColumn("piece", F.substring(F.col("word"), F.col("start"), F.col("n")))
     edge = F.struct((F.col("start") + F.col("n") - 1).alias("end"), F.col("n").alias("n"),
-                    F.coalesce("score", F.lit(least)).cast("long").alias("score"), F.col("id"), F.col("piece"))
+                    F.coalesce("score", F.lit(least)).cast("long").alias("score"), F.col("id"),
+                    F.when(F.col("id").isNull(), F.col("piece")).alias("piece"))
     edges = cut.join(normal, "piece", "left").filter(F.col("id").isNotNull() | (F.col("n") == 1)).select("word", edge.alias("e"))
     by_end = edges.groupBy("word", F.col("e.end").alias("end")).agg(F.collect_list("e").alias("edges"))
     lattice = by_end.groupBy("word").agg(F.array_sort(F.collect_list(F.struct("end", "edges"))).alias("steps"))
@@ -106,39 +116,80 @@ def encode_words(distinct: DataFrame, pieces: DataFrame) -> DataFrame:
         p["id"].isNotNull(), F.array(p["id"])).otherwise(spell(p["piece"])))).alias("ids"))
 
 
+def _with(batch: pa.RecordBatch, name: str, column: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, name])
+
+
+def _give(columns: list[str]):
+    """Rows sorted by slice, its words (with ``_ids``) before its texts -> the texts' rows with their ids."""
+    word = re.compile(_WORD)
+
+    def apply(batches):
+        now, book = None, {}
+        for batch in batches:
+            for lo in range(0, batch.num_rows, ROWS):
+                part = batch.slice(lo, ROWS)
+                keep, out, sizes = [], [], []
+                slices, words_, ids = (part.column(part.schema.get_field_index(c)).to_pylist()
+                                       for c in ("_piece_slice", "_piece_word", "_piece_ids"))
+                for k, (at, w, text) in enumerate(zip(slices, words_, part.column(
+                        part.schema.get_field_index("text")).to_pylist(), strict=True)):
+                    if at != now:
+                        now, book = at, {}
+                    if w is not None:
+                        book[w] = np.array(ids[k], dtype=np.int32).tobytes()
+                        continue
+                    raw = b"".join([book[x] for x in word.findall(MARK + text.replace(" ", MARK))]) if text else b""
+                    keep.append(k)
+                    out.append(raw)
+                    sizes.append(len(raw) // 4)
+                rows = part.take(pa.array(keep, pa.int64())).select(columns)
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)),
+                                                 pa.array(np.frombuffer(b"".join(out), dtype=np.int32)))
+                yield _with(rows, "ids", lists)
+    return apply
+
+
 def encode(texts: DataFrame, pieces: DataFrame) -> DataFrame:
     """``texts`` with a column ``ids`` (array<int>) for its column ``text``."""
-    spark = texts.sparkSession
-    row = "_piece_row"
-    held = X.table(texts.withColumn(row, F.monotonically_increasing_id()))
-    cut = held.select(row, words(F.col("text").cast("string")).alias("w"))
-    used = cut.select(row, F.explode(F.array_distinct("w")).alias("word"))
-    distinct = used.groupBy("word").agg(F.count(F.lit(1)).alias("texts"))
-    coded = X.table(encode_words(distinct, pieces).join(distinct, "word"))
-    often = coded.orderBy(F.desc("texts"), "word").limit(FREQUENT).select("word", "ids")
-    often = spark.createDataFrame(often.collect(), often.schema)
-    first = used.join(F.broadcast(often.withColumnRenamed("ids", "known")), "word", "left")
-    rest = (first.filter(F.col("known").isNull()).select(row, "word")
-            .join(coded.join(F.broadcast(often.select("word")), "word", "left_anti").select("word", "ids"), "word"))
-    looked = first.filter(F.col("known").isNotNull()).select(row, "word", F.col("known").alias("ids")).unionByName(
-        rest.select(row, "word", "ids"))
-    books = looked.groupBy(row).agg(F.map_from_entries(F.collect_list(F.struct("word", "ids"))).alias("book"))
-    ids = F.flatten(F.transform(words(F.col("text").cast("string")), lambda w: F.col("book")[w]))
-    return held.join(books, row, "left").withColumn(
-        "ids", F.coalesce(ids, F.array().cast("array<int>"))).drop(row, "book")
+    n = X.bucket_count(texts.sparkSession)
+    columns = texts.columns
+    texts = texts.withColumn("text", F.col("text").cast("string"))
+    dealt = texts.withColumn("_piece_slice", F.pmod(F.xxhash64(
+        *(F.col(f"`{c}`") for c, kind in texts.dtypes if "map<" not in kind)), F.lit(n)))
+    used = X.table(dealt.select("_piece_slice", "text").repartition(n, "_piece_slice")
+                   .select("_piece_slice", F.explode(F.array_distinct(words(F.col("text")))).alias("word")).distinct())
+    # a fixed number of partitions: a word becomes many rows, so few large partitions would spill
+    coded = X.table(encode_words(used.select("word").repartition(n, "word").distinct(), pieces))
+    books = used.join(coded, "word").select(
+        "_piece_slice", F.lit(0).alias("_piece_kind"), F.col("word").alias("_piece_word"), F.col("ids").alias("_piece_ids"))
+    both = dealt.withColumn("_piece_kind", F.lit(1)).unionByName(books, allowMissingColumns=True)
+    schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in texts.schema),
+                           T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    return (both.repartition(n, "_piece_slice").sortWithinPartitions("_piece_slice", "_piece_kind")
+            .mapInArrow(tidy(_give(columns)), schema))
+
+
+def _spell(table: dict[int, bytes]):
+    def apply(batches):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, ROWS):
+                part = batch.slice(lo, ROWS)
+                texts = []
+                for ids in part.column(part.schema.get_field_index("ids")).to_pylist():
+                    raw = b"".join([table.get(x, b"") for x in ids or ()]).decode("utf-8", "replace")
+                    texts.append(raw[1:] if raw[:1] == " " else raw)
+                yield _with(part, "decoded", pa.array(texts, pa.string()))
+    return apply
 
 
 def decode(coded: DataFrame, pieces: DataFrame) -> DataFrame:
     """``coded`` with a column ``decoded`` for its column ``ids``."""
-    row = "_piece_row"
-    held = X.table(coded.withColumn(row, F.monotonically_increasing_id()))
-    spelled = pieces.select("id", F.when(F.col("kind") == "byte", F.substring("piece", 4, 2)).when(
-        F.col("kind") == "normal", F.hex(F.encode(F.regexp_replace("piece", MARK, " "), "UTF-8"))).when(
-        F.col("kind") == "unknown", F.hex(F.encode(F.lit(" ⁇ "), "UTF-8"))).otherwise("").alias("raw"))
-    if spelled.count() <= 1 << 20:  # a vocabulary, not corpus data
-        spelled = F.broadcast(spelled)
-    parts = held.select(row, F.posexplode("ids").alias("at", "id")).join(spelled, "id")
-    lines = parts.groupBy(row).agg(F.array_sort(F.collect_list(F.struct("at", "raw"))).alias("p"))
-    text = F.decode(F.unhex(F.array_join(F.transform("p", lambda x: x["raw"]), "")), "UTF-8")
-    return (held.join(lines.select(row, F.regexp_replace(text, "^ ", "").alias("decoded")), row, "left")
-            .withColumn("decoded", F.coalesce("decoded", F.lit(""))).drop(row))
+    table = {}
+    for r in pieces.collect():  # a vocabulary, not corpus data
+        table[r["id"]] = (bytes([int(r["piece"][1:-1], 16)]) if r["kind"] == "byte" else
+                          r["piece"].replace(MARK, " ").encode() if r["kind"] == "normal" else
+                          " ⁇ ".encode() if r["kind"] == "unknown" else b"")
+    schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in coded.schema),
+                           T.StructField("decoded", T.StringType())])
+    return coded.mapInArrow(tidy(_spell(table)), schema)

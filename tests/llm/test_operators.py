@@ -291,6 +291,16 @@ def test_piece_lattice(lab):
         assert r.ids == want
 
 
+def test_piece_lattice_query_reads_all_documents(lab):
+    from casebook.llm import catalogue
+    got = catalogue.op7_piece_lattice(lab, SF).collect()
+    docs, turns = (lab.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "conversations"))
+    assert sorted(r.doc_id for r in got if r.doc_id is not None) == sorted(r.doc_id for r in docs.select("doc_id").collect())
+    assert sorted((r.conv_id, r.turn) for r in got if r.doc_id is None) == sorted(
+        tuple(r) for r in turns.select("conv_id", "turn").collect())
+    assert all(r.round_trip for r in got)
+
+
 def test_empty_tables(lab):
     none = rows_of(lab, []).withColumn("lang", F.lit("en"))
     assert substring_dedup.remove_repeats(none).isEmpty()
