@@ -16,12 +16,14 @@ in at most ``H = (100 - percent) * |A| // percent`` shingles.
   sets share it. Segments shared with nobody cost nothing and come first, so a
   set with H + 1 of these has no partner and asks nothing; the others take the
   cheapest segments that are still needed.
-* *Exact verification* of candidates on whole texts, first each segment's
-  candidates against its best-connected member. Pairs (asking set, member) that
-  are still in different components are then looked at in blocks, without being
-  written out: the parities of the shingles in each of a few thousand cells
-  differ in no more cells than the sets differ in shingles, so pairs that differ
-  in too many cells are no links; the rest is verified too.
+* *Exact verification*. Pairs (asking set, member) of a group are looked at in
+  blocks, without being written out: the parities of the shingles in each of a few
+  thousand cells differ in no more cells than the sets differ in shingles, so
+  pairs that differ in too many cells are no links. The others are verified on
+  whole texts, also where they are connected already, so every link between
+  different sets is found and ``n_links`` is a set's whole degree. Candidates of
+  one connected group meet in blocks of its members, so a text travels once per
+  block and not once per pair.
 
 Equal sets are one class from the start (128-bit digest and size); they travel
 once per slice of text and are expanded only in the result. Should a set's
@@ -311,28 +313,33 @@ def _allocate(percent):
 
 
 def _verify(shingle, percent):
-    def sets(column):
-        uniq = list(dict.fromkeys(column))
-        found = {}
-        for lo in range(0, len(uniq), 256):
-            part = uniq[lo:lo + 256]
-            found |= dict(zip(part, sets_of(*X.as_texts([X.unsqueeze(z) for z in part]), shingle), strict=True))
-        return found
+    """Sorted rows (comp, i, j, kind, x, y, ztext): of each block pair its texts (kind 0, of x), then its pairs."""
+    def links(texts, pairs):
+        known, reps = {}, list(texts)
+        for lo in range(0, len(reps), 256):
+            part = reps[lo:lo + 256]
+            known |= dict(zip(part, sets_of(*X.as_texts([X.unsqueeze(texts[r]) for r in part]), shingle), strict=True))
+        keep = []
+        for x, y in pairs:
+            u, v = known[x], known[y]
+            both = len(np.intersect1d(u, v, assume_unique=True))
+            if 100 * both >= percent * (len(u) + len(v) - both):
+                keep.append((x, y))
+        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in keep], pa.int64()) for k in range(2)], names=["x", "y"])
 
     def apply(batches):
+        texts, pairs, key = {}, [], None
         for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
-                x, y, zx, zy = (c.to_pylist() for c in part.columns)
-                known = sets(zx + zy)
-                keep = []
-                for i, (p, q) in enumerate(zip(zx, zy, strict=True)):
-                    u, v = known[p], known[q]
-                    both = len(np.intersect1d(u, v, assume_unique=True))
-                    if 100 * both >= percent * (len(u) + len(v) - both):
-                        keep.append(i)
-                yield pa.RecordBatch.from_arrays([pa.array([x[i] for i in keep], pa.int64()),
-                                                  pa.array([y[i] for i in keep], pa.int64())], names=["x", "y"])
+            for *at, kind, x, y, ztext in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if at != key and len(texts) >= TOGETHER:
+                    yield links(texts, pairs)
+                    texts, pairs = {}, []
+                key = at
+                if kind:
+                    pairs.append((x, y))
+                else:
+                    texts[x] = ztext
+        yield links(texts, pairs)
     return apply
 
 
@@ -360,12 +367,13 @@ def _prepared(shingle, percent):
 
 
 BLOCK = 2048  # members of a group compared at once
+TOGETHER = 256  # texts of a connected group verified at once with as many others
 
 
 def _near(percent):
-    """Sorted rows (owner, i, j, block, rep, n, comp, asks, sketch) -> pairs of block i and block j that may link."""
+    """Sorted rows (owner, i, j, block, rep, n, asks, sketch) -> pairs of block i and block j that may link."""
     def pairs(rows):
-        i, j, block, rep, n, comp, asks, sketches = (list(x) for x in zip(*rows, strict=True))
+        i, j, block, rep, n, asks, sketches = (list(x) for x in zip(*rows, strict=True))
         width = min(map(len, sketches))
         bits = np.empty((len(rows), width), dtype=np.uint8)
         for k, raw in enumerate(sketches):
@@ -374,7 +382,7 @@ def _near(percent):
                 b = b[:len(b) // 2] ^ b[len(b) // 2:]
             bits[k] = b
         bits = bits.view(np.uint64)
-        rep, n, comp, asks, block = np.array(rep), np.array(n), np.array(comp), np.array(asks), np.array(block)
+        rep, n, asks, block = np.array(rep), np.array(n), np.array(asks), np.array(block)
         left, right = np.flatnonzero(block == i[0]), np.flatnonzero(block == j[0])
         step = max(1, (1 << 20) // max(1, len(right) * bits.shape[1]))
         for lo in range(0, len(left), step):
@@ -382,7 +390,7 @@ def _near(percent):
             apart = np.bitwise_count(bits[at][:, None, :] ^ bits[right][None, :, :]).sum(axis=2, dtype=np.int64)
             both = n[at][:, None] + n[right][None, :]
             good = apart * (100 + percent) <= both * (100 - percent)
-            good &= (comp[at][:, None] != comp[right][None, :]) & (asks[at][:, None] | asks[right][None, :])
+            good &= asks[at][:, None] | asks[right][None, :]
             x, y = np.nonzero(good)
             yield np.minimum(rep[at[x]], rep[right[y]]), np.maximum(rep[at[x]], rep[right[y]])
 
@@ -414,7 +422,7 @@ def _near(percent):
 
 def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``docs`` (doc_id, text) -> doc_id, n_shingles, component_id, class_id (smallest doc_id with an
-    equal set), n_links (of the document's set to other sets, as far as they were verified to find the component)."""
+    equal set), n_links (of the document's set to other sets)."""
     spark = docs.sparkSession
     n = X.bucket_count(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")) \
@@ -429,8 +437,7 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
                    .groupBy("key").agg(F.collect_list(F.struct("kind", "owner", "a", "b", "c")).alias("entries")))
         sets = index.filter("kind = 0 and a > 0").groupBy("key").agg(*(F.first(x).alias(x) for x in "abc"))
         asks = X.table(sets.join(entries, "key").mapInArrow(tidy(_allocate(percent)), "key long, owner long"))
-        members = (index.filter("kind > 0").select("owner", "key", (F.col("a") * F.greatest("b", F.lit(1))).alias("hub"))
-                   .groupBy("owner", "key").agg(F.max("hub").alias("hub"))
+        members = (index.filter("kind > 0").select("owner", "key").distinct()
                    .join(asks.select("owner").distinct(), "owner", "left_semi"))
         return asks, X.table(members)
 
@@ -451,44 +458,34 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
     texts = X.table(docs.join(wanted.select(F.col("rep").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
                     .dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("rep"), "text")
                     .mapInArrow(tidy(_prepared(shingle, percent)), "rep long, ztext binary, sketch binary"))
-    hubs = members.groupBy("key").agg(F.sum("hub").alias("hub"))
-    sets = wanted.join(hubs, "key")
-    within = X.table(members.select("owner", "key").join(sets, "key").select("owner", "rep", "n_shingles", "hub"))
-    asking = (asks.join(wanted, "key").select("owner", F.col("rep").alias("x"), F.col("n_shingles").alias("nx")))
-
-    def close(a, b):
-        return (F.least(a, b) * 100 >= F.greatest(a, b) * percent)
+    within = X.table(members.distinct().join(wanted, "key").select("owner", "rep", "n_shingles"))
 
     def verified(pairs):
-        both = (pairs.join(texts.select(F.col("rep").alias("x"), F.col("ztext").alias("zx")), "x")
-                .join(texts.select(F.col("rep").alias("y"), F.col("ztext").alias("zy")), "y")
-                .select("x", "y", "zx", "zy"))
-        return X.table(both.mapInArrow(tidy(_verify(shingle, percent)), "x long, y long"))
-
-    best = within.groupBy("owner").agg(F.max_by(F.struct("rep", "n_shingles"), F.struct("hub", "rep")).alias("best"))
-    stars = (within.join(best, "owner").filter(F.col("rep") != F.col("best.rep"))
-             .filter(close(F.col("n_shingles"), F.col("best.n_shingles")))
-             .select(F.least("rep", "best.rep").alias("x"), F.greatest("rep", "best.rep").alias("y")).distinct())
-    stars = X.table(stars)
-    links = verified(stars)
-    found = _components(links)
-    placed = within.join(found, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-    split = (placed.groupBy("owner").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-             .filter("lo < hi").select("owner"))
-    placed = placed.join(split, "owner", "left_semi")
-    askers = asking.join(split, "owner", "left_semi").select("owner", F.col("x").alias("rep"), F.lit(True).alias("asks"))
-    placed = (placed.join(placed.groupBy("owner").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")), "owner")
+        """``pairs`` (a table) whose sets link."""
+        at = _components(pairs)
+        at = X.table(at.join(at.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / TOGETHER).alias("blocks")), "comp")
+                     .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks"))))
+        ends = (pairs.join(at.select(F.col("rep").alias("x"), "comp", F.col("block").alias("bx")), "x")
+                .join(at.select(F.col("rep").alias("y"), F.col("block").alias("by")), "y")
+                .select("comp", F.least("bx", "by").alias("i"), F.greatest("bx", "by").alias("j"), F.lit(1).alias("kind"),
+                        "x", "y", F.lit(None).cast("binary").alias("ztext")))
+        used = (ends.select("comp", "i", "j", F.explode(F.array("x", "y")).alias("rep")).distinct()
+                .join(texts.select("rep", "ztext"), "rep")
+                .select("comp", "i", "j", F.lit(0).alias("kind"), F.col("rep").alias("x"), F.col("rep").alias("y"), "ztext"))
+        return X.table(used.unionByName(ends).repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j", "kind")
+                       .mapInArrow(tidy(_verify(shingle, percent)), "x long, y long"))
+
+    askers = asks.join(wanted, "key").select("owner", "rep", F.lit(True).alias("asks"))
+    placed = (within.join(within.groupBy("owner").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")), "owner")
               .join(askers.distinct(), ["owner", "rep"], "left").join(texts.select("rep", "sketch"), "rep")
               .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
               .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))))
     placed = placed.select("owner", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block",
-                           "rep", "n_shingles", "comp", F.coalesce("asks", F.lit(False)).alias("asks"), "sketch")
-    rest = (placed.repartition("owner", "i", "j").sortWithinPartitions("owner", "i", "j")
-            .mapInArrow(tidy(_near(percent)), "x long, y long").filter("x < y").distinct().join(stars, ["x", "y"], "left_anti"))
-    more = verified(rest)
-    if not more.isEmpty():
-        links = links.unionByName(more)
-        found = _components(links)
+                           "rep", "n_shingles", F.coalesce("asks", F.lit(False)).alias("asks"), "sketch")
+    near = X.table(placed.repartition("owner", "i", "j").sortWithinPartitions("owner", "i", "j")
+                   .mapInArrow(tidy(_near(percent)), "x long, y long").filter("x < y").distinct())
+    links = verified(near)
+    found = _components(links)
     degree = (links.select(F.explode(F.array("x", "y")).alias("rep")).groupBy("rep")
               .agg(F.count(F.lit(1)).alias("n_links")))
     linked = (classes.join(found, "rep", "left").join(degree, "rep", "left")

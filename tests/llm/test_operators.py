@@ -71,6 +71,19 @@ def test_jaccard_components(lab, corpus):
         assert got == brute.components(rows)
 
 
+def test_jaccard_links_are_whole_degrees(lab, corpus):
+    """Every link between different sets counts, also inside a component that is connected already."""
+    rng = random.Random(8)
+    base = [f"v{rng.randrange(10 ** 6)}" for _ in range(300)]
+    group = [(k, " ".join([*base[:5 * k], f"other{k}", *base[5 * k + 1:]])) for k in range(40)]
+    for docs, rows in [(rows_of(lab, group), group), *both(lab, corpus)]:
+        sets = brute.shingle_sets(rows)
+        distinct = {frozenset(s) for s in sets.values() if s}
+        degree = {s: sum(s != t and 100 * len(s & t) >= 80 * len(s | t) for t in distinct) for s in distinct}
+        got = {r.doc_id: r.n_links for r in jaccard_join.jaccard_components(docs).collect()}
+        assert got == {d: degree.get(frozenset(s), 0) for d, s in sets.items()}
+
+
 def test_jaccard_with_too_few_segments(lab, monkeypatch):
     """Sets whose shingles fall into too few segments are run again with another partition."""
     rows = [(k, " ".join(f"w{k // 2}x{i}" for i in range(12)) + f" e{k % 2}") for k in range(40)]
