@@ -25,18 +25,21 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _paths(docs: DataFrame) -> DataFrame:
-    """A file path for each document: source/lang for every tenth doc_id, and its ten parts below for the others."""
-    home = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")))
-    part = F.col("doc_id") % 10
-    return docs.select("doc_id", "text", F.when(part == 0, F.concat(home, F.lit("/"), F.col("doc_id"), F.lit(".txt")))
-                       .otherwise(F.concat(home, F.lit("/part"), part, F.lit("/"), F.col("doc_id"), F.lit(".txt")))
-                       .alias("path"))
+    """A file path for each document, of four depths from source down; some are named as license files."""
+    k = F.col("doc_id")
+    source, lang = F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none"))
+    part, sub = F.concat(F.lit("part"), k % 10), F.concat(F.lit("sub"), k % 3)
+    home = (F.when(k % 4 == 0, source).when(k % 4 == 1, F.concat_ws("/", source, lang))
+            .when(k % 4 == 2, F.concat_ws("/", source, lang, part)).otherwise(F.concat_ws("/", source, lang, part, sub)))
+    name = (F.when(k % 50 == 0, F.concat(F.lit("LICENSE-"), k)).when(k % 50 == 1, F.concat(F.lit("COPYING."), k))
+            .otherwise(F.concat(k, F.lit(".txt"))))
+    return docs.select("doc_id", "text", F.concat(home, F.lit("/"), name).alias("path"))
 
 
 def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """License of every document; those in a source/lang folder itself speak for the folders below."""
+    """License of every document; each with one of its own speaks for its folder and those below."""
     docs = _paths(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"))
-    return licenses.scan(docs, gives=F.col("doc_id") % 10 == 0).withColumn("cosine", F.round("cosine", 6))
+    return licenses.scan(docs, gives=F.lit(True)).withColumn("cosine", F.round("cosine", 6))
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,9 +11,11 @@ template's heaviest words; candidates without any are left out before they are
 weighed, which loses nothing. A file has the license of its best candidate.
 
 Files without a license of their own inherit: the licenses of files chosen by
-``gives`` stand at their directories; every other file asks all directories
-above it (its path is cut at each ``/`` and exploded) and the join keeps the
-deepest. Only DataFrame functions run here.
+``gives`` stand at their directories; the directory of every other file asks
+itself and all directories above (its path is cut at each ``/`` and exploded), the
+join keeps the deepest, and files join their directory's answer. Both joins are
+salted, so a directory of very many files is not one task's. Only DataFrame
+functions run here.
 
 Defined results: a null or empty text has no license of its own; a null path
 neither gives nor inherits; rows without ``doc_id`` are returned without license;
@@ -44,6 +46,7 @@ TEMPLATES = [
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 ]
 LICENSE_FILE = r"(?i)(^|/)(licen[cs]e|copying|notice)[^/]*$"
+SALT = 16
 _BREAK = r"[^\p{L}\p{N}]+"
 
 
@@ -107,26 +110,33 @@ def _first_best(found: DataFrame, key: str) -> DataFrame:
         key, "b.license", (-F.col("b.c")).alias("cosine"))
 
 
-def directories(path: Column) -> Column:
-    """All directories above a path, the root '' first."""
-    parts = F.split(path, "/")
-    return F.transform(F.sequence(F.lit(0), F.size(parts) - 1), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
+def directories(home: Column) -> Column:
+    """A directory and all those above it, the root '' first."""
+    parts = F.split(home, "/")
+    return F.when(home == "", F.array(F.lit(""))).otherwise(F.transform(
+        F.sequence(F.lit(0), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/")))
+
+
+def _salted(table: DataFrame) -> DataFrame:
+    return table.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))))
 
 
 def scan(docs: DataFrame, gives: Column, templates=TEMPLATES, least: float = LEAST) -> DataFrame:
     """``docs`` (doc_id, path, text) -> doc_id, path, license, cosine, licensed_by (the directory it is inherited
     from; null for a license of its own or none). ``gives``: which files' licenses hold for their directory."""
-    files = docs.select("doc_id", "path", gives.alias("gives"))
+    # the directory of a file is its path without the last part
+    home = F.array_join(F.slice(F.split("path", "/"), 1, F.size(F.split("path", "/")) - 1), "/")
+    files = docs.select("doc_id", "path", gives.alias("gives"), home.alias("home"))
     own = X.table(own_licenses(docs, templates, least))  # read three times below; a row per licensed document
     files = files.join(own, "doc_id", "left")
-    # shift right: the directory of a file is its path without the last part
-    home = F.array_join(F.slice(F.split("path", "/"), 1, F.size(F.split("path", "/")) - 1), "/")
     held = _first_best(files.filter(F.col("license").isNotNull() & F.col("gives") & F.col("path").isNotNull())
-                       .select(home.alias("directory"), "license", "cosine"), "directory")
-    asking = files.filter(F.col("license").isNull() & F.col("path").isNotNull()).select("path").distinct()
-    asked = asking.select("path", F.posexplode(directories(F.col("path"))).alias("depth", "directory"))
-    nearest = (asked.join(held, "directory").groupBy("path")
+                       .select(F.col("home").alias("directory"), "license", "cosine"), "directory")
+    asking = files.filter(F.col("license").isNull() & F.col("path").isNotNull()).select("home").distinct()
+    asked = (asking.select("home", F.pmod(F.xxhash64("home"), F.lit(SALT)).alias("salt"),
+                           F.posexplode(directories(F.col("home"))).alias("depth", "directory")))
+    nearest = (asked.join(_salted(held), ["directory", "salt"]).groupBy("home")
                .agg(F.max_by(F.struct("directory", "license"), "depth").alias("n")))
-    return files.join(nearest, "path", "left").select(
+    files = files.withColumn("salt", F.pmod(F.xxhash64("doc_id", "path"), F.lit(SALT)))
+    return files.join(_salted(nearest), ["home", "salt"], "left").select(
         "doc_id", "path", F.coalesce("license", F.col("n.license")).alias("license"), "cosine",
         F.when(F.col("license").isNull(), F.col("n.directory")).alias("licensed_by"))

@@ -262,6 +262,29 @@ def test_licenses(lab):
                    5: ("MIT", "q"), 6: ("MIT", None), 7: ("CC-BY-NC-4.0", "a/b"), 8: (None, None)}
 
 
+def test_licenses_of_the_query_against_brute_force(lab):
+    """Every file with a license of its own gives it, at several depths, license files too; the nearest one holds."""
+    from casebook.llm import catalogue
+    docs = catalogue._paths(lab.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    paths = {r.doc_id: r.path for r in docs.collect()}
+    own = {r.doc_id: (r.license, r.cosine) for r in licenses.own_licenses(docs).collect()}
+    held = {}
+    for d, (name, cosine) in own.items():
+        home = paths[d].rpartition("/")[0]
+        held[home] = min(held.get(home, (0, "")), (-cosine, name))
+    want = {}
+    for d, path in paths.items():
+        at = path.rpartition("/")[0]
+        while at and at not in held:
+            at = at.rpartition("/")[0]
+        want[d] = (path, own[d][0], None) if d in own else (path, held[at][1], at) if at in held else (path, None, None)
+    got = {r.doc_id: (r.path, r.license, r.licensed_by)
+           for r in catalogue.op2_license_scans(lab, "/root/testdata/sf0.01").collect()}
+    assert got == want and len({p.count("/") for p in paths.values()}) == 4
+    assert any(d % 10 for d in own) and len({x[2].count("/") for x in got.values() if x[2]}) > 1
+    assert any("LICENSE" in p for p in paths.values()) and any("COPYING" in p for p in paths.values())
+
+
 def test_licenses_run_no_python(lab):
     docs = lab.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", F.lit("a/b").alias("path"))
     plan = licenses.scan(docs, gives=F.lit(True))._jdf.queryExecution().executedPlan().toString()
