@@ -71,3 +71,18 @@ def test_renewal_recipe(spark):
     out = policy.score(enc, cv, test.drop("POLICY_IS_RENEWED"))
     assert out.columns == ["POLICY_ID", "POLICY_IS_RENEWED", "POLICY_IS_RENEWED_PROBABILITY"]
     assert out.count() == 120  # unseen vehicle make scored as all zeros, not an error
+
+
+def test_renewal_query_searches_the_whole_grid(spark, monkeypatch):
+    from casebook.plans import catalogue
+
+    class Stop(Exception):
+        pass
+
+    def search(train, est, grid, folds, **kw):
+        assert grid == policy.GRID and [len(v) for v in grid.values()] == [3, 3, 3] and folds == 4
+        raise Stop
+
+    monkeypatch.setattr(model, "grid_search", search)
+    with pytest.raises(Stop):
+        catalogue.QUERIES["renewal_scores"](spark, "/root/testdata/sf0.001")
