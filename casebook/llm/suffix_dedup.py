@@ -1,4 +1,4 @@
-"""Removal of byte strings that occur more than once (bucket-pointer refinement of suffixes).
+"""Removal of byte strings that occur more than once (pointers of suffixes and window fingerprints).
 
 A suffix is followed for ``DEPTH`` bytes: two suffixes that share a bucket at
 that depth begin the same DEPTH-byte string, and every byte such a string
@@ -6,8 +6,9 @@ covers goes - in all its places, the same document included.
 
 Bucket identifiers are content hashes, so a refinement by the identifier of a
 later offset needs no look-up of a rank that another task holds. Buckets of one
-suffix are finished and leave at once; each round sorts what is left on the
-identifiers that the round before it has made:
+suffix are finished and leave at once. This is not the recursive refinement of
+bucket-pointer suffix sorting: each round fingerprints the bytes of what is left
+afresh from the text, and uses no identifier that an earlier round has made:
 
 1. Sparse suffixes. In the window of each suffix the smallest ``GRAM``-byte gram
    is its pointer; neighbours share pointers, so there is one per some 180
