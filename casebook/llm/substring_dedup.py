@@ -70,7 +70,8 @@ def _emit_anchors(width, block, n_buckets):
 
 
 def _anchors(batches):
-    """Of one bucket: which probing documents hit an indexed block that two documents have."""
+    """Of one bucket: which probing documents hit an indexed block that two documents have. A document's marks
+    are the bucket, then the low bits of its blocks there."""
     index, owners, hits, hitters = [], [], [], []
     known = None
 
@@ -84,7 +85,10 @@ def _anchors(batches):
         np.maximum.at(high, at, doc)
         return known, low, high
 
+    bucket = 0
     for batch in batches:
+        if batch.num_rows:
+            bucket = batch.column(0)[0].as_py()
         for kind, doc, sig, _, _ in X.unpacked(batch, np.uint32):
             if kind == 0:
                 index.append(sig)
@@ -107,7 +111,9 @@ def _anchors(batches):
         np.maximum.at(high, at, doc)
         shared = low[at] != high[at]
         if shared.any():
-            yield X.per_document(doc[shared], known[at[shared]], ["doc_id", "marks"])
+            of = np.unique(doc[shared])
+            yield X.per_document(np.r_[of, doc[shared]], np.r_[np.full(len(of), bucket, dtype=np.uint32),
+                                                               known[at[shared]]], ["doc_id", "marks"])
 
 
 def _emit_windows(width, block, n_buckets):
@@ -115,14 +121,18 @@ def _emit_windows(width, block, n_buckets):
         for part in slices(_unsqueezed(batches), "text"):
             ids = part.column(0).to_numpy(zero_copy_only=False)
             off, data = utf8(part.column(1))
-            marks = [np.unique(np.frombuffer(b"".join(m), dtype=np.uint32)) for m in part.column(2).to_pylist()]
+            # bucket and low bits of each mark, and the document that has it
+            marks = [[np.frombuffer(x, dtype=np.uint32).astype(np.uint64) for x in m] for m in part.column(2).to_pylist()]
+            marks = [np.concatenate([x[1:] | x[:1] << np.uint64(32) for x in m]) for m in marks]
             starts, _, by, hashes, at, doc = _runs(off, data, width, block)
             if not len(at):
                 continue
             code = hashes(at, at + block)
-            wanted = np.concatenate([m.astype(np.uint64) | np.uint64(k << 32) for k, m in enumerate(marks)])
-            own = doc.astype(np.uint64) << np.uint64(32) | (code & np.uint64(0xFFFFFFFF))
-            anchor = np.isin(own, wanted)
+            every, place = np.unique(np.concatenate(marks), return_inverse=True)
+            owner = np.repeat(np.arange(len(marks)), [len(m) for m in marks])
+            whole = ((code >> np.uint64(32)) % np.uint64(n_buckets)) << np.uint64(32) | (code & np.uint64(0xFFFFFFFF))
+            spot = np.minimum(np.searchsorted(every, whole), len(every) - 1)
+            anchor = (every[spot] == whole) & np.isin(doc.astype(np.int64) << 32 | spot, owner.astype(np.int64) << 32 | place)
             # the first anchor at or after each word, by word number
             total = len(starts)
             after = np.full(total + 1, total + width, dtype=np.int64)

@@ -58,6 +58,20 @@ def test_substring_dedup(lab, corpus):
         assert got == brute.repeated_windows(rows)
 
 
+def test_anchors_are_told_apart_by_bucket():
+    """A run that has only the low bits of a mark is no anchor."""
+    text = " ".join(f"w{i}" for i in range(60)).encode()
+    off, data = substring_dedup.utf8(pa.array([text], pa.binary()))
+    _, _, _, hashes, at, _ = substring_dedup._runs(off, data, 50, 25)
+    code = int(hashes(at, at + 25)[5])
+    emit = substring_dedup._emit_windows(50, 25, 1 << 20)
+    for bucket, found in (((code >> 32) % (1 << 20), True), (((code >> 32) + 1) % (1 << 20), False)):
+        marks = np.array([bucket, code & 0xFFFFFFFF], dtype=np.uint32).tobytes()
+        rows = pa.RecordBatch.from_arrays([pa.array([1], pa.int64()), pa.array([substring_dedup.X.squeeze(text)], pa.binary()),
+                                           pa.array([[marks]], pa.list_(pa.binary()))], names=["doc_id", "ztext", "marks"])
+        assert any(b.num_rows for b in emit(iter([rows]))) == found
+
+
 def test_suffix_dedup(lab, corpus):
     for docs, rows in both(lab, corpus):
         got = {r.doc_id: (r.n_bytes, r.n_removed, len(r.starts), bytes(r.kept))
