@@ -130,21 +130,71 @@ def grid_search(train: DataFrame, est, grid: dict, folds: int = 4, parallelism:
                 label: str = "label", seed: int = 1, fold_col: str | None = None):
     """Exhaustive grid + k-fold cross-validation on accuracy; refits the best
     setting on all rows. Returns the CrossValidatorModel (``bestModel``,
-    ``avgMetrics``)."""
+    ``avgMetrics``). Settings of boosted trees that differ in their tree count
+    only are prefixes of one fit where folds are given by ``fold_col``: one fit
+    a fold with the most trees serves them all. For many small fits see
+    ``boosting.search``."""
+    from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 
     builder = ParamGridBuilder()
     for name, values in grid.items():
         builder = builder.addGrid(est.getParam(name), list(values))
+    settings = builder.build()
     ev = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
-    cv = CrossValidator(estimator=est, estimatorParamMaps=builder.build(), evaluator=ev,
+    if fold_col and isinstance(est, GBTClassifier) and len(grid.get("maxIter", ())) > 1:
+        return _prefix_search(train, est, settings, ev, folds, parallelism, fold_col)
+    cv = CrossValidator(estimator=est, estimatorParamMaps=settings, evaluator=ev,
                         numFolds=folds, parallelism=parallelism, seed=seed)
     if fold_col:
         cv = cv.setFoldCol(fold_col)
     return cv.fit(train)
 
 
+def first_trees(model, n: int):
+    """The boosted classifier of the first ``n`` trees of ``model`` (trees and weights as they are)."""
+    from pyspark import SparkContext
+    from pyspark.ml.classification import GBTClassificationModel
+
+    whole, gateway = model._java_obj, SparkContext._gateway
+    trees = whole.trees()
+    part = gateway.new_array(SparkContext._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
+    weights = gateway.new_array(gateway.jvm.double, n)
+    for k in range(n):
+        part[k], weights[k] = trees[k], whole.treeWeights()[k]
+    made = SparkContext._jvm.org.apache.spark.ml.classification.GBTClassificationModel(
+        f"{whole.uid()}_{n}", part, weights, whole.numFeatures(), 2)
+    for name in ("FeaturesCol", "PredictionCol", "ProbabilityCol", "RawPredictionCol"):
+        getattr(made, f"set{name}")(getattr(whole, f"get{name}")())
+    return GBTClassificationModel(made)
+
+
+def _prefix_search(train, est, settings, ev, folds, parallelism, fold_col):
+    from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
+
+    families: dict[tuple, list[int]] = {}
+    for j, s in enumerate(settings):
+        families.setdefault(tuple(sorted((p.name, v) for p, v in s.items() if p.name != "maxIter")), []).append(j)
+    length = [s[est.maxIter] for s in settings]
+
+    def one(job):
+        members, fold = job
+        longest = max(members, key=lambda j: length[j])
+        fitted = est.fit(train.filter(F.col(fold_col) != fold), settings[longest])
+        valid = train.filter(F.col(fold_col) == fold)
+        return [(j, ev.evaluate(first_trees(fitted, length[j]).transform(valid))) for j in members]
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        scores = list(pool.map(one, [(m, f) for m in families.values() for f in range(folds)]))
+    total = [0.0] * len(settings)
+    for j, score in (x for part in scores for x in part):
+        total[j] += score / folds
+    best = max(range(len(settings)), key=lambda j: total[j])
+    cv = CrossValidator(estimator=est, estimatorParamMaps=settings, evaluator=ev, numFolds=folds)
+    return cv._copyValues(CrossValidatorModel(est.fit(train, settings[best]), total))
+
+
 def search_results(cv_model) -> DataFrame:
     """One row per setting of a grid search: its parameters, mean accuracy over the folds, best (true once)."""
     spark = SparkSession.getActiveSession()

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casebook.functions import exprs as X
+from casebook.operators import boosting
 from casebook.operators import model as M
 from casebook.operators import prep
 
@@ -116,28 +117,27 @@ def design_matrix(df: DataFrame, enc: Encoders, features: str = "features") -> D
 
 
 def fit(train: DataFrame, label: str = "POLICY_IS_RENEWED", grid: dict | None = None,
-        folds: int = 4, parallelism: int = 2, seed: int = 1, id_col: str = "POLICY_ID",
-        valid_share: float = 0.2, **enc_kw):
-    """Encoders on train, hash-based validation split, grid search on the
-    rest, accuracy on the held-out rows. Returns (encoders, cv_model, accuracy)."""
+        folds: int = 4, seed: int = 1, id_col: str = "POLICY_ID", valid_share: float = 0.2,
+        rows: int = boosting.FIT_ROWS, **enc_kw):
+    """Encoders on train, hash-based validation split, grid search on at most
+    ``rows`` of the rest (one Spark task a fit), accuracy on all held-out rows.
+    Returns (encoders, search, accuracy)."""
     enc = fit_encoders(train, **enc_kw)
     data = design_matrix(train, enc).withColumn("label", F.col(label).cast("double"))
     data = prep.hash_split(data, id_col, valid_share, seed).select(id_col, "features", "label", "is_valid")
     data = M.stratified_folds(data, id_col, folds, seed).persist()
     try:
         tr, va = data.filter(~F.col("is_valid")), data.filter("is_valid")
-        est = M.estimator("gbt", seed=seed)
-        cv = M.grid_search(tr, est, grid or GRID, folds=folds, parallelism=parallelism, seed=seed,
-                           fold_col="fold")
-        acc = M.accuracy(cv.bestModel.transform(va), "label")
+        found = boosting.search(tr, id_col, grid or GRID, folds=folds, seed=seed, rows=rows)
+        acc = M.accuracy(found.bestModel.transform(va), "label")
     finally:
         data.unpersist()
-    return enc, cv, acc
+    return enc, found, acc
 
 
-def score(enc: Encoders, cv_model, test: DataFrame, id_col: str = "POLICY_ID",
+def score(enc: Encoders, found: boosting.Search, test: DataFrame, id_col: str = "POLICY_ID",
           label: str = "POLICY_IS_RENEWED") -> DataFrame:
     """POLICY_ID, predicted label, class-1 probability."""
-    scored = cv_model.bestModel.transform(design_matrix(test, enc))
+    scored = found.bestModel.transform(design_matrix(test, enc))
     return scored.select(id_col, F.col("prediction").cast("int").alias(label),
-                         M.positive_probability().alias(f"{label}_PROBABILITY"))
+                         F.col("probability").alias(f"{label}_PROBABILITY"))

@@ -601,8 +601,8 @@ def q_renewal_scores(spark, sf):
     pol = policy.prepare(_policies(spark, sf))
     train = prep.take_split(pol, "DATA_TYPE", "TRAIN")
     test = prep.take_split(pol, "DATA_TYPE", "TEST ").drop("POLICY_IS_RENEWED")
-    enc, cv, _acc = policy.fit(train)  # the original search: 27 settings, 4 folds
-    return policy.score(enc, cv, test)
+    enc, found, _acc = policy.fit(train)  # the original search: 27 settings, 4 folds
+    return policy.score(enc, found, test)
 
 
 @register("log_loss", """

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from casebook.operators import model, policy, prep
+from casebook.operators import boosting, model, policy, prep
 
 
 def test_multilabel_separable(spark):
@@ -79,10 +79,96 @@ def test_renewal_query_searches_the_whole_grid(spark, monkeypatch):
     class Stop(Exception):
         pass
 
-    def search(train, est, grid, folds, **kw):
+    def search(train, id_col, grid, folds, rows, **kw):
         assert grid == policy.GRID and [len(v) for v in grid.values()] == [3, 3, 3] and folds == 4
+        assert rows == boosting.FIT_ROWS
         raise Stop
 
-    monkeypatch.setattr(model, "grid_search", search)
+    monkeypatch.setattr(boosting, "search", search)
     with pytest.raises(Stop):
         catalogue.QUERIES["renewal_scores"](spark, "/root/testdata/sf0.001")
+
+
+def _noisy(spark, n=300):
+    rnd = random.Random(4)
+    rows = [(i, float(rnd.randint(0, 1)), rnd.gauss(0, 1), float(rnd.choice([0, 0, 0, 2])), i % 3) for i in range(n)]
+    rows = [(i, a, b, c, int((a > 0) ^ (b > 0.3)) if rnd.random() < 0.85 else 1, f) for i, a, b, c, f in rows]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double, label int, fold int")
+    return model.assemble(df.withColumn("label", F.col("label").cast("double")), ["a", "b", "c"])
+
+
+def test_search_over_trees_equals_separate_fits(spark):
+    df = _noisy(spark)
+    grid = {"maxIter": [3, 9], "maxDepth": [2, 4], "featureSubsetStrategy": ["0.6", "all"]}
+    found = boosting.search(df, "id", grid, folds=3, seed=5)
+    assert found.fits == 12 and len(found.settings) == 8
+    x, y, part = boosting.fitting_rows(df, "id", "features", "label", "fold", 1000)
+    data = boosting.binned(x)
+    for setting, got in zip(found.settings, found.avgMetrics, strict=True):
+        each = []
+        for f in range(3):  # one fit of its own for every setting and fold, scored from its trees' raw cuts
+            trees, _ = boosting.grow(data, y, part != f, setting["maxDepth"],
+                                     boosting.share_of(setting["featureSubsetStrategy"]), [setting["maxIter"]], 5)
+            right = (boosting.margins(x[part == f], trees.arrays()) >= 0) == (y[part == f] == 1)
+            each.append(right.mean())
+        assert got == pytest.approx(sum(each) / 3, abs=1e-12)
+    assert found.bestIndex == max(range(8), key=lambda k: found.avgMetrics[k])
+    assert [r["best"] for r in found.results(spark).collect()].count(True) == 1
+    scored = found.bestModel.transform(df).collect()
+    assert sum(r["prediction"] == r["label"] for r in scored) / len(scored) > 0.85
+
+
+def test_search_has_the_same_rows_under_any_partitioning(spark):
+    df = _noisy(spark)
+    grid = {"maxIter": [4], "maxDepth": [3], "featureSubsetStrategy": ["0.6"]}
+    a, b = (boosting.search(d, "id", grid, folds=2, rows=90) for d in (df, df.repartition(7)))
+    assert a.avgMetrics == b.avgMetrics
+    assert all((u == v).all() for u, v in zip(a.bestModel.arrays, b.bestModel.arrays, strict=True))
+
+
+def test_boosted_tree_takes_the_best_cut(spark):
+    rnd = random.Random(8)
+    import numpy as np
+    x = np.array([[rnd.choice([0, 0, 1, 3]), rnd.gauss(0, 1)] for _ in range(40)], dtype=float)
+    y = np.array([float(a[0] > 0 or a[1] > 1) if rnd.random() < 0.9 else 0.0 for a in x])
+    trees, _ = boosting.grow(boosting.binned(x, bins=64), y, np.ones(40, dtype=bool), 1, 1.0, [1], 0)
+
+    def part(mask):
+        g, h = (0.5 - y[mask]).sum(), 0.25 * mask.sum()
+        return g * g / (h + boosting.RIDGE), h
+    best = max(((part(x[:, f] <= c)[0] + part(x[:, f] > c)[0], -f, -c) for f in (0, 1)
+                for c in boosting.cut_points(x[:, f], 64)
+                if min(part(x[:, f] <= c)[1], part(x[:, f] > c)[1]) >= boosting.LEAST_CURVATURE))
+    assert (trees.feature[0], trees.cut[0]) == (-best[1], pytest.approx(-best[2]))
+    left = x[:, trees.feature[0]] <= trees.cut[0]
+    want = -boosting.ETA * (0.5 - y[left]).sum() / (0.25 * left.sum() + boosting.RIDGE)
+    assert trees.value[1] == pytest.approx(want)
+
+
+def test_search_without_rows(spark):
+    df = _noisy(spark).filter("id < 0")
+    found = boosting.search(df, "id", {"maxIter": [2], "maxDepth": [2], "featureSubsetStrategy": ["all"]}, folds=2)
+    assert found.avgMetrics == [0.0]
+    assert {r["probability"] for r in found.bestModel.transform(_noisy(spark, 5)).collect()} == {0.5}
+
+
+def test_prefix_search_equals_cross_validator(spark):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+    df = _noisy(spark, 200).coalesce(1).persist()
+    est = model.estimator("gbt", seed=3)
+    got = model.grid_search(df, est, {"maxIter": [2, 5], "maxDepth": [2]}, folds=3, fold_col="fold")
+    plain = CrossValidator(estimator=est, evaluator=MulticlassClassificationEvaluator(metricName="accuracy"), numFolds=3,
+                           estimatorParamMaps=ParamGridBuilder().addGrid(est.maxIter, [2, 5]).addGrid(est.maxDepth, [2]).build(),
+                           foldCol="fold").fit(df)
+    assert got.avgMetrics == pytest.approx(plain.avgMetrics)
+    assert got.bestModel.getNumTrees == plain.bestModel.getNumTrees
+    assert model.search_results(got).filter("best").count() == 1
+    df.unpersist()
+
+
+@pytest.mark.parametrize("kind", ["logistic", "forest", "mlp"])
+def test_other_classifiers(spark, kind):
+    df = _noisy(spark).withColumn("label", (F.col("a") > 0).cast("double"))
+    fitted = model.estimator(kind, seed=2, layers=[3, 4, 2]).fit(df)
+    assert model.accuracy(fitted.transform(df), "label") > 0.95
