@@ -91,17 +91,19 @@ def cuts(off: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Encoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
+        """``plain``: special tokens' strings in a text are ordinary text."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core a task
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = plain
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         before = spec.get("pre_tokenizer") or {}
         self.by_piece = (spec["model"]["type"] == "BPE" and not spec.get("normalizer") and before.get("type") == "ByteLevel"
                          and not before.get("add_prefix_space") and before.get("use_regex", True)
                          and not spec["model"].get("dropout"))
-        self.special = "|".join(re.escape(t["content"]) for t in spec["added_tokens"])
+        self.special = "" if plain else "|".join(re.escape(t["content"]) for t in spec["added_tokens"])
         self.pieces: dict[bytes, bytes] = {}
         self.word = re.compile(rb" [A-Za-z\x80-\xff]+").fullmatch
         if self.by_piece:
@@ -179,19 +181,19 @@ def _joined(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, plain: bool = False) -> Encoder:
     """The worker's encoder of a tokenizers file (the file is installed with the library on every executor)."""
-    return Encoder(path)
+    return Encoder(path, plain)
 
 
-def groups(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
-    """Runs of rows with some GROUP_BYTES of text."""
+def groups(batches: Iterator[pa.RecordBatch], column: int, most: int = GROUP_BYTES) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with some ``most`` bytes of text."""
     for batch in batches:
         size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().astype(np.int64)
         total = np.cumsum(size)
         lo = 0
         while lo < batch.num_rows:
             base = total[lo] - size[lo]
-            hi = max(lo + 1, int(np.searchsorted(total, base + GROUP_BYTES, side="right")))
+            hi = max(lo + 1, int(np.searchsorted(total, base + most, side="right")))
             yield batch.slice(lo, hi - lo)
             lo = hi
