@@ -46,8 +46,8 @@ SCALE = 256
 K = 5
 LOW = 80  # percent of the positive's score from which a negative is hard
 SAMPLE = 4096  # vectors that the codebooks are fitted on, those with the smallest hashes of their ids
-CODES = 24  # codes of a half
-SHARD = 8192  # vectors in a shard
+CODES = 8  # codes of a half: cells of some SHARD / 64 vectors, so that a visit is one matrix product worth its call
+SHARD = 16384  # vectors in a shard
 BLOCK = 256  # anchors in a block
 WAVE_BYTES = 8 << 20  # query blocks that come to all shards at once
 
@@ -142,6 +142,7 @@ class Shard:
         self.dim, self.split = row["dim"], row["split"]
         self.ids, self.labels = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["labels"], np.int32)
         self.m = np.frombuffer(row["matrix"]).reshape(len(self.ids), self.dim)
+        self.top = float(np.abs(self.m).max())
         cells, starts = (np.frombuffer(row[c], np.int64) for c in ("cells", "starts"))
         half, flat, radii = self.dim // 2, np.frombuffer(row["codes"]), np.frombuffer(row["radii"])
         self.codes = (flat[:self.split * half].reshape(self.split, half), flat[self.split * half:].reshape(-1, self.dim - half))
@@ -177,7 +178,9 @@ class Shard:
                 yield _over(-bound), at
 
     def scores(self, at: tuple[int, int], q: np.ndarray) -> np.ndarray:
-        return _whole(self.m[at[0]:at[1]], q)
+        if self.top * float(np.abs(q).max()) * self.dim >= 2 ** 53:
+            return self.m[at[0]:at[1]].astype(np.int64) @ q.astype(np.int64)
+        return self.m[at[0]:at[1]] @ q  # whole numbers, exact in floating point
 
 
 def _over(bound: float) -> int:
@@ -185,12 +188,6 @@ def _over(bound: float) -> int:
     return int(np.floor(bound + 1e-6 * abs(bound) + 1e-3))
 
 
-def _whole(m: np.ndarray, q: np.ndarray) -> np.ndarray:
-    if len(m) and float(np.abs(m).max()) * float(np.abs(q).max()) * len(q) >= 2 ** 53:
-        return m.astype(np.int64) @ q.astype(np.int64)
-    return (m @ q).astype(np.int64)
-
-
 def _better(best: list, ids: np.ndarray, scores: np.ndarray, k: int) -> list:
     """The ``k`` highest of (score, id) lists, ties to smaller ids; as (-score, id) in order."""
     if len(best) == k:
@@ -201,7 +198,7 @@ def _better(best: list, ids: np.ndarray, scores: np.ndarray, k: int) -> list:
     if len(ids) > k:
         keep = np.lexsort((ids, -scores))[:k]
         ids, scores = ids[keep], scores[keep]
-    return sorted([*best, *zip((-scores).tolist(), ids.tolist(), strict=True)])[:k]
+    return sorted([*best, *zip((-scores.astype(np.int64)).tolist(), ids.tolist(), strict=True)])[:k]
 
 
 def _positives(k):
@@ -214,10 +211,13 @@ def _positives(k):
                 for bound, at in shard.visit(bounds[0][n], bounds[1][n]):
                     if len(found) == k and bound < -found[-1][0]:
                         break
-                    mine = slice(*at)
-                    good = (shard.labels[mine] == label) & (shard.ids[mine] != anchor)
-                    if good.any():
-                        found = _better(found, shard.ids[mine][good], shard.scores(at, q)[good], k)
+                    s = shard.scores(at, q)
+                    # only rows that could come among the k best are looked at further
+                    on = np.flatnonzero(s >= -found[-1][0]) if len(found) == k else np.arange(len(s))
+                    if len(on):
+                        ids = shard.ids[at[0]:at[1]][on]
+                        good = (shard.labels[at[0]:at[1]][on] == label) & (ids != anchor)
+                        found = _better(found, ids[good], s[on][good], k)
                 best[anchor] = found
         yield _rows([(a, i, -s) for a, found in best.items() for s, i in found], PAIRS)
     return run
@@ -238,11 +238,14 @@ def _negatives(k, low):
                     open_ = [w for w in open_ if bound >= w[2] and (len(w[3]) < k or bound >= -w[3][-1][0])]
                     if not open_:
                         break
-                    mine = slice(*at)
-                    good = (shard.labels[mine] != label) & (shard.ids[mine] != anchor)
-                    if good.any():
-                        ids, s = shard.ids[mine][good], shard.scores(at, q)[good]
-                        for w in open_:
+                    s = shard.scores(at, q)
+                    least = min(w[2] if len(w[3]) < k else max(w[2], -w[3][-1][0]) for w in open_)
+                    on = np.flatnonzero((s >= least) & (s <= max(w[0] for w in open_)))
+                    if len(on):
+                        ids = shard.ids[at[0]:at[1]][on]
+                        good = (shard.labels[at[0]:at[1]][on] != label) & (ids != anchor)
+                        ids, s = ids[good], s[on][good]
+                        for w in open_ if len(s) else ():
                             inside = (s >= w[2]) & (s <= w[0])
                             if inside.any():
                                 w[3] = _better(w[3], ids[inside], s[inside], k)
