@@ -17,13 +17,14 @@ in at most ``H = (100 - percent) * |A| // percent`` shingles.
   set with H + 1 of these has no partner and asks nothing; the others take the
   cheapest segments that are still needed.
 * *Exact verification*. Pairs (asking set, member) of a group are looked at in
-  blocks, without being written out: the parities of the shingles in each of a few
-  thousand cells differ in no more cells than the sets differ in shingles, so
-  pairs that differ in too many cells are no links. The others are verified on
-  whole texts, also where they are connected already, so every link between
-  different sets is found and ``n_links`` is a set's whole degree. Candidates of
-  one connected group meet in blocks of its members, so a text travels once per
-  block and not once per pair.
+  blocks: the parities of the shingles in each of a few thousand cells differ in
+  no more cells than the sets differ in shingles, so pairs that differ in too
+  many cells are no links. Of the others a block writes a spanning forest, not
+  the pairs. Every link lies inside a connected group of these candidates, so the
+  members of such a group meet on whole texts, in blocks, each pair in one pair
+  of blocks; a block gives every member's number of links and a spanning forest
+  of the links. So ``n_links`` is a set's whole degree, though no pair of a group
+  becomes a row, and what is written grows with the members.
 
 Equal sets are one class from the start (128-bit digest and size); they travel
 once per slice of text and are expanded only in the result. Should a set's
@@ -312,34 +313,96 @@ def _allocate(percent):
     return apply
 
 
-def _verify(shingle, percent):
-    """Sorted rows (comp, i, j, kind, x, y, ztext): of each block pair its texts (kind 0, of x), then its pairs."""
-    def links(texts, pairs):
-        known, reps = {}, list(texts)
-        for lo in range(0, len(reps), 256):
-            part = reps[lo:lo + 256]
-            known |= dict(zip(part, sets_of(*X.as_texts([X.unsqueeze(texts[r]) for r in part]), shingle), strict=True))
-        keep = []
-        for x, y in pairs:
-            u, v = known[x], known[y]
-            both = len(np.intersect1d(u, v, assume_unique=True))
-            if 100 * both >= percent * (len(u) + len(v) - both):
-                keep.append((x, y))
-        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in keep], pa.int64()) for k in range(2)], names=["x", "y"])
+class Forest:
+    """Joins members of a block; ``edges`` are the first pairs that joined two parts (fewer than members)."""
 
+    def __init__(self, names: np.ndarray):
+        self.names, self.part, self.edges = names, np.arange(len(names)), []
+
+    def join(self, one: int, others: np.ndarray) -> None:
+        for part, first in zip(*np.unique(self.part[others], return_index=True), strict=True):
+            if part != self.part[one]:
+                self.edges.append((int(self.names[one]), int(self.names[others[first]])))
+                self.part[self.part == part] = self.part[one]
+
+
+def _bits(sketches: list[bytes]) -> np.ndarray:
+    """Sketches as rows of 64-bit words; those of the next band are folded to the width of the first."""
+    width = min(map(len, sketches))
+    bits = np.empty((len(sketches), width), dtype=np.uint8)
+    for k, raw in enumerate(sketches):
+        b = np.frombuffer(raw, dtype=np.uint8)
+        while len(b) > width:
+            b = b[:len(b) // 2] ^ b[len(b) // 2:]
+        bits[k] = b
+    return bits.view(np.uint64)
+
+
+def _close(left: np.ndarray, right: np.ndarray, bits: np.ndarray, n: np.ndarray, percent: int):
+    """(member of ``left``, members of ``right`` that it may link with), by the parity sketches."""
+    step = max(1, (1 << 20) // max(1, len(right) * bits.shape[1]))
+    for lo in range(0, len(left), step):
+        at = left[lo:lo + step]
+        apart = np.bitwise_count(bits[at][:, None, :] ^ bits[right][None, :, :]).sum(axis=2, dtype=np.int64)
+        good = apart * (100 + percent) <= (n[at][:, None] + n[right][None, :]) * (100 - percent)
+        for k, row in zip(at.tolist(), good, strict=True):
+            yield k, right[row]
+
+
+def _keyed(batches, width: int):
+    """Rows in runs of equal first ``width`` columns."""
+    held, key = [], None
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if row[:width] != key:
+                if held:
+                    yield key, held
+                held, key = [], row[:width]
+            held.append(row[width:])
+    if held:
+        yield key, held
+
+
+def _linked(shingle, percent):
+    """Sorted rows (comp, i, j, block, rep, ztext): of block i and block j of a group of candidates each member's number
+    of links between them (y null), and a forest of these links (degree 0)."""
     def apply(batches):
-        texts, pairs, key = {}, [], None
-        for batch in batches:
-            for *at, kind, x, y, ztext in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if at != key and len(texts) >= TOGETHER:
-                    yield links(texts, pairs)
-                    texts, pairs = {}, []
-                key = at
-                if kind:
-                    pairs.append((x, y))
-                else:
-                    texts[x] = ztext
-        yield links(texts, pairs)
+        for (_, i, j), rows in _keyed(batches, 3):
+            block, rep, texts = (list(x) for x in zip(*rows, strict=True))
+            block, rep = np.array(block), np.array(rep, dtype=np.int64)
+            sets = []
+            for lo in range(0, len(texts), 256):
+                sets += sets_of(*X.as_texts([X.unsqueeze(t) for t in texts[lo:lo + 256]]), shingle)
+            del rows, texts
+            n = np.array([len(u) for u in sets])
+            bits = _bits([sketch(u, percent) for u in sets])
+            known, flat = np.unique(np.concatenate(sets), return_inverse=True)
+            bound = np.r_[0, np.cumsum(n)]
+            here, degree, forest = np.zeros(len(known), dtype=bool), np.zeros(len(rep), dtype=np.int64), Forest(rep)
+            left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+            for one, others in _close(left, right, bits, n, percent):
+                if i == j:
+                    others = others[others > one]  # each pair once
+                if not len(others):
+                    continue
+                own = flat[bound[one]:bound[one + 1]]
+                here[own] = True
+                size = n[others]
+                ends = np.cumsum(size)
+                of = np.repeat(bound[others] - (ends - size), size) + np.arange(ends[-1])
+                both = np.add.reduceat(here[flat[of]].astype(np.int64), ends - size)
+                here[own] = False
+                others = others[100 * both >= percent * (n[one] + size - both)]
+                degree[one] += len(others)
+                degree[others] += 1
+                if len(others):
+                    forest.join(one, others)
+            some = np.flatnonzero(degree)
+            edges = np.array(forest.edges, dtype=np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.r_[rep[some], edges[:, 0]]),
+                 pa.array([None] * len(some) + edges[:, 1].tolist(), pa.int64()),
+                 pa.array(np.r_[degree[some], np.zeros(len(edges), dtype=np.int64)])], names=["x", "y", "degree"])
     return apply
 
 
@@ -359,64 +422,33 @@ def _prepared(shingle, percent):
     def apply(batches):
         for part in slices(batches):
             raw = [t or b"" for t in part.column(1).to_pylist()]
+            sets = list(sets_of(*X.as_texts(raw), shingle))
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array([X.squeeze(t) for t in raw], pa.binary()),
-                 pa.array([sketch(u, percent) for u in sets_of(*X.as_texts(raw), shingle)], pa.binary())],
-                names=["rep", "ztext", "sketch"])
+                [part.column(0), pa.array([len(u) for u in sets], pa.int32()), pa.array([X.squeeze(t) for t in raw], pa.binary()),
+                 pa.array([sketch(u, percent) for u in sets], pa.binary())], names=["rep", "n_shingles", "ztext", "sketch"])
     return apply
 
 
 BLOCK = 2048  # members of a group compared at once
-TOGETHER = 256  # texts of a connected group verified at once with as many others
+TOGETHER = 400_000  # shingles of a group of candidates in a block, whose texts are verified with another block's
 
 
 def _near(percent):
-    """Sorted rows (owner, i, j, block, rep, n, asks, sketch) -> pairs of block i and block j that may link."""
-    def pairs(rows):
-        i, j, block, rep, n, asks, sketches = (list(x) for x in zip(*rows, strict=True))
-        width = min(map(len, sketches))
-        bits = np.empty((len(rows), width), dtype=np.uint8)
-        for k, raw in enumerate(sketches):
-            b = np.frombuffer(raw, dtype=np.uint8)
-            while len(b) > width:  # a set of the next band: fold its cells
-                b = b[:len(b) // 2] ^ b[len(b) // 2:]
-            bits[k] = b
-        bits = bits.view(np.uint64)
-        rep, n, asks, block = np.array(rep), np.array(n), np.array(asks), np.array(block)
-        left, right = np.flatnonzero(block == i[0]), np.flatnonzero(block == j[0])
-        step = max(1, (1 << 20) // max(1, len(right) * bits.shape[1]))
-        for lo in range(0, len(left), step):
-            at = left[lo:lo + step]
-            apart = np.bitwise_count(bits[at][:, None, :] ^ bits[right][None, :, :]).sum(axis=2, dtype=np.int64)
-            both = n[at][:, None] + n[right][None, :]
-            good = apart * (100 + percent) <= both * (100 - percent)
-            good &= asks[at][:, None] | asks[right][None, :]
-            x, y = np.nonzero(good)
-            yield np.minimum(rep[at[x]], rep[right[y]]), np.maximum(rep[at[x]], rep[right[y]])
-
+    """Sorted rows (owner, i, j, block, rep, n, asks, sketch): a forest of the pairs of block i and block j that may
+    link, one of which asks."""
     def apply(batches):
-        held, key = [], None
-        found: list = []
-
-        def flush():
-            if held:
-                found.extend(pairs(held))
-            held.clear()
-
-        def out():
-            x, y = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, dtype=np.int64) for k in range(2))
-            found.clear()
-            return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)), pa.array(y.astype(np.int64))], names=["x", "y"])
-
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if row[:3] != key:
-                    flush()
-                    key = row[:3]
-                held.append(row[1:])
-            yield out()
-        flush()
-        yield out()
+        for (_, i, j), rows in _keyed(batches, 3):
+            block, rep, n, asks, sketches = (list(x) for x in zip(*rows, strict=True))
+            bits, rep = _bits(sketches), np.array(rep, dtype=np.int64)
+            n, asks, block, forest = np.array(n), np.array(asks), np.array(block), Forest(rep)
+            for one, others in _close(np.flatnonzero(block == i), np.flatnonzero(block == j), bits, n, percent):
+                others = others[(asks[others] | asks[one]) & (others != one)]
+                if len(others):
+                    forest.join(one, others)
+            edges = np.array(forest.edges, dtype=np.int64).reshape(-1, 2)
+            edges.sort(axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0].copy()), pa.array(edges[:, 1].copy())],
+                                             names=["x", "y"])
     return apply
 
 
@@ -457,23 +489,19 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
     # one plan at every size: the candidates' list is never broadcast, as it grows with the corpus
     texts = X.table(docs.join(wanted.select(F.col("rep").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
                     .dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("rep"), "text")
-                    .mapInArrow(tidy(_prepared(shingle, percent)), "rep long, ztext binary, sketch binary"))
+                    .mapInArrow(tidy(_prepared(shingle, percent)), "rep long, n_shingles int, ztext binary, sketch binary"))
     within = X.table(members.distinct().join(wanted, "key").select("owner", "rep", "n_shingles"))
 
-    def verified(pairs):
-        """``pairs`` (a table) whose sets link."""
-        at = _components(pairs)
-        at = X.table(at.join(at.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / TOGETHER).alias("blocks")), "comp")
-                     .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks"))))
-        ends = (pairs.join(at.select(F.col("rep").alias("x"), "comp", F.col("block").alias("bx")), "x")
-                .join(at.select(F.col("rep").alias("y"), F.col("block").alias("by")), "y")
-                .select("comp", F.least("bx", "by").alias("i"), F.greatest("bx", "by").alias("j"), F.lit(1).alias("kind"),
-                        "x", "y", F.lit(None).cast("binary").alias("ztext")))
-        used = (ends.select("comp", "i", "j", F.explode(F.array("x", "y")).alias("rep")).distinct()
-                .join(texts.select("rep", "ztext"), "rep")
-                .select("comp", "i", "j", F.lit(0).alias("kind"), F.col("rep").alias("x"), F.col("rep").alias("y"), "ztext"))
-        return X.table(used.unionByName(ends).repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j", "kind")
-                       .mapInArrow(tidy(_verify(shingle, percent)), "x long, y long"))
+    def verified(candidates):
+        """Rows of ``_linked``: all pairs of a connected group of candidates are compared, each in one pair of blocks."""
+        at = _components(candidates).join(texts.select("rep", "n_shingles", "ztext"), "rep")
+        blocks = at.groupBy("comp").agg(F.ceil(F.sum("n_shingles") / TOGETHER).alias("blocks"))
+        at = at.join(blocks, "comp").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+        at = at.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        at = at.select("comp", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep",
+                       "ztext")
+        return X.table(at.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j")
+                       .mapInArrow(tidy(_linked(shingle, percent)), "x long, y long, degree long"))
 
     askers = asks.join(wanted, "key").select("owner", "rep", F.lit(True).alias("asks"))
     placed = (within.join(within.groupBy("owner").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")), "owner")
@@ -483,11 +511,10 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
     placed = placed.select("owner", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block",
                            "rep", "n_shingles", F.coalesce("asks", F.lit(False)).alias("asks"), "sketch")
     near = X.table(placed.repartition("owner", "i", "j").sortWithinPartitions("owner", "i", "j")
-                   .mapInArrow(tidy(_near(percent)), "x long, y long").filter("x < y").distinct())
+                   .mapInArrow(tidy(_near(percent)), "x long, y long"))
     links = verified(near)
-    found = _components(links)
-    degree = (links.select(F.explode(F.array("x", "y")).alias("rep")).groupBy("rep")
-              .agg(F.count(F.lit(1)).alias("n_links")))
+    found = _components(links.filter("y is not null").select("x", "y"))
+    degree = links.groupBy(F.col("x").alias("rep")).agg(F.sum("degree").alias("n_links"))
     linked = (classes.join(found, "rep", "left").join(degree, "rep", "left")
               .select("key", "tail", "n_shingles", F.col("rep").alias("class_id"),
                       F.coalesce("comp", "rep").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
