@@ -61,7 +61,8 @@ _C = ctypes.CDLL(None)
 
 
 def release() -> None:
-    """Give freed memory back to the machine: Python workers outlive their tasks, and several share an executor's limit."""
+    """Give memory back to the machine: Python workers outlive their tasks, and several share an executor's limit."""
+    _POWERS.clear()
     pa.default_memory_pool().release_unused()
     if hasattr(_C, "malloc_trim"):  # glibc
         _C.malloc_trim(0)
@@ -109,11 +110,10 @@ _POWERS: dict[int, np.ndarray] = {}
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    """base ** 0 .. base ** n modulo 2 ** 64."""
+    """base ** 0 .. base ** n modulo 2 ** 64; kept until the end of the task at most."""
     have = _POWERS.get(base)
     if have is None or len(have) <= n:
-        size = max(n + 1, SLICE_BYTES + 1)
-        have = np.full(size, base, dtype=np.uint64)
+        have = np.full(n + 1, base, dtype=np.uint64)
         have[0] = 1
         np.cumprod(have, out=have)
         _POWERS[base] = have

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casebook.llm import exchange as X
-from casebook.llm.arrays import Runs, byte_runs, slices, tidy, utf8, window_starts, words
+from casebook.llm.arrays import SLICE_BYTES, Runs, byte_runs, slices, tidy, utf8, window_starts, words
 
 WINDOW = 50
 BLOCK = 25
@@ -52,7 +52,7 @@ def _runs(off, data, width, block):
 
 def _emit_anchors(width, block, n_buckets):
     def emit(batches):
-        for part in slices(batches):
+        for part in slices(batches, size=SLICE_BYTES // 2):
             ids = part.column(0)
             off, data = utf8(part.column(1))
             _, _, by, hashes, at, doc = _runs(off, data, width, block)
@@ -118,7 +118,7 @@ def _anchors(batches):
 
 def _emit_windows(width, block, n_buckets):
     def emit(batches):
-        for part in slices(_unsqueezed(batches), "text"):
+        for part in slices(_unsqueezed(batches), "text", SLICE_BYTES // 2):
             ids = part.column(0).to_numpy(zero_copy_only=False)
             off, data = utf8(part.column(1))
             # bucket and low bits of each mark, and the document that has it
