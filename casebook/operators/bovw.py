@@ -43,6 +43,63 @@ def collect_features(descriptors: DataFrame, image: str = "image", pos: str = "p
             .select(image, F.transform("_s", lambda s: s["d"]).alias("features")))
 
 
+def decode_netpbm(content: bytes) -> np.ndarray:
+    """Pixels of a binary PGM or PPM file (maximum 255): height x width, or height x width x 3 (red, green, blue)."""
+    kind, at, numbers = content[:2], 2, []
+    if kind not in (b"P5", b"P6"):
+        raise ValueError("not a binary PGM or PPM file")
+    while len(numbers) < 3:
+        line_end = content.index(b"\n", at) if content[at:at + 1] == b"#" else at
+        if line_end > at:  # a comment
+            at = line_end + 1
+            continue
+        start = at
+        while content[at:at + 1].isdigit():
+            at += 1
+        if at > start:
+            numbers.append(int(content[start:at]))
+        else:
+            at += 1
+        if at > len(content):
+            raise ValueError("the header ends early")
+    width, height, most = numbers
+    if most > 255:
+        raise ValueError("two bytes a sample are not read")
+    shape = (height, width) if kind == b"P5" else (height, width, 3)
+    return np.frombuffer(content, dtype=np.uint8, count=int(np.prod(shape)), offset=at + 1).reshape(shape)
+
+
+def decode_images(files: DataFrame, decode: Callable[[bytes], np.ndarray] = decode_netpbm, image: str = "image",
+                  content: str = "content") -> DataFrame:
+    """File contents (``read_sequence_images``, ``read_image_files``) -> decoded images as ``read_images`` gives them:
+    image, height, width, n_channels, data (blue, green, red), valid.
+
+    ``decode(content)`` returns gray pixels (height x width) or red, green, blue (height x width x 3), as 8-bit
+    numbers; whatever it cannot decode (null content, an exception, no pixels) keeps its row with ``valid`` false and
+    no data, so nothing is lost without a trace. Only the content enters Python, in Arrow batches."""
+    ship_package(files.sparkSession)
+
+    def pixels(raw):
+        try:
+            got = None if raw is None else np.asarray(decode(raw))
+        except Exception:  # noqa: BLE001 - a user function on any bytes; the row tells
+            got = None
+        if got is None or got.ndim not in (2, 3) or not got.size or (got.ndim == 3 and got.shape[2] not in (1, 3)):
+            return -1, -1, -1, None, False
+        got = np.ascontiguousarray(got[..., ::-1] if got.ndim == 3 else got, dtype=np.uint8)
+        return got.shape[0], got.shape[1], 1 if got.ndim == 2 else got.shape[2], got.tobytes(), True
+
+    @F.arrow_udf("height int, width int, n_channels int, data binary, valid boolean")
+    def run(values: pa.Array) -> pa.Array:
+        rows = [pixels(v.as_py()) for v in values]  # one picture's bytes at a time
+        columns = zip(*rows, strict=True) if rows else [[]] * 5
+        kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.bool_())
+        return pa.StructArray.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)],
+                                          names=["height", "width", "n_channels", "data", "valid"])
+
+    return files.select(image, run(F.col(content)).alias("_i")).select(image, "_i.*")
+
+
 def describe_images(images: DataFrame, describe: Callable[[np.ndarray], np.ndarray],
                     image: str = "image", dim: int = 64) -> DataFrame:
     """Run a user descriptor function on every decoded image (``mapInPandas``).
@@ -128,6 +185,78 @@ def train_codebook(descriptors: DataFrame, k: int, max_iter: int = 10, restarts:
     return spark.createDataFrame(centres, "centre_id int, centre array<double>")
 
 
+def train_codebooks(descriptors: DataFrame, k: int, restarts: int = 10, max_iter: int = 10, tol: float = 1.0,
+                    seed: int = 1, descriptor: str = "descriptor") -> tuple[DataFrame, DataFrame]:
+    """k-means from ``restarts`` random starts at once: the centres of all starts that still move are moved in one pass
+    over the descriptors per round. A start ends when no centre moves by ``tol`` or more, or after ``max_iter`` rounds;
+    the start with the least cost (of its final centres, ties to the earlier one) wins.
+
+    A start's centres are the descriptors with the smallest hashes under its own seed, so they do not depend on
+    partitioning; a centre that no descriptor is nearest to stays where it is. A task sends one row per start and
+    centre; the driver holds the centres (restarts x k). Descriptors that are null take no part.
+
+    Returns the winner (centre_id, centre) and all starts (start, rounds, cost, moved (largest last move), best)."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    spark = descriptors.sparkSession
+    ship_package(spark)
+    data = descriptors.select(X.to_double_array(descriptor).alias("d")).filter(F.col("d").isNotNull())
+    data = cut_lineage(data)  # read once a round
+    first = (data.select("d", F.explode(F.sequence(F.lit(0), F.lit(restarts - 1))).alias("start"))
+             .withColumn("h", F.xxhash64("d", "start", F.lit(seed))))
+    chosen = (first.withColumn("n", F.row_number().over(Window.partitionBy("start").orderBy("h", "d")))
+              .filter(F.col("n") <= k).select("start", "n", "d").collect())  # restarts x k rows
+    empty = spark.createDataFrame([], "centre_id int, centre array<double>")
+    if not chosen:
+        return empty, spark.createDataFrame([], "start int, rounds int, cost double, moved double, best boolean")
+    centres = {s: np.array([r["d"] for r in sorted(chosen, key=lambda r: r["n"]) if r["start"] == s]) for s in range(restarts)}
+    rounds, moved = dict.fromkeys(centres, 0), dict.fromkeys(centres, float("inf"))
+
+    def one_pass(live: dict[int, np.ndarray]) -> dict[tuple[int, int], tuple]:
+        """(start, centre) -> number of its descriptors, their sum, their squared distances."""
+        def run(batches):
+            total = {s: [np.zeros(len(c)), np.zeros(c.shape), np.zeros(len(c))] for s, c in live.items()}
+            for batch in batches:
+                x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+                for s, c in live.items():
+                    word, dist = _nearest(c, 0)(x)
+                    n, sums, cost = total[s]
+                    n += np.bincount(word, minlength=len(c))
+                    np.add.at(sums, word, x)
+                    cost += np.bincount(word, dist ** 2, len(c))
+            rows = [(s, j, n[j], sums[j].tolist(), cost[j]) for s, (n, sums, cost) in total.items() for j in np.flatnonzero(n)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in rows], t) for i, t in enumerate(
+                    (pa.int32(), pa.int32(), pa.float64(), pa.list_(pa.float64()), pa.float64()))],
+                names=["start", "centre", "n", "sums", "cost"])
+        parts = data.mapInArrow(run, "start int, centre int, n double, sums array<double>, cost double")
+        added = parts.groupBy("start", "centre").agg(
+            F.sum("n").alias("n"), vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums"), F.sum("cost").alias("cost"))
+        return {(r["start"], r["centre"]): (r["n"], np.array(r["sums"]), r["cost"]) for r in added.collect()}
+
+    live = dict(centres)
+    while live:
+        found = one_pass(live)
+        for s in list(live):
+            new = live[s].copy()
+            for j in range(len(new)):
+                if (s, j) in found:
+                    new[j] = found[s, j][1] / found[s, j][0]
+            rounds[s] += 1
+            moved[s] = float(np.sqrt(((new - live[s]) ** 2).sum(axis=1)).max())
+            centres[s] = live[s] = new
+            if moved[s] < tol or moved[s] == 0 or rounds[s] >= max_iter:
+                del live[s]
+    final = one_pass(centres)
+    cost = {s: float(sum(v[2] for (t, _), v in final.items() if t == s)) for s in centres}
+    best = min(cost, key=lambda s: (cost[s], s))
+    codebook = spark.createDataFrame([(j, c.tolist()) for j, c in enumerate(centres[best])], empty.schema)
+    starts = spark.createDataFrame([(s, rounds[s], cost[s], moved[s], s == best) for s in sorted(centres)],
+                                   "start int, rounds int, cost double, moved double, best boolean")
+    return codebook, starts
+
+
 def codebook_from_groups(descriptors: DataFrame, group: str,
                          descriptor: str = "descriptor") -> DataFrame:
     """Centroid of every group of descriptors as a codebook (centre_id = rank

@@ -241,6 +241,76 @@ def average_linkage(centres: np.ndarray, weights: np.ndarray, k: int,
     return [firsts.index(r) for r in labels.tolist()], merges
 
 
+def grid_cells(points: DataFrame, id_col: str, cols: Sequence[str], cell: float) -> tuple[DataFrame, DataFrame]:
+    """Micro-clusters on a grid of side ``cell``: the points with their cell (id, cell: array of whole numbers) and the
+    occupied cells (micro: from 0 in the order of their places, cell, n, centre: mean of the cell's points)."""
+    at = points.select(id_col, *cols, F.array(*[F.floor(F.col(c) / F.lit(cell)).cast("long") for c in cols]).alias("cell"))
+    cells = at.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.array(*[F.avg(c) for c in cols]).alias("centre"))
+    return at.select(id_col, "cell"), ordered_index(cells, ["cell"], name="micro", start=0)
+
+
+def linkage(micro: DataFrame, metric: str = "manhattan") -> DataFrame:
+    """Average linkage of micro-clusters (micro, n, centre) -> all merges (a, b, height, round), a < b; a cluster is
+    named by its smallest member.
+
+    The pair table keeps, of each pair of clusters, the sum of n_i * n_j * distance and of n_i * n_j over its members;
+    their quotient is the average distance, and merging adds rows up. In each round every cluster looks for its
+    nearest (heights to 9 places, ties to the smallest pair), and all pairs that chose each other merge: average
+    linkage never brings a merged cluster nearer to a third than its parts were, so such pairs merge in any order.
+    The table has one row per pair of micro-clusters, whose number the caller sets; nothing goes through the driver
+    but row counts."""
+    gap = X.manhattan("centre", "other") if metric == "manhattan" else X.euclidean("centre", "other")
+    everyone = micro.agg(F.sort_array(F.collect_list(F.struct("micro", "n", "centre"))).alias("e")).scalar()
+    pairs = (micro.withColumn("_all", everyone).select("micro", "n", "centre", F.inline(F.transform("_all", lambda x: F.struct(
+        x["micro"].alias("b"), x["n"].alias("nb"), x["centre"].alias("other")))))
+        .filter(F.col("micro") < F.col("b"))
+        .select(F.col("micro").alias("a"), "b", (F.col("n") * F.col("nb")).cast("double").alias("w"), gap.alias("gap"))
+        .select("a", "b", "w", (F.col("w") * F.col("gap")).alias("s")))
+    pairs, merges, round_ = cut_lineage(pairs), None, 0
+    while not pairs.isEmpty():
+        round_ += 1
+        height = F.round(F.col("s") / F.col("w"), 9)
+        key = F.struct(height.alias("height"), "a", "b")
+        ends = pairs.select(key.alias("k"), F.explode(F.array("a", "b")).alias("x"))
+        best = ends.groupBy("x").agg(F.min("k").alias("k"))
+        chosen = cut_lineage(best.groupBy("k").agg(F.count(F.lit(1)).alias("c")).filter("c = 2").select("k.*")
+                             .withColumn("round", F.lit(round_)))
+        merges = chosen if merges is None else merges.unionByName(chosen)
+        into = chosen.select(F.col("b").alias("old"), F.col("a").alias("new"))
+        moved = (pairs.join(into.select(F.col("old").alias("a"), F.col("new").alias("na")), "a", "left")
+                 .join(into.select(F.col("old").alias("b"), F.col("new").alias("nb")), "b", "left")
+                 .select(F.coalesce("na", "a").alias("a"), F.coalesce("nb", "b").alias("b"), "w", "s"))
+        pairs = cut_lineage(moved.filter("a <> b").groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+                            .agg(F.sum("w").alias("w"), F.sum("s").alias("s")))
+    if merges is None:
+        return micro.sparkSession.createDataFrame([], "a long, b long, height double, round int")
+    return merges.select(F.col("a").cast("long"), F.col("b").cast("long"), "height", "round")
+
+
+def cut(micro: DataFrame, merges: DataFrame, k: int) -> DataFrame:
+    """(micro, cluster): the merges of lowest height are done until ``k`` clusters are left; clusters are numbered from
+    0 by their smallest micro-cluster."""
+    done = merges.orderBy("height", "round", "a", "b").limit(max(0, micro.count() - k))
+    at = connected_components(done, micro.select(F.col("micro").alias("id")), src="a", dst="b")
+    firsts = ordered_index(at.select("component").distinct(), ["component"], name="cluster", start=0)
+    return at.join(firsts, "component").select(F.col("id").alias("micro"), F.col("cluster").cast("int").alias("cluster"))
+
+
+def agglomerative_grid(points: DataFrame, id_col: str, cols: Sequence[str], k: int, cell: float,
+                       metric: str = "manhattan") -> tuple[DataFrame, DataFrame]:
+    """Average-linkage clustering of any number of points, cut at ``k`` clusters: points of one grid cell of side
+    ``cell`` are one micro-cluster on their mean, micro-clusters are linked by ``linkage``. ``cell`` is the resolution
+    asked for. Points with a null coordinate take no part. Returns (labels (id, cluster), merges)."""
+    good = points
+    for c in cols:
+        good = good.filter(F.col(c).isNotNull())
+    at, micro = grid_cells(good, id_col, cols, cell)
+    micro = cut_lineage(micro.select("micro", "cell", "n", "centre"))
+    merges = linkage(micro, metric)
+    labels = at.join(micro.select("cell", "micro"), "cell").join(cut(micro, merges, k), "micro")
+    return labels.select(id_col, "cluster"), merges
+
+
 def agglomerative(points: DataFrame, id_col: str, cols: Sequence[str], k: int, m: int,
                   metric: str = "manhattan", seed: int = 22) -> tuple[DataFrame, DataFrame]:
     """Average-linkage clustering of any number of points, cut at ``k`` clusters.

@@ -351,21 +351,41 @@ def q_bovw_hist(spark, sf):
     return _index(spark, sf)
 
 
-@register("bovw_search", f"""
-WITH {_duck_hist(_K_ORACLE)},
-q AS (SELECT hist AS qh FROM hist WHERE image = 0),
-scored AS (SELECT image,
-                  round(list_sum(list_transform(range(1, {_K_ORACLE} + 1),
-                        lambda i: (hist[i] - qh[i]) * (hist[i] - qh[i]) / (hist[i] + qh[i] + 1e-10))), 6) AS distance
-           FROM hist, q)
-SELECT CAST(0 AS BIGINT) AS query, image, distance, CAST(rank AS INTEGER) AS rank FROM (
-  SELECT image, distance, row_number() OVER (ORDER BY distance, image) AS rank FROM scored) t
-WHERE rank <= 20
+_TRAINED_K, _STARTS = 8, 10
+
+
+# Facts that hold for k-means run to its end from any start: each centre is the mean of its own descriptors, none of
+# which is nearer to another centre, and no start costs less than the winner.
+@register("bovw_trained", f"""
+SELECT count(*) AS descriptors, CAST({_TRAINED_K} AS BIGINT) AS centres, CAST({_STARTS} AS BIGINT) AS starts,
+       CAST(0 AS BIGINT) AS nearer_elsewhere, 0.0::DOUBLE AS off_mean, CAST(0 AS BIGINT) AS cheaper_starts,
+       true AS cost_holds
+FROM embeddings
 """)
-def q_bovw_search(spark, sf):
-    index = _index(spark, sf)
-    query = index.filter(F.col("image") == 0)
-    return bovw.search(index, query, k=20, query_id=0).withColumn("query", F.col("query").cast("long"))
+def q_bovw_trained(spark, sf):
+    d = _descriptors(spark, sf).select("vec_id", X.to_double_array("descriptor").alias("d"))
+    codebook, starts = bovw.train_codebooks(d, _TRAINED_K, restarts=_STARTS, max_iter=200, tol=0.0, descriptor="d")
+    won = starts.filter("best").first()
+    cheaper = starts.filter(F.col("cost") < won["cost"]).count()
+    # own and other distances with plain expressions, apart from the trainer's matrix products
+    gaps = d.join(F.broadcast(codebook), F.size("d") == F.size("centre"))  # codebook: k rows
+    gaps = gaps.select("vec_id", "d", "centre_id", X.euclidean("d", "centre").alias("gap"))
+    near = gaps.groupBy("vec_id").agg(F.min(F.struct("gap", "centre_id")).alias("best"), F.first("d").alias("d"))
+    word = bovw.assign(d, codebook, descriptor="d").select("vec_id", "word", "dist")
+    own = near.join(word, "vec_id")
+    part = own.select("word", "dist", (F.col("dist") > F.col("best.gap") + 1e-9).cast("long").alias("worse"),
+                      F.posexplode("d").alias("i", "x"))
+    mean = part.groupBy("word", "i").agg(F.avg("x").alias("mean"))
+    at = codebook.select(F.col("centre_id").alias("word"), F.posexplode("centre").alias("i", "c"))
+    off = mean.join(at, ["word", "i"]).agg(F.round(F.max(F.abs(F.col("mean") - F.col("c"))), 6).alias("off_mean"),
+                                           F.countDistinct("word").alias("centres"))
+    total = own.agg(F.count(F.lit(1)).alias("descriptors"), F.sum((F.col("dist") > F.col("best.gap") + 1e-9).cast("long"))
+                    .alias("nearer_elsewhere"), F.sum(F.col("dist") * F.col("dist")).alias("cost"))
+    return total.select(
+        "descriptors", off.select("centres").scalar().alias("centres"), F.lit(_STARTS).cast("long").alias("starts"),
+        "nearer_elsewhere", off.select("off_mean").scalar().alias("off_mean"),
+        F.lit(cheaper).cast("long").alias("cheaper_starts"),
+        (F.abs(F.col("cost") - F.lit(won["cost"])) <= F.lit(1e-6 * (1 + won["cost"]))).alias("cost_holds"))
 
 
 # ------------------------------------------------------------ accident graph
@@ -428,6 +448,35 @@ def q_graph_cycles(spark, sf):
     return graph.simple_cycles(_pairs(spark, sf), "p1", "p2", max_len=_CYCLE_MAX)
 
 
+_LONG_CYCLE = 6
+
+
+# Accidents after urgent orders only, a graph sparse enough for cycles of six persons.
+@register("graph_long_cycles", f"""
+WITH RECURSIVE pairs AS (SELECT a.o_custkey AS p1, b.o_custkey AS p2
+              FROM orders a JOIN orders b ON b.o_orderkey = a.o_orderkey + 1 WHERE a.o_orderpriority = '1-URGENT'),
+s AS (SELECT DISTINCT least(p1, p2) AS u, greatest(p1, p2) AS v FROM pairs WHERE p1 <> p2),
+adj AS (SELECT u, v FROM s UNION ALL SELECT v, u FROM s),
+paths(st, path, last, len) AS (
+  SELECT u, [u, v], v, 1 FROM adj WHERE v > u
+  UNION ALL
+  SELECT p.st, list_append(p.path, a.v), a.v, p.len + 1
+  FROM paths p JOIN adj a ON a.u = p.last
+  WHERE a.v > p.st AND NOT list_contains(p.path, a.v) AND p.len < {_LONG_CYCLE - 1}),
+cyc AS (SELECT DISTINCT list_sort(list_transform(p.path, lambda x: CAST(x AS VARCHAR))) AS m
+        FROM paths p JOIN adj a ON a.u = p.last AND a.v = p.st
+        WHERE p.len >= 2 AND p.path[2] < p.last)
+SELECT row_number() OVER (ORDER BY len(m), array_to_string(m, ', ')) AS "group",
+       CAST(len(m) AS INTEGER) AS size, array_to_string(m, ', ') AS members
+FROM cyc
+""")
+def q_graph_long_cycles(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    nxt = o.select((F.col("o_orderkey") - 1).alias("o_orderkey"), F.col("o_custkey").alias("p2"))
+    urgent = o.filter(F.col("o_orderpriority") == "1-URGENT").join(nxt, "o_orderkey").select(F.col("o_custkey").alias("p1"), "p2")
+    return graph.simple_cycles(urgent, "p1", "p2", max_len=_LONG_CYCLE)
+
+
 # ---------------------------------------------------------------- clustering
 # Testdata mapping: one point per user from events (event count, mean
 # value), max-abs scaled. eps 0.025 (the original 0.13 gives one cluster here).
@@ -492,19 +541,30 @@ def q_cluster_profile(spark, sf):
     return cluster.profile(_dbscan(spark, sf), "cluster", ["cnt", "val"])
 
 
-_AGGLO_K, _AGGLO_M = 4, 64
+_AGGLO_K, _AGGLO_CELL = 4, 0.125
+
 
-# Facts that hold for any right clustering, since SQL has no linkage: every user has one of k labels.
+# Greedy average linkage of the grid's cells, one merge a step, by a list that holds each cell's cluster.
 @register("agglo_labels", f"""
-SELECT count(DISTINCT user_id) AS users, CAST({_AGGLO_K} AS BIGINT) AS clusters, 0 AS low,
-       {_AGGLO_K - 1} AS high, CAST(0 AS BIGINT) AS unlabelled
-FROM events
+WITH RECURSIVE {_DUCK_USERS},
+c AS (SELECT CAST(floor(x / {_AGGLO_CELL}) AS BIGINT) AS gx, CAST(floor(y / {_AGGLO_CELL}) AS BIGINT) AS gy,
+             count(*) AS n, avg(x) AS cx, avg(y) AS cy FROM p GROUP BY 1, 2),
+m AS (SELECT *, row_number() OVER (ORDER BY gx, gy) AS i FROM c),
+d AS (SELECT a.i AS i, b.i AS j, a.n * b.n AS w, a.n * b.n * (abs(a.cx - b.cx) + abs(a.cy - b.cy)) AS s
+      FROM m a JOIN m b ON a.i < b.i),
+steps(step, lab) AS (
+  SELECT 0, (SELECT list(i ORDER BY i) FROM m)
+  UNION ALL
+  SELECT step + 1, (SELECT list_transform(lab, lambda x: CASE WHEN x = best.b THEN best.a ELSE x END)
+                    FROM (SELECT least(lab[i], lab[j]) AS a, greatest(lab[i], lab[j]) AS b, round(sum(s) / sum(w), 9) AS h
+                          FROM d WHERE lab[i] <> lab[j] GROUP BY 1, 2 ORDER BY h, a, b LIMIT 1) best)
+  FROM steps WHERE step < (SELECT count(*) FROM m) - {_AGGLO_K}),
+l AS (SELECT i, lab[i] AS root FROM m, (SELECT lab FROM steps ORDER BY step DESC LIMIT 1) t)
+SELECT p.id AS user_id, CAST(dense_rank() OVER (ORDER BY l.root) - 1 AS INTEGER) AS cluster
+FROM p JOIN m ON m.gx = floor(p.x / {_AGGLO_CELL}) AND m.gy = floor(p.y / {_AGGLO_CELL}) JOIN l ON l.i = m.i
 """)
 def q_agglo_labels(spark, sf):
-    labels, _ = cluster.agglomerative(_user_points(spark, sf), "user_id", ["x", "y"], k=_AGGLO_K, m=_AGGLO_M)
-    return labels.agg(F.count(F.lit(1)).alias("users"), F.countDistinct("cluster").alias("clusters"),
-                      F.min("cluster").alias("low"), F.max("cluster").alias("high"),
-                      F.count_if(F.col("cluster").isNull()).alias("unlabelled"))
+    return cluster.agglomerative_grid(_user_points(spark, sf), "user_id", ["x", "y"], k=_AGGLO_K, cell=_AGGLO_CELL)[0]
 
 
 @register("brand_distances", """

@@ -210,3 +210,82 @@ def test_vectorised_descriptor_equals_loop():
     for shape in [(64, 96), (70, 33), (31, 200)]:
         g = rnd.integers(0, 255, size=shape).astype(float)
         assert np.allclose(bovw.grid_gradient_descriptor()(g), loop_descriptor(g))
+
+
+def ppm(pixels: np.ndarray, comment: bytes = b"") -> bytes:
+    kind = b"P5" if pixels.ndim == 2 else b"P6"
+    return kind + b"\n" + comment + f"{pixels.shape[1]} {pixels.shape[0]}\n255\n".encode() + pixels.astype(np.uint8).tobytes()
+
+
+def test_sequence_file_to_search(spark, tmp_dir):
+    """The whole extraction job: sequence file, pixels, descriptors, codebook, words, histograms, search."""
+    rnd = np.random.default_rng(3)
+    pictures = {f"i{k}.ppm": rnd.integers(0, 255, size=(64, 96)) for k in range(5)}
+    pictures["colour.ppm"] = rnd.integers(0, 255, size=(64, 64, 3))
+    records = [(n, bytearray(ppm(p, b"# made here\n"))) for n, p in pictures.items()]
+    records += [("copy.ppm", bytearray(ppm(pictures["i2.ppm"]))), ("broken.ppm", bytearray(b"P5\n9 9\n255\nxx")),
+                ("other.bin", bytearray(b"\x00\x01")), ("empty.ppm", bytearray(b""))]
+    path = os.path.join(tmp_dir, "seq")
+    spark.sparkContext.parallelize(records, 3).saveAsSequenceFile(path)
+    images = bovw.decode_images(io.read_sequence_images(spark, path))
+    rows = {r["image"]: r for r in images.collect()}
+    assert {n for n, r in rows.items() if not r["valid"]} == {"broken.ppm", "other.bin", "empty.ppm"}
+    assert bytes(rows["i0.ppm"]["data"]) == pictures["i0.ppm"].astype(np.uint8).tobytes()
+    assert bytes(rows["colour.ppm"]["data"]) == pictures["colour.ppm"][..., ::-1].astype(np.uint8).tobytes()
+    feats = bovw.describe_images(images, bovw.grid_gradient_descriptor(), dim=128)
+    desc = bovw.explode_descriptors(feats)
+    assert desc.count() == 5 * 6 + 4 + 6
+    codebook, starts = bovw.train_codebooks(desc, 4, restarts=3, max_iter=20, tol=0.0)
+    index = bovw.histogram(bovw.assign(desc, codebook), 4, images=images.select("image"))
+    query = index.filter("image = 'i2.ppm'")
+    got = [(r["image"], r["distance"]) for r in bovw.search(index, query, k=3).collect()]
+    assert got[0] == ("copy.ppm", 0.0) and got[1] == ("i2.ppm", 0.0)
+    assert {r["image"]: sum(r["hist"]) for r in index.collect()}["broken.ppm"] == 0
+
+    def boom(_):
+        raise RuntimeError("no such format")
+    assert not bovw.decode_images(io.read_sequence_images(spark, path), boom).filter("valid").count()
+
+
+def test_query_image_is_one_row(spark, tmp_dir):
+    write_png(os.path.join(tmp_dir, "one.png"), np.full((8, 8), 7))
+    write_png(os.path.join(tmp_dir, "two.png"), np.full((8, 8), 9))
+    got = io.read_query_image(spark, os.path.join(tmp_dir, "one.png")).collect()
+    assert [(r["image"], r["height"]) for r in got] == [("one.png", 8)]
+
+
+def plain_lloyd(x, c, rounds, tol):
+    for n in range(1, rounds + 1):
+        near = np.argmin(((x[:, None, :] - c[None]) ** 2).sum(axis=2), axis=1)
+        new = np.array([x[near == j].mean(axis=0) if (near == j).any() else c[j] for j in range(len(c))])
+        move = np.sqrt(((new - c) ** 2).sum(axis=1)).max()
+        c = new
+        if move < tol or move == 0:
+            break
+    return c, n, ((x[:, None, :] - c[None]) ** 2).sum(axis=2).min(axis=1).sum()
+
+
+@pytest.mark.parametrize("rounds,tol", [(10, 1.0), (3, 0.0), (50, 0.0)])
+def test_codebooks_from_many_starts_equal_plain_runs(spark, rounds, tol):
+    rnd = np.random.default_rng(12)
+    x = np.concatenate([rnd.normal(4 * c, 1, size=(40, 3)) for c in range(4)] + [np.full((60, 3), 2.5)])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(999, None)], "id long, descriptor array<double>")
+    codebook, starts = bovw.train_codebooks(df.repartition(5), 4, restarts=6, max_iter=rounds, tol=tol, seed=9)
+    hashed = df.filter("descriptor is not null").select("descriptor", *[
+        F.xxhash64("descriptor", F.lit(s), F.lit(9)).alias(f"h{s}") for s in range(6)]).collect()
+    plain = []
+    for s in range(6):
+        first = sorted((r[f"h{s}"], r["descriptor"]) for r in hashed)[:4]
+        plain.append(plain_lloyd(x, np.array([d for _, d in first]), rounds, tol))
+    got = starts.orderBy("start").collect()
+    assert [r["rounds"] for r in got] == [p[1] for p in plain]
+    assert [r["cost"] for r in got] == pytest.approx([p[2] for p in plain])
+    won = int(np.argmin([p[2] for p in plain]))
+    assert [r["best"] for r in got] == [s == won for s in range(6)]
+    assert np.allclose([r["centre"] for r in codebook.orderBy("centre_id").collect()], plain[won][0])
+
+
+def test_codebooks_of_nothing(spark):
+    none = spark.createDataFrame([], "descriptor array<double>")
+    codebook, starts = bovw.train_codebooks(none, 3)
+    assert codebook.count() == 0 and starts.count() == 0

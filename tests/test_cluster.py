@@ -124,3 +124,51 @@ def test_dbscan_hot_spot_refinement(spark):
     rows = cluster.dbscan(df, "id", ["x", "y"], eps=0.03, min_samples=4, brute_limit=4).collect()
     assert {r["id"]: r["cluster"] for r in rows} == expected
     assert {r["id"] for r in rows if r["is_core"]} == core
+
+
+def greedy_linkage(cells, k):
+    """Average linkage one merge at a time: cells are (n, centre); names are the smallest members."""
+    members, height = {i: [i] for i in range(len(cells))}, []
+
+    def gap(a, b):
+        w = [(cells[i][0] * cells[j][0], sum(abs(p - q) for p, q in zip(cells[i][1], cells[j][1]))) for i in a for j in b]
+        return round(sum(x * d for x, d in w) / sum(x for x, _ in w), 9)
+    at = None
+    while True:
+        if len(members) == k:
+            at = {i: name for name, own in members.items() for i in own}
+        if len(members) == 1:
+            break
+        h, a, b = min((gap(members[a], members[b]), a, b) for a in members for b in members if a < b)
+        height.append(h)
+        members[a] = members[a] + members.pop(b)
+    names = sorted(set(at.values())) if at else []
+    return {i: names.index(n) for i, n in (at or {}).items()}, height
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_linkage_rounds_equal_greedy_merges(spark, seed):
+    rnd = random.Random(seed)
+    cells = [(rnd.randint(1, 50), [rnd.random(), rnd.random() * 3]) for _ in range(24)]
+    micro = spark.createDataFrame([(i, n, c) for i, (n, c) in enumerate(cells)], "micro long, n long, centre array<double>")
+    merges = cluster.linkage(micro)
+    rows = merges.collect()
+    for k in (4, 24):
+        want, heights = greedy_linkage(cells, k)
+        assert {r["micro"]: r["cluster"] for r in cluster.cut(micro, merges, k).collect()} == want
+    assert sorted(r["height"] for r in rows) == pytest.approx(sorted(heights)) and max(r["round"] for r in rows) < 23
+
+
+def test_agglomerative_grid_labels_every_point(spark):
+    rnd = random.Random(6)
+    pts = [(f"p{i}", 10.0 * (i % 4) + rnd.random(), 5.0 * (i % 2) + rnd.random()) for i in range(300)] + \
+        [(f"hot{i}", 0.5, 0.5) for i in range(150)] + [("none", None, 1.0)]
+    df = spark.createDataFrame(pts, "id string, x double, y double")
+    for parts in (2, 9):
+        labels, merges = cluster.agglomerative_grid(df.repartition(parts), "id", ["x", "y"], k=4, cell=0.5)
+        got = {r["id"]: r["cluster"] for r in labels.collect()}
+        assert len(got) == 450 and {got[f"hot{i}"] for i in range(150)} == {got["p0"]}
+        assert all(got[f"p{i}"] == got[f"p{i % 4}"] for i in range(300)) and len(set(got.values())) == 4
+    one = cluster.agglomerative_grid(df.limit(1), "id", ["x", "y"], k=4, cell=0.5)
+    assert [tuple(r) for r in one[0].collect()] == [("p0", 0)] and one[1].count() == 0
+    assert cluster.agglomerative_grid(df.filter("id = 'none'"), "id", ["x", "y"], k=4, cell=0.5)[0].count() == 0
