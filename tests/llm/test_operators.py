@@ -276,6 +276,91 @@ def test_licenses(lab):
                    5: ("MIT", "q"), 6: ("MIT", None), 7: ("CC-BY-NC-4.0", "a/b"), 8: (None, None)}
 
 
+def plain_cosines(text, path=""):
+    """Best (cosine, license) of a text, by the definitions, without Spark."""
+    import collections
+    import math
+    import re
+    cut = lambda t: [w for w in re.split(r"[^\w]+|_", t.lower()) if w]
+    forms = [(n, collections.Counter(cut(t))) for n, t in licenses.TEMPLATES]
+    df = collections.Counter(w for _, c in forms for w in c)
+    idf = lambda w: math.log((len(forms) + 1) / (df[w] + 1)) + 1
+    vector = lambda c: {w: n * idf(w) for w, n in c.items()}
+    length = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    bare = re.sub(r"(?m)^[ \t]*(?:/\*+|\*+/?|//+|#+|--+|;+|%+|<!--|REM\b|dnl\b)?[ \t]*", "", text)
+    paragraphs = re.split(r"\n\s*\n", bare)
+    units = bare.split("\n") + paragraphs + [s for p in paragraphs for s in re.split(r"(?<=[.!?;])\s+", re.sub(r"\s+", " ", p))]
+    if re.search(licenses.LICENSE_FILE, path):
+        units.append(bare)
+    best = (0, None)
+    for u in units:
+        if re.search(licenses.ANCHOR, u):
+            v = vector(collections.Counter(cut(u)))
+            for name, c in forms:
+                t = vector(c)
+                best = max(best, (round(sum(x * t.get(w, 0) for w, x in v.items()) / length(v) / length(t), 6), name),
+                           key=lambda x: x[0])
+    return best
+
+
+def real_licenses():
+    """Usual license files and headers: (path, text, license)."""
+    by_name = {}
+    for name, text in licenses.TEMPLATES:
+        by_name.setdefault(name, []).append(text)
+    whole = lambda name: max(by_name[name], key=len)
+    head = next(t for t in by_name["Apache-2.0"] if "you may not use this file" in t)
+    gnu = next(t for t in by_name["GPL-3.0"] if "redistribute" in t)
+    wrap = lambda t, lead, n=60: "\n".join(lead + x for x in __import__("textwrap").wrap(t, n))
+    return [
+        ("a/LICENSE", "MIT License\n\nCopyright (c) 2020 Some One\n\n" + whole("MIT"), "MIT"),
+        ("b/LICENSE.txt", "Copyright 2019 The Authors. All rights reserved.\n\n" + whole("BSD-3-Clause"), "BSD-3-Clause"),
+        ("c/COPYING", "BSD 2-Clause License\n\nCopyright (c) 2001, X\n\n" + whole("BSD-2-Clause"), "BSD-2-Clause"),
+        ("d/LICENSE", "Copyright (c) 4-digit year, Company or Person\n\n" + whole("ISC"), "ISC"),
+        ("e/x.py", wrap(head, "# ") + "\nimport os\n", "Apache-2.0"),
+        ("f/x.c", "/*\n" + wrap(gnu, " * ") + "\n *\n * more\n */\nint main() {}\n", "GPL-3.0"),
+        ("g/x.rs", "// SPDX-License-Identifier: MPL-2.0\nfn main() {}", "MPL-2.0"),
+        ("h/x.sh", "# SPDX-License-Identifier: GPL-2.0-or-later\n", "GPL-2.0"),
+        ("i/x.md", "Plenty of words about nothing " * 60 + "and so on. Released under the MIT License. " + "More of it " * 90, "MIT"),
+        ("j/COPYING", "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n"
+                      "Everyone is permitted to copy and distribute verbatim copies.\n\n" + "The licenses for most works. " * 50, "GPL-3.0"),
+        ("k/x.md", "This work is licensed under a Creative Commons Attribution 4.0 International License.", "CC-BY-4.0"),
+        ("l/x.md", "She had a driving licence and no permission to park. " * 20, None),
+        ("m/x.md", "All rights reserved. Copyright by the house.", None),
+        ("n/x.txt", "This is free and unencumbered software released into the public domain.", "Unlicense")]
+
+
+def test_licenses_of_usual_files_and_headers(lab):
+    rows = [(k, p, t, "clash") for k, (p, t, _) in enumerate(real_licenses())]
+    docs = lab.createDataFrame(rows, "doc_id long, path string, text string, unit string")
+    got = {r.doc_id: (r.license, r.cosine) for r in licenses.own_licenses(docs).collect()}
+    assert {k: got.get(k, (None,))[0] for k in range(len(rows))} == {k: n for k, (_, _, n) in enumerate(real_licenses())}
+    for k, path, text, _ in rows:
+        cosine, name = plain_cosines(text, path)
+        if "SPDX" not in text:
+            assert (cosine >= licenses.LEAST) == (k in got)
+            assert k not in got or got[k][1] == pytest.approx(cosine, abs=1e-6)
+
+
+def test_licenses_of_long_texts_and_nothing(lab):
+    docs = lab.createDataFrame([(1, "LICENSE", "license " + " ".join(f"w{i}" for i in range(60_000))), (2, "x", None),
+                                (None, "y", "Released under the MIT License.")], "doc_id long, path string, text string")
+    assert licenses.own_licenses(docs).collect() == []
+    none = lab.createDataFrame([], "doc_id long, path string, text string")
+    assert licenses.scan(none, gives=F.lit(True)).collect() == []
+
+
+def test_cosines_of_the_query_against_plain_python(lab):
+    from casebook.llm import catalogue
+    docs = catalogue._paths(lab.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    got = {r.doc_id: r.cosine for r in licenses.own_licenses(docs).collect()}
+    rows = {r.doc_id: (r.text or "", r.path) for r in docs.collect()}
+    assert len(got) > 30
+    for d, (text, path) in rows.items():
+        cosine, _ = plain_cosines(text, path)
+        assert (d in got) == (cosine >= licenses.LEAST) and (d not in got or got[d] == pytest.approx(cosine, abs=1e-6))
+
+
 def test_licenses_of_the_query_against_brute_force(lab):
     """Every file with a license of its own gives it, at several depths, license files too; the nearest one holds."""
     from casebook.llm import catalogue
