@@ -6,10 +6,13 @@ before and after characters that only stand alone (control characters); no
 piece goes across, so words are encoded alone and each distinct word once: its
 substrings up to the longest piece's length are exploded and equi-joined to the
 piece table, the edges found are grouped by word again, and a higher-order
-``aggregate`` folds over the word's positions, holding the best paths to the
-last few (Viterbi). Every character also is an edge of its own at the lowest
-score less a penalty, which becomes the byte pieces of its UTF-8 form, or the
-unknown piece where the table has no bytes. Scores are whole micro-units, so
+``aggregate`` folds over the word's positions, holding for each the total and the
+last piece of the best way there (Viterbi); a second one walks back. Words over
+LONG characters, whose arrays would be copied at every position, take the same
+fold in one call, in time that grows with their length. Every character also is
+an edge of its own at the lowest score less a penalty, which becomes the byte
+pieces of its UTF-8 form, or the unknown piece where the table has no bytes.
+Scores are whole micro-units, so
 sums are exact; of equal paths the one with fewer pieces wins, then the one with
 the longer last piece.
 
@@ -45,6 +48,7 @@ MARK = "▁"
 PENALTY = 10_000_000
 UNIT = 1_000_000
 ROWS = 256  # texts put together at once
+LONG = 64  # characters of a word up to which its lattice is rows; a longer word is folded in one call
 _WORD = f"[\\x00-\\x1F]|{MARK}+[^{MARK}\\x00-\\x1F]*|[^{MARK}\\x00-\\x1F]+"
 
 
@@ -67,6 +71,32 @@ def words(text: Column) -> Column:
         F.regexp_extract_all(marked, F.lit(_WORD), F.lit(0)))
 
 
+def _long_paths(normal: dict, longest: int, least: int):
+    """The same fold for words over LONG characters, position by position with a back-pointer each."""
+    def path(word: str) -> list[tuple]:
+        best = [(0, 0, 0)]
+        for end in range(1, len(word) + 1):
+            ways = []
+            for n in range(1, min(longest, end) + 1):
+                score = normal[word[end - n:end]][1] if word[end - n:end] in normal else least if n == 1 else None
+                if score is not None:
+                    total, count, _ = best[end - n]
+                    ways.append((total + score, count - 1, n))
+            best.append(max(ways))
+        out, end = [], len(word)
+        while end:
+            piece = word[end - best[end][2]:end]
+            out.append((normal[piece][0], None) if piece in normal else (None, piece))
+            end -= best[end][2]
+        return out[::-1]
+
+    @F.arrow_udf("array<struct<id:int,piece:string>>")
+    def run(column: pa.Array) -> pa.Array:
+        kind = pa.list_(pa.struct([("id", pa.int32()), ("piece", pa.string())]))
+        return pa.array([[{"id": i, "piece": p} for i, p in path(w.as_py())] for w in column], kind)
+    return run
+
+
 def encode_words(distinct: DataFrame, pieces: DataFrame) -> DataFrame:
     """``distinct`` (word, partitioned by word) -> word, ids."""
     spark = distinct.sparkSession
@@ -77,35 +107,43 @@ def encode_words(distinct: DataFrame, pieces: DataFrame) -> DataFrame:
     # 256 rows at most
     byte_ids = {int(r["piece"][1:-1], 16): r["id"] for r in pieces.filter("kind = 'byte'").collect()}
     normal = pieces.filter("kind = 'normal'").select("piece", "id", "score")
+    normal_rows = {r["piece"]: (r["id"], r["score"]) for r in normal.collect()}  # a vocabulary, not corpus data
     if normal.count() <= 1 << 20:  # a vocabulary, not corpus data
         normal = F.broadcast(normal)
-    spots = distinct.select("word", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("start"))
+    short = distinct.filter(F.length("word") <= LONG)
+    spots = short.select("word", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("start"))
     cut = spots.select("word", "start", F.explode(F.sequence(
         F.lit(1), F.least(F.lit(longest), F.length("word") - F.col("start") + 1))).alias("n"))
     cut = cut.withColumn("piece", F.substring(F.col("word"), F.col("start"), F.col("n")))
     edge = F.struct((F.col("start") + F.col("n") - 1).alias("end"), F.col("n").alias("n"),
-                    F.coalesce("score", F.lit(least)).cast("long").alias("score"), F.col("id"),
-                    F.when(F.col("id").isNull(), F.col("piece")).alias("piece"))
+                    F.coalesce("score", F.lit(least)).cast("long").alias("score"), F.col("id"))
     edges = cut.join(normal, "piece", "left").filter(F.col("id").isNotNull() | (F.col("n") == 1)).select("word", edge.alias("e"))
-    by_end = edges.groupBy("word", F.col("e.end").alias("end")).agg(F.collect_list("e").alias("edges"))
-    lattice = by_end.groupBy("word").agg(F.array_sort(F.collect_list(F.struct("end", "edges"))).alias("steps"))
-    path_type = "array<struct<total:bigint,count:int,last:int,path:array<struct<id:int,piece:string>>>>"
-    start = F.array(F.struct(F.lit(0).cast("long").alias("total"), F.lit(0).alias("count"), F.lit(0).alias("last"),
-                             F.array().cast("array<struct<id:int,piece:string>>").alias("path"))).cast(path_type)
-
-    def step(state, at):
-        # state[k]: the best path to the position k + 1 before this one
-        ways = F.transform(at["edges"], lambda e: F.struct(
-            (F.get(state, e["n"] - 1)["total"] + e["score"]).alias("total"),
-            (F.get(state, e["n"] - 1)["count"] - 1).alias("count"), e["n"].cast("int").alias("last"),
-            F.concat(F.get(state, e["n"] - 1)["path"], F.array(F.struct(e["id"].alias("id"), e["piece"].alias("piece"))))
-            .alias("path")))
-        # the order of a struct: total, then fewer pieces (counted downwards), then the longer last piece
-        best = F.aggregate(ways, F.get(ways, F.lit(0)), lambda a, b: F.when(
-            F.struct(b["total"], b["count"], b["last"]) > F.struct(a["total"], a["count"], a["last"]), b).otherwise(a))
-        return F.slice(F.concat(F.array(best).cast(path_type), state), 1, longest)
-
-    best = lattice.select("word", F.get(F.aggregate("steps", start, step), F.lit(0))["path"].alias("path"))
+    lattice = edges.groupBy("word").agg(F.collect_list("e").alias("edges"))
+    kind = "struct<total:bigint,count:int,last:int,id:int>"
+    origin = F.array(F.struct(F.lit(0).cast("long").alias("total"), F.lit(0).alias("count"), F.lit(0).alias("last"),
+                              F.lit(None).cast("int").alias("id")).cast(kind))
+
+    def step(best, end):
+        # best[k]: the best way to position k; of the struct's order: total, fewer pieces (counted downwards), longer last
+        ways = F.transform(F.filter("edges", lambda e: e["end"] == end), lambda e: F.struct(
+            (F.get(best, end - e["n"])["total"] + e["score"]).alias("total"),
+            (F.get(best, end - e["n"])["count"] - 1).alias("count"), e["n"].cast("int").alias("last"), e["id"].alias("id")))
+        return F.concat(best, F.array(F.array_max(ways).cast(kind)))
+
+    def back(walk, _):
+        here = F.get(F.col("best"), walk["at"])
+        return F.when(walk["at"] == 0, walk).otherwise(F.struct(
+            (walk["at"] - here["last"]).alias("at"),
+            F.concat(F.array(F.struct(here["id"].alias("id"), walk["at"].alias("at"))), walk["path"]).alias("path")))
+
+    positions = F.sequence(F.lit(1), F.length("word"))
+    found = lattice.select("word", F.aggregate(positions, origin, step).alias("best"))
+    found = found.select("word", F.aggregate(positions, F.struct(
+        F.length("word").alias("at"), F.array().cast("array<struct<id:int,at:int>>").alias("path")), back)["path"].alias("path"))
+    best = found.select("word", F.transform("path", lambda p: F.struct(
+        p["id"].alias("id"), F.when(p["id"].isNull(), F.substring(F.col("word"), p["at"], F.lit(1))).alias("piece"))).alias("path"))
+    best = best.unionByName(distinct.filter(F.length("word") > LONG).select("word", _long_paths(
+        normal_rows, longest, least)(F.col("word")).alias("path")))
     if byte_ids:
         table = F.create_map(*[F.lit(x) for b, k in sorted(byte_ids.items()) for x in (f"{b:02X}", k)])
         spell = lambda c: F.transform(F.regexp_extract_all(F.hex(F.encode(c, "UTF-8")), F.lit(".."), F.lit(0)),
@@ -151,14 +189,15 @@ def _give(columns: list[str]):
 
 
 def encode(texts: DataFrame, pieces: DataFrame) -> DataFrame:
-    """``texts`` with a column ``ids`` (array<int>) for its column ``text``."""
+    """``texts`` with a column ``ids`` (array<int>; one of that name is replaced) for its column ``text``."""
     n = X.bucket_count(texts.sparkSession)
+    texts = texts.drop("ids")
     columns = texts.columns
     texts = texts.withColumn("text", F.col("text").cast("string"))
     dealt = texts.withColumn("_piece_slice", F.pmod(F.xxhash64(
         *(F.col(f"`{c}`") for c, kind in texts.dtypes if "map<" not in kind)), F.lit(n)))
-    used = X.table(dealt.select("_piece_slice", "text").repartition(n, "_piece_slice")
-                   .select("_piece_slice", F.explode(F.array_distinct(words(F.col("text")))).alias("word")).distinct())
+    # a task sums up the words of its texts before they move
+    used = X.table(dealt.select("_piece_slice", F.explode(F.array_distinct(words(F.col("text")))).alias("word")).distinct())
     # a fixed number of partitions: a word becomes many rows, so few large partitions would spill
     coded = X.table(encode_words(used.select("word").repartition(n, "word").distinct(), pieces))
     books = used.join(coded, "word").select(
@@ -184,8 +223,8 @@ def _spell(table: dict[int, bytes]):
 
 
 def decode(coded: DataFrame, pieces: DataFrame) -> DataFrame:
-    """``coded`` with a column ``decoded`` for its column ``ids``."""
-    table = {}
+    """``coded`` with a column ``decoded`` (one of that name is replaced) for its column ``ids``."""
+    coded, table = coded.drop("decoded"), {}
     for r in pieces.collect():  # a vocabulary, not corpus data
         table[r["id"]] = (bytes([int(r["piece"][1:-1], 16)]) if r["kind"] == "byte" else
                           r["piece"].replace(MARK, " ").encode() if r["kind"] == "normal" else

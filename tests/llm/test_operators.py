@@ -426,6 +426,29 @@ def test_piece_lattice(lab):
         assert r.ids == want
 
 
+def test_piece_lattice_of_long_words_and_clashing_columns(lab):
+    import time
+    pieces = piece_lattice.piece_table(lab, public_tokenizers.path("piece_bpe_32k.model")).cache()
+    normal = {r.piece: (r.id, r.score) for r in pieces.collect() if r.kind == "normal"}
+    bytes_ = {int(r.piece[1:-1], 16): r.id for r in pieces.collect() if r.kind == "byte"}
+    least = min(r.score for r in pieces.collect()) - piece_lattice.PENALTY
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("abcdefghé☃") for _ in range(n)) for n in (62, 63, 64, 65, 200, 300_000)]
+    rows = lab.createDataFrame([(k, t, [1], "x") for k, t in enumerate(texts)], "k int, text string, ids array<int>, decoded string")
+    began = time.time()
+    got = {r.k: r for r in piece_lattice.decode(piece_lattice.encode(rows, pieces), pieces).collect()}
+    assert time.time() - began < 90 and got[0].__fields__ == ["k", "text", "ids", "decoded"]
+    for k, t in enumerate(texts):
+        assert got[k].decoded == t
+        if len(t) < 1000:
+            want = []
+            for piece in viterbi("▁" + t, {p: s for p, (_, s) in normal.items()}, least):
+                want += [normal[piece][0]] if piece in normal else [bytes_[b] for b in piece.encode()]
+            assert got[k].ids == want
+    none = lab.createDataFrame([], "text string")
+    assert piece_lattice.decode(piece_lattice.encode(none, pieces), pieces).collect() == []
+
+
 def test_piece_lattice_query_reads_all_documents(lab):
     from casebook.llm import catalogue
     got = catalogue.op7_piece_lattice(lab, SF).collect()
