@@ -55,6 +55,28 @@ def sample_with_replacement(df: DataFrame, fraction: float, seed: int) -> DataFr
     return df.sample(withReplacement=True, fraction=fraction, seed=seed)
 
 
+def draw_number(k, seed: int):
+    """A whole number below 2 ** 48 from a draw's number and the seed, the same in any engine that has MD5."""
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), k.cast("string")).cast("binary")), 1, 12), 16, 10).cast("long")
+
+
+def draw_rows(df: DataFrame, order: Sequence[str], n: int, seed: int, name: str = "times") -> DataFrame:
+    """Exactly ``n`` draws with replacement: the drawn rows, each with the number of times it was drawn (``times``).
+
+    Rows are numbered by ``order`` (a total order) without gaps, and draw k takes the row whose number is a hash of
+    (seed, k) modulo the number of rows, so the same rows come under any partitioning. Draws are counted per number
+    before they meet the rows; a table without rows gives none. Repeat a row by exploding ``sequence(1, times)``."""
+    from casebook.operators.common import ordered_index
+
+    numbered = ordered_index(df, order, name="_at", start=0)
+    total = numbered.agg(F.count(F.lit(1)).alias("n")).first()["n"]  # one row
+    if not total:
+        return df.withColumn(name, F.lit(0).cast("long"))
+    draws = (df.sparkSession.range(n).select((draw_number(F.col("id"), seed) % total).alias("_at"))
+             .groupBy("_at").agg(F.count(F.lit(1)).alias(name)))
+    return numbered.join(draws, "_at").drop("_at")
+
+
 # ------------------------------------------------------------------ scaling
 def fit_minmax(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple]:
     row = df.agg(*[F.min(c).alias(f"lo_{c}") for c in cols],
@@ -113,6 +135,22 @@ def one_hot(df: DataFrame, cols: Sequence[str], cats: dict[str, list] | None = N
     return out.drop(*cols) if drop_input else out
 
 
+def binarise(df: DataFrame, cols: Sequence[str], cats: dict[str, list] | None = None,
+             drop_input: bool = True) -> DataFrame:
+    """Label binariser: a column of two classes becomes one 0/1 column ``<col>_<second class>`` (classes in order of
+    their names), of any other number one 0/1 column per class, of one class a column of zeros. Unseen values and
+    nulls give zeros."""
+    cats = cats or categories(df, cols)
+    new = {}
+    for c in cols:
+        src, classes = F.col(f"`{c}`").cast("string"), [str(v) for v in cats[c]]
+        for v in classes[1:] if len(classes) == 2 else classes:
+            hit = F.lit(0) if len(classes) == 1 else F.when(src == F.lit(v), F.lit(1)).otherwise(F.lit(0))
+            new[f"{c}_{v}"] = hit
+    out = df.withColumns(new)
+    return out.drop(*cols) if drop_input else out
+
+
 # ------------------------------------------------------- automatic cleaning
 def _surviving(df: DataFrame, keep: Sequence[str], fit: DataFrame) -> tuple[dict, list[str]]:
     """Fitted (min, max) of numeric columns and the string columns that stay, in one pass over ``fit``."""

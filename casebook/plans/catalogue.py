@@ -630,6 +630,45 @@ def _policies(spark, sf):
     return table(spark, sf, "orders").selectExpr(*_POLICY_EXPRS)
 
 
+@register("ab_side_by_side", """
+SELECT avg(c) FILTER (event_type = 'click') AS click_p, CAST(sum(c) FILTER (event_type = 'click') AS BIGINT) AS click_m,
+       count(*) FILTER (event_type = 'click') AS click_n,
+       avg(c) FILTER (event_type = 'purchase') AS purchase_p, CAST(sum(c) FILTER (event_type = 'purchase') AS BIGINT) AS purchase_m,
+       count(*) FILTER (event_type = 'purchase') AS purchase_n
+FROM (SELECT event_type, user_id % 2 AS c FROM events)
+""")
+def q_ab_side_by_side(spark, sf):
+    ev = table(spark, sf, "events").select("event_type", (F.col("user_id") % 2).cast("int").alias("odd"))
+    return stats.side_by_side(stats.pick_groups(ev, "event_type", ["click", "purchase"]), "event_type", "odd",
+                              ["click", "purchase"])
+
+
+_DRAWS, _DRAW_SEED = 5000, 7
+
+
+@register("drawn_customers", f"""
+WITH c AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS place FROM customer),
+d AS (SELECT CAST('0x' || substr(md5('{_DRAW_SEED}:' || CAST(range AS VARCHAR)), 1, 12) AS BIGINT)
+             % (SELECT count(*) FROM customer) AS place FROM range({_DRAWS}))
+SELECT c_custkey, count(*) AS times FROM c JOIN d USING (place) GROUP BY c_custkey
+""")
+def q_drawn_customers(spark, sf):
+    return prep.draw_rows(table(spark, sf, "customer").select("c_custkey"), ["c_custkey"], _DRAWS, _DRAW_SEED)
+
+
+@register("label_binariser", """
+SELECT o_orderkey, CASE WHEN o_custkey % 2 = 1 THEN 1 ELSE 0 END AS side_odd,
+       CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS "o_orderstatus_F",
+       CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END AS "o_orderstatus_O",
+       CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END AS "o_orderstatus_P"
+FROM orders
+""")
+def q_label_binariser(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus",
+                                          F.when(F.col("o_custkey") % 2 == 1, "odd").otherwise("even").alias("side"))
+    return prep.binarise(o, ["side", "o_orderstatus"])
+
+
 @register("policy_features", f"""
 WITH pol AS (SELECT {", ".join(_POLICY_EXPRS)} FROM orders),
 fx AS (SELECT *, CASE WHEN POLICY_MIN_DRIVING_EXPERIENCE > 100

@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casebook.operators import prep, profile
@@ -121,3 +123,44 @@ def test_auto_prepare_long_equals_wide(spark):
         want = prep.to_sparse_long(wide, "id", [c for c in wide.columns if c not in ("id", "split")])
         got = prep.auto_prepare_long(df, "id", "split", fit_on).select("id", "feature", "value")
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_draws_have_a_fixed_size_under_any_partitioning(spark):
+    import hashlib
+    rows = [(i, f"r{i}") for i in range(37)]
+    df = spark.createDataFrame(rows, "id long, v string")
+    want = {}
+    for k in range(200):
+        at = int(hashlib.md5(f"5:{k}".encode()).hexdigest()[:12], 16) % 37
+        want[at] = want.get(at, 0) + 1
+    for parts in (1, 6):
+        got = {r["id"]: r["times"] for r in prep.draw_rows(df.repartition(parts), ["id"], 200, 5).collect()}
+        assert got == want and sum(got.values()) == 200
+    assert prep.draw_rows(df.filter("id < 0"), ["id"], 10, 5).count() == 0
+
+
+def test_binarise_one_two_and_more_classes(spark):
+    df = spark.createDataFrame([("a", "x", "k", 1), ("b", "y", "k", 2), (None, "z", "k", 3)], "two string, many string, one string, id int")
+    out = prep.binarise(df, ["two", "many", "one"]).orderBy("id")
+    assert out.columns == ["id", "two_b", "many_x", "many_y", "many_z", "one_k"]
+    assert [tuple(r) for r in out.collect()] == [(1, 0, 1, 0, 0, 0), (2, 1, 0, 1, 0, 0), (3, 0, 0, 0, 1, 0)]
+    unseen = spark.createDataFrame([("q", 9)], "two string, id int")
+    assert [tuple(r) for r in prep.binarise(unseen, ["two"], {"two": ["a", "b"]}).collect()] == [(9, 0)]
+
+
+def test_pick_groups_and_side_by_side(spark):
+    from casebook.operators import stats
+    df = spark.createDataFrame([("a", 1), ("a", 0), ("b", 1), ("c", 1), ("c", 0), ("c", 0)], "k string, f int")
+    assert {r["k"] for r in stats.pick_groups(stats.group_shares(df, "k", "f"), "k", ["a", "c"]).collect()} == {"a", "c"}
+    row = stats.side_by_side(df, "k", "f", ["c", "a"]).first()
+    assert (row["c_p"], row["c_m"], row["c_n"], row["a_p"], row["a_m"], row["a_n"]) == (1 / 3, 1, 3, 0.5, 1, 2)
+
+
+def test_unseen_category_is_an_error_where_asked(spark):
+    from casebook.operators import policy
+    from tests.test_model import _policies
+    train = policy.prepare(_policies(spark, 60))
+    enc = policy.fit_encoders(train)
+    other = train.limit(1).withColumn("POLICY_SALES_CHANNEL_GROUP", F.lit(99))
+    with pytest.raises(Exception, match="(?i)unseen label"):
+        policy.design_matrix(other, enc).collect()
