@@ -11,12 +11,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebook.operators.common import ordered_index
-
 from casebook.functions import exprs as X
+from casebook.operators.common import ordered_index
+from casebook.session import cut_lineage, ship_package
 
 
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features",
@@ -54,6 +56,103 @@ def fit_multilabel(df: DataFrame, features: str, labels: Sequence[str], reg: flo
     return models
 
 
+JOINT_WIDTH = 1500  # features of a joint fit: its curvature is a square matrix per label
+
+
+def fit_multilabel_joint(df: DataFrame, features: str, labels: Sequence[str], reg: float = 0.0, max_iter: int = 50,
+                         tol: float = 1e-6) -> tuple[np.ndarray, list[int]]:
+    """Logistic regressions (sigmoid outputs) of all labels at once: one pass over the rows per round gives the loss,
+    gradient and curvature of every label that still moves, and each takes its own Newton step (halved while its loss
+    does not fall, which a pass shows for all labels together). ``reg`` is half the ridge on the mean loss, not on the
+    intercept. A label stops when no component of its mean gradient passes ``tol``.
+
+    Rows with a null label count for the other labels only. Tasks send one row per label; the driver holds a matrix
+    of curvature per label, so tables wider than JOINT_WIDTH are refused (``fit_multilabel`` takes them).
+    Returns (weights: labels x (features + 1), the last being the intercept; rounds per label)."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    data = cut_lineage(df.filter(F.col(features).isNotNull()).select(
+        vector_to_array(F.col(features)).alias("x"), F.array(*[F.col(c).cast("double") for c in labels]).alias("y")))
+    width = data.agg(F.max(F.size("x")).alias("d")).first()["d"]
+    if width is None:
+        return np.zeros((len(labels), 1)), [0] * len(labels)
+    if width > JOINT_WIDTH:
+        raise ValueError(f"{width} features are too many for a joint fit, which takes {JOINT_WIDTH}")
+    d = width + 1
+
+    def one_pass(weights: dict[int, np.ndarray]) -> dict[int, tuple]:
+        """label -> rows, loss, gradient, curvature (sums) at its weights."""
+        def run(batches):
+            total = {k: [0.0, 0.0, np.zeros(d), np.zeros((d, d))] for k in weights}
+            for batch in batches:
+                for lo in range(0, batch.num_rows, 4096):
+                    part = batch.slice(lo, 4096)
+                    x = np.c_[part.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, width), np.ones(part.num_rows)]
+                    y = part.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, len(labels))
+                    for k, w in weights.items():
+                        there = ~np.isnan(y[:, k])
+                        xs, ys, z = x[there], y[there, k], x[there] @ w
+                        p = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+                        t = total[k]
+                        t[0] += len(ys)
+                        t[1] += float((np.logaddexp(0, z) - ys * z).sum())
+                        t[2] += xs.T @ (p - ys)
+                        t[3] += (xs * (p * (1 - p))[:, None]).T @ xs
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(total), pa.int32()),
+                 pa.array([np.r_[n, loss, g, h.ravel()].tolist() for n, loss, g, h in total.values()], pa.list_(pa.float64()))],
+                names=["label", "sums"])
+        rows = data.mapInArrow(run, "label int, sums array<double>").groupBy("label").agg(
+            vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums")).collect()
+        found = {r["label"]: np.array(r["sums"]) for r in rows}
+        return {k: (v[0], v[1], v[2:2 + d], v[2 + d:].reshape(d, d)) for k, v in found.items()}
+
+    ridge = np.r_[np.full(width, 2 * reg), 0.0]
+
+    def mean(w, sums):
+        n, loss, g, h = sums
+        n = max(n, 1.0)
+        return loss / n + float((ridge * w * w).sum()) / 2, g / n + ridge * w, h / n + np.diag(ridge)
+
+    ship_package(df.sparkSession)
+    best = {k: np.zeros(d) for k in range(len(labels))}
+    at = {k: mean(best[k], v) for k, v in one_pass(best).items()}
+    rounds, step, live = [0] * len(labels), {}, set(at)
+    for _ in range(max_iter):
+        for k in list(live):
+            if np.abs(at[k][1]).max() <= tol:
+                live.discard(k)
+            elif k not in step:  # columns that say the same leave the curvature singular: the shortest step
+                step[k] = np.linalg.lstsq(at[k][2], at[k][1], rcond=1e-10)[0]
+        if not live:
+            break
+        trial = {k: best[k] - step[k] for k in live}
+        for k, sums in one_pass(trial).items():
+            rounds[k] += 1
+            new = mean(trial[k], sums)
+            if new[0] <= at[k][0] + 1e-12:
+                best[k], at[k] = trial[k], new
+                del step[k]
+            elif np.abs(step[k]).max() < 1e-12:
+                live.discard(k)
+            else:
+                step[k] = step[k] / 2
+    return np.stack([best[k] for k in range(len(labels))]), rounds
+
+
+def score_multilabel_joint(weights: np.ndarray, df: DataFrame, id_col: str, features: str, prefix: str = "class_") -> DataFrame:
+    """Wide table id, class_0 .. class_{n-1} of probabilities, by expressions over the feature array."""
+    from pyspark.ml.functions import vector_to_array
+    x = df.select(id_col, vector_to_array(F.col(features)).alias("_x"))
+
+    def probability(w):
+        at = F.array(*[F.lit(float(v)) for v in w[:-1]])
+        z = F.aggregate(F.zip_with("_x", at, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v) + F.lit(float(w[-1]))
+        return X.sigmoid(z)
+    return x.select(id_col, *[probability(w).alias(f"{prefix}{k}") for k, w in enumerate(weights)])
+
+
 def score_multilabel(models: list, df: DataFrame, id_col: str, features: str,
                      prefix: str = "class_") -> DataFrame:
     """Wide table id, class_0 .. class_{n-1} of positive-class probabilities."""

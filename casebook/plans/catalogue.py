@@ -388,6 +388,22 @@ def q_bovw_trained(spark, sf):
         (F.abs(F.col("cost") - F.lit(won["cost"])) <= F.lit(1e-6 * (1 + won["cost"]))).alias("cost_holds"))
 
 
+@register("bovw_search_many", f"""
+WITH {_duck_hist(_K_ORACLE)},
+q AS (SELECT image AS query, hist AS qh FROM hist WHERE image % 50 = 0),
+scored AS (SELECT query, image,
+                  round(list_sum(list_transform(range(1, {_K_ORACLE} + 1),
+                        lambda i: (hist[i] - qh[i]) * (hist[i] - qh[i]) / (hist[i] + qh[i] + 1e-10))), 6) AS distance
+           FROM hist, q)
+SELECT query, image, distance, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query ORDER BY distance, image) AS rank FROM scored) t
+WHERE rank <= 20
+""")
+def q_bovw_search_many(spark, sf):
+    index = _index(spark, sf)
+    return bovw.search_many(index, index.filter(F.col("image") % 50 == 0), k=20)
+
+
 # ------------------------------------------------------------ accident graph
 # Testdata mapping: every pair of consecutive orders is an accident between
 # the two ordering customers (whole orders table).
@@ -737,3 +753,25 @@ def q_multilabel_scores(spark, sf):
     train = feats.filter(F.col("split") == "train").join(labels, "id")
     models = model.fit_multilabel(train, "features", [f"label_{i}" for i in range(_N_LABELS)])
     return model.score_multilabel(models, feats.filter(F.col("split") == "test"), "id", "features")
+
+
+# A joint fit is right when no component of a label's gradient is left: recomputed from the scores with plain expressions.
+@register("multilabel_gradients", f"""
+SELECT CAST(range AS INTEGER) AS label, 0.0::DOUBLE AS steepest FROM range({_N_LABELS})
+""")
+def q_multilabel_gradients(spark, sf):
+    p = table(spark, sf, "part")
+    src = p.select(F.col("p_partkey").alias("id"), "p_brand", "p_size", "p_retailprice").withColumn("split", F.lit("train"))
+    feats = prep.auto_prepare(src, id_col="id", split_col="split")
+    feats = model.assemble(feats, [c for c in feats.columns if c not in ("id", "split")]).select("id", "features")
+    names = [f"label_{i}" for i in range(_N_LABELS)]
+    rows = feats.join(p.select(F.col("p_partkey").alias("id"), *[
+        (F.col("p_partkey") % (i + 2) == 0).cast("int").alias(n) for i, n in enumerate(names)]), "id")
+    weights, _ = model.fit_multilabel_joint(rows, "features", names)
+    scored = model.score_multilabel_joint(weights, rows, "id", "features").join(rows, "id")
+    from pyspark.ml.functions import vector_to_array
+    left = scored.select(F.posexplode(F.array(*[F.col(f"class_{i}") - F.col(n) for i, n in enumerate(names)]))
+                         .alias("label", "left"), F.concat(vector_to_array("features"), F.array(F.lit(1.0))).alias("x"))
+    parts = left.select("label", "left", F.posexplode("x").alias("i", "v")).groupBy("label", "i").agg(
+        F.avg(F.col("left") * F.col("v")).alias("g"))
+    return parts.groupBy("label").agg(F.round(F.max(F.abs("g")), 4).alias("steepest"))

@@ -172,3 +172,26 @@ def test_other_classifiers(spark, kind):
     df = _noisy(spark).withColumn("label", (F.col("a") > 0).cast("double"))
     fitted = model.estimator(kind, seed=2, layers=[3, 4, 2]).fit(df)
     assert model.accuracy(fitted.transform(df), "label") > 0.95
+
+
+def test_joint_fit_equals_single_fits(spark):
+    rnd = random.Random(11)
+    rows = []
+    for i in range(600):
+        a, b, c = rnd.gauss(0, 1), rnd.gauss(2, 3), rnd.randint(0, 1)
+        rows.append((i, a, b, float(c), 1.0 - c, int(a + rnd.gauss(0, 1) > 0), int(b + c + rnd.gauss(0, 3) > 2),
+                     rnd.randint(0, 1) if i % 7 else None))
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double, d double, l0 int, l1 int, l2 int")
+    df = model.assemble(df, ["a", "b", "c", "d"])  # c and d say the same
+    labels = ["l0", "l1", "l2"]
+    for reg in (0.0, 0.05):
+        weights, rounds = model.fit_multilabel_joint(df.repartition(3), "features", labels, reg=reg)
+        assert weights.shape == (3, 5) and max(rounds) < 15
+        got = {r["id"]: r for r in model.score_multilabel_joint(weights, df, "id", "features").collect()}
+        for k, name in enumerate(labels):
+            from pyspark.ml.classification import LogisticRegression
+            known = df.filter(F.col(name).isNotNull()).withColumn("y", F.col(name).cast("double"))
+            one = LogisticRegression(labelCol="y", regParam=2 * reg, maxIter=500, tol=1e-12, standardization=False).fit(known)
+            for r in one.transform(df).select("id", model.positive_probability().alias("p")).collect():
+                assert got[r["id"]][f"class_{k}"] == pytest.approx(r["p"], abs=2e-4)
+    assert model.fit_multilabel_joint(df.filter("id < 0"), "features", labels)[1] == [0, 0, 0]
