@@ -112,8 +112,15 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        F.col("lang").cast("string").alias("lang"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).withColumn("h", F.xxhash64("doc_id"))
+    # the part of the hashes that holds a language's sample, from counts by their first ten bits; only rows in it are
+    # numbered, so a large language is not one task's
+    keys = rows.select("lang", "h", "doc_id", F.shiftright("h", 54).alias("part"))
+    upto = Window.partitionBy("lang").orderBy("part")  # 1024 rows a language at most
+    parts = keys.groupBy("lang", "part").agg(F.count(F.lit(1)).alias("n")).withColumn("before", F.sum("n").over(upto) - F.col("n"))
+    last = parts.filter(F.col("before") < sample).groupBy("lang").agg(F.max("part").alias("last"))
     first = Window.partitionBy("lang").orderBy("h", "doc_id")
-    limits = (rows.select("lang", "h", "doc_id").withColumn("r", F.row_number().over(first)).filter(F.col("r") <= sample)
+    limits = (keys.join(F.broadcast(last), "lang").filter("part <= last")  # one row a language
+              .withColumn("r", F.row_number().over(first)).filter(F.col("r") <= sample)
               .groupBy("lang").agg(F.max("h").alias("limit")).collect())  # one row a language
     if not limits:
         return Model([], codewords(0), np.zeros((0, FEATURES), dtype=np.float32))

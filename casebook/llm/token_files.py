@@ -52,12 +52,25 @@ def _with_end(ids, off, end):
 def train(docs: DataFrame, path: str, end: int = END, sample: int = SAMPLE, size: int = DICTIONARY_BYTES) -> bytes:
     """A zstandard dictionary from the ids of ``sample`` documents (those with the smallest hashes of doc_id);
     empty if these are too few or too small to train one."""
-    chosen = (docs.select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample)
-              .select("text").toArrow())
-    texts = chosen.column(0).combine_chunks() if chosen.num_rows else pa.array([], pa.string())
-    ids, off = _with_end(*tokens.encoder(path)(texts), end)
-    raw = ids.tobytes()
-    samples = [raw[4 * a:4 * b] for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
+    keyed = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("h"), F.xxhash64("text").alias("t"))
+    # the keys are chosen without the texts, 24 bytes a row; the chosen texts alone move, as ids made in their tasks
+    keys = keyed.select("doc_id", "h", "t").distinct().orderBy("h", "doc_id", "t").limit(sample).withColumnsRenamed(
+        {"doc_id": "d", "h": "hash", "t": "text_hash"})
+    chosen = keyed.join(F.broadcast(keys), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("t") == F.col("text_hash")))
+
+    def encoded(batches):
+        for batch in batches:
+            for part in tokens.groups([batch], 3):
+                ids, off = _with_end(*tokens.encoder(path)(part.column(3)), end)
+                raw = ids.tobytes()
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:3], pa.array([raw[4 * a:4 * b] for a, b in zip(off[:-1].tolist(), off[1:].tolist(),
+                                                                                   strict=True)], pa.binary())],
+                    names=["h", "doc_id", "t", "ids"])
+    got = (chosen.select("h", "doc_id", "t", "text").mapInArrow(tidy(encoded), "h long, doc_id long, t long, ids binary")
+           .dropDuplicates(["h", "doc_id", "t"]).toArrow().to_pylist())
+    got.sort(key=lambda r: (r["h"], r["doc_id"] is not None, r["doc_id"] or 0, r["t"]))
+    samples = [r["ids"] for r in got]
     try:
         return zstandard.train_dictionary(size, samples, k=256, d=8).as_bytes()
     except (zstandard.ZstdError, ValueError):
