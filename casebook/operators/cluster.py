@@ -6,6 +6,10 @@ without a single distance check, and the neighbour search only touches
 points of sparse cells and points of neighbouring cells (an equi-join on the
 cell key). Core cells are linked into clusters by distributed connected
 components.
+
+In up to ``OFFSET_DIMS`` dimensions the neighbours of a cell are a short list of
+offsets; beyond, where that list would grow exponentially, they are looked up
+among the occupied cells, one coordinate at a time (``_beside``).
 """
 
 from __future__ import annotations
@@ -38,6 +42,39 @@ def _offsets(d: int, side: float, eps: float, half: bool) -> list[list[int]]:
     return out
 
 
+OFFSET_DIMS = 3
+
+
+def _beside(cells: DataFrame, d: int) -> DataFrame:
+    """Pairs (cell, ncell) of different occupied cells that may hold points within eps, both ways round.
+
+    Pairs of occupied prefixes (the first j coordinates) that are near enough
+    so far get the next coordinate: the children of the one are joined to it,
+    each offset of that coordinate is tried, and an equi-join keeps what is an
+    occupied prefix too. A row is never made for a cell that holds no point, and
+    the work is d joins of pairs of occupied prefixes, written one after the
+    other. Cells are eps/sqrt(d) wide, so offsets o are out of reach when the
+    sum of (abs(o) - 1)^2 exceeds d."""
+    cells = cut_lineage(cells.select("cell").distinct())
+    reach = math.isqrt(d) + 1
+    offsets = F.array(*[F.struct(F.lit(o).alias("o"), F.lit(max(abs(o) - 1, 0) ** 2).alias("cost"))
+                        for o in range(-reach, reach + 1)])
+    pairs = None
+    for j in range(d):
+        prefixes = cells.select(F.slice("cell", 1, j + 1).alias("next")).distinct()
+        if pairs is None:
+            grown = prefixes.select(F.col("next").alias("a"), F.array().cast("array<bigint>").alias("b"),
+                                    F.lit(0).alias("used"))
+        else:
+            grown = (pairs.join(prefixes.select(F.slice("next", 1, j).alias("a"), "next"), "a")
+                     .select(F.col("next").alias("a"), "b", "used"))
+        grown = (grown.withColumn("_off", F.explode(offsets))
+                 .withColumn("used", F.col("used") + F.col("_off.cost")).filter(F.col("used") <= F.lit(d))
+                 .select("a", F.concat("b", F.array(F.element_at("a", j + 1) + F.col("_off.o"))).alias("b"), "used"))
+        pairs = cut_lineage(grown.join(prefixes.withColumnRenamed("next", "b"), "b").select("a", "b", "used"))
+    return pairs.filter(F.col("a") != F.col("b")).select(F.col("a").alias("cell"), F.col("b").alias("ncell"))
+
+
 def _dist(a: str, b: str, cols: Sequence[str]):
     return F.sqrt(sum(((F.col(f"{a}.{c}") - F.col(f"{b}.{c}")) ** 2 for c in cols), F.lit(0.0)))
 
@@ -56,7 +93,7 @@ def _box_gap(cols, far: bool):
     return F.sqrt(sum(terms[1:], terms[0]))
 
 
-def _link_cells(core: DataFrame, cols, eps: float, side: float, shifted,
+def _link_cells(core: DataFrame, cols, eps: float, side: float, neighbours,
                 brute_limit: int = 256, max_levels: int = 48) -> DataFrame:
     """Pairs of cell nodes (src, dst) holding core points within eps.
 
@@ -66,9 +103,8 @@ def _link_cells(core: DataFrame, cols, eps: float, side: float, shifted,
     is within eps (link). Only undecided pairs are split into half-size
     sub-cells, level by level; a pair is checked point by point once the
     product of its point counts is at most ``brute_limit``."""
-    d = len(cols)
     cells = core.select("cell", "node").distinct()
-    cand = (shifted(cells, _offsets(d, side, eps, half=True))
+    cand = (neighbours(cells, half=True)
             .join(cells.select(F.col("cell").alias("ncell"), F.col("node").alias("nnode")), "ncell")
             .select(F.col("node").alias("na"), F.col("nnode").alias("nb"),
                     F.col("cell").alias("ca"), F.col("ncell").alias("cb"),
@@ -144,15 +180,20 @@ def dbscan(df: DataFrame, id_col: str, cols: Sequence[str], eps: float,
                                      F.min("id").alias("cell_min"))
     pts = pts.join(n_cell, "cell")
 
-    def shifted(frame: DataFrame, offs: list[list[int]]) -> DataFrame:
-        lit_offs = F.array(*[F.array(*[F.lit(o) for o in off]) for off in offs])
+    beside = _beside(pts, d) if d > OFFSET_DIMS else None
+
+    def neighbours(frame: DataFrame, half: bool) -> DataFrame:
+        """``frame`` with a row per cell ``ncell`` beside its ``cell``; ``half``: one of both directions."""
+        if beside is not None:
+            return frame.join(beside.filter("cell < ncell") if half else beside, "cell")
+        lit_offs = F.array(*[F.array(*[F.lit(o) for o in off]) for off in _offsets(d, side, eps, half)])
         return (frame.withColumn("_off", F.explode(lit_offs))
                 .withColumn("ncell", F.zip_with("cell", "_off", lambda c, o: c + o))
                 .drop("_off"))
 
     # neighbour counts, only for points of sparse cells
     sparse = pts.filter(F.col("n_cell") < F.lit(min_samples))
-    probe = shifted(sparse.select("id", "cell", *cols), _offsets(d, side, eps, half=False)).alias("p")
+    probe = neighbours(sparse.select("id", "cell", *cols), half=False).alias("p")
     other = pts.select(F.col("id").alias("nid"), F.col("cell").alias("ncell"), *cols).alias("q")
     near = (probe.join(other, "ncell").filter(_dist("p", "q", cols) <= F.lit(eps))
                  .select(F.col("p.id").alias("id"), F.col("nid")))
@@ -167,7 +208,7 @@ def dbscan(df: DataFrame, id_col: str, cols: Sequence[str], eps: float,
     # one node per cell that has a core point: its smallest core id
     node = core.groupBy("cell").agg(F.min("id").alias("node"))
     core = core.join(node, "cell")
-    links = _link_cells(core, cols, eps, side, shifted, brute_limit=brute_limit)
+    links = _link_cells(core, cols, eps, side, neighbours, brute_limit=brute_limit)
     comp = connected_components(links, node.select(F.col("node").alias("id")),
                                 src="src", dst="dst", vid="id")
     cell_root = node.join(comp.select(F.col("id").alias("node"), "component"), "node") \

@@ -7,12 +7,16 @@ loop of jobs.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
+from itertools import combinations, combinations_with_replacement
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
+from casebook.session import ship_package
+
 
 def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
@@ -94,19 +98,103 @@ def fill_with_mode(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return out
 
 
+WIDE_CORRELATION = 32
+
+
 def correlation(df: DataFrame, cols: Sequence[str], digits: int | None = 6) -> DataFrame:
     """Pearson matrix in long form (a, b, corr); pairs use rows where both
-    are non-null (pairwise complete), all pairs in one aggregate pass."""
+    are non-null (pairwise complete), all pairs in one aggregate pass. Null
+    where fewer than two rows or no spread are left. Tables of more than
+    ``WIDE_CORRELATION`` columns, whose pairs are too many to be expressions of
+    one plan, are summed up in blocks (``_wide_correlation``)."""
     cols = list(cols)
-    pairs = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
-                      F.corr(df[f"`{a}`"].cast("double"), df[f"`{b}`"].cast("double")).alias("corr"))
-             for a in cols for b in cols]
-    out = df.agg(F.array(*pairs).alias("pairs")).select(F.inline("pairs"))
+    if len(cols) > WIDE_CORRELATION:
+        out = _wide_correlation(df, cols)
+    else:
+        num = {c: df[f"`{c}`"].cast("double") for c in cols}
+
+        def corr(a, b):  # F.corr is an error in ANSI mode without spread, and noise where rounding leaves some
+            y, x = num[a], num[b]
+            level = F.lit(1e-24) * F.regr_count(y, x)
+            spread = ((F.regr_sxx(y, x) > level * F.regr_avgx(y, x) ** 2)
+                      & (F.regr_syy(y, x) > level * F.regr_avgy(y, x) ** 2))
+            joint = F.regr_sxy(y, x)
+            return (F.when(F.isnan(joint), joint)
+                    .when(spread, F.try_divide(joint, F.sqrt(F.regr_sxx(y, x) * F.regr_syy(y, x)))))
+
+        pairs = []
+        for a, b in combinations_with_replacement(cols, 2):
+            r = corr(a, b)
+            pairs += [F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"), r.alias("corr"))
+                      for x, y in sorted({(a, b), (b, a)})]
+        out = df.agg(F.array(*pairs).alias("pairs")).select(F.inline("pairs"))
     if digits is not None:
         out = out.withColumn("corr", F.round("corr", digits))
     return out
 
 
+_SUMS = ("n", "sx", "sxx", "sxy", "odd")
+
+
+def _wide_correlation(df: DataFrame, cols: list[str], block: int = 64) -> DataFrame:
+    """Correlation of many columns: five sums per pair of columns, from matrix products.
+
+    A task turns its rows into a matrix of values, less their column's mean so
+    that the sums stay small, and one of validity. Products of their column
+    blocks give for every ordered pair the rows that have both, the sums of x,
+    x*x and x*y over these, and how many hold a NaN or infinity (the
+    correlation is NaN then, as in Spark's ``corr``). A task holds five k x k
+    matrices and gives one row per column and block of columns, added up in
+    Spark by pair. A pair whose spread is below 1e-12 of its squares has none."""
+    ship_package(df.sparkSession)
+    values = df.select(F.array(*[F.col(f"`{c}`").cast("double") for c in cols]).alias("x"))
+    finite = [F.when(F.abs(F.col(f"`{c}`").cast("double")) < F.lit(float("inf")), F.col(f"`{c}`").cast("double"))
+              for c in cols]
+    means = df.agg(F.array(*[F.coalesce(F.avg(v), F.lit(0.0)) for v in finite]).alias("m")).first()["m"]
+    fields = ", ".join(f"{s} array<double>" for s in _SUMS)
+    sums = values.mapInArrow(_pair_sums(np.array(means), block), f"i int, lo int, {fields}")
+    cell = sums.select("i", "lo", F.inline(F.arrays_zip(F.sequence(F.lit(0), F.size("n") - 1).alias("at"),
+                                                        *[F.col(s) for s in _SUMS])))
+    cell = (cell.withColumn("j", F.col("lo") + F.col("at")).groupBy("i", "j")
+            .agg(*[F.sum(s).alias(s) for s in _SUMS]))
+    # the other order of a pair has the sums of y
+    other = cell.select(F.col("j").alias("i"), F.col("i").alias("j"), F.col("sx").alias("sy"), F.col("sxx").alias("syy"))
+    both = cell.join(other, ["i", "j"])
+    n = F.greatest(F.col("n"), F.lit(1.0))
+    vx, vy = F.col("sxx") - F.col("sx") ** 2 / n, F.col("syy") - F.col("sy") ** 2 / n
+    spread = (vx > F.lit(1e-12) * F.col("sxx")) & (vy > F.lit(1e-12) * F.col("syy"))
+    corr = (F.when(F.col("n") == 0, F.lit(None)).when(F.col("odd") > 0, F.lit(float("nan")))
+            .when(spread, (F.col("sxy") - F.col("sx") * F.col("sy") / n) / F.sqrt(vx * vy)))
+    names = F.array(*[F.lit(c) for c in cols])
+    return both.select(F.element_at(names, F.col("i") + 1).alias("a"), F.element_at(names, F.col("j") + 1).alias("b"),
+                       F.when(F.col("i") == F.col("j"), F.signum(corr)).otherwise(corr).alias("corr"))
+
+
+def _pair_sums(means: np.ndarray, block: int):
+    k = len(means)
+
+    def run(batches):
+        total = None
+        for batch in batches:
+            x = batch.column(0).flatten()
+            there = ~x.is_null().to_numpy(zero_copy_only=False).reshape(-1, k)
+            x = x.fill_null(0.0).to_numpy(zero_copy_only=False).reshape(-1, k)
+            good = np.isfinite(x)
+            odd = (there & ~good).astype(np.float64)
+            x = np.where(there & good, x, means) - means
+            v = there.astype(np.float64)
+            part = (v.T @ v, x.T @ v, (x * x).T @ v, x.T @ x, odd.T @ v + v.T @ odd)
+            total = part if total is None else tuple(t + p for t, p in zip(total, part))
+        if total is None:
+            return
+        for lo in range(0, k, block):
+            hi = min(lo + block, k)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(k, dtype=np.int32)), pa.array(np.full(k, lo, dtype=np.int32)),
+                 *[pa.array(list(t[:, lo:hi]), pa.list_(pa.float64())) for t in total]], names=["i", "lo", *_SUMS])
+    return run
+
+
 def bin_index(x, lo, hi, bins: int):
     """1..bins equal-width bin; the maximum falls in the last bin."""
     span = F.lit(hi) - F.lit(lo)

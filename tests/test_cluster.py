@@ -53,6 +53,38 @@ def test_dbscan_matches_brute_force(spark, seed):
         assert {r["id"] for r in rows if r["is_core"]} == core
 
 
+@pytest.mark.parametrize("d, eps, n", [(5, 0.12, 400)])
+def test_dbscan_in_many_dimensions(spark, d, eps, n):
+    rnd = random.Random(d)
+    centres = [[rnd.random() for _ in range(d)] for _ in range(3)]
+    pts = {}
+    for i in range(n):
+        if i < 60:  # a crowded cell beside others, with equal points
+            pts[i] = tuple(c + rnd.choice([0.0, 0.01]) for c in centres[0])
+        elif i % 6:
+            pts[i] = tuple(c + rnd.gauss(0, 0.03) for c in rnd.choice(centres))
+        else:
+            pts[i] = tuple(rnd.uniform(-1, 1) for _ in range(d))
+    expected, core = brute_dbscan(pts, eps, 6)
+    assert len(set(expected.values())) > 2
+    cols = [f"x{k}" for k in range(d)]
+    df = spark.createDataFrame([(i, *x) for i, x in pts.items()], "id long, " + ", ".join(f"{c} double" for c in cols))
+    rows = cluster.dbscan(df, "id", cols, eps=eps, min_samples=6).collect()
+    assert {r["id"]: r["cluster"] for r in rows} == expected
+    assert {r["id"] for r in rows if r["is_core"]} == core
+
+
+def test_neighbours_are_looked_up_among_occupied_cells(spark):
+    rnd = random.Random(3)
+    cells = sorted({tuple(rnd.randrange(-4, 5) for _ in range(6)) for _ in range(500)})
+    df = spark.createDataFrame([(list(c),) for c in cells], "cell array<bigint>")
+    got = {(tuple(r["cell"]), tuple(r["ncell"])) for r in cluster._beside(df.union(df), 6).collect()}
+    near = {(a, b) for a in cells for b in cells if a != b and
+            sum(max(abs(x - y) - 1, 0) ** 2 for x, y in zip(a, b)) <= 6}
+    assert got == near
+    assert cluster._beside(df.limit(0), 6).isEmpty()
+
+
 def brute_average_linkage(points, k):
     clusters = {i: [i] for i in points}
     def d(a, b):

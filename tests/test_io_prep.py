@@ -2,6 +2,7 @@
 
 import os
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -107,6 +108,29 @@ def test_correlation_pairwise_complete(spark):
     assert got[("x", "y")] == 1.0 and got[("x", "x")] == 1.0
 
 
+def test_correlation_of_a_wide_table_equals_corr(spark):
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(400, 6)) @ rng.normal(size=(6, 300)) + 1e6 * np.arange(300)
+    rows = [[None if (i * 7 + j) % 11 == 0 else float(v) for j, v in enumerate(r)] for i, r in enumerate(base)]
+    for r in rows:
+        r[3], r[4] = 5.25, None  # no spread, no value
+    rows[9][5], rows[10][6] = float("nan"), float("inf")
+    cols = [f"c.{j}" for j in range(300)]
+    df = spark.createDataFrame(rows, ", ".join(f"`{c}` double" for c in cols)).repartition(5)
+    got = {(r["a"], r["b"]): r["corr"] for r in profile.correlation(df, cols, digits=None).collect()}
+    assert len(got) == 300 * 300
+    few = cols[:9] + cols[290:292]
+    want = profile.correlation(df, few, digits=None).collect()
+    for r in want:
+        mine = got[r["a"], r["b"]]
+        if r["corr"] is None or mine is None:
+            assert mine is None and r["corr"] is None, r
+        else:
+            assert np.isclose(mine, r["corr"], rtol=0, atol=1e-7, equal_nan=True), (r, mine)
+    empty = profile.correlation(df.limit(0), cols, digits=None)
+    assert empty.filter("corr IS NOT NULL").isEmpty()
+
+
 def test_cardinality_exact_and_approx(spark):
     df = spark.range(1000).selectExpr("id % 37 AS a", "cast(id % 5 AS string) AS b")
     exact = {r["column"]: r["n_distinct"] for r in profile.cardinality(df, ["a", "b"]).collect()}
