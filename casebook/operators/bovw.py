@@ -449,3 +449,101 @@ def search_many(index: DataFrame, queries: DataFrame, k: int = 20, image: str =
         F.round(X.chi2_distance(F.col(hist), q["_h"]), digits).alias("distance")))))
     w = Window.partitionBy("query").orderBy("distance", image)
     return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
+def search_lists(index: DataFrame, queries: DataFrame, k: int = 20, image: str = "image",
+                 hist: str = "hist", digits: int = 6, max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """The rows of ``search_many`` by inverted lists, for histograms that are mostly zeros.
+
+    The distance to an image without a common word is a constant of the query
+    plus one of the image; only words that both have change it. Each Arrow
+    batch of the index becomes lists word -> (image, count); a query adds up the
+    corrections of its own words' lists, so its cost is the length of these
+    lists and not images times words. The index stays where it is: queries come
+    to it as lists of their words, in blocks of at most ``max_broadcast_bytes``
+    (one scan of the index a block), and each batch gives at most ``k`` images a
+    query (more where distances agree to ``digits`` places but not exactly).
+
+    Counts must not be negative. Rows without ``hist`` take no part; of
+    histograms of several lengths the shorter have zeros. Repeated queries give
+    the rows of one."""
+    spark = index.sparkSession
+    ship_package(spark)
+    sparse = queries.filter(F.col(hist).isNotNull()).select(
+        F.col(image).alias("query"), X.to_double_array(hist).alias("_h")).dropDuplicates(["query"])
+    sparse = cut_lineage(sparse.select("query", F.filter(F.transform("_h", lambda x, i: F.struct(
+        i.cast("int").alias("word"), x.alias("n"))), lambda e: e["n"] != 0).alias("entries")))
+    size = sparse.agg(F.sum(F.size("entries") * F.lit(12) + F.lit(64)).alias("b")).first()["b"] or 0
+    blocks = max(1, -(-int(size) // max(1, max_broadcast_bytes // 2)))  # by hash, so half of the bound on average
+    base = index.filter(F.col(hist).isNotNull()).select(F.col(image).alias("image"), X.to_double_array(hist).alias("_h"))
+    kind = {f.name: f.dataType.simpleString() for f in base.schema.fields}["image"]
+    found = None
+    for b in range(blocks):
+        mine = sparse.filter(F.pmod(F.xxhash64("query"), F.lit(blocks)) == F.lit(b)).toArrow()
+        part = base.mapInArrow(_scan_lists(mine, k, digits),
+                               f"query {sparse.schema['query'].dataType.simpleString()}, image {kind}, distance double")
+        found = part if found is None else found.unionAll(part)
+    out = found.select("query", F.col("image").alias(image), F.round("distance", digits).alias("distance"))
+    w = Window.partitionBy("query").orderBy("distance", image)
+    return out.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
+def _alone(n: np.ndarray) -> np.ndarray:
+    """A word's share of the distance where the other histogram lacks it."""
+    return n * n / (n + X.CHI2_EPS)
+
+
+def _scan_lists(queries: pa.Table, k: int, digits: int):
+    ids = queries.column("query").combine_chunks()
+    entries = queries.column("entries").combine_chunks()
+    off = np.r_[0, np.cumsum(entries.value_lengths().to_numpy(zero_copy_only=False))].astype(np.int64)
+    flat = entries.flatten()
+    q_word, q_n = (flat.field(f).to_numpy(zero_copy_only=False) for f in ("word", "n"))
+    constant = np.array([_alone(q_n[lo:hi]).sum() for lo, hi in zip(off, off[1:])])
+
+    def run(batches):
+        for batch in batches:
+            rows = batch.num_rows
+            if not rows or not len(ids):
+                continue
+            names, hists = batch.column(0), batch.column(1)
+            lengths = hists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            values = hists.flatten().fill_null(0.0).to_numpy(zero_copy_only=False)
+            of = np.repeat(np.arange(rows), lengths)
+            word = np.arange(len(values)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            there = values != 0
+            of, word, n = of[there], word[there], values[there]
+            own = np.bincount(of, weights=_alone(n), minlength=rows)
+            order = np.argsort(word, kind="stable")
+            of, word, n = of[order], word[order], n[order]
+            place = np.argsort(np.argsort(names.to_numpy(zero_copy_only=False), kind="stable"), kind="stable")
+            starts, ends = np.searchsorted(word, q_word), np.searchsorted(word, q_word, side="right")
+            query, image, distance = [], [], []
+            for q in range(len(ids)):
+                change = np.zeros(rows)
+                for e in range(off[q], off[q + 1]):
+                    at = slice(starts[e], ends[e])  # an image once a list
+                    x, y = q_n[e], n[at]
+                    change[of[at]] += (x - y) ** 2 / (x + y + X.CHI2_EPS) - _alone(x) - _alone(y)
+                best = _first(constant[q] + own + change, place, k, digits)
+                query.append(np.full(len(best[0]), q))
+                image.append(best[0])
+                distance.append(best[1])
+            yield pa.RecordBatch.from_arrays(
+                [ids.take(pa.array(np.concatenate(query))), names.take(pa.array(np.concatenate(image))),
+                 pa.array(np.concatenate(distance))], names=["query", "image", "distance"])
+    return run
+
+
+def _first(distance: np.ndarray, place: np.ndarray, k: int, digits: int):
+    """Every row that can be among the first ``k`` by rounded distance, then id (``place``: order of ids)."""
+    at = np.arange(len(distance))
+    if len(at) > k:
+        bound = np.partition(distance, k - 1)[k - 1] + 2 * 10.0 ** -digits
+        at = at[distance <= bound]
+        at = at[np.lexsort((place[at], distance[at]))]
+        d = distance[at]
+        head = np.flatnonzero(np.r_[True, d[1:] != d[:-1]])
+        nth = np.arange(len(at)) - np.repeat(head, np.diff(np.r_[head, len(at)]))
+        at = at[nth < k]  # of equal distances the first k ids are enough
+    return at, distance[at]

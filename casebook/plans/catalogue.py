@@ -388,7 +388,7 @@ def q_bovw_trained(spark, sf):
         (F.abs(F.col("cost") - F.lit(won["cost"])) <= F.lit(1e-6 * (1 + won["cost"]))).alias("cost_holds"))
 
 
-@register("bovw_search_many", f"""
+_MANY = f"""
 WITH {_duck_hist(_K_ORACLE)},
 q AS (SELECT image AS query, hist AS qh FROM hist WHERE image % 50 = 0),
 scored AS (SELECT query, image,
@@ -398,12 +398,21 @@ scored AS (SELECT query, image,
 SELECT query, image, distance, CAST(rank AS INTEGER) AS rank FROM (
   SELECT *, row_number() OVER (PARTITION BY query ORDER BY distance, image) AS rank FROM scored) t
 WHERE rank <= 20
-""")
+"""
+
+
+@register("bovw_search_many", _MANY)
 def q_bovw_search_many(spark, sf):
     index = _index(spark, sf)
     return bovw.search_many(index, index.filter(F.col("image") % 50 == 0), k=20)
 
 
+@register("bovw_search_lists", _MANY)
+def q_bovw_search_lists(spark, sf):
+    index = _index(spark, sf)
+    return bovw.search_lists(index, index.filter(F.col("image") % 50 == 0), k=20)
+
+
 # ------------------------------------------------------------ accident graph
 # Testdata mapping: every pair of consecutive orders is an accident between
 # the two ordering customers (whole orders table).

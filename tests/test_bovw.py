@@ -87,6 +87,26 @@ def test_search_many_takes_any_number_of_queries(spark):
             [(r["image"], r["distance"]) for r in sorted(many, key=lambda r: r["rank"]) if r["query"] == q]
 
 
+@pytest.mark.parametrize("bound", [1 << 20, 4000])
+def test_search_by_inverted_lists_equals_scoring_all(spark, bound):
+    rnd = random.Random(12)
+    rows = []
+    for i in range(240):
+        h = [0.0] * 40
+        for _ in range(rnd.randrange(7)):  # some have no word at all, many are equal
+            h[min(rnd.randrange(40), rnd.randrange(40))] += rnd.choice([1.0, 2.0, 0.5])
+        rows.append((f"im{i:03d}", rows[i % 5][1] if i % 3 == 0 and i > 5 else h))
+    idx = spark.createDataFrame(rows, "image string, hist array<double>").repartition(3)
+    queries = idx.filter("substr(image, 5) in ('0', '7')")
+    want = {tuple(r) for r in bovw.search_many(idx, queries, k=7).select("query", "image", "distance", "rank").collect()}
+    lists = bovw.search_lists(idx.unionByName(spark.createDataFrame([("none", None)], idx.schema)),
+                              queries.unionByName(queries), k=7, max_broadcast_bytes=bound)
+    assert lists.columns == ["query", "image", "distance", "rank"]
+    assert {tuple(r) for r in lists.collect()} == want and len(want) == 48 * 7
+    assert bovw.search_lists(idx.limit(0), queries).isEmpty()
+    assert bovw.search_lists(idx, queries.limit(0)).isEmpty()
+
+
 def test_histogram_sums_to_descriptor_count(spark, data):
     desc, df, cb = data
     a = bovw.assign(df, cb)

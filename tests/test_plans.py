@@ -9,7 +9,7 @@ import __spark_entry__ as E
 from casebook.plans import catalogue
 
 SF = "/root/testdata/sf0.001"
-PYTHON_OK = {"bovw_assign", "bovw_hist", "bovw_search", "bovw_search_many", "bovw_trained", "renewal_scores"}
+PYTHON_OK = {"bovw_assign", "bovw_hist", "bovw_search", "bovw_search_many", "bovw_search_lists", "bovw_trained", "renewal_scores"}
 
 
 def physical(df) -> str:
