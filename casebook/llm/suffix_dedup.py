@@ -1,26 +1,33 @@
-"""Removal of byte strings that occur more than once (pointers of suffixes and window fingerprints).
+"""Removal of byte strings that occur more than once, by bucket-pointer refinement.
 
 A suffix is followed for ``DEPTH`` bytes: two suffixes that share a bucket at
 that depth begin the same DEPTH-byte string, and every byte such a string
 covers goes - in all its places, the same document included.
 
-Bucket identifiers are content hashes, so a refinement by the identifier of a
-later offset needs no look-up of a rank that another task holds. Buckets of one
-suffix are finished and leave at once. This is not the recursive refinement of
-bucket-pointer suffix sorting: each round fingerprints the bytes of what is left
-afresh from the text, and uses no identifier that an earlier round has made:
+Buckets start from q-grams and are refined by the bucket identifiers of later
+offsets. These lie in the same document, so a task pairs them itself; only which
+identifiers occur once is learned by an exchange, after each round. Buckets of
+one suffix are finished and leave at once.
 
-1. Sparse suffixes. In the window of each suffix the smallest ``GRAM``-byte gram
+1. Initial buckets. In the window of each suffix the smallest ``GRAM``-byte gram
    is its pointer; neighbours share pointers, so there is one per some 180
-   bytes. Pointers are put into initial buckets by their gram; single ones
-   finish, with all the suffixes that hang on them.
-2. A pointer's bucket is refined by the identifier of everything its suffixes
-   read. Pointers that agree finish as repeats; of each such class one stays, if
-   its initial bucket has other classes.
-3. The suffixes of the pointers left are refined by the pair of identifiers
-   (first half, later half at offset ``DEPTH / 2``) within pointer and offset.
+   bytes. Pointers are put into buckets by their gram; single ones finish, with
+   all the suffixes that hang on them.
+2. Copies. Pointers that agree on everything their suffixes read finish as
+   repeats; of each such class one stays, if its bucket has other classes.
+3. Refinement at later offsets. Offsets that are multiples of s = DEPTH / 4 from
+   the pointer get the identifier of their s bytes. One that occurs once in its
+   bucket is dropped. An identifier of 2 s bytes is the pair of those at an
+   offset and s later, where both are still there: an offset whose later offset
+   has been dropped is dropped too, without any exchange. Singles of these pairs
+   are dropped in turn.
+4. Suffixes. A suffix is still open if all offsets are, whose 2 s bytes lie in
+   its DEPTH bytes. Its bucket is the pair of the identifiers at its start and
+   at its later half.
 
 A group of copies costs one entry per copy and round; no pairs are made.
+Identifiers are content hashes (equal strings have equal ones everywhere); 96
+bits decide.
 
 Defined results: a null text counts as empty; a row without ``doc_id`` takes
 part in no comparison and keeps its bytes; repeated rows of one ``doc_id`` are
@@ -169,19 +176,136 @@ def _tagged(kind, batch):
                                        batch.column(1)], names=["doc_id", "kind", "value"])
 
 
-def _emit_suffixes(depth, gram, n_buckets):
+_OFFSET = np.dtype([("offset", "<i2"), ("id", "<u8")])  # offset from the pointer, in steps
+_OPEN = np.dtype([("place", "<i4"), ("offset", "<i2"), ("code", "<u4"), ("id", "<u8")])
+
+
+def _step(depth):
+    return -(-depth // 4)
+
+
+def _dealt(code, offset, n_buckets):
+    """Bucket of a pointer's gram and an offset, so that a common gram is split."""
+    return mix((code.astype(np.uint64) << np.uint64(16)) + offset.astype(np.int16).view(np.uint16).astype(np.uint64)) \
+        % np.uint64(n_buckets)
+
+
+def _counted(n):
+    """0 .. n[0] - 1, 0 .. n[1] - 1, and so on, and to which each belongs."""
+    each = np.repeat(np.arange(len(n)), n)
+    return each, np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
+
+
+def _pair(first, later):
+    return mix(first + mix(later))
+
+
+def _emit_offsets(depth, gram, n_buckets):
+    """First identifiers: the step's bytes at every offset that is a whole number of steps from its pointer."""
+    step = _step(depth)
+
     def emit(batches):
         for part, ids, off, hashes, place, head, n, doc, code in _marked(batches, depth, gram):
             keep = _chosen(part, doc, place - off[doc], np.uint32) if len(doc) else np.zeros(0, dtype=bool)
             place, head, n, doc, code = (v[keep] for v in (place, head, n, doc, code))
             if not len(doc):
                 continue
-            each = np.repeat(np.arange(len(doc)), n)
-            at = head[each] + np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
-            half = depth // 2
+            first = -((place - head) // step)
+            last = (head - place + n - 1 + depth - step) // step
+            each, k = _counted(last - first + 1)
+            extra = np.empty(len(each), dtype=_OFFSET)
+            extra["offset"] = first[each] + k
+            at = place[each] + (first[each] + k) * step
+            extra["id"] = hashes(at, at + step)
+            code, doc = code[each].astype(np.uint32), doc[each]
+            yield X.packed(0, _dealt(code, extra["offset"], n_buckets), doc, ids, code, extra, n_buckets,
+                           place[each] - off[doc])
+    return emit
+
+
+def _emit_pairs(n_buckets):
+    """Pairs of an open offset's identifier with that of the next, where that is open too."""
+    def emit(batches):
+        for batch in batches:
+            lists = [np.frombuffer(b"".join(m), dtype=_OPEN) for m in batch.column(1).to_pylist()]
+            if not lists:
+                continue
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            doc = np.repeat(np.arange(len(lists)), [len(m) for m in lists])
+            have = np.concatenate(lists)
+            order = np.lexsort((have["offset"], have["place"], doc))
+            doc, have = doc[order], have[order]
+            both = np.flatnonzero((doc[1:] == doc[:-1]) & (have["place"][1:] == have["place"][:-1])
+                                  & (have["offset"][1:] == have["offset"][:-1] + 1))
+            if not len(both):
+                continue
+            extra = np.empty(len(both), dtype=_OFFSET)
+            extra["offset"] = have["offset"][both]
+            extra["id"] = _pair(have["id"][both], have["id"][both + 1])
+            code = have["code"][both]
+            yield X.packed(0, _dealt(code, extra["offset"], n_buckets), doc[both], ids, code, extra, n_buckets,
+                           have["place"][both])
+    return emit
+
+
+def _open_offsets(batches):
+    """Of one bucket: the offsets whose identifier occurs more than once, with the identifiers."""
+    parts = [x[1:] for b in batches for x in X.unpacked(b, np.uint32, _OFFSET)]
+    if not parts:
+        return
+    doc, code, extra, place = (np.concatenate([p[k] for p in parts]) for k in range(4))
+    order = np.lexsort((extra["id"], extra["offset"], code))
+    c, o, v = code[order], extra["offset"][order], extra["id"][order]
+    head = np.r_[True, (c[1:] != c[:-1]) | (o[1:] != o[:-1]) | (v[1:] != v[:-1])]
+    many = np.diff(np.r_[np.flatnonzero(head), len(c)])[np.cumsum(head) - 1] > 1
+    if many.any():
+        out = np.empty(int(many.sum()), dtype=_OPEN)
+        out["place"], out["offset"], out["code"], out["id"] = place[order][many], o[many], c[many], v[many]
+        yield X.per_document(doc[order][many], out, ["doc_id", "value"])
+
+
+def _still_open(part, off, place, head, n, doc, depth):
+    """Pointers with open offsets, and their suffixes all of whose offsets are open."""
+    step = _step(depth)
+    lists = [np.frombuffer(b"".join(m), dtype=_OPEN) for m in part.column(2).to_pylist()]
+    owner = np.repeat(np.arange(len(lists)), [len(m) for m in lists])
+    have = np.concatenate(lists)
+    # a pointer's row: its text and place; a column per offset
+    mine = doc.astype(np.int64) << 32 | (place - off[doc])
+    row = np.searchsorted(mine, owner.astype(np.int64) << 32 | have["place"])
+    low = depth // step + 1
+    is_open = np.zeros((len(mine), 2 * low + 2), dtype=bool)
+    is_open[row, have["offset"].astype(np.int64) + low] = True
+    some = np.flatnonzero(is_open.any(axis=1))
+    each, k = _counted(n[some])
+    each = some[each]
+    at = head[each] + k
+    back = place[each] - at
+    first = -(back // step)
+    keep = np.ones(len(at), dtype=bool)
+    for more in range((depth - 2 * step) // step + 1):
+        inside = (first + more) * step <= depth - 2 * step - back
+        keep &= ~inside | is_open[each, first + more + low]
+    return each[keep], at[keep]
+
+
+def _emit_suffixes(depth, gram, n_buckets):
+    step = _step(depth)
+
+    def emit(batches):
+        for part, ids, off, hashes, place, head, n, doc, code in _marked(batches, depth, gram):
+            if not len(doc):
+                continue
+            each, at = _still_open(part, off, place, head, n, doc, depth)
+            if not len(each):
+                continue
+
+            def twice(i):
+                return _pair(hashes(i, i + step), hashes(i + step, i + 2 * step))
+
             extra = np.empty(len(each), dtype=_SUFFIX)
             extra["offset"] = place[each] - at
-            extra["pair"] = mix(hashes(at, at + half) + mix(hashes(at + half, at + depth)))
+            extra["pair"] = _pair(twice(at), twice(at + depth - 2 * step))
             code, doc = code[each], doc[each]
             # suffixes of one pointer go to several buckets by their offset, so that a common gram is split
             bucket = mix((code >> np.uint64(32)) + (extra["offset"] // 32).astype(np.uint64)) % np.uint64(n_buckets)
@@ -225,6 +349,8 @@ def _rewrite(depth):
 
 def remove_repeated_bytes(docs: DataFrame, depth: int = DEPTH, gram: int | None = None) -> DataFrame:
     """``docs`` (doc_id, text) -> doc_id, n_bytes, n_removed, starts and ends of the removed runs, kept (binary)."""
+    if depth < 4:
+        raise ValueError("depth must be at least 4")
     gram = gram or max(1, min(GRAM, depth // 10))
     n = X.bucket_count(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
@@ -238,6 +364,11 @@ def remove_repeated_bytes(docs: DataFrame, depth: int = DEPTH, gram: int | None
                              "doc_id long, kind int, value binary", n))
     todo = found.filter("kind = 1").groupBy("doc_id").agg(F.collect_list("value").alias("marks"))
     rest = touched.select("doc_id", "ztext").join(todo, "doc_id").select("doc_id", "ztext", "marks")
+    opened = X.routed(rest, _emit_offsets(depth, gram, n), _open_offsets, "doc_id long, value binary", n)
+    lists = opened.groupBy("doc_id").agg(F.collect_list("value").alias("marks"))
+    opened = X.routed(lists, _emit_pairs(n), _open_offsets, "doc_id long, value binary", n)
+    lists = opened.groupBy("doc_id").agg(F.collect_list("value").alias("marks"))
+    rest = touched.select("doc_id", "ztext").join(lists, "doc_id").select("doc_id", "ztext", "marks")
     last = X.routed(rest, _emit_suffixes(depth, gram, n), _repeats, "doc_id long, value binary", n)
     spans = (found.filter("kind = 0").select("doc_id", "value").unionByName(last)
              .groupBy("doc_id").agg(F.collect_list("value").alias("spans")))

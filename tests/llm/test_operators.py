@@ -79,6 +79,24 @@ def test_suffix_dedup(lab, corpus):
         assert got == brute.repeated_bytes(rows)
 
 
+@pytest.mark.parametrize("depth", [7, 40, 43, 400])
+def test_suffix_refinement_at_passage_edges(lab, depth):
+    """Passages a little shorter and longer than the depth, between other bytes, with equal grams everywhere."""
+    rng = random.Random(depth)
+    noise = lambda n: "".join(rng.choice("abcdefghij klmnop\u00e9") for _ in range(n))
+    common = noise(60 if depth >= 400 else 6)
+    passages = [noise(depth + k - 20 if depth > 20 else depth - 2 + k % 5) for k in range(0, 44, 4)]
+    rows = []
+    for d in range(60):
+        parts = [rng.choice([noise(rng.randrange(depth)), common, rng.choice(passages), "aa" * rng.randrange(depth)])
+                 for _ in range(8)]
+        rows.append((d, "".join(parts)))
+    rows += [(60, rows[3][1]), (61, rows[3][1] + "x"), (62, rows[5][1][1:]), (63, None), (64, "")]
+    got = {r.doc_id: (r.n_bytes, r.n_removed, len(r.starts), bytes(r.kept))
+           for r in suffix_dedup.remove_repeated_bytes(rows_of(lab, rows), depth=depth).collect()}
+    assert got == brute.repeated_bytes(rows, depth)
+
+
 def test_jaccard_components(lab, corpus):
     for docs, rows in both(lab, corpus):
         got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(docs).collect()}
