@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from casebook.functions import exprs as X
 from casebook.operators.common import connected_components, ordered_index
-from casebook.session import cut_lineage, reuse
+from casebook.session import cut_lineage, reuse, settled
 
 
 # ------------------------------------------------------------------ DBSCAN
@@ -164,6 +164,7 @@ def _link_cells(core: DataFrame, cols, eps: float, side: float, neighbours,
     return done.select(F.col("na").alias("src"), F.col("nb").alias("dst"))
 
 
+@settled
 def dbscan(df: DataFrame, id_col: str, cols: Sequence[str], eps: float,
            min_samples: int, brute_limit: int = 256) -> DataFrame:
     """Label every row: ``cluster`` 0.. (numbered by smallest core id) or -1
@@ -337,6 +338,7 @@ def cut(micro: DataFrame, merges: DataFrame, k: int) -> DataFrame:
     return at.join(firsts, "component").select(F.col("id").alias("micro"), F.col("cluster").cast("int").alias("cluster"))
 
 
+@settled
 def agglomerative_grid(points: DataFrame, id_col: str, cols: Sequence[str], k: int, cell: float,
                        metric: str = "manhattan") -> tuple[DataFrame, DataFrame]:
     """Average-linkage clustering of any number of points, cut at ``k`` clusters: points of one grid cell of side
@@ -352,6 +354,7 @@ def agglomerative_grid(points: DataFrame, id_col: str, cols: Sequence[str], k: i
     return labels.select(id_col, "cluster"), merges
 
 
+@settled
 def agglomerative(points: DataFrame, id_col: str, cols: Sequence[str], k: int, m: int,
                   metric: str = "manhattan", seed: int = 22) -> tuple[DataFrame, DataFrame]:
     """Average-linkage clustering of any number of points, cut at ``k`` clusters.

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casebook.operators.common import ordered_index
-from casebook.session import cut_lineage
+from casebook.session import cut_lineage, settled
 
 
 def endpoints(pairs: DataFrame, a: str, b: str) -> DataFrame:
@@ -109,6 +109,7 @@ def _half_paths(adj: DataFrame, length: int, cache: dict) -> DataFrame:
     return p
 
 
+@settled
 def simple_cycles(pairs: DataFrame, a: str, b: str, max_len: int,
                   min_len: int = 3) -> DataFrame:
     """Distinct member sets of simple cycles with ``min_len``..``max_len``

@@ -7,6 +7,8 @@ private temporary folder is created only for local masters (tests, bench).
 
 from __future__ import annotations
 
+import contextvars
+import functools
 import os
 import tempfile
 import uuid
@@ -82,6 +84,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/casebook-{uuid.uuid4().hex}"
+    owner = _OWNER.get()
+    if owner is not None:
+        owner.tables.append(path)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
 
@@ -101,9 +106,53 @@ def reuse(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     if str(spark.conf.get(CACHED_COALESCE, "false")).lower() != "true":
         spark.conf.set(CACHED_COALESCE, "true")
+    owner = _OWNER.get()
+    if owner is not None:
+        owner.frames.append(df)
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+class _Owner:
+    """What one call of an operator has written and cached."""
+
+    def __init__(self):
+        self.tables: list[str] = []
+        self.frames: list[DataFrame] = []
+
+    def release(self, spark: SparkSession) -> None:
+        for frame in self.frames:
+            frame.unpersist()
+        sc = spark_context(spark)
+        if sc is None:  # Spark Connect reaches no file system: the tables stay
+            return
+        for table in self.tables:
+            path = sc._jvm.org.apache.hadoop.fs.Path(table)
+            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
+_OWNER: contextvars.ContextVar[_Owner | None] = contextvars.ContextVar("casebook_owner", default=None)
+
+
+def settled(operator):
+    """Decorator of operators that iterate: the result (a frame or several) is
+    written as a table, and all other tables and caches made on the way are
+    deleted, also when the operator fails. The result's table belongs to the
+    caller, or to the settled operator that called this one."""
+    @functools.wraps(operator)
+    def run(df: DataFrame, *args, **kwargs):
+        owner = _Owner()
+        token = _OWNER.set(owner)
+        try:
+            out = operator(df, *args, **kwargs)
+            outer = token.old_value if token.old_value is not contextvars.Token.MISSING else None
+            _OWNER.set(outer)
+            return tuple(cut_lineage(o) for o in out) if isinstance(out, tuple) else cut_lineage(out)
+        finally:
+            _OWNER.reset(token)
+            owner.release(df.sparkSession)
+    return run
+
+
 _SHIPPED: set = set()
 
 

@@ -1,13 +1,15 @@
 """DBSCAN and agglomerative clustering against brute force."""
 
 import math
+import os
 import random
 
 import numpy as np
 
 import pytest
 
-from casebook.operators import cluster
+from casebook.operators import cluster, graph
+from casebook.session import ensure_checkpoint_dir
 
 
 def brute_dbscan(points, eps, min_samples):
@@ -74,6 +76,31 @@ def test_dbscan_in_many_dimensions(spark, d, eps, n):
     assert {r["id"] for r in rows if r["is_core"]} == core
 
 
+def test_nothing_is_left_behind(spark):
+    """Operators that iterate leave one table a result and no cache."""
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+
+    def left():
+        return len([f for f in os.listdir(folder) if f.startswith("casebook-")])
+
+    rnd = random.Random(6)
+    df = spark.createDataFrame([(i, rnd.random(), rnd.random()) for i in range(120)], "id long, x double, y double")
+    edges = spark.createDataFrame([(i, j) for i in range(5) for j in range(i)], "a long, b long")
+    for results, run in ((1, lambda: cluster.dbscan(df, "id", ["x", "y"], eps=0.1, min_samples=3)),
+                         (2, lambda: cluster.agglomerative_grid(df, "id", ["x", "y"], k=3, cell=0.3)),
+                         (1, lambda: graph.simple_cycles(edges, "a", "b", max_len=4))):
+        tables, caches = left(), spark.sparkContext._jsc.getPersistentRDDs().size()
+        out = run()
+        assert left() == tables + results
+        assert spark.sparkContext._jsc.getPersistentRDDs().size() == caches
+        for frame in out if isinstance(out, tuple) else [out]:
+            assert frame.count() > 0
+    tables = left()
+    with pytest.raises(Exception, match="no_such"):
+        cluster.dbscan(df, "id", ["x", "no_such"], eps=0.1, min_samples=3)
+    assert left() == tables
+
+
 def test_neighbours_are_looked_up_among_occupied_cells(spark):
     rnd = random.Random(3)
     cells = sorted({tuple(rnd.randrange(-4, 5) for _ in range(6)) for _ in range(500)})
