@@ -460,9 +460,10 @@ def search_lists(index: DataFrame, queries: DataFrame, k: int = 20, image: str =
     batch of the index becomes lists word -> (image, count); a query adds up the
     corrections of its own words' lists, so its cost is the length of these
     lists and not images times words. The index stays where it is: queries come
-    to it as lists of their words, in blocks of at most ``max_broadcast_bytes``
-    (one scan of the index a block), and each batch gives at most ``k`` images a
-    query (more where distances agree to ``digits`` places but not exactly).
+    to it as lists of their words, in blocks dealt by hash, of at most half of
+    ``max_broadcast_bytes`` on average (one scan of the index a block), and each
+    batch gives at most ``k`` images a query (more where distances agree to
+    ``digits`` places but not exactly).
 
     Counts must not be negative. Rows without ``hist`` take no part; of
     histograms of several lengths the shorter have zeros. Repeated queries give
