@@ -87,3 +87,22 @@ def test_cycles_with_hub_vertex(spark):
     df = spark.createDataFrame(edges, "a string, b string")
     got = {r["members"] for r in graph.simple_cycles(df, "a", "b", max_len=4).collect()}
     assert got == expected and len(got) > 30
+
+
+def test_cycle_halves_travel_as_numbers(spark, monkeypatch):
+    """Paths hold rank numbers only, and the longest halves, the most by far, are not written as a table."""
+    edges = [(f"person {a}", f"person {b}") for a, b in itertools.combinations(range(7), 2)]
+    df = spark.createDataFrame(edges, "a string, b string")
+    written = []
+
+    def cut(frame):
+        written.append(frame.dtypes)
+        return frame.localCheckpoint()
+
+    monkeypatch.setattr(graph, "cut_lineage", cut)
+    for max_len, tables in ((4, 0), (6, 1)):
+        written.clear()
+        got = [r["members"] for r in graph.simple_cycles(df, "a", "b", max_len=max_len).collect()]
+        assert len(got) == len(set(got)) and set(got) == brute_cycles(edges, max_len)
+        halves = [kinds for kinds in written if {"s", "end"} <= {name for name, _ in kinds}]
+        assert len(halves) == tables and all(kind == "bigint" for kinds in halves for _, kind in kinds)
