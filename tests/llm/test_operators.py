@@ -172,6 +172,37 @@ def test_quality_without_labels(lab):
     assert all(r.kept != r.base_failed for r in quality.judge(docs, forest).select("quality.*").collect())
 
 
+def test_quality_learns_from_every_labelled_row(lab):
+    """Statistics' weights and the threshold equal those of all rows, repeated ones included, and trees draw from all."""
+    rng = random.Random(3)
+    rows = []
+    for d in range(6600):
+        bad = d % 11 == 0
+        text = " ".join(f"w{rng.randint(0, 10 ** 6)}" + "#!" * (rng.random() < (0.4 if bad else 0.03)) for _ in range(60))
+        rows.append((d, text, 0 if bad else 1))
+    rows += [rows[5]] * 40 + [(None, "no id " * 40, 0), (7000, None, 1), (7001, "short", 0)]
+    docs = lab.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(7)
+    labels = lab.createDataFrame([(d, q) for d, _, q in rows] + [(8000, 0), (3, None)], "doc_id long, quality int")
+    forest = quality.fit(docs, labels)
+    used = [r for r in rows if r[0] is not None and r[0] < 7000]
+    table = np.array([quality.counts(*quality.utf8(pa.array([r[1]])))[0] for r in used])
+    x, good = quality.features(table), np.array([r[2] == 1 for r in used])
+    s = forest.scores(x)
+    floor = np.quantile(s[good], quality.KEEP)
+    choices = np.unique(np.r_[floor, s[good].max(), s[~good & (s >= floor)]])
+    gains = [(s[~good] > t).mean() - (s[good] > t).mean() for t in choices]
+    assert max(gains) > 0.5 and forest.threshold == pytest.approx(choices[int(np.argmax(gains))], abs=1e-12)
+    learned = quality._labelled(docs, labels)
+    for k, w in enumerate(quality.separation(learned)):
+        higher = sum((x[good, k] < v).sum() + (x[good, k] == v).sum() / 2 for v in x[~good, k])
+        assert w == pytest.approx((2 * higher / ((~good).sum() * good.sum()) - 1) ** 2, abs=1e-12)
+    drawn = quality.draw(learned)
+    assert len(drawn) == quality.TREES and all(len(t) == quality.SUBSAMPLE for t in drawn)
+    assert len(np.unique(np.concatenate(drawn), axis=0)) > 0.6 * len(np.unique(x, axis=0))
+    again = quality.draw(quality._labelled(docs.repartition(2), labels))
+    assert all(np.array_equal(a, b) for a, b in zip(drawn, again, strict=True))
+
+
 def test_language_id(lab):
     docs = lab.read.parquet("/root/testdata/sf0.01/documents.parquet")
     held = language_id.held_out(F.col("doc_id"))
