@@ -5,10 +5,10 @@ files. Texts are cut into words where marks follow another character, and
 before and after characters that only stand alone (control characters); no
 piece goes across, so words are encoded alone and each distinct word once: its
 substrings up to the longest piece's length are exploded and equi-joined to the
-piece table, the edges found are grouped by word again, and a higher-order
-``aggregate`` folds over the word's positions, holding for each the total and the
-last piece of the best way there (Viterbi); a second one walks back. Words over
-LONG characters, whose arrays would be copied at every position, take the same
+piece table, the edges found are grouped by word again, and the lattices of a
+batch are folded position by position, holding for each the total and the
+last piece of the best way there (Viterbi); a second pass walks back. Words over
+LONG characters, whose lattices would be too many rows, take the same
 fold in one call, in time that grows with their length. Every character also is
 an edge of its own at the lowest score less a penalty, which becomes the byte
 pieces of its UTF-8 form, or the unknown piece where the table has no bytes.
@@ -23,7 +23,7 @@ words in other places than a run of their merges.
 Texts are dealt to slices by a hash of the whole row, so copies of a text spread.
 A slice asks for each of its distinct words once; the encoded words go back to it
 and are held while its texts are read, so no row is made for each word of a text
-and a frequent word travels once per slice. Decoding looks ids up in the piece
+and a frequent word travels once per slice. Texts travel squeezed. Decoding looks ids up in the piece
 table, which each task holds (a vocabulary, not corpus data).
 
 Defined results: a null text has no pieces and decodes to ''; a text that holds
@@ -48,6 +48,8 @@ MARK = "▁"
 PENALTY = 10_000_000
 UNIT = 1_000_000
 ROWS = 256  # texts put together at once
+SHARE = 8  # partitions of words to one of texts
+LATTICES = 2048  # words folded at once
 LONG = 64  # characters of a word up to which its lattice is rows; a longer word is folded in one call
 _WORD = f"[\\x00-\\x1F]|{MARK}+[^{MARK}\\x00-\\x1F]*|[^{MARK}\\x00-\\x1F]+"
 
@@ -97,6 +99,58 @@ def _long_paths(normal: dict, longest: int, least: int):
     return run
 
 
+def _best_paths(edges: pa.ListArray) -> pa.ListArray:
+    """The best way through each lattice (end, n, score, id): id and end of its edges, in order.
+
+    All lattices of a batch go from position to position together (Viterbi); of edges into one position the one
+    with the highest total wins, then fewer pieces, the longer last piece, the higher id."""
+    kind = pa.list_(pa.struct([("id", pa.int32()), ("at", pa.int32())]))
+    if not len(edges):
+        return pa.array([], kind)
+    bounds = edges.offsets.to_numpy()
+    flat = edges.values.slice(bounds[0], bounds[-1] - bounds[0])
+    end, n, score = (flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("end", "n", "score"))
+    ids = flat.field("id").fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+    word = np.repeat(np.arange(len(edges)), np.diff(bounds))
+    size = np.zeros(len(edges), dtype=np.int64)
+    np.maximum.at(size, word, end)
+    base = np.cumsum(size + 1) - size - 1
+    node = base[word] + end
+    total, count, last, piece = (np.zeros(int((size + 1).sum()), dtype=np.int64) for _ in range(4))
+    by_end = np.argsort(end, kind="stable")
+    cuts = np.searchsorted(end[by_end], np.arange(1, size.max(initial=0) + 2))
+    for k in range(len(cuts) - 1):
+        e = by_end[cuts[k]:cuts[k + 1]]
+        before = node[e] - n[e]
+        sums, counts = total[before] + score[e], count[before] - 1
+        order = np.lexsort((ids[e], n[e], counts, sums, node[e]))
+        at = node[e][order]
+        won = order[np.flatnonzero(np.r_[at[1:] != at[:-1], True])]
+        to = node[e][won]
+        total[to], count[to], last[to], piece[to] = sums[won], counts[won], n[e][won], ids[e][won]
+    steps, rows, here = [], np.flatnonzero(size), size.copy()
+    while len(rows):
+        spot = base[rows] + here[rows]
+        steps.append((rows, here[rows], piece[spot]))
+        here[rows] -= last[spot]
+        rows = rows[here[rows] > 0]
+    word, at, found = (np.concatenate([x[k] for x in steps]) if steps else np.zeros(0, dtype=np.int64) for k in range(3))
+    order = np.lexsort((at, word))
+    found, at = found[order], at[order]
+    paths = pa.StructArray.from_arrays([pa.array(found.astype(np.int32), mask=found < 0), pa.array(at.astype(np.int32))],
+                                       names=["id", "at"])
+    starts = np.r_[0, np.cumsum(np.bincount(word, minlength=len(edges)))].astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(starts), paths).cast(kind)
+
+
+def _paths(edges: Column) -> Column:
+    @F.arrow_udf("array<struct<id:int,at:int>>")
+    def run(column: pa.Array) -> pa.Array:
+        return pa.concat_arrays([_best_paths(column.slice(lo, LATTICES)) for lo in range(0, len(column), LATTICES)]) \
+            if len(column) else _best_paths(column)
+    return run(edges)
+
+
 def encode_words(distinct: DataFrame, pieces: DataFrame) -> DataFrame:
     """``distinct`` (word, partitioned by word) -> word, ids."""
     spark = distinct.sparkSession
@@ -116,30 +170,10 @@ def encode_words(distinct: DataFrame, pieces: DataFrame) -> DataFrame:
         F.lit(1), F.least(F.lit(longest), F.length("word") - F.col("start") + 1))).alias("n"))
     cut = cut.withColumn("piece", F.substring(F.col("word"), F.col("start"), F.col("n")))
     edge = F.struct((F.col("start") + F.col("n") - 1).alias("end"), F.col("n").alias("n"),
-                    F.coalesce("score", F.lit(least)).cast("long").alias("score"), F.col("id"))
+                    F.coalesce("score", F.lit(least)).cast("long").alias("score"), F.col("id").cast("int").alias("id"))
     edges = cut.join(normal, "piece", "left").filter(F.col("id").isNotNull() | (F.col("n") == 1)).select("word", edge.alias("e"))
     lattice = edges.groupBy("word").agg(F.collect_list("e").alias("edges"))
-    kind = "struct<total:bigint,count:int,last:int,id:int>"
-    origin = F.array(F.struct(F.lit(0).cast("long").alias("total"), F.lit(0).alias("count"), F.lit(0).alias("last"),
-                              F.lit(None).cast("int").alias("id")).cast(kind))
-
-    def step(best, end):
-        # best[k]: the best way to position k; of the struct's order: total, fewer pieces (counted downwards), longer last
-        ways = F.transform(F.filter("edges", lambda e: e["end"] == end), lambda e: F.struct(
-            (F.get(best, end - e["n"])["total"] + e["score"]).alias("total"),
-            (F.get(best, end - e["n"])["count"] - 1).alias("count"), e["n"].cast("int").alias("last"), e["id"].alias("id")))
-        return F.concat(best, F.array(F.array_max(ways).cast(kind)))
-
-    def back(walk, _):
-        here = F.get(F.col("best"), walk["at"])
-        return F.when(walk["at"] == 0, walk).otherwise(F.struct(
-            (walk["at"] - here["last"]).alias("at"),
-            F.concat(F.array(F.struct(here["id"].alias("id"), walk["at"].alias("at"))), walk["path"]).alias("path")))
-
-    positions = F.sequence(F.lit(1), F.length("word"))
-    found = lattice.select("word", F.aggregate(positions, origin, step).alias("best"))
-    found = found.select("word", F.aggregate(positions, F.struct(
-        F.length("word").alias("at"), F.array().cast("array<struct<id:int,at:int>>").alias("path")), back)["path"].alias("path"))
+    found = lattice.select("word", _paths(F.col("edges")).alias("path"))
     best = found.select("word", F.transform("path", lambda p: F.struct(
         p["id"].alias("id"), F.when(p["id"].isNull(), F.substring(F.col("word"), p["at"], F.lit(1))).alias("piece"))).alias("path"))
     best = best.unionByName(distinct.filter(F.length("word") > LONG).select("word", _long_paths(
@@ -168,26 +202,36 @@ def _give(columns: list[str]):
             for lo in range(0, batch.num_rows, ROWS):
                 part = batch.slice(lo, ROWS)
                 keep, out, sizes = [], [], []
-                slices, words_, ids = (part.column(part.schema.get_field_index(c)).to_pylist()
-                                       for c in ("_piece_slice", "_piece_word", "_piece_ids"))
-                for k, (at, w, text) in enumerate(zip(slices, words_, part.column(
-                        part.schema.get_field_index("text")).to_pylist(), strict=True)):
+                texts = []
+                slices, words_, ids, squeezed = (part.column(part.schema.get_field_index(c)).to_pylist()
+                                                 for c in ("_piece_slice", "_piece_word", "_piece_ids", "text"))
+                for k, (at, w, z) in enumerate(zip(slices, words_, squeezed, strict=True)):
                     if at != now:
                         now, book = at, {}
                     if w is not None:
                         book[w] = np.array(ids[k], dtype=np.int32).tobytes()
                         continue
+                    text = None if z is None else X.unsqueeze(z).decode()
                     raw = b"".join([book[x] for x in word.findall(MARK + text.replace(" ", MARK))]) if text else b""
                     keep.append(k)
+                    texts.append(text)
                     out.append(raw)
                     sizes.append(len(raw) // 4)
                 rows = part.take(pa.array(keep, pa.int64())).select(columns)
+                rows = rows.set_column(columns.index("text"), "text", pa.array(texts, pa.string()))
                 lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)),
                                                  pa.array(np.frombuffer(b"".join(out), dtype=np.int32)))
                 yield _with(rows, "ids", lists)
     return apply
 
 
+def _squeezed(text: Column) -> Column:
+    @F.arrow_udf("binary")
+    def run(column: pa.Array) -> pa.Array:
+        return pa.array([None if x is None else X.squeeze(x) for x in column.cast(pa.binary()).to_pylist()], pa.binary())
+    return run(text)
+
+
 def encode(texts: DataFrame, pieces: DataFrame) -> DataFrame:
     """``texts`` with a column ``ids`` (array<int>; one of that name is replaced) for its column ``text``."""
     n = X.bucket_count(texts.sparkSession)
@@ -198,11 +242,12 @@ def encode(texts: DataFrame, pieces: DataFrame) -> DataFrame:
         *(F.col(f"`{c}`") for c, kind in texts.dtypes if "map<" not in kind)), F.lit(n)))
     # a task sums up the words of its texts before they move
     used = X.table(dealt.select("_piece_slice", F.explode(F.array_distinct(words(F.col("text")))).alias("word")).distinct())
-    # a fixed number of partitions: a word becomes many rows, so few large partitions would spill
-    coded = X.table(encode_words(used.select("word").repartition(n, "word").distinct(), pieces))
+    # many partitions of a fixed number: a word becomes dozens of rows, which are sorted in memory to group them again
+    coded = X.table(encode_words(used.select("word").repartition(SHARE * n, "word").distinct(), pieces))
     books = used.join(coded, "word").select(
         "_piece_slice", F.lit(0).alias("_piece_kind"), F.col("word").alias("_piece_word"), F.col("ids").alias("_piece_ids"))
-    both = dealt.withColumn("_piece_kind", F.lit(1)).unionByName(books, allowMissingColumns=True)
+    both = (dealt.withColumn("text", _squeezed(F.col("text"))).withColumn("_piece_kind", F.lit(1))
+            .unionByName(books, allowMissingColumns=True))
     schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in texts.schema),
                            T.StructField("ids", T.ArrayType(T.IntegerType()))])
     return (both.repartition(n, "_piece_slice").sortWithinPartitions("_piece_slice", "_piece_kind")

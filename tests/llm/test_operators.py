@@ -475,6 +475,35 @@ def test_piece_lattice(lab):
         assert r.ids == want
 
 
+def test_piece_lattice_folds_a_batch_like_one_word(lab, monkeypatch):
+    """Paths of many lattices at once, ties included, equal those of a plain fold; words go to many partitions."""
+    rng = random.Random(8)
+    lattices, want = [], []
+    for k in range(300):
+        size = rng.randint(1, 9) if k else 0
+        edges = [{"end": e, "n": n, "score": -rng.randint(1, 3), "id": None if n == 1 and rng.random() < 0.3 else rng.randint(0, 9)}
+                 for e in range(1, size + 1) for n in range(1, e + 1) if n == 1 or rng.random() < 0.6]
+        best = [((0, 0, 0, 0), [])]
+        for e in range(1, size + 1):
+            ways = [((best[e - x["n"]][0][0] + x["score"], best[e - x["n"]][0][1] - 1, x["n"], -1 if x["id"] is None else x["id"]), x)
+                    for x in edges if x["end"] == e]
+            key, x = max(ways, key=lambda w: w[0])
+            best.append((key, best[e - x["n"]][1] + [{"id": x["id"], "at": e}]))
+        rng.shuffle(edges)
+        lattices.append(edges)
+        want.append(best[-1][1])
+    kind = pa.list_(pa.struct([("end", pa.int32()), ("n", pa.int32()), ("score", pa.int64()), ("id", pa.int32())]))
+    column = pa.array(lattices, kind)
+    assert piece_lattice._best_paths(column).to_pylist() == want
+    assert piece_lattice._best_paths(column.slice(40, 7)).to_pylist() == want[40:47]
+    assert piece_lattice._best_paths(column.slice(0, 0)).to_pylist() == []
+    seen, plain = [], piece_lattice.encode_words
+    monkeypatch.setattr(piece_lattice, "encode_words", lambda d, p: (seen.append(d.rdd.getNumPartitions()), plain(d, p))[1])
+    pieces = piece_lattice.piece_table(lab, public_tokenizers.path("piece_bpe_32k.model"))
+    piece_lattice.encode(lab.createDataFrame([("a few words",)], "text string"), pieces)
+    assert seen == [piece_lattice.SHARE * int(lab.conf.get("spark.sql.shuffle.partitions"))]
+
+
 def test_piece_lattice_of_long_words_and_clashing_columns(lab):
     import time
     pieces = piece_lattice.piece_table(lab, public_tokenizers.path("piece_bpe_32k.model")).cache()
