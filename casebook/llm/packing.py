@@ -65,6 +65,7 @@ def _pieces(path, capacity, end):
                     [part.column(0).take(pa.array(doc)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length),
                      pa.array(crc), pa.array(np.full(len(doc), task, dtype=np.int32)), pa.array(nth)],
                     names=["doc_id", "piece", "start", "length", "ids_crc32", "task", "nth"])
+        tokens.forget()
     return cut
 
 

@@ -186,6 +186,11 @@ def encoder(path: str, plain: bool = False) -> Encoder:
     return Encoder(path, plain)
 
 
+def forget() -> None:
+    """Drop the worker's encoders: workers outlive a stage, and an encoder with its cache is some 70 MB in each."""
+    encoder.cache_clear()
+
+
 def groups(batches: Iterator[pa.RecordBatch], column: int, most: int = GROUP_BYTES) -> Iterator[pa.RecordBatch]:
     """Runs of rows with some ``most`` bytes of text."""
     for batch in batches:

@@ -453,6 +453,18 @@ def viterbi(word, scores, least):
     return best[len(word)][3]
 
 
+def test_packing_leaves_no_encoder_in_workers(lab):
+    """Workers outlive a stage; what they keep adds to the memory of all later ones."""
+    from casebook.llm import packing, tokens
+    docs = lab.createDataFrame([(k, f"some text {k}") for k in range(64)], "doc_id long, text string").repartition(16)
+    assert packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json")).count() == 64
+
+    def held(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([tokens.encoder.cache_info().currsize], pa.int32())], names=["n"])
+    assert sum(r.n for r in lab.range(0, 64, 1, 16).mapInArrow(held, "n int").collect()) == 0
+
+
 def test_piece_lattice(lab):
     pieces = piece_lattice.piece_table(lab, public_tokenizers.path("piece_bpe_32k.model")).cache()
     rows = pieces.collect()
