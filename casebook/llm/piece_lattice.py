@@ -21,9 +21,11 @@ models; models trained by merges are encoded by these scores too, which may cut
 words in other places than a run of their merges.
 
 Texts are dealt to slices by a hash of the whole row, so copies of a text spread.
-A slice asks for each of its distinct words once; the encoded words go back to it
-and are held while its texts are read, so no row is made for each word of a text
-and a frequent word travels once per slice. Texts travel squeezed. Decoding looks ids up in the piece
+A slice asks for each of its distinct words once, in a squeezed row for each
+bucket of words; a bucket makes a row of each of its words, gets them encoded and
+answers in the order it was asked. The answers are held while the slice's texts
+are read, so no row is made for each word of a text or of a slice, and a frequent
+word travels once per slice. Texts travel squeezed. Decoding looks ids up in the piece
 table, which each task holds (a vocabulary, not corpus data).
 
 Defined results: a null text has no pieces and decodes to ''; a text that holds
@@ -34,9 +36,11 @@ repeated rows come out alike; words of any length are encoded whole.
 from __future__ import annotations
 
 import re
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,6 +54,8 @@ UNIT = 1_000_000
 ROWS = 256  # texts put together at once
 SHARE = 8  # partitions of words to one of texts
 LATTICES = 2048  # words folded at once
+LEVEL = 5  # of compression, for what is written by the gigabyte
+BUNDLED = 1 << 17  # encoded words put into rows at once
 LONG = 64  # characters of a word up to which its lattice is rows; a longer word is folded in one call
 _WORD = f"[\\x00-\\x1F]|{MARK}+[^{MARK}\\x00-\\x1F]*|[^{MARK}\\x00-\\x1F]+"
 
@@ -66,13 +72,6 @@ def piece_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame(rows, "id int, piece string, score long, kind string")
 
 
-def words(text: Column) -> Column:
-    """The words of a text, marks included."""
-    marked = F.concat(F.lit(MARK), F.regexp_replace(text, " ", MARK))
-    return F.when(text.isNull() | (text == ""), F.array().cast("array<string>")).otherwise(
-        F.regexp_extract_all(marked, F.lit(_WORD), F.lit(0)))
-
-
 def _long_paths(normal: dict, longest: int, least: int):
     """The same fold for words over LONG characters, position by position with a back-pointer each."""
     def path(word: str) -> list[tuple]:
@@ -152,7 +151,7 @@ def _paths(edges: Column) -> Column:
 
 
 def encode_words(distinct: DataFrame, pieces: DataFrame) -> DataFrame:
-    """``distinct`` (word, partitioned by word) -> word, ids."""
+    """``distinct`` (word, each once, partitioned by word) -> word, ids."""
     spark = distinct.sparkSession
     facts = pieces.agg(F.max(F.when(F.col("kind") == "normal", F.length("piece"))).alias("longest"),
                        F.min("score").alias("least"),
@@ -192,32 +191,131 @@ def _with(batch: pa.RecordBatch, name: str, column: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, name])
 
 
+ASKED = "_piece_slice int, _piece_bucket int, _piece_sizes binary, _piece_words binary"
+ANSWERED = f"{ASKED}, _piece_counts binary, _piece_ids binary"
+
+
+def _column(batch: pa.RecordBatch, name: str) -> pa.Array:
+    return batch.column(batch.schema.get_field_index(name))
+
+
+def _cut(sizes: bytes, words: bytes) -> list[str]:
+    """The words of a squeezed row."""
+    ends = np.cumsum(np.frombuffer(X.unsqueeze(sizes), dtype=np.int32)).tolist()
+    text = X.unsqueeze(words).decode()
+    return [text[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+
+def _cut_ids(counts: bytes, ids: bytes) -> list[bytes]:
+    ends = (np.cumsum(np.frombuffer(X.unsqueeze(counts), dtype=np.int32)) * 4).tolist()
+    raw = X.unsqueeze(ids)
+    return [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+
+def _numbers(values: list[int]) -> bytes:
+    return X.squeeze(np.array(values, dtype=np.int32).tobytes(), LEVEL)
+
+
+def _ask(buckets: int):
+    """The squeezed texts of one slice -> a row of its distinct words for each bucket."""
+    find = re.compile(_WORD).findall
+
+    def apply(batches):
+        used, at = set(), None
+        for batch in batches:
+            if batch.num_rows:
+                at = _column(batch, "_piece_slice")[0].as_py()
+            for z in _column(batch, "text"):
+                used.update(find(MARK + X.unsqueeze(z.as_buffer()).decode().replace(" ", MARK)))
+        of: dict[int, list[str]] = {}
+        for w in used:
+            of.setdefault(crc32(w.encode()) % buckets, []).append(w)
+        used.clear()
+        for bucket, mine in of.items():
+            mine.sort()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([at], pa.int32()), pa.array([bucket], pa.int32()), pa.array([_numbers([len(w) for w in mine])]),
+                 pa.array([X.squeeze("".join(mine).encode(), LEVEL)])], names=[c.split()[0] for c in ASKED.split(", ")])
+    return apply
+
+
+def _distinct(batches):
+    """All that slices ask of one bucket -> its words."""
+    used = set()
+    for batch in batches:
+        for sizes, raw in zip(*(_column(batch, c).to_pylist() for c in ("_piece_sizes", "_piece_words")), strict=True):
+            used.update(_cut(sizes, raw))
+    rows = pa.array(list(used), pa.string())
+    used.clear()
+    for lo in range(0, len(rows), LATTICES):
+        yield pa.RecordBatch.from_arrays([rows.slice(lo, LATTICES)], names=["word"])
+
+
+def _bundle(buckets: int):
+    """Encoded words -> rows of words with their ids for each bucket."""
+    def rows(of):
+        for bucket, mine in of.items():
+            mine.sort()
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(1, pa.int32()), pa.array([bucket], pa.int32()), pa.array([_numbers([len(w) for w, _ in mine])]),
+                 pa.array([X.squeeze("".join([w for w, _ in mine]).encode(), LEVEL)]),
+                 pa.array([_numbers([len(x) // 4 for _, x in mine])]),
+                 pa.array([X.squeeze(b"".join([x for _, x in mine]), LEVEL)])], names=[c.split()[0] for c in ANSWERED.split(", ")])
+
+    def apply(batches):
+        of: dict[int, list[tuple]] = {}
+        held = 0
+        for batch in batches:
+            ids = _column(batch, "ids")
+            raw = ids.flatten().to_numpy(zero_copy_only=False).astype("<i4").tobytes()
+            ends = (np.r_[0, np.cumsum(pc.list_value_length(ids).to_numpy())] * 4).tolist()
+            for w, a, b in zip(_column(batch, "word").to_pylist(), ends, ends[1:], strict=False):
+                of.setdefault(crc32(w.encode()) % buckets, []).append((w, raw[a:b]))
+            held += batch.num_rows
+            if held > BUNDLED:
+                yield from rows(of)
+                of, held = {}, 0
+        yield from rows(of)
+    return apply
+
+
+def _answer(batches):
+    """Of one bucket the encoded words and then what slices ask -> the same with the ids."""
+    book: dict[str, bytes] = {}
+    names = [c.split()[0] for c in ANSWERED.split(", ")]
+    for batch in batches:
+        for k, (sizes, words, counts, ids) in enumerate(zip(*(_column(batch, c).to_pylist() for c in names[2:]), strict=True)):
+            if ids is not None:
+                book.update(zip(_cut(sizes, words), _cut_ids(counts, ids), strict=True))
+                continue
+            found = [book[w] for w in _cut(sizes, words)]
+            row = batch.slice(k, 1).select(names[:4])
+            yield pa.RecordBatch.from_arrays(
+                [*row.columns, pa.array([_numbers([len(x) // 4 for x in found])]),
+                 pa.array([X.squeeze(b"".join(found), LEVEL)])], names=names)
+
+
 def _give(columns: list[str]):
-    """Rows sorted by slice, its words (with ``_ids``) before its texts -> the texts' rows with their ids."""
-    word = re.compile(_WORD)
+    """Of one slice the answers and then its texts -> the texts' rows with their ids."""
+    find = re.compile(_WORD).findall
+    given = [c.split()[0] for c in ANSWERED.split(", ")][2:]
 
     def apply(batches):
-        now, book = None, {}
+        book: dict[str, bytes] = {}
         for batch in batches:
             for lo in range(0, batch.num_rows, ROWS):
                 part = batch.slice(lo, ROWS)
-                keep, out, sizes = [], [], []
-                texts = []
-                slices, words_, ids, squeezed = (part.column(part.schema.get_field_index(c)).to_pylist()
-                                                 for c in ("_piece_slice", "_piece_word", "_piece_ids", "text"))
-                for k, (at, w, z) in enumerate(zip(slices, words_, squeezed, strict=True)):
-                    if at != now:
-                        now, book = at, {}
-                    if w is not None:
-                        book[w] = np.array(ids[k], dtype=np.int32).tobytes()
-                        continue
+                answers = part.filter(_column(part, "_piece_words").is_valid())
+                for sizes, words, counts, ids in zip(*(_column(answers, c).to_pylist() for c in given), strict=True):
+                    book.update(zip(_cut(sizes, words), _cut_ids(counts, ids), strict=True))
+                rows = part.filter(_column(part, "_piece_words").is_null()).select(columns)
+                out, sizes, texts = [], [], []
+                for z in _column(rows, "text").to_pylist():
                     text = None if z is None else X.unsqueeze(z).decode()
-                    raw = b"".join([book[x] for x in word.findall(MARK + text.replace(" ", MARK))]) if text else b""
-                    keep.append(k)
+                    raw = b"".join(map(book.__getitem__, find(MARK + text.replace(" ", MARK)))) if text else b""
                     texts.append(text)
                     out.append(raw)
                     sizes.append(len(raw) // 4)
-                rows = part.take(pa.array(keep, pa.int64())).select(columns)
                 rows = rows.set_column(columns.index("text"), "text", pa.array(texts, pa.string()))
                 lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)),
                                                  pa.array(np.frombuffer(b"".join(out), dtype=np.int32)))
@@ -228,7 +326,7 @@ def _give(columns: list[str]):
 def _squeezed(text: Column) -> Column:
     @F.arrow_udf("binary")
     def run(column: pa.Array) -> pa.Array:
-        return pa.array([None if x is None else X.squeeze(x) for x in column.cast(pa.binary()).to_pylist()], pa.binary())
+        return pa.array([None if x is None else X.squeeze(x, LEVEL) for x in column.cast(pa.binary()).to_pylist()], pa.binary())
     return run(text)
 
 
@@ -239,31 +337,42 @@ def encode(texts: DataFrame, pieces: DataFrame) -> DataFrame:
     columns = texts.columns
     texts = texts.withColumn("text", F.col("text").cast("string"))
     dealt = texts.withColumn("_piece_slice", F.pmod(F.xxhash64(
-        *(F.col(f"`{c}`") for c, kind in texts.dtypes if "map<" not in kind)), F.lit(n)))
-    # a task sums up the words of its texts before they move
-    used = X.table(dealt.select("_piece_slice", F.explode(F.array_distinct(words(F.col("text")))).alias("word")).distinct())
+        *(F.col(f"`{c}`") for c, kind in texts.dtypes if "map<" not in kind)), F.lit(n)).cast("int"))
+    asked = X.table(dealt.filter(F.col("text") != "").select("_piece_slice", _squeezed(F.col("text")).alias("text"))
+                    .repartitionById(n, F.col("_piece_slice")).mapInArrow(tidy(_ask(n)), ASKED))
+    used = asked.select("_piece_bucket", "_piece_sizes", "_piece_words").repartitionById(n, F.col("_piece_bucket"))
     # many partitions of a fixed number: a word becomes dozens of rows, which are sorted in memory to group them again
-    coded = X.table(encode_words(used.select("word").repartition(SHARE * n, "word").distinct(), pieces))
-    books = used.join(coded, "word").select(
-        "_piece_slice", F.lit(0).alias("_piece_kind"), F.col("word").alias("_piece_word"), F.col("ids").alias("_piece_ids"))
-    both = (dealt.withColumn("text", _squeezed(F.col("text"))).withColumn("_piece_kind", F.lit(1))
-            .unionByName(books, allowMissingColumns=True))
+    coded = X.table(encode_words(used.mapInArrow(tidy(_distinct), "word string").repartition(SHARE * n, "word"), pieces))
+    books = (coded.mapInArrow(tidy(_bundle(n)), ANSWERED).unionByName(asked, allowMissingColumns=True)
+             .repartitionById(n, F.col("_piece_bucket")).sortWithinPartitions(F.col("_piece_ids").isNull())
+             .mapInArrow(tidy(_answer), ANSWERED))
+    both = dealt.withColumn("text", _squeezed(F.col("text"))).unionByName(books.drop("_piece_bucket"), allowMissingColumns=True)
     schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in texts.schema),
                            T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return (both.repartition(n, "_piece_slice").sortWithinPartitions("_piece_slice", "_piece_kind")
+    return (both.repartitionById(n, F.col("_piece_slice")).sortWithinPartitions(F.col("_piece_words").isNull())
             .mapInArrow(tidy(_give(columns)), schema))
 
 
 def _spell(table: dict[int, bytes]):
+    size = np.zeros(max(table, default=-1) + 2, dtype=np.int64)  # the last: ids that are not in the table
+    size[list(table)] = [len(x) for x in table.values()]
+    start = np.cumsum(size) - size
+    spelt = np.frombuffer(b"".join([table[k] for k in sorted(table)]), dtype=np.uint8)
+
     def apply(batches):
         for batch in batches:
             for lo in range(0, batch.num_rows, ROWS):
                 part = batch.slice(lo, ROWS)
-                texts = []
-                for ids in part.column(part.schema.get_field_index("ids")).to_pylist():
-                    raw = b"".join([table.get(x, b"") for x in ids or ()]).decode("utf-8", "replace")
-                    texts.append(raw[1:] if raw[:1] == " " else raw)
-                yield _with(part, "decoded", pa.array(texts, pa.string()))
+                lists = _column(part, "ids")
+                ids = lists.flatten().fill_null(-1).to_numpy()
+                ids = np.where((ids < 0) | (ids >= len(size) - 1), len(size) - 1, ids)
+                n = size[ids]
+                ends = np.r_[0, np.cumsum(n)]
+                raw = spelt[np.repeat(start[ids] - ends[:-1], n) + np.arange(ends[-1])].tobytes()
+                many = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+                bounds = ends[np.r_[0, np.cumsum(many)]].tolist()
+                texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(bounds, bounds[1:], strict=False)]
+                yield _with(part, "decoded", pa.array([x[1:] if x[:1] == " " else x for x in texts], pa.string()))
     return apply
 
 

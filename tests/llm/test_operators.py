@@ -539,6 +539,24 @@ def test_piece_lattice_of_long_words_and_clashing_columns(lab):
     assert piece_lattice.decode(piece_lattice.encode(none, pieces), pieces).collect() == []
 
 
+def test_piece_lattice_asks_for_words_by_bucket(lab, monkeypatch):
+    """Each distinct word is encoded once; slices ask in a row a bucket at most, not in a row a word."""
+    tables, encoded, plain = [], [], piece_lattice.X.table
+    monkeypatch.setattr(piece_lattice.X, "table", lambda df: (tables.append(plain(df)), tables[-1])[1])
+    monkeypatch.setattr(piece_lattice, "encode_words", lambda d, p, f=piece_lattice.encode_words: (
+        encoded.extend(r.word for r in d.collect()), f(d, p))[1])
+    pieces = piece_lattice.piece_table(lab, public_tokenizers.path("piece_bpe_32k.model")).cache()
+    rng = random.Random(4)
+    texts = [" ".join(f"w{rng.randint(0, 400)}" for _ in range(60)) + "\n\n\u2581\t\U0001f600 é" for _ in range(300)] + [None, "", "\n"] * 3
+    got = piece_lattice.decode(piece_lattice.encode(lab.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, text string"),
+                                                    pieces), pieces).collect()
+    assert sorted(r.k for r in got) == list(range(len(texts)))
+    assert all(r.decoded == (r.text or "").replace("\u2581", " ") and r.text == texts[r.k] for r in got)
+    assert len(encoded) == len(set(encoded)) > 400
+    n = int(lab.conf.get("spark.sql.shuffle.partitions"))
+    assert tables[0].count() <= n * n
+
+
 def test_piece_lattice_query_reads_all_documents(lab):
     from casebook.llm import catalogue
     got = catalogue.op7_piece_lattice(lab, SF).collect()
